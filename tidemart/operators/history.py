@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import present
 from tidemart.functions.pricing import change_percent
-from tidemart.operators.ordered import drop_repeats, previous_values
+from tidemart.operators.ordered import HOT_ROWS, drop_repeats, previous_values
 
 # Thresholds of a suspicious discount, and the table's columns in order.
 SUSPICIOUS_DROP_PCT = -15
@@ -28,11 +28,14 @@ def snapshots(products: DataFrame, tie_break: list[Column] | None = None) -> Dat
     return single.withColumn("scraped_date", F.to_date("scraped_at"))
 
 
-def with_previous(snaps: DataFrame) -> DataFrame:
+def with_previous(
+    snaps: DataFrame, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Price and time of the product's preceding snapshot."""
     return previous_values(
         snaps, ["product_id"], "scraped_at",
         {"previous_price": "price", "previous_scraped_at": "scraped_at"},
+        sizes, hot_rows,
     )
 
 
@@ -64,10 +67,12 @@ def price_history(
     min_abs: float = SUSPICIOUS_MIN_CHANGE,
     run_ts: Column | None = None,
     tie_break: list[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     # Prune before the window so its shuffles carry only columns of the result.
     wanted = products if tie_break else products.select(*present(products, HISTORY_COLUMNS))
-    changed = with_changes(with_previous(snapshots(wanted, tie_break)), drop_pct, min_abs)
+    lagged = with_previous(snapshots(wanted, tie_break), wanted, hot_rows)
+    changed = with_changes(lagged, drop_pct, min_abs)
     stamp = F.current_timestamp() if run_ts is None else run_ts
     stamped = changed.withColumn("gold_processed_at", stamp)
     return stamped.select(*present(stamped, HISTORY_COLUMNS))

@@ -1,10 +1,15 @@
 """Per-key order operators that no hot key can push into one task.
 
 A plain `lag` or running count partitions by the key alone, so one product or handler
-holding a third of the rows would be sorted by a single task. Here the rows of a key are
-cut into calendar chunks: each chunk is ordered on its own, and only one summary row per
-(key, chunk) is ordered per key to carry values over the chunk borders. The number of
-chunks of a key is bounded by elapsed time, not by its rows.
+holding a third of the rows would be sorted by a single task. Here a count per key comes
+first. Keys with few rows take the plain way. The rows of a hot key are cut into calendar
+chunks that are ordered on their own, and one summary row per chunk carries values over the
+chunk borders. Both ways run in the same window over (key, chunk): an ordinary key simply
+has a single chunk.
+
+Bounds: at most all rows / `HOT_ROWS` keys are hot, so their list is broadcast. Within a
+key times are unique, so a one-minute chunk has at most as many rows as a minute has
+microseconds, and a key has one summary row per minute in which it was seen.
 """
 
 from __future__ import annotations
@@ -14,9 +19,13 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import sortable
 
+HOT_ROWS = 5_000_000
+HOT_UNIT = "minute"
+
 # Sorts before every real chunk, so rows without a time come first as in a plain sort.
 _NO_TIME = "0001-01-01 00:00:00"
 _CHUNK = "__chunk"
+_HOT = "__hot"
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -38,9 +47,15 @@ def drop_repeats(
     return keep_first(df, keys, order or [F.lit(0)])
 
 
-def _with_chunk(df: DataFrame, time: str, unit: str) -> DataFrame:
+def _chunked(
+    df: DataFrame, keys: list[str], time: str, sizes: DataFrame, hot_rows: int, unit: str
+) -> DataFrame:
+    """Mark rows of hot keys and give every row its chunk."""
+    counts = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
     start = F.lit(_NO_TIME).cast("timestamp")
-    return df.withColumn(_CHUNK, F.coalesce(F.date_trunc(unit, F.col(time)), start))
+    piece = F.when(F.col(_HOT), F.date_trunc(unit, F.col(time)))
+    return df.join(F.broadcast(hot), keys, "left").withColumn(_CHUNK, F.coalesce(piece, start))
 
 
 def previous_values(
@@ -48,21 +63,24 @@ def previous_values(
     keys: list[str],
     time: str,
     values: dict[str, str],
-    unit: str = "month",
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    unit: str = HOT_UNIT,
 ) -> DataFrame:
     """Add, for each `new: source` in `values`, the source of the key's preceding row.
 
-    `time` must be unique within a key, and keys must not be null.
+    `time` must be unique within a key, and keys must not be null. `sizes` is any table
+    with at least as many rows per key, for counting without running `df` twice.
     """
     at = F.coalesce(F.col(time), F.lit(_NO_TIME).cast(df.schema[time].dataType))
-    rows = _with_chunk(df, time, unit)
+    rows = _chunked(df, keys, time, df if sizes is None else sizes, hot_rows, unit)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(time).asc_nulls_first())
     local = rows.withColumns({
         **{new: F.lag(source).over(inside) for new, source in values.items()},
-        "__head": F.row_number().over(inside) == 1,
+        "__head": F.col(_HOT) & (F.row_number().over(inside) == 1),
     })
 
-    tails = rows.groupBy(*keys, _CHUNK).agg(
+    tails = rows.filter(_HOT).groupBy(*keys, _CHUNK).agg(
         *[F.max_by(F.col(source), at).alias(f"__tail_{new}") for new, source in values.items()]
     )
     across = Window.partitionBy(*keys).orderBy(_CHUNK)
@@ -86,19 +104,20 @@ def running_count(
     time: str,
     order: list[str],
     out: str,
-    unit: str = "day",
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    unit: str = HOT_UNIT,
 ) -> DataFrame:
     """Number each key's rows from 1 by `time`, then `order`; the order must be total."""
-    rows = _with_chunk(df, time, unit)
+    rows = _chunked(df, keys, time, df if sizes is None else sizes, hot_rows, unit)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(time, *order)
     local = rows.withColumn("__position", F.row_number().over(inside))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    sizes = rows.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
-    offsets = sizes.select(
-        *keys, _CHUNK, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
-    )
+    in_chunk = rows.filter(_HOT).groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
+    offsets = in_chunk.select(*keys, _CHUNK, F.sum("__rows").over(before).alias("__before"))
+    position = F.coalesce("__before", F.lit(0)) + F.col("__position")
     return local.join(offsets, [*keys, _CHUNK], "left").select(
-        *df.columns, (F.col("__before") + F.col("__position")).alias(out)
+        *df.columns, position.alias(out)
     )

@@ -31,29 +31,36 @@ def _field(item: Column, name: str, kind: str, default=None) -> Column:
     if default is None:
         return value
     absent = F.try_variant_get(item, f"$.{name}", "variant").isNull()
-    return F.when(absent, F.lit(default)).otherwise(value)
+    return F.coalesce(value, F.when(absent, F.lit(default)))
 
 
-def _elements(responses: DataFrame, marker: str, path: str, keep: list[str]) -> DataFrame:
-    body = F.try_parse_json("body")
-    listed = F.try_variant_get(body, path, "array<variant>")
-    return (
-        responses
-        .filter(F.contains(F.col("url"), F.lit(marker)) & (F.col("status") == 200))
-        .select(*keep, F.explode(listed).alias("item"))
-    )
+def _responses(responses: DataFrame, marker: str) -> DataFrame:
+    """Successful responses of one address."""
+    wanted = F.contains(F.col("url"), F.lit(marker)) & (F.col("status") == 200)
+    return responses.filter(wanted)
+
+
+def _listed(path: str) -> Column:
+    return F.try_variant_get(F.try_parse_json("body"), path, "array<variant>")
+
+
+def _context(responses: DataFrame) -> list[str]:
+    """Columns that travel with every element of a response."""
+    return [c for c in responses.columns if c not in ("url", "status", "body")]
 
 
 def search_items(responses: DataFrame) -> DataFrame:
     """One row per item of every successful search response."""
-    keep = [c for c in responses.columns if c not in ("url", "status", "body")]
-    return _elements(responses, SEARCH_MARKER, "$.items", keep)
+    found = _responses(responses, SEARCH_MARKER)
+    return found.select(*_context(responses), F.explode(_listed("$.items")).alias("item"))
 
 
 def rating_items(responses: DataFrame) -> DataFrame:
     """One row per rating of every successful ratings response."""
-    keep = [c for c in responses.columns if c not in ("url", "status", "body")]
-    return _elements(responses, RATINGS_MARKER, "$.data.ratings", keep)
+    found = _responses(responses, RATINGS_MARKER)
+    return found.select(
+        *_context(responses), F.explode(_listed("$.data.ratings")).alias("item")
+    )
 
 
 def media_url(image: Column) -> Column:
@@ -68,17 +75,13 @@ def product_url(name: Column, shop_id: Column, product_id: Column) -> Column:
     )
 
 
-def flatten_products(items: DataFrame) -> DataFrame:
-    """Rename and type the fields of each item, nested under `item_basic` or not."""
-    nested = F.try_variant_get("item", "$.item_basic", "variant")
-    basics = items.withColumn("basic", F.coalesce(nested, F.col("item")))
-    b = F.col("basic")
-    return basics.select(
+def _product_fields(b: Column) -> Column:
+    return F.struct(
         _field(b, "itemid", "bigint", 0).alias("product_id"),
         _field(b, "shopid", "bigint", 0).alias("shop_id"),
         _field(b, "name", "string", "").alias("name"),
-        rescale(_field(b, "price", "double", 0.0)).alias("price"),
-        rescale(_field(b, "price_before_discount", "double")).alias("original_price"),
+        _field(b, "price", "double", 0.0).alias("price"),
+        _field(b, "price_before_discount", "double").alias("original_price"),
         _field(b, "catid", "bigint").alias("category_id"),
         _field(b, "shop_location", "string").alias("shop_location"),
         _field(b, "item_rating.rating_star", "double").alias("rating"),
@@ -86,9 +89,28 @@ def flatten_products(items: DataFrame) -> DataFrame:
         _field(b, "historical_sold", "bigint", 0).alias("sold_count"),
         _field(b, "liked_count", "bigint", 0).alias("liked_count"),
         _field(b, "stock", "bigint", 0).alias("stock"),
-        media_url(_field(b, "image", "string")).alias("image_url"),
-        *[F.col(c) for c in items.columns if c != "item"],
+        _field(b, "image", "string").alias("image"),
+    )
+
+
+def flatten_products(responses: DataFrame) -> DataFrame:
+    """Rename and type the fields of each item, nested under `item_basic` or not.
+
+    Fields are read inside the generator, so each is read once however often later
+    expressions and filters use it.
+    """
+    def basic(item):
+        return F.coalesce(F.try_variant_get(item, "$.item_basic", "variant"), item)
+
+    basics = F.transform(_listed("$.items"), basic)
+    flat = _responses(responses, SEARCH_MARKER).select(
+        *_context(responses), F.inline(F.transform(basics, _product_fields))
     )
+    return flat.withColumns({
+        "price": rescale(F.col("price")),
+        "original_price": rescale(F.col("original_price")),
+        "image_url": media_url(F.col("image")),
+    }).drop("image")
 
 
 def with_metadata(df: DataFrame, run_ts: Column, currency: bool) -> DataFrame:
@@ -129,7 +151,7 @@ def check_products(df: DataFrame) -> DataFrame:
 
 def parse_products(responses: DataFrame, run_ts: Column) -> DataFrame:
     """All items of the search responses as product rows with a `violations` array."""
-    flat = with_metadata(flatten_products(search_items(responses)), run_ts, currency=True)
+    flat = with_metadata(flatten_products(responses), run_ts, currency=True)
     return check_products(flat.withColumns({
         "url": product_url(F.col("name"), F.col("shop_id"), F.col("product_id")),
         "discount_pct": discount_percent(F.col("price"), F.col("original_price")),
@@ -157,12 +179,9 @@ def unix_time(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
-def flatten_reviews(items: DataFrame) -> DataFrame:
-    i = F.col("item")
-    return items.select(
+def _review_fields(i: Column) -> Column:
+    return F.struct(
         _field(i, "cmtid", "bigint", 0).alias("review_id"),
-        "product_id",
-        "shop_id",
         _field(i, "rating_star", "int", 5).alias("rating"),
         _field(i, "comment", "string", "").alias("review_text"),
         _field(i, "author_username", "string", "").alias("author_username"),
@@ -171,9 +190,16 @@ def flatten_reviews(items: DataFrame) -> DataFrame:
         video_urls(F.try_variant_get(i, "$.videos", "array<variant>")).alias("videos"),
         _field(i, "like_count", "bigint", 0).alias("like_count"),
         unix_time(_field(i, "ctime", "double")).alias("created_at"),
+    )
+
+
+def flatten_reviews(responses: DataFrame) -> DataFrame:
+    """Rename and type the fields of each rating."""
+    fields = F.transform(_listed("$.data.ratings"), _review_fields)
+    return _responses(responses, RATINGS_MARKER).select(
+        *_context(responses), F.inline(fields),
         F.lit(None).cast("double").alias("sentiment_score"),
         F.lit(None).cast("string").alias("sentiment_label"),
-        *[F.col(c) for c in items.columns if c not in ("item", "product_id", "shop_id")],
     )
 
 
@@ -191,7 +217,7 @@ def check_reviews(df: DataFrame) -> DataFrame:
 
 def parse_reviews(responses: DataFrame, run_ts: Column) -> DataFrame:
     """All ratings of the ratings responses as review rows with a `violations` array."""
-    flat = flatten_reviews(rating_items(responses))
+    flat = flatten_reviews(responses)
     return check_reviews(with_metadata(flat, run_ts, currency=False))
 
 

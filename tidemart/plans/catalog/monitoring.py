@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemart.operators import monitoring
 from tidemart.plans.check_sql import rnd, with_views
+from tidemart.plans.derived import HOT_HANDLER_ROWS
 from tidemart.plans.registry import query
 
 
@@ -45,7 +46,9 @@ def _(t):
       {rnd("sum(increase) / 60", 6)} as per_second
     from increases group by all"""))
 def _(t):
-    rates = _flat(monitoring.counter_rate(t.http_counters(), ["handler"]))
+    rates = _flat(monitoring.counter_rate(
+        t.http_counters(), ["handler"], sizes=t.http_requests(), hot_rows=HOT_HANDLER_ROWS
+    ))
     return rates.withColumn("increase", rates.increase.cast("double"))
 
 
@@ -71,5 +74,7 @@ def _(t):
 @query("m5_counter_increase", with_views("""
     select handler, ts, value, cast(increase as double) as increase from increases"""))
 def _(t):
-    found = monitoring.counter_increase(t.http_counters(), ["handler"])
+    found = monitoring.counter_increase(
+        t.http_counters(), ["handler"], sizes=t.http_requests(), hot_rows=HOT_HANDLER_ROWS
+    )
     return found.withColumn("increase", found.increase.cast("double"))

@@ -31,7 +31,7 @@ def _(t):
       cast(0 as bigint) as liked_count, cast(0 as bigint) as stock
     from parsed_products"""))
 def _(t):
-    return parsing.flatten_products(parsing.search_items(t.search_responses())).select(
+    return parsing.flatten_products(t.search_responses()).select(
         "product_id", "shop_id", "name", "category_id", "shop_location", "rating",
         "review_count", "sold_count", "liked_count", "stock",
     )
@@ -42,7 +42,7 @@ def _(t):
       {rnd("shown_original", 4)} as original_price
     from parsed_products"""))
 def _(t):
-    flat = parsing.flatten_products(parsing.search_items(t.search_responses()))
+    flat = parsing.flatten_products(t.search_responses())
     return flat.select(
         "product_id", F.round("price", 4).alias("price"),
         F.round("original_price", 4).alias("original_price"),
@@ -113,7 +113,7 @@ def _(t):
       review_id % 7 as like_count
     from rating_items"""))
 def _(t):
-    return parsing.flatten_reviews(parsing.rating_items(t.rating_responses())).select(
+    return parsing.flatten_reviews(t.rating_responses()).select(
         "review_id", "product_id", "shop_id", "rating", "review_text", "author_username",
         "author_portrait", "like_count",
     )

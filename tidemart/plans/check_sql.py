@@ -16,7 +16,7 @@ def words(values: list[str]) -> str:
 def rnd(expr: str, digits: int) -> str:
     """Half-away rounding of the number as it prints, as double, never negative zero."""
     printed = f"cast(cast({expr} as double) as varchar)"
-    return f"cast(round(cast({printed} as decimal(38, 12)), {digits}) as double)"
+    return f"cast(round(cast({printed} as decimal(38, 18)), {digits}) as double)"
 
 
 _STARS = ",\n".join(

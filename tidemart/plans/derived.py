@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for row-wise work on a table of very few splits, such as one small
+    file. A table with a split per core is left alone, so nothing large is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def snapshot_ties() -> list[Column]:
     """Total order among the repeats of a snapshot."""
     names = ("l_orderkey", "l_linenumber", "shop_id", "price", "l_quantity")
@@ -30,7 +37,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price snapshots with bad prices, blank names and impossible ratings."""
     t = lambda name: table(spark, sf_dir, name)
     joined = (
-        t("lineitem")
+        spread(t("lineitem"), "l_orderkey")
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -82,7 +89,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews with free text."""
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(documents, "doc_id").select(
         F.col("doc_id").alias("review_id"),
         (F.col("doc_id") % part_count(spark, sf_dir)).alias("product_id"),
         F.col("text").alias("review_text"),
@@ -98,14 +106,18 @@ def http_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def http_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A running request counter per handler that restarts every 500 requests.
+# Every handler has a large share of the events, so even small test data takes the way of
+# hot keys.
+HOT_HANDLER_ROWS = 100
 
-    Time is whole microseconds plus a unique event id; samples at one instant keep only
-    the last, as a scrape would.
-    """
+
+def http_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running request counter per handler that restarts every 500 requests; of several
+    requests at one instant, the last is sampled."""
     requests = http_requests(spark, sf_dir).select("event_id", "ts", "handler")
-    counted = running_count(requests, ["handler"], "ts", ["event_id"], "n", unit="hour")
+    counted = running_count(
+        requests, ["handler"], "ts", ["event_id"], "n", hot_rows=HOT_HANDLER_ROWS
+    )
     sampled = counted.groupBy("handler", "ts").agg(F.max("n").alias("n"))
     return sampled.select("handler", "ts", ((F.col("n") - 1) % 500 + 1).alias("value"))
 

@@ -86,7 +86,8 @@ def _lines(top: DataFrame, row: Column, header: list[str], order: list[Column])
 
 def write_export(lines: DataFrame, path: str) -> None:
     """Write export lines in order as one text file."""
-    lines.orderBy("line").select("value").coalesce(1).write.mode("overwrite").text(path)
+    ordered = lines.repartition(1).sortWithinPartitions("line")
+    ordered.select("value").write.mode("overwrite").text(path)
 
 
 def read_keywords(spark: SparkSession, path: str) -> DataFrame:
