@@ -24,7 +24,7 @@ def table(spark):
 
 
 def report(df, label="T"):
-    return rows(profiling.profile(profiling.measures(df, label)))[0]
+    return rows(profiling.profile_table(df, label))[0]
 
 
 def test_profile(table):
@@ -51,7 +51,7 @@ def test_clean_and_empty_tables_are_ok(spark, table):
 
 def test_missing_layer_and_roll_up(spark, table):
     long = profiling.union_measures([
-        profiling.measures(table, "T"), profiling.missing_measures(spark, "Gone"),
+        profiling.measures(table, "T"), profiling.absent_measures(spark, "Gone"),
         profiling.measures(spark.createDataFrame([(1,)], "topic int"), "Fine"),
     ])
     profiles = profiling.profile(long)

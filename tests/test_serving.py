@@ -104,7 +104,7 @@ def test_top_k_never_sorts_everything(metrics):
 ])
 def test_nulls_sort_last_both_ways(spark, direction, expected):
     df = spark.createDataFrame([(3, None), (1, 1), (2, 2)], "product_id long, v int")
-    got = serving.list_products(df, sort_by="v", sort_order_by=direction)
+    got = serving.list_products(df, sort_by="v", sort_order=direction)
     assert column(got, "product_id") == expected
 
 

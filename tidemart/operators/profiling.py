@@ -85,9 +85,9 @@ def union_measures(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def missing_measures(spark: SparkSession, label: str) -> DataFrame:
-    """Stands in for a table that does not exist."""
-    return spark.createDataFrame([(label, "missing", None, 1)], _MEASURE)
+def absent_measures(spark: SparkSession, label: str, why: str = "missing") -> DataFrame:
+    """Stands in for a table that does not exist, or cannot be read (`why="error"`)."""
+    return spark.createDataFrame([(label, why, None, 1)], _MEASURE)
 
 
 def null_rates(df: DataFrame, label: str) -> DataFrame:
@@ -110,7 +110,8 @@ def _profile(long: DataFrame) -> DataFrame:
         nulls.alias("nulls"),
         F.coalesce(_value("repeats"), F.lit(0)).alias("duplicate_count"),
         F.coalesce(_value("bad_price"), F.lit(0)).alias("bad_price_count"),
-        _value("missing").isNotNull().alias("is_missing"),
+        F.max(F.when(F.col("measure").isin("missing", "error"), F.col("measure")))
+        .alias("absence"),
     )
     rows = F.col("row_count")
     rated = F.transform(
@@ -140,7 +141,7 @@ def profile(long: DataFrame) -> DataFrame:
         return F.when(condition, F.concat_ws(":", *parts))
 
     single = F.array_compact(F.array(
-        issue(F.col("is_missing"), F.lit("missing")),
+        F.col("absence"),
         issue(F.col("duplicate_count") > 0, F.lit("duplicates"),
               F.col("duplicate_count").cast("string"), F.col("duplicate_rate").cast("string")),
         issue(F.col("bad_price_count") > 0, F.lit("non_positive_price"),
@@ -149,13 +150,18 @@ def profile(long: DataFrame) -> DataFrame:
     issues = F.concat(null_issues, single)
     return base.withColumn("issues", issues).select(
         "layer",
-        F.when(F.col("is_missing"), "missing").when(F.size("issues") == 0, "ok")
-        .otherwise("warning").alias("status"),
+        F.coalesce(F.col("absence"), F.when(F.size("issues") == 0, "ok"), F.lit("warning"))
+        .alias("status"),
         "row_count", "column_count", "null_rates", "duplicate_count", "duplicate_rate",
         "bad_price_count", "issues",
     )
 
 
+def profile_table(df: DataFrame, label: str) -> DataFrame:
+    """The report row of one table."""
+    return profile(measures(df, label))
+
+
 def roll_up(profiles: DataFrame) -> DataFrame:
     """Total issues and overall status over all layers."""
     total = F.coalesce(F.sum(F.size("issues")), F.lit(0))

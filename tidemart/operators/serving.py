@@ -53,7 +53,7 @@ def search_names(df: DataFrame, pattern: str, literal: bool = False) -> DataFram
     return df.filter(F.col("name").rlike(f"(?iu){pattern}"))
 
 
-def sort_order(df: DataFrame, sort_by: str, direction: str) -> list[Column]:
+def ordering(df: DataFrame, sort_by: str, direction: str) -> list[Column]:
     """Nulls last in both directions, ties by the remaining columns; an unknown column
     leaves only the tie-break."""
     tie = [F.col(c) for c in ("product_id", "scraped_at") if c in df.columns and c != sort_by]
@@ -83,7 +83,7 @@ def list_products(
     page_size: int = DEFAULT_PAGE_SIZE,
     search: str | None = None,
     sort_by: str = "avg_rating",
-    sort_order_by: str = "desc",
+    sort_order: str = "desc",
     keyword: str | None = None,
     min_price: float | None = None,
     max_price: float | None = None,
@@ -95,7 +95,7 @@ def list_products(
     _check(page >= 1, "page starts at 1")
     _check(1 <= page_size <= MAX_PAGE_SIZE, f"page_size must be in 1..{MAX_PAGE_SIZE}")
     found = matching_products(metrics, search, keyword, min_price, max_price)
-    order = sort_order(found, sort_by, sort_order_by)
+    order = ordering(found, sort_by, sort_order)
     ordered = found.orderBy(*order) if order else found
     return ordered.offset((page - 1) * page_size).limit(page_size)
 
@@ -195,7 +195,7 @@ def get_top_products(
     if "total_reviews" in found.columns:
         found = found.filter(F.col("total_reviews") > 0)
     by = metric if metric in found.columns else "avg_rating"
-    return found.orderBy(*sort_order(found, by, "desc")).limit(limit)
+    return found.orderBy(*ordering(found, by, "desc")).limit(limit)
 
 
 def get_reviews_by_product(reviews: DataFrame, product_id) -> DataFrame:

@@ -20,7 +20,7 @@ def _bronze(t):
     select 'Bronze.Products' as layer, count(*) as row_count,
       cast(11 as bigint) as column_count from raw_products"""))
 def _(t):
-    return profiling.profile(profiling.measures(_bronze(t), "Bronze.Products")).select(
+    return profiling.profile_table(_bronze(t), "Bronze.Products").select(
         "layer", "row_count", "column_count"
     )
 
@@ -48,7 +48,7 @@ def _sparse(t):
     select 'null_rate:price:' || {rnd("(count(*) - count(p)) / count(*) * 100", 2)} as issue
     from (select case when sold_count <= 30 then price end as p from raw_products)"""))
 def _(t):
-    found = profiling.profile(profiling.measures(_sparse(t), "Bronze.Products"))
+    found = profiling.profile_table(_sparse(t), "Bronze.Products")
     issues = found.select(F.explode("issues").alias("issue"))
     return issues.filter(F.startswith(F.col("issue"), F.lit("null_rate")))
 
@@ -73,7 +73,7 @@ _DUPLICATES = f"""
 
 @query("q5_duplicate_rate", with_views(_DUPLICATES))
 def _(t):
-    return profiling.profile(profiling.measures(_bronze(t), "Bronze.Products")).select(
+    return profiling.profile_table(_bronze(t), "Bronze.Products").select(
         "layer", "duplicate_count", "duplicate_rate"
     )
 
@@ -82,7 +82,7 @@ def _(t):
     select 'Bronze.Products' as layer, count(*) filter (where price <= 0) as bad_price_count
     from raw_products"""))
 def _(t):
-    return profiling.profile(profiling.measures(_bronze(t), "Bronze.Products")).select(
+    return profiling.profile_table(_bronze(t), "Bronze.Products").select(
         "layer", "bad_price_count"
     )
 
@@ -102,7 +102,7 @@ def _(t):
     metrics = t.metrics().drop("rating", "scraped_at")
     long = profiling.measures(_bronze(t), "Bronze.Products").unionByName(
         profiling.measures(metrics, "Gold.Metrics")
-    ).unionByName(profiling.missing_measures(t.spark, "Gold.Absent"))
+    ).unionByName(profiling.absent_measures(t.spark, "Gold.Absent"))
     return profiling.profile(long).select("layer", "status")
 
 

@@ -34,8 +34,8 @@ def _(t):
     from product_metrics order by position limit 50"""))
 def _(t):
     page = serving.list_products(t.metrics(), page_size=50, sort_by="rating",
-                                 sort_order_by="asc")
-    return _numbered(page, serving.sort_order(page, "rating", "asc"), 0)
+                                 sort_order="asc")
+    return _numbered(page, serving.ordering(page, "rating", "asc"), 0)
 
 
 def _numbered(page, order, offset):

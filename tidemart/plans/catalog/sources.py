@@ -26,7 +26,7 @@ def landed_products(t):
 
 @query("s1_jsonl_scan", with_views(f"select {PRODUCT_SQL}, scraped_at from raw_products"))
 def _(t):
-    landed = jsonl.good_records(jsonl.read_jsonl(t.spark, landed_products(t), RAW_PRODUCT))
+    landed = jsonl.read_jsonl(t.spark, landed_products(t), RAW_PRODUCT)
     typed = landed.withColumn("scraped_at", as_timestamp(landed, "scraped_at"))
     return typed.select(*PRODUCT, "scraped_at")
 
@@ -108,7 +108,7 @@ def _(t):
         t.raw_reviews(), t.path("s7"), "reviews", RUN_TS, keyword="phone"
     ))
     day = f"{path}/{RUN_TS:%Y-%m-%d}"
-    return jsonl.good_records(jsonl.read_jsonl(t.spark, day, RAW_REVIEW)).select(
+    return jsonl.read_jsonl(t.spark, day, RAW_REVIEW).select(
         "review_id", "product_id", "rating", "review_text", "keyword"
     )
 
@@ -128,7 +128,7 @@ def _(t):
     select keyword, count(*) as rows, cast(sum(sold_count) as bigint) as sold,
       count(price) as priced from raw_products group by keyword"""))
 def _(t):
-    landed = jsonl.good_records(jsonl.read_jsonl(t.spark, landed_products(t)))
+    landed = jsonl.read_jsonl(t.spark, landed_products(t))
     return landed.groupBy("keyword").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sold_count").alias("sold"),
         F.count("price").alias("priced"),
@@ -143,7 +143,7 @@ def _(t):
 def _(t):
     report = quality.review_gate(t.clean_reviews()).report
     path = t.once("s10", lambda p: reports.write_report(report, p, "reviews", "run"))
-    return t.spark.read.schema(report.schema).json(f"{path}/reviews_dq_report_run").select(
+    return reports.read_report(t.spark, report.schema, path, "reviews", "run").select(
         "entity", "input_rows", "valid_rows", "rejected_rows"
     )
 

@@ -43,10 +43,11 @@ def land_to_bronze(
     landing: str,
     schemas: dict[str, T.StructType] | None = None,
 ) -> None:
-    """Overwrite bronze with everything landed so far."""
+    """Overwrite bronze with everything landed so far, corrupt lines included: they have
+    no ids, so the silver gates reject them."""
     wanted = schemas or {"products": RAW_PRODUCT, "reviews": RAW_REVIEW}
     landed = {
-        name: jsonl.good_records(jsonl.read_jsonl(lake.spark, f"{landing}/{name}", schema))
+        name: jsonl.read_jsonl(lake.spark, f"{landing}/{name}", schema)
         for name, schema in wanted.items()
     }
     tables.write_bronze(landed, lake.path("bronze"), lake.fmt)
@@ -61,7 +62,7 @@ def _silver(
     staged = lake.read(f"staging/{entity}")
     counts = Observation(f"{entity}_quality")
     observed = staged.observe(counts, *quality.report_columns(staged, rules))
-    lake.write(quality.valid_rows(observed, rules), f"silver/{entity}")
+    lake.write(quality.valid_rows(observed, rules).drop(jsonl.CORRUPT), f"silver/{entity}")
     reports.write_rejected(
         quality.rejected_rows(staged, entity, rules),
         lake.path("quality/rejected"), run_ts.strftime("%Y-%m-%d"),
@@ -122,15 +123,18 @@ PROFILED = {
 
 
 def layer_measures(lake: Lake, layers: dict[str, str] | None = None) -> DataFrame:
-    """Measures of all layers; a layer not written yet is reported as missing."""
+    """Measures of all layers; one not written yet or unreadable is reported as such."""
     parts = []
     for label, name in (layers or PROFILED).items():
-        df = tables.read_parquet_dir(lake.spark, lake.path(name)) \
-            if lake.fmt == "parquet" else lake.read(name)
-        known = bool(df.columns)
+        try:
+            df = tables.read_parquet_dir(lake.spark, lake.path(name)) \
+                if lake.fmt == "parquet" else lake.read(name)
+        except Exception:
+            parts.append(profiling.absent_measures(lake.spark, label, "error"))
+            continue
         parts.append(
-            profiling.measures(df, label) if known
-            else profiling.missing_measures(lake.spark, label)
+            profiling.measures(df, label) if df.columns
+            else profiling.absent_measures(lake.spark, label)
         )
     return profiling.union_measures(parts)
 
@@ -142,7 +146,7 @@ def quality_check(lake: Lake, run_ts: datetime) -> DataFrame:
     long = layer_measures(lake)
     profiles = profiling.profile(long)
     reports.write_report(profiles, reports_dir, "profile", run_id)
-    written = lake.spark.read.schema(profiles.schema).json(f"{reports_dir}/profile_dq_report_{run_id}")
+    written = reports.read_report(lake.spark, profiles.schema, reports_dir, "profile", run_id)
     counts = written.select(F.col("layer").alias("name"), F.col("row_count").alias("rows"))
     reports.write_report(profiling.funnel(counts), reports_dir, "funnel", run_id)
     reports.write_report(profiling.roll_up(written), reports_dir, "summary", run_id)

@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions.text import is_blank
-
 # Landed files end in .jsonl; part files written by this module end in .json.
 LANDED_FILES = "*.{jsonl,json}"
 CORRUPT = "_corrupt_record"
@@ -41,8 +39,8 @@ def read_jsonl(
 ) -> DataFrame:
     """All records below `path`. Executors list, read and parse the files.
 
-    Lines that are no JSON come back with only the corrupt-record column set; unreadable
-    files are skipped, a missing folder is an empty table. Without a schema Spark infers
+    Lines that are no JSON come back with only the corrupt-record column set and blank lines
+    not at all; unreadable files are skipped, a missing folder is an empty table. Without a schema Spark infers
     one from the files, which costs an extra pass.
     """
     reader = (
@@ -60,17 +58,22 @@ def read_jsonl(
     return load_or_empty(spark, lambda: reader.json(path), schema)
 
 
-def good_records(landed: DataFrame) -> DataFrame:
-    if CORRUPT not in landed.columns:
-        return landed
-    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def good_records(bronze: DataFrame) -> DataFrame:
+    """Rows of a written bronze table that were read whole.
+
+    Not for the raw scan: there Spark parses only the columns a query needs, so which
+    lines count as corrupt would depend on the query.
+    """
+    if CORRUPT not in bronze.columns:
+        return bronze
+    return bronze.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def corrupt_records(landed: DataFrame) -> DataFrame:
-    """Lines that could not be parsed; blank lines do not count."""
-    if CORRUPT not in landed.columns:
-        return landed.limit(0)
-    return landed.filter(~is_blank(F.col(CORRUPT)))
+def corrupt_records(bronze: DataFrame) -> DataFrame:
+    """Rows of a written bronze table that could not be read whole."""
+    if CORRUPT not in bronze.columns:
+        return bronze.limit(0)
+    return bronze.filter(F.col(CORRUPT).isNotNull())
 
 
 def landing_path(base: str, data_type: str, run_ts: datetime) -> str:

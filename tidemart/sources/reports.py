@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.text import strip_all
 
@@ -31,13 +32,23 @@ def write_rejected(rejected: DataFrame, base: str, run_date: str) -> None:
     )
 
 
+def _report_path(base: str, entity: str, run_id: str) -> str:
+    return f"{base}/{entity}_dq_report_{run_id}"
+
+
 def write_report(report: DataFrame, base: str, entity: str, run_id: str) -> str:
     """Write a small report table as JSON under its entity and run."""
-    path = f"{base}/{entity}_dq_report_{run_id}"
+    path = _report_path(base, entity, run_id)
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 
 
+def read_report(
+    spark: SparkSession, schema: T.StructType, base: str, entity: str, run_id: str
+) -> DataFrame:
+    return spark.read.schema(schema).json(_report_path(base, entity, run_id))
+
+
 def _quoted(df: DataFrame, name: str) -> Column:
     value = F.col(name) if name in df.columns else F.lit("")
     doubled = F.replace(F.coalesce(value, F.lit("")), F.lit('"'), F.lit('""'))

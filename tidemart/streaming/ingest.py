@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.sources.jsonl import CORRUPT, LANDED_FILES, good_records
+from tidemart.sources.jsonl import CORRUPT, LANDED_FILES
 
 
 def landed_stream(
@@ -16,7 +16,8 @@ def landed_stream(
     schema: T.StructType,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Records of files not seen yet below the landing folder, unparsable lines left out.
+    """Records of files not seen yet below the landing folder. Lines that are no JSON keep
+    their text in the corrupt-record column, as in the batch scan.
 
     `max_files_per_trigger` bounds a micro-batch, and with it all state work per batch.
     """
@@ -29,7 +30,7 @@ def landed_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return good_records(reader.json(landing))
+    return reader.json(landing)
 
 
 def table_stream(
