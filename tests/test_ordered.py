@@ -26,12 +26,14 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [2, 100, 10_000])
-@pytest.mark.parametrize("unit", ["minute", "hour"])
-def test_previous_values_equals_plain_lag(skewed, hot_rows, unit):
+@pytest.mark.parametrize("minutes", [1, 60])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_previous_values_equals_plain_lag(skewed, hot_rows, minutes, kind):
+    skewed = skewed.withColumn("at", F.col("at").cast(kind))
     w = Window.partitionBy("k").orderBy("at")
     plain = skewed.withColumns({"pv": F.lag("v").over(w), "pat": F.lag("at").over(w)})
     ours = previous_values(
-        skewed, ["k"], "at", {"pv": "v", "pat": "at"}, hot_rows=hot_rows, unit=unit
+        skewed, ["k"], "at", {"pv": "v", "pat": "at"}, hot_rows=hot_rows, minutes=minutes
     )
     assert ours.columns == ["k", "at", "v", "pv", "pat"]
     assert rows(ours) == rows(plain)
@@ -47,13 +49,32 @@ def test_running_count_equals_row_number(skewed, hot_rows):
 
 def test_no_hot_key_in_one_window_group(skewed):
     """With a low threshold the hot key's rows spread over many chunks."""
-    from tidemart.operators.ordered import _chunked
+    from tidemart.operators.ordered import _as_is, _split
 
-    chunks = _chunked(skewed, ["k"], "at", skewed, 100, "minute")
-    largest = chunks.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0]
+    marked, only_hot = _split(skewed, ["k"], "at", _as_is, 100, 1)
+    assert {r.k for r in only_hot.select("k").collect()} == {"hot"}
+    largest = marked.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0]
     assert largest <= 40
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_clock_changes_do_not_reorder(spark, kind):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        # Across the missing and the repeated hour of the zone.
+        start = ["2024-03-31 00:30:00", "2024-10-26 23:30:00"]
+        df = spark.createDataFrame([(s,) for s in start], "s string").selectExpr(
+            "1 as k", "explode(transform(sequence(0, 20), i -> dateadd(minute, 11 * i, "
+            f"cast(s as {kind})))) as at")
+        df = df.withColumn("v", F.col("at").cast("string"))
+        plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("at")))
+        ours = previous_values(df, ["k"], "at", {"p": "v"}, hot_rows=1, minutes=30)
+        assert rows(ours.drop("at")) == rows(plain.drop("at"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_drop_repeats_is_deterministic_and_total(spark):
     data = [(1, "b", 2.0), (1, "a", 9.0), (1, "a", 1.0), (2, None, 5.0), (2, "z", 4.0)]
     expected = [{"k": 1, "s": "a", "x": 1.0}, {"k": 2, "s": None, "x": 5.0}]

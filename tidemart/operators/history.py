@@ -29,13 +29,13 @@ def snapshots(products: DataFrame, tie_break: list[Column] | None = None) -> Dat
 
 
 def with_previous(
-    snaps: DataFrame, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    products: DataFrame, tie_break: list[Column] | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Price and time of the product's preceding snapshot."""
+    """Snapshots with price and time of the product's preceding snapshot."""
     return previous_values(
-        snaps, ["product_id"], "scraped_at",
+        products, ["product_id"], "scraped_at",
         {"previous_price": "price", "previous_scraped_at": "scraped_at"},
-        sizes, hot_rows,
+        prepare=lambda rows: snapshots(rows, tie_break), hot_rows=hot_rows,
     )
 
 
@@ -71,7 +71,7 @@ def price_history(
 ) -> DataFrame:
     # Prune before the window so its shuffles carry only columns of the result.
     wanted = products if tie_break else products.select(*present(products, HISTORY_COLUMNS))
-    lagged = with_previous(snapshots(wanted, tie_break), wanted, hot_rows)
+    lagged = with_previous(wanted, tie_break, hot_rows)
     changed = with_changes(lagged, drop_pct, min_abs)
     stamp = F.current_timestamp() if run_ts is None else run_ts
     stamped = changed.withColumn("gold_processed_at", stamp)

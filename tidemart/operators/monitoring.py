@@ -52,14 +52,14 @@ def error_rate(
 
 def counter_increase(
     samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value",
-    sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Increase since the series' preceding sample; null on the first one.
 
     A drop means the counter restarted, so the new value is the whole increase. Sample
     times must be unique within a series.
     """
-    lagged = previous_values(samples, series, ts, {"previous": value}, sizes, hot_rows)
+    lagged = previous_values(samples, series, ts, {"previous": value}, hot_rows=hot_rows)
     now, before = F.col(value), F.col("previous")
     increase = F.when(now < before, now).otherwise(now - before)
     return lagged.withColumn("increase", increase).drop("previous")
@@ -67,9 +67,9 @@ def counter_increase(
 
 def counter_rate(
     samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value",
-    slide: str | None = None, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    slide: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per-second increase summed by handler and window."""
-    increases = counter_increase(samples, series, ts, value, sizes, hot_rows)
+    increases = counter_increase(samples, series, ts, value, hot_rows)
     summed = _by_window(increases, ts, slide, F.sum("increase").alias("increase"))
     return summed.withColumn("per_second", rounded(F.col("increase") / RANGE_SECONDS, 6))

@@ -14,19 +14,25 @@ microseconds, and a key has one summary row per minute in which it was seen.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.columns import sortable
 
 HOT_ROWS = 5_000_000
-HOT_UNIT = "minute"
+CHUNK_MINUTES = 1
 
-# Sorts before every real chunk, so rows without a time come first as in a plain sort.
+# Sort before every real chunk and time, as null times do in a plain sort.
+_NO_CHUNK = -(1 << 62)
 _NO_TIME = "0001-01-01 00:00:00"
 _CHUNK = "__chunk"
 _HOT = "__hot"
 
+Prepare = Callable[[DataFrame], DataFrame]
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first `n` rows per key.
@@ -47,41 +53,68 @@ def drop_repeats(
     return keep_first(df, keys, order or [F.lit(0)])
 
 
-def _chunked(
-    df: DataFrame, keys: list[str], time: str, sizes: DataFrame, hot_rows: int, unit: str
-) -> DataFrame:
-    """Mark rows of hot keys and give every row its chunk."""
-    counts = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
-    start = F.lit(_NO_TIME).cast("timestamp")
-    piece = F.when(F.col(_HOT), F.date_trunc(unit, F.col(time)))
-    return df.join(F.broadcast(hot), keys, "left").withColumn(_CHUNK, F.coalesce(piece, start))
+def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys with more than `hot_rows` rows: at most all rows / `hot_rows` of them."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+
+
+def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:
+    """Number of the time's chunk, never decreasing in time. Times without a zone count by
+    the clock, so that the session zone's clock changes cannot reorder them."""
+    at = F.col(time)
+    if isinstance(df.schema[time].dataType, T.TimestampNTZType):
+        days = F.datediff(at, F.lit("1970-01-01").cast("date")).cast("bigint")
+        clock = days * 1440 + F.hour(at) * 60 + F.minute(at)
+    else:
+        clock = F.floor(F.unix_seconds(at.cast("timestamp")) / 60)
+    return F.coalesce(F.floor(clock / minutes).cast("bigint"), F.lit(_NO_CHUNK))
+
+
+def _split(
+    source: DataFrame, keys: list[str], time: str, prepare: Prepare, hot_rows: int,
+    minutes: int,
+) -> tuple[DataFrame, DataFrame]:
+    """All prepared rows with their chunk and a mark on hot keys, and those of hot keys
+    alone. The latter are picked before `prepare`, so only they run through it again."""
+    hot = F.broadcast(_hot_keys(source, keys, hot_rows))
+    rows = prepare(source)
+    number = _chunk_number(rows, time, minutes)
+    marked = rows.join(hot, keys, "left").withColumn(
+        _CHUNK, F.when(F.col(_HOT), number).otherwise(F.lit(_NO_CHUNK))
+    )
+    only_hot = prepare(source.join(hot, keys, "left_semi")).withColumn(_CHUNK, number)
+    return marked, only_hot
+
+
+def _as_is(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 def previous_values(
-    df: DataFrame,
+    source: DataFrame,
     keys: list[str],
     time: str,
     values: dict[str, str],
-    sizes: DataFrame | None = None,
+    prepare: Prepare = _as_is,
     hot_rows: int = HOT_ROWS,
-    unit: str = HOT_UNIT,
+    minutes: int = CHUNK_MINUTES,
 ) -> DataFrame:
-    """Add, for each `new: source` in `values`, the source of the key's preceding row.
+    """Add, for each `new: column` in `values`, the column of the key's preceding row.
 
-    `time` must be unique within a key, and keys must not be null. `sizes` is any table
-    with at least as many rows per key, for counting without running `df` twice.
+    `prepare` turns the source into the rows to order; it must treat each key by itself,
+    leave at most one row per key and time, and add no rows. Keys must not be null.
     """
-    at = F.coalesce(F.col(time), F.lit(_NO_TIME).cast(df.schema[time].dataType))
-    rows = _chunked(df, keys, time, df if sizes is None else sizes, hot_rows, unit)
+    marked, only_hot = _split(source, keys, time, prepare, hot_rows, minutes)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(time).asc_nulls_first())
-    local = rows.withColumns({
-        **{new: F.lag(source).over(inside) for new, source in values.items()},
+    local = marked.withColumns({
+        **{new: F.lag(column).over(inside) for new, column in values.items()},
         "__head": F.col(_HOT) & (F.row_number().over(inside) == 1),
     })
 
-    tails = rows.filter(_HOT).groupBy(*keys, _CHUNK).agg(
-        *[F.max_by(F.col(source), at).alias(f"__tail_{new}") for new, source in values.items()]
+    at = F.coalesce(F.col(time), F.lit(_NO_TIME).cast(marked.schema[time].dataType))
+    tails = only_hot.groupBy(*keys, _CHUNK).agg(
+        *[F.max_by(F.col(column), at).alias(f"__tail_{new}") for new, column in values.items()]
     )
     across = Window.partitionBy(*keys).orderBy(_CHUNK)
     carried = tails.select(
@@ -89,8 +122,9 @@ def previous_values(
         *[F.lag(f"__tail_{new}").over(across).alias(f"__carry_{new}") for new in values],
     )
     joined = local.join(carried, [*keys, _CHUNK], "left")
+    own = [c for c in marked.columns if c not in (_CHUNK, _HOT)]
     return joined.select(
-        *df.columns,
+        *own,
         *[
             F.when(F.col("__head"), F.col(f"__carry_{new}")).otherwise(F.col(new)).alias(new)
             for new in values
@@ -99,25 +133,24 @@ def previous_values(
 
 
 def running_count(
-    df: DataFrame,
+    source: DataFrame,
     keys: list[str],
     time: str,
     order: list[str],
     out: str,
-    sizes: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    unit: str = HOT_UNIT,
+    minutes: int = CHUNK_MINUTES,
 ) -> DataFrame:
     """Number each key's rows from 1 by `time`, then `order`; the order must be total."""
-    rows = _chunked(df, keys, time, df if sizes is None else sizes, hot_rows, unit)
+    marked, only_hot = _split(source, keys, time, _as_is, hot_rows, minutes)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(time, *order)
-    local = rows.withColumn("__position", F.row_number().over(inside))
+    local = marked.withColumn("__position", F.row_number().over(inside))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    in_chunk = rows.filter(_HOT).groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
+    in_chunk = only_hot.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
     offsets = in_chunk.select(*keys, _CHUNK, F.sum("__rows").over(before).alias("__before"))
     position = F.coalesce("__before", F.lit(0)) + F.col("__position")
     return local.join(offsets, [*keys, _CHUNK], "left").select(
-        *df.columns, position.alias(out)
+        *source.columns, position.alias(out)
     )

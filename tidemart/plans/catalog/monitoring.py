@@ -47,7 +47,7 @@ def _(t):
     from increases group by all"""))
 def _(t):
     rates = _flat(monitoring.counter_rate(
-        t.http_counters(), ["handler"], sizes=t.http_requests(), hot_rows=HOT_HANDLER_ROWS
+        t.http_counters(), ["handler"], hot_rows=HOT_HANDLER_ROWS
     ))
     return rates.withColumn("increase", rates.increase.cast("double"))
 
@@ -75,6 +75,6 @@ def _(t):
     select handler, ts, value, cast(increase as double) as increase from increases"""))
 def _(t):
     found = monitoring.counter_increase(
-        t.http_counters(), ["handler"], sizes=t.http_requests(), hot_rows=HOT_HANDLER_ROWS
+        t.http_counters(), ["handler"], hot_rows=HOT_HANDLER_ROWS
     )
     return found.withColumn("increase", found.increase.cast("double"))

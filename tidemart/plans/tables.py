@@ -76,7 +76,9 @@ class Tables:
         return derived.http_requests(self.spark, self.sf_dir)
 
     def http_counters(self) -> DataFrame:
-        return derived.http_counters(self.spark, self.sf_dir)
+        return self.stored(
+            "http_counters", lambda: derived.http_counters(self.spark, self.sf_dir)
+        )
 
     # Cleaned, not gated
 
