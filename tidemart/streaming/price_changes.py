@@ -62,6 +62,15 @@ def process_batch(batch: DataFrame, epoch: int, out_dir: str, state_dir: str) ->
             F.col("known_at").isNull() | (F.col("scraped_at") > F.col("known_at"))
         )
     fresh.persist()
+    try:
+        _write_epoch(fresh, before, epoch, out_dir, state_dir)
+    finally:
+        fresh.unpersist()
+
+
+def _write_epoch(
+    fresh: DataFrame, before: DataFrame | None, epoch: int, out_dir: str, state_dir: str
+) -> None:
     lagged = previous_values(
         fresh, ["product_id"], "scraped_at",
         {"previous_price": "price", "previous_scraped_at": "scraped_at"},
@@ -79,7 +88,6 @@ def process_batch(batch: DataFrame, epoch: int, out_dir: str, state_dir: str) ->
     if before is not None and (epoch + 1) % FULL_EVERY == 0:
         state = _last_known(before.unionByName(state))
     state.write.mode("overwrite").parquet(_epoch_path(state_dir, epoch))
-    fresh.unpersist()
 
 
 def start(
