@@ -16,7 +16,8 @@ def test_price_buckets_overlap_at_their_bounds(spark):
 
 
 def test_star_filter_rounds_halves_up(spark):
-    df = spark.createDataFrame([(1, 2.5), (2, 3.4), (3, 3.5), (4, None)], "id int, avg_rating double")
+    df = spark.createDataFrame(
+        [(1, 2.5), (2, 3.4), (3, 3.5), (4, None)], "id int, avg_rating double")
     order = [F.col("id")]
     assert column(dashboard.with_star(df, 3, order), "id") == [1, 2]
     assert column(dashboard.with_star(df, None, order, k=2), "id") == [1, 2]

@@ -27,7 +27,8 @@ def lake(spark, tmp_path_factory):
          (1, "Mug", 70_000.9, 4.0, "2024-01-03T00:00:00", "mug"),
          (2, "Hat", 50.0, None, "2024-01-01T00:00:00", "hat"),
          (3, "  ", -5.0, 4.0, "2024-01-01T00:00:00", "hat")],
-        "product_id long, name string, price double, rating double, scraped_at string, keyword string")
+        "product_id long, name string, price double, rating double, scraped_at string,"
+        "keyword string")
     reviews = spark.createDataFrame(
         [(1, 1, 5, "great\nmug"), (2, 1, 1, "bad handle broke"), (3, 1, 1, "bad handle broke"),
          (3, 1, 1, "bad handle broke"), (4, 2, 9, "x"), (5, 2, 3, "")],
@@ -106,7 +107,8 @@ def test_registry():
     entry = importlib.import_module("__spark_entry__")
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 130
-    families = {"s": 12, "p": 18, "d": 14, "q": 13, "g": 15, "n": 11, "a": 15, "u": 13, "m": 5, "x": 4}
+    families = {"s": 12, "p": 18, "d": 14, "q": 13, "g": 15, "n": 11, "a": 15, "u": 13, "m": 5,
+                "x": 4}
     for letter, last in families.items():
         for i in range(1, last + 1):
             assert any(n.startswith(f"{letter}{i}_") for n in queries), f"{letter}{i}"

@@ -16,7 +16,8 @@ def at(seconds):
 def requests(spark):
     data = [(at(1), "/a", "200", 0.5), (at(59), "/a", "500", 1.5), (at(60), "/a", "200", 4.0),
             (at(2), "/b", "404", None), (at(3), "/b", "5000", 1.0), (at(4), "/b", "45", 1.0)]
-    return spark.createDataFrame(data, "ts timestamp, handler string, status string, duration double")
+    return spark.createDataFrame(
+        data, "ts timestamp, handler string, status string, duration double")
 
 
 def by_key(df, value):

@@ -25,13 +25,26 @@ NAME_MAX = 1000
 MAX_REVIEWS = 100
 
 
-def _field(item: Column, name: str, kind: str, default=None) -> Column:
-    """A typed field: the default if the key is absent, null if it is null or unreadable."""
-    value = F.try_variant_get(item, f"$.{name}", kind)
-    if default is None:
-        return value
-    absent = F.try_variant_get(item, f"$.{name}", "variant").isNull()
-    return F.coalesce(value, F.when(absent, F.lit(default)))
+# Types of the payload fields that are read.
+_ITEM = """struct<itemid: bigint, shopid: bigint, name: string, price: double,
+    price_before_discount: double, catid: bigint, shop_location: string,
+    item_rating: struct<rating_star: double>, cmt_count: bigint, historical_sold: bigint,
+    liked_count: bigint, stock: bigint, image: string>"""
+_RATING = """struct<cmtid: bigint, rating_star: int, comment: string,
+    author_username: string, author_portrait: string, images: array<variant>,
+    videos: array<variant>, like_count: bigint, ctime: double>"""
+
+
+def _read(raw: Column, kind: str) -> Column:
+    """The raw object next to its typed fields, read in one go; a field that does not fit
+    its type is null."""
+    return F.struct(raw.alias("raw"), F.try_variant_get(raw, "$", kind).alias("typed"))
+
+
+def _or_default(name: str, default) -> Column:
+    """A typed field; the default if the object has no such key, null if it is null."""
+    absent = F.try_variant_get("raw", f"$.{name}", "variant").isNull()
+    return F.coalesce(F.col(f"typed.{name}"), F.when(absent, F.lit(default)))
 
 
 def _responses(responses: DataFrame, marker: str) -> DataFrame:
@@ -75,42 +88,34 @@ def product_url(name: Column, shop_id: Column, product_id: Column) -> Column:
     )
 
 
-def _product_fields(b: Column) -> Column:
-    return F.struct(
-        _field(b, "itemid", "bigint", 0).alias("product_id"),
-        _field(b, "shopid", "bigint", 0).alias("shop_id"),
-        _field(b, "name", "string", "").alias("name"),
-        _field(b, "price", "double", 0.0).alias("price"),
-        _field(b, "price_before_discount", "double").alias("original_price"),
-        _field(b, "catid", "bigint").alias("category_id"),
-        _field(b, "shop_location", "string").alias("shop_location"),
-        _field(b, "item_rating.rating_star", "double").alias("rating"),
-        _field(b, "cmt_count", "bigint", 0).alias("review_count"),
-        _field(b, "historical_sold", "bigint", 0).alias("sold_count"),
-        _field(b, "liked_count", "bigint", 0).alias("liked_count"),
-        _field(b, "stock", "bigint", 0).alias("stock"),
-        _field(b, "image", "string").alias("image"),
-    )
-
-
 def flatten_products(responses: DataFrame) -> DataFrame:
     """Rename and type the fields of each item, nested under `item_basic` or not.
 
-    Fields are read inside the generator, so each is read once however often later
-    expressions and filters use it.
+    Objects are read inside the generator, so once however often filters use their fields.
     """
     def basic(item):
         return F.coalesce(F.try_variant_get(item, "$.item_basic", "variant"), item)
 
     basics = F.transform(_listed("$.items"), basic)
-    flat = _responses(responses, SEARCH_MARKER).select(
-        *_context(responses), F.inline(F.transform(basics, _product_fields))
+    read = _responses(responses, SEARCH_MARKER).select(
+        *_context(responses), F.inline(F.transform(basics, lambda b: _read(b, _ITEM)))
+    )
+    return read.select(
+        _or_default("itemid", 0).alias("product_id"),
+        _or_default("shopid", 0).alias("shop_id"),
+        _or_default("name", "").alias("name"),
+        rescale(_or_default("price", 0.0)).alias("price"),
+        rescale(F.col("typed.price_before_discount")).alias("original_price"),
+        F.col("typed.catid").alias("category_id"),
+        F.col("typed.shop_location").alias("shop_location"),
+        F.col("typed.item_rating.rating_star").alias("rating"),
+        _or_default("cmt_count", 0).alias("review_count"),
+        _or_default("historical_sold", 0).alias("sold_count"),
+        _or_default("liked_count", 0).alias("liked_count"),
+        _or_default("stock", 0).alias("stock"),
+        media_url(F.col("typed.image")).alias("image_url"),
+        *_context(responses),
     )
-    return flat.withColumns({
-        "price": rescale(F.col("price")),
-        "original_price": rescale(F.col("original_price")),
-        "image_url": media_url(F.col("image")),
-    }).drop("image")
 
 
 def with_metadata(df: DataFrame, run_ts: Column, currency: bool) -> DataFrame:
@@ -179,27 +184,25 @@ def unix_time(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
-def _review_fields(i: Column) -> Column:
-    return F.struct(
-        _field(i, "cmtid", "bigint", 0).alias("review_id"),
-        _field(i, "rating_star", "int", 5).alias("rating"),
-        _field(i, "comment", "string", "").alias("review_text"),
-        _field(i, "author_username", "string", "").alias("author_username"),
-        _field(i, "author_portrait", "string", "").alias("author_portrait"),
-        image_urls(F.try_variant_get(i, "$.images", "array<variant>")).alias("images"),
-        video_urls(F.try_variant_get(i, "$.videos", "array<variant>")).alias("videos"),
-        _field(i, "like_count", "bigint", 0).alias("like_count"),
-        unix_time(_field(i, "ctime", "double")).alias("created_at"),
-    )
-
-
 def flatten_reviews(responses: DataFrame) -> DataFrame:
     """Rename and type the fields of each rating."""
-    fields = F.transform(_listed("$.data.ratings"), _review_fields)
-    return _responses(responses, RATINGS_MARKER).select(
-        *_context(responses), F.inline(fields),
+    objects = F.transform(_listed("$.data.ratings"), lambda r: _read(r, _RATING))
+    read = _responses(responses, RATINGS_MARKER).select(
+        *_context(responses), F.inline(objects)
+    )
+    return read.select(
+        _or_default("cmtid", 0).alias("review_id"),
+        _or_default("rating_star", 5).alias("rating"),
+        _or_default("comment", "").alias("review_text"),
+        _or_default("author_username", "").alias("author_username"),
+        _or_default("author_portrait", "").alias("author_portrait"),
+        image_urls(F.col("typed.images")).alias("images"),
+        video_urls(F.col("typed.videos")).alias("videos"),
+        _or_default("like_count", 0).alias("like_count"),
+        unix_time(F.col("typed.ctime")).alias("created_at"),
         F.lit(None).cast("double").alias("sentiment_score"),
         F.lit(None).cast("string").alias("sentiment_label"),
+        *_context(responses),
     )
 
 

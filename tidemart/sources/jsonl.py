@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 LANDED_FILES = "*.{jsonl,json}"
 CORRUPT = "_corrupt_record"
 
-
 # Conditions Spark reports for an absent folder, and for one without matching files.
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -40,8 +39,8 @@ def read_jsonl(
     """All records below `path`. Executors list, read and parse the files.
 
     Lines that are no JSON come back with only the corrupt-record column set and blank lines
-    not at all; unreadable files are skipped, a missing folder is an empty table. Without a schema Spark infers
-    one from the files, which costs an extra pass.
+    not at all; unreadable files are skipped, a missing folder is an empty table. Without a
+    schema Spark infers one from the files, which costs an extra pass.
     """
     reader = (
         spark.read
@@ -111,22 +110,16 @@ def write_keyword_results(
 ) -> str | None:
     """Write the results of many keywords in one job, one folder per keyword.
 
-    The rebalance keeps files large and splits a keyword that holds most rows. The keyword moves from the records to the folder name and returns with
-    `read_keyword_results`.
+    Records keep their keyword, so the recursive scan needs no folder names. The rebalance
+    keeps files large and splits a keyword that holds most rows.
     """
     if df.isEmpty():
         return None
     path = landing_path(base, data_type, run_ts)
     (
-        df.hint("rebalance", "keyword")
-        .write.mode("append").partitionBy("keyword")
+        df.withColumn("for_keyword", F.col("keyword"))
+        .hint("rebalance", "for_keyword")
+        .write.mode("append").partitionBy("for_keyword")
         .option("ignoreNullFields", False).json(path)
     )
     return path
-
-
-def read_keyword_results(
-    spark: SparkSession, path: str, schema: T.StructType
-) -> DataFrame:
-    """Read one keyword-partitioned landing folder; filters on keyword prune folders."""
-    return spark.read.schema(schema).json(path)
