@@ -1,0 +1,26 @@
+"""Every registered query against its check SQL, all rows, at the smallest scale."""
+
+import pytest
+from conftest import SF
+
+import check
+from tidemart.plans.catalog import REGISTRY
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = check.connect(SF)
+    yield con
+    con.close()
+
+
+def test_every_query_has_check_sql():
+    assert [n for n, q in REGISTRY.items() if not q.sql] == []
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_query_equals_check_sql(spark, duck, name):
+    our_columns, ours, columns, theirs = check.both_sides(spark, duck, SF, name)
+    assert our_columns == columns
+    assert ours == theirs
+    assert ours or name == "d10_missing_required"

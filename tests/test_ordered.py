@@ -8,6 +8,7 @@ from conftest import plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemart.operators import ordered
 from tidemart.operators.ordered import drop_repeats, keep_first, previous_values, running_count
 
 
@@ -49,9 +50,7 @@ def test_running_count_equals_row_number(skewed, hot_rows):
 
 def test_no_hot_key_in_one_window_group(skewed):
     """With a low threshold the hot key's rows spread over many chunks."""
-    from tidemart.operators.ordered import _as_is, _split
-
-    marked, only_hot = _split(skewed, ["k"], "at", _as_is, 100, 1)
+    marked, only_hot = ordered._split(skewed, ["k"], "at", ordered._as_is, 100, 1)
     assert {r.k for r in only_hot.select("k").collect()} == {"hot"}
     largest = marked.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0]
     assert largest <= 40
@@ -75,6 +74,11 @@ def test_clock_changes_do_not_reorder(spark, kind):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_number_of_hot_keys_is_bounded(skewed, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 3)
+    assert [r.k for r in ordered._hot_keys(skewed, ["k"], 1).collect()] == ["hot"]
+
+
 def test_drop_repeats_is_deterministic_and_total(spark):
     data = [(1, "b", 2.0), (1, "a", 9.0), (1, "a", 1.0), (2, None, 5.0), (2, "z", 4.0)]
     expected = [{"k": 1, "s": "a", "x": 1.0}, {"k": 2, "s": None, "x": 5.0}]

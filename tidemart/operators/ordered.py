@@ -7,9 +7,10 @@ chunks that are ordered on their own, and one summary row per chunk carries valu
 chunk borders. Both ways run in the same window over (key, chunk): an ordinary key simply
 has a single chunk.
 
-Bounds: at most all rows / `HOT_ROWS` keys are hot, so their list is broadcast. Within a
-key times are unique, so a one-minute chunk has at most as many rows as a minute has
-microseconds, and a key has one summary row per minute in which it was seen.
+Bounds: a hot key holds more than 1 / `MAX_HOT_KEYS` of all rows, so there are fewer than
+`MAX_HOT_KEYS` of them whatever the data, and their list is broadcast. Within a key times
+are unique, so a one-minute chunk has at most as many rows as a minute has microseconds,
+and a key has one summary row per minute in which it was seen.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from tidemart.functions.columns import sortable
 
 HOT_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000
 CHUNK_MINUTES = 1
 
 # Sort before every real chunk and time, as null times do in a plain sort.
@@ -54,9 +56,11 @@ def drop_repeats(
 
 
 def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than `hot_rows` rows: at most all rows / `hot_rows` of them."""
+    """Keys with more than `hot_rows` rows and more than their share of all rows."""
+    total = rows.agg(F.count(F.lit(1))).scalar()
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+    crowded = (F.col("__n") > hot_rows) & (F.col("__n") > total / MAX_HOT_KEYS)
+    return counts.filter(crowded).select(*keys, F.lit(True).alias(_HOT))
 
 
 def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:

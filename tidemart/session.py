@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Row limits per key up to this size are applied before the shuffle as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Pages beyond this many rows are cut from a distributed sort, not from per-task heaps.
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
