@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemart.operators import ordered
-from tidemart.operators.ordered import drop_repeats, keep_first, previous_values, running_count
+from tidemart.operators.ordered import drop_repeats, keep_first, previous_values
+from tidemart.plans.derived import running_count
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +51,7 @@ def test_running_count_equals_row_number(skewed, hot_rows):
 
 def test_no_hot_key_in_one_window_group(skewed):
     """With a low threshold the hot key's rows spread over many chunks."""
-    marked, only_hot = ordered._split(skewed, ["k"], "at", ordered._as_is, 100, 1)
+    marked, only_hot = ordered.split_hot(skewed, ["k"], "at", ordered._as_is, 100, 1)
     assert {r.k for r in only_hot.select("k").collect()} == {"hot"}
     largest = marked.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0]
     assert largest <= 40

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.numeric import rounded
 from tidemart.operators.ordered import HOT_ROWS, previous_values
 
+# The panels' range and the sampling interval.
 RANGE = "1 minute"
 RANGE_SECONDS = 60
 SCRAPE_INTERVAL = "15 seconds"

@@ -1,6 +1,6 @@
 """Per-key order operators that no hot key can push into one task.
 
-A plain `lag` or running count partitions by the key alone, so one product or handler
+A plain `lag` partitions by the key alone, so one product or handler
 holding a third of the rows would be sorted by a single task. Here a count per key comes
 first. Keys with few rows take the plain way. The rows of a hot key are cut into calendar
 chunks that are ordered on their own, and one summary row per chunk carries values over the
@@ -30,7 +30,7 @@ CHUNK_MINUTES = 1
 # Sort before every real chunk and time, as null times do in a plain sort.
 _NO_CHUNK = -(1 << 62)
 _NO_TIME = "0001-01-01 00:00:00"
-_CHUNK = "__chunk"
+CHUNK = "__chunk"
 _HOT = "__hot"
 
 Prepare = Callable[[DataFrame], DataFrame]
@@ -75,7 +75,7 @@ def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:
     return F.coalesce(F.floor(clock / minutes).cast("bigint"), F.lit(_NO_CHUNK))
 
 
-def _split(
+def split_hot(
     source: DataFrame, keys: list[str], time: str, prepare: Prepare, hot_rows: int,
     minutes: int,
 ) -> tuple[DataFrame, DataFrame]:
@@ -85,9 +85,9 @@ def _split(
     rows = prepare(source)
     number = _chunk_number(rows, time, minutes)
     marked = rows.join(hot, keys, "left").withColumn(
-        _CHUNK, F.when(F.col(_HOT), number).otherwise(F.lit(_NO_CHUNK))
+        CHUNK, F.when(F.col(_HOT), number).otherwise(F.lit(_NO_CHUNK))
     )
-    only_hot = prepare(source.join(hot, keys, "left_semi")).withColumn(_CHUNK, number)
+    only_hot = prepare(source.join(hot, keys, "left_semi")).withColumn(CHUNK, number)
     return marked, only_hot
 
 
@@ -109,24 +109,24 @@ def previous_values(
     `prepare` turns the source into the rows to order; it must treat each key by itself,
     leave at most one row per key and time, and add no rows. Keys must not be null.
     """
-    marked, only_hot = _split(source, keys, time, prepare, hot_rows, minutes)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(time).asc_nulls_first())
+    marked, only_hot = split_hot(source, keys, time, prepare, hot_rows, minutes)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(F.col(time).asc_nulls_first())
     local = marked.withColumns({
         **{new: F.lag(column).over(inside) for new, column in values.items()},
         "__head": F.col(_HOT) & (F.row_number().over(inside) == 1),
     })
 
     at = F.coalesce(F.col(time), F.lit(_NO_TIME).cast(marked.schema[time].dataType))
-    tails = only_hot.groupBy(*keys, _CHUNK).agg(
+    tails = only_hot.groupBy(*keys, CHUNK).agg(
         *[F.max_by(F.col(column), at).alias(f"__tail_{new}") for new, column in values.items()]
     )
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
+    across = Window.partitionBy(*keys).orderBy(CHUNK)
     carried = tails.select(
-        *keys, _CHUNK,
+        *keys, CHUNK,
         *[F.lag(f"__tail_{new}").over(across).alias(f"__carry_{new}") for new in values],
     )
-    joined = local.join(carried, [*keys, _CHUNK], "left")
-    own = [c for c in marked.columns if c not in (_CHUNK, _HOT)]
+    joined = local.join(carried, [*keys, CHUNK], "left")
+    own = [c for c in marked.columns if c not in (CHUNK, _HOT)]
     return joined.select(
         *own,
         *[
@@ -134,27 +134,3 @@ def previous_values(
             for new in values
         ],
     )
-
-
-def running_count(
-    source: DataFrame,
-    keys: list[str],
-    time: str,
-    order: list[str],
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    minutes: int = CHUNK_MINUTES,
-) -> DataFrame:
-    """Number each key's rows from 1 by `time`, then `order`; the order must be total."""
-    marked, only_hot = _split(source, keys, time, _as_is, hot_rows, minutes)
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(time, *order)
-    local = marked.withColumn("__position", F.row_number().over(inside))
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    in_chunk = only_hot.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
-    offsets = in_chunk.select(*keys, _CHUNK, F.sum("__rows").over(before).alias("__before"))
-    position = F.coalesce("__before", F.lit(0)) + F.col("__position")
-    return local.join(offsets, [*keys, _CHUNK], "left").select(
-        *source.columns, position.alias(out)
-    )

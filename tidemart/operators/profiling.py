@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from tidemart.functions.numeric import percent
 from tidemart.schemas import schema_of
 
+# Limits in percent, and source and target of each step whose row loss is
+# watched.
 HIGH_NULL_PCT = 30
 HIGH_DROP_PCT = 20
-
-# Source and target of each step whose row loss is watched.
 FUNNEL_PAIRS = [
     ("Bronze.Products", "Silver.Products"),
     ("Silver.Products", "Gold.Metrics"),

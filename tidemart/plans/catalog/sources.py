@@ -27,8 +27,8 @@ def landed_products(t):
 @query("s1_jsonl_scan", with_views(f"select {PRODUCT_SQL}, scraped_at from raw_products"))
 def _(t):
     landed = jsonl.read_jsonl(t.spark, landed_products(t), RAW_PRODUCT)
-    typed = landed.withColumn("scraped_at", as_timestamp(landed, "scraped_at"))
-    return typed.select(*PRODUCT, "scraped_at")
+    at = as_timestamp(landed, "scraped_at").cast("timestamp_ntz")
+    return landed.select(*PRODUCT, at.alias("scraped_at"))
 
 
 @query("s2_bronze_write", with_views("""

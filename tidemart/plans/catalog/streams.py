@@ -20,7 +20,8 @@ def _land(t, path):
 @query("x1_incremental_bronze", with_views(f"select {PRODUCT_SQL}, scraped_at from raw_products"))
 def _(t):
     bronze = t.spark.read.parquet(t.once("x1/bronze", lambda p: _land(t, p)))
-    return bronze.select(*PRODUCT, as_timestamp(bronze, "scraped_at").alias("scraped_at"))
+    at = as_timestamp(bronze, "scraped_at").cast("timestamp_ntz")
+    return bronze.select(*PRODUCT, at.alias("scraped_at"))
 
 
 @query("x2_streaming_dedup", with_views(

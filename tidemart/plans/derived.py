@@ -6,10 +6,10 @@ so every rule of the lake has rows to work on at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.ordered import running_count
+from tidemart.operators.ordered import CHUNK, split_hot
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +106,29 @@ def http_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def running_count(
+    source: DataFrame,
+    keys: list[str],
+    time: str,
+    order: list[str],
+    out: str,
+    hot_rows: int,
+) -> DataFrame:
+    """Number each key's rows from 1 by `time`, then `order`; the order must be total."""
+    marked, only_hot = split_hot(source, keys, time, lambda rows: rows, hot_rows, 1)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(time, *order)
+    local = marked.withColumn("__position", F.row_number().over(inside))
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    in_chunk = only_hot.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
+    offsets = in_chunk.select(*keys, CHUNK, F.sum("__rows").over(before).alias("__before"))
+    position = F.coalesce("__before", F.lit(0)) + F.col("__position")
+    return local.join(offsets, [*keys, CHUNK], "left").select(
+        *source.columns, position.alias(out)
+    )
+
+
 # Every handler has a large share of the events, so even small test data takes the way of
 # hot keys.
 HOT_HANDLER_ROWS = 100

@@ -29,7 +29,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.run_ts = F.lit(RUN_TS)
+        self.run_ts = F.lit(str(RUN_TS)).cast("timestamp")
 
     @property
     def base(self) -> str:
