@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import column, rows
+from conftest import column, plan, rows
 from pyspark.sql import functions as F
 
 from tidemart.operators import history, metrics
@@ -73,10 +73,12 @@ PRICES = [
 ]
 
 
+@pytest.mark.parametrize("few_repeats", [False, True])
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_price_history(spark, hot_rows):
+def test_price_history(spark, hot_rows, few_repeats):
     df = spark.createDataFrame(PRICES, "product_id long, scraped_at timestamp, price int")
-    built = history.price_history(df, run_ts=F.lit(NOW), hot_rows=hot_rows)
+    built = history.price_history(df, run_ts=F.lit(NOW), hot_rows=hot_rows,
+                                  few_repeats=few_repeats)
     one = [r for r in built.orderBy("scraped_at").collect() if r.product_id == 1]
     assert [r.previous_price for r in one] == [None, 100_000, 80_000, 80_000, 70_001]
     assert [r.price_change_abs for r in one] == [None, -20_000, 0, -9_999, -20_001]
@@ -89,6 +91,27 @@ def test_price_history(spark, hot_rows):
     assert built.columns == [c for c in history.HISTORY_COLUMNS if c in built.columns]
 
 
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_both_ways_to_drop_repeats_agree(spark, hot_rows):
+    at = datetime(2024, 1, 1)
+    data = [(1, at, 5, "b"), (1, at, 5, "a"), (1, at, 4, "z"), (1, None, 3, "n"),
+            (1, None, 2, "n"), (1, datetime(2024, 1, 2), 9, "c"), (2, None, 1, "only")]
+    df = spark.createDataFrame(
+        data, "product_id long, scraped_at timestamp, price int, name string")
+    ways = [rows(history.price_history(df, run_ts=F.lit(NOW), hot_rows=hot_rows,
+                                       few_repeats=few)) for few in (False, True)]
+    assert ways[0] == ways[1] and len(ways[0]) == 4
+
+
+def test_few_repeats_need_one_shuffle_of_the_table(spark, tmp_path):
+    df = spark.createDataFrame(PRICES, "product_id long, scraped_at timestamp, price int")
+    df.withColumn("name", F.lit("x")).write.parquet(f"{tmp_path}/p")
+    built = history.price_history(spark.read.parquet(f"{tmp_path}/p"), few_repeats=True)
+    wide = [line for line in plan(built).split("\n") if "FileScan" in line and "name" in line]
+    before = plan(built).split("FileScan")[0]
+    assert len(wide) == 2 and before.count("Exchange hashpartitioning") == 1
+
+
 def test_thresholds_are_parameters(spark):
     df = spark.createDataFrame(PRICES, "product_id long, scraped_at timestamp, price int")
     strict = history.price_history(df, drop_pct=-25, min_abs=20_001)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import present
+from tidemart.functions.columns import present, sortable
 from tidemart.functions.pricing import change_percent
 from tidemart.operators.ordered import HOT_ROWS, drop_repeats, previous_values
 
@@ -20,22 +20,38 @@ HISTORY_COLUMNS = [
 ]
 
 
-def snapshots(products: DataFrame, tie_break: list[Column] | None = None) -> DataFrame:
-    """One row per product and scrape time, with its calendar date."""
+def dated(products: DataFrame) -> DataFrame:
     if "scraped_at" not in products.columns:
         raise ValueError("price history needs a scraped_at column")
-    single = drop_repeats(products, ["product_id", "scraped_at"], tie_break)
-    return single.withColumn("scraped_date", F.to_date("scraped_at"))
+    return products.withColumn("scraped_date", F.to_date("scraped_at"))
+
+
+def snapshots(products: DataFrame, tie_break: list[Column] | None = None) -> DataFrame:
+    """One row per product and scrape time, with its calendar date."""
+    return drop_repeats(dated(products), ["product_id", "scraped_at"], tie_break)
 
 
 def with_previous(
-    products: DataFrame, tie_break: list[Column] | None = None, hot_rows: int = HOT_ROWS
+    products: DataFrame,
+    tie_break: list[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
+    few_repeats: bool = False,
 ) -> DataFrame:
-    """Snapshots with price and time of the product's preceding snapshot."""
+    """Snapshots with price and time of the product's preceding snapshot.
+
+    Repeats are dropped before the rows are shuffled by product, so any number of copies is
+    fine. `few_repeats` says that a product has only a few rows per time, as in silver,
+    where copies are gone and only one time spelled in two ways is left; they are then
+    dropped within the shuffled rows, which saves a shuffle of the whole table.
+    """
+    names = [c for c in sortable(products) if c not in ("product_id", "scraped_at")]
+    ties = tie_break or [F.col(c).asc_nulls_first() for c in names]
     return previous_values(
         products, ["product_id"], "scraped_at",
         {"previous_price": "price", "previous_scraped_at": "scraped_at"},
-        prepare=lambda rows: snapshots(rows, tie_break), hot_rows=hot_rows,
+        prepare=dated if few_repeats else lambda rows: snapshots(rows, tie_break),
+        hot_rows=hot_rows,
+        repeat_order=ties if few_repeats else None,
     )
 
 
@@ -68,10 +84,11 @@ def price_history(
     run_ts: Column | None = None,
     tie_break: list[Column] | None = None,
     hot_rows: int = HOT_ROWS,
+    few_repeats: bool = False,
 ) -> DataFrame:
     # Prune before the window so its shuffles carry only columns of the result.
     wanted = products if tie_break else products.select(*present(products, HISTORY_COLUMNS))
-    lagged = with_previous(wanted, tie_break, hot_rows)
+    lagged = with_previous(wanted, tie_break, hot_rows, few_repeats)
     changed = with_changes(lagged, drop_pct, min_abs)
     stamp = F.current_timestamp() if run_ts is None else run_ts
     stamped = changed.withColumn("gold_processed_at", stamp)

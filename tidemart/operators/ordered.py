@@ -103,14 +103,24 @@ def previous_values(
     prepare: Prepare = _as_is,
     hot_rows: int = HOT_ROWS,
     minutes: int = CHUNK_MINUTES,
+    repeat_order: list[Column] | None = None,
 ) -> DataFrame:
     """Add, for each `new: column` in `values`, the column of the key's preceding row.
 
-    `prepare` turns the source into the rows to order; it must treat each key by itself,
-    leave at most one row per key and time, and add no rows. Keys must not be null.
+    `prepare` turns the source into the rows to order; it must treat each key by itself and
+    add no rows. Keys must not be null, and a key must have one row per time. With
+    `repeat_order` there may be a few: all but the first in that order are dropped, in the
+    same pass over the sorted rows.
     """
     marked, only_hot = split_hot(source, keys, time, prepare, hot_rows, minutes)
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(F.col(time).asc_nulls_first())
+    order = [F.col(time).asc_nulls_first(), *(repeat_order or [])]
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    if repeat_order:
+        same_time = F.lag(time).over(inside).eqNullSafe(F.col(time))
+        repeat = same_time & (F.row_number().over(inside) > 1)
+        marked = marked.withColumn("__repeat", repeat).filter(~F.col("__repeat")) \
+            .drop("__repeat")
+        only_hot = keep_first(only_hot, [*keys, time], repeat_order)
     local = marked.withColumns({
         **{new: F.lag(column).over(inside) for new, column in values.items()},
         "__head": F.col(_HOT) & (F.row_number().over(inside) == 1),

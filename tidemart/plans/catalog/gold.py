@@ -161,7 +161,7 @@ def _(t):
       cast(days_since_last_seen as double) as days_since_last_seen
     from price_history"""))
 def _(t):
-    built = history.price_history(t.silver_products(), run_ts=t.run_ts)
+    built = history.price_history(t.silver_products(), run_ts=t.run_ts, few_repeats=True)
     as_double = ("previous_price", "price_change_abs", "days_since_last_seen")
     as_string = ("is_price_increased", "is_price_decreased", "scraped_date")
     return built.drop("gold_processed_at").withColumns({

@@ -96,7 +96,9 @@ def gold_metrics(lake: Lake, run_ts: datetime) -> None:
 
 
 def gold_history(lake: Lake, run_ts: datetime) -> None:
-    built = history.price_history(lake.read("silver/products"), run_ts=F.lit(run_ts))
+    built = history.price_history(
+        lake.read("silver/products"), run_ts=F.lit(run_ts), few_repeats=True
+    )
     lake.write(built, "gold/price_history")
 
 

@@ -116,7 +116,7 @@ class Tables:
 
     def history(self) -> DataFrame:
         return self.stored("gold/price_history", lambda: price_history(
-            self.silver_products(), run_ts=self.run_ts
+            self.silver_products(), run_ts=self.run_ts, few_repeats=True
         ))
 
     def scorer(self):
