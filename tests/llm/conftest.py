@@ -1,0 +1,22 @@
+import pytest
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Makes documents of (doc_id, text) pairs or of texts, numbered from 0."""
+
+    def make(texts, lang="en"):
+        pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        return spark.createDataFrame(
+            [(i, t, lang, f"src{(i or 0) % 3}", None if t is None else len(t))
+             for i, t in pairs], DOCS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def real(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
