@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import stored
+from tidemart.llm.common import ship_code, stored
 
 WINDOW = 8192
 CHUNK_PIECES = 4096
@@ -78,6 +78,7 @@ def pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def pack(docs: DataFrame, window: int = WINDOW, chunk_pieces: int = CHUNK_PIECES) -> DataFrame:
     """doc_id, piece, start, length, source_key, cluster_key, bin_id, bin_offset per piece."""
+    ship_code(docs.sparkSession)
     cut = pieces(docs, window)
     real = cut.where("length > 0")
     chunks = max(1, -(-real.count() // chunk_pieces))

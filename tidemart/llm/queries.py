@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import license_scan, packing, secret_scan, sharding
+from tidemart.llm import (
+    decontaminate, importance, language_id, license_scan, metric_join, ngram_join, packing,
+    preference, secret_scan, sharding,
+)
 from tidemart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +25,26 @@ def query(name: str):
     return add
 
 
+@query("op1_importance_resampling")
+def _(spark, sf_dir):
+    judged = importance.selected(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "labels"))
+    return judged.where("kept").drop("kept")
+
+
+@query("op2_preference_pairs")
+def _(spark, sf_dir):
+    return preference.preference_pairs(table(spark, sf_dir, "conversations"))
+
+
+SQL["op2_preference_pairs"] = preference.SQL
+
+
+@query("op3_ngram_jaccard_join")
+def _(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op4_hypergeometric_shards")
 def _(spark, sf_dir):
     text = F.col("text")
@@ -33,11 +56,27 @@ def _(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op5_marginal_language_id")
+def _(spark, sf_dir):
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op6_metric_range_join")
+def _(spark, sf_dir):
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_best_fit_packing")
 def _(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op8_simhash_decontamination")
+def _(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 @query("op9_license_scan")
 def _(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import scratch, stored
+from tidemart.llm.common import scratch, ship_code, stored
 
 
 @dataclass(frozen=True)
@@ -102,6 +102,7 @@ def _address(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def addressed(docs: DataFrame) -> DataFrame:
     """doc_id, blob (address of the text), body (the text if a rule may match, else null)."""
+    ship_code(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         _address, f"doc_id {kind}, blob binary, body binary")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import scratch, stored
+from tidemart.llm.common import scratch, ship_code, stored
 
 NUMPY_LIMIT = 1_000_000_000
 
@@ -106,6 +106,7 @@ def targets(rows: int, shards: int, block_rows: int) -> list[tuple[int, int, int
 def shuffle_into_shards(df: DataFrame, shards: int = 40, seed: int = 7,
                         block_rows: int = 200_000) -> DataFrame:
     """`df` with shard (0 to shards - 1) and slot (0 and up, without gaps, in each shard)."""
+    ship_code(df.sparkSession)
     names = df.columns
     low33 = F.lit((1 << 33) - 1)
     placed = stored(df.select(
