@@ -3,12 +3,12 @@
 An item of n words is looked for in windows of its size, rounded down so that a window on the
 documents' grid lies inside the item wherever it stands: the grid has a line every `g` words, the
 window has the largest multiple of g that fits into n - g + 1 words, and the item is
-fingerprinted at all g shifts. A fingerprint has 32 bits, one for each of 32 hash bits of the
-words in the window, set if more than half of the words have it. The 32 counters are kept as four
-longs of eight byte-wide lanes, so a window's counters are sums of its blocks' counters.
+fingerprinted at all g shifts. A fingerprint has 35 bits, one for each of 35 hash bits of the
+words in the window, set if more than half of the words have it. The 35 counters are kept as five
+longs of seven byte-wide lanes, so a window's counters are sums of its blocks' counters.
 
-The index is a multi-index over two halves of 16 bits: fingerprints within a radius of 1 agree in
-at least one half, so looking up both halves finds all of them. Candidates are verified on the
+The index is a multi-index over two parts of 20 and 15 bits: fingerprints within a radius of 1
+agree in at least one part, so looking up both parts finds all of them. Candidates are verified on the
 words: the window that lines up with the item, of the item's length, must have a weighted Jaccard
 similarity of five-word shingles of 0.8 or more. A shingle of the item weighs its inverse
 document frequency among the items, any other shingle the largest such weight.
@@ -26,6 +26,7 @@ columns are ignored by `leaks` and kept by `without_leaks`.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +37,10 @@ from tidemart.llm.license_scan import SEPARATORS
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 1
-LANES = 4
+LANES = 5
 MOST_WORDS = 248
-ONES = 0x0101010101010101
-_HIGH = -0x7F7F7F7F7F7F7F80  # 0x80 in each byte, as a signed long
+ONES = 0x01010101010101  # seven bytes: the sums stay within a signed long
+_HIGH = 0x80808080808080
 KEYS_IN_PLAN = 16_384  # longer key lists are left to the join
 
 
@@ -59,12 +60,12 @@ def lane_sums(hashes: Column, lane: int) -> Column:
         h, lane).bitwiseAND(F.lit(ONES)))
 
 
-def fingerprint(sums: list[Column], words: int) -> Column:
-    """32 bits, four in each byte: a counter above half of `words` gives 1."""
-    bump = F.lit((127 - words // 2) * ONES)
-    bits = [F.shiftrightunsigned((s + bump).bitwiseAND(F.lit(_HIGH)), 7 - k)
-            for k, s in enumerate(sums)]
-    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+def fingerprint(sums: list[Column], words: Column) -> Column:
+    """35 bits, five in each byte: a counter above half of `words` gives 1."""
+    bump = (F.lit(127) - F.floor(words / 2).cast("long")) * F.lit(ONES)
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.shiftrightunsigned((s + bump).bitwiseAND(F.lit(_HIGH)), 7 - k)
+        for k, s in enumerate(sums)])
 
 
 def halves(print_: Column) -> list[Column]:
@@ -82,11 +83,7 @@ def item_prints(benchmark: DataFrame) -> DataFrame:
     hashes = F.transform(F.slice("words", F.col("shift") + 1, F.col("m") * F.col("g")),
                          lambda w: F.xxhash64(w))
     sums = shifted.select("*", *[lane_sums(hashes, k).alias(f"l{k}") for k in range(LANES)])
-    words = F.col("m") * F.col("g")
-    bump = (F.lit(127) - F.floor(words / 2)) * F.lit(ONES)
-    bits = [F.shiftrightunsigned((F.col(f"l{k}") + bump).bitwiseAND(F.lit(_HIGH)), 7 - k)
-            for k in range(LANES)]
-    print_ = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+    print_ = fingerprint([F.col(f"l{k}") for k in range(LANES)], F.col("m") * F.col("g"))
     return sums.select("item_id", "words", "n", "g", "m", "shift", print_.alias("print"))
 
 
@@ -140,7 +137,7 @@ def _windows(texts: DataFrame, g: int, sizes: list[int], keys: dict[int, list])
         lines = F.slice("lines", 1, F.greatest(F.lit(0), F.col("nb") - (m - 1)))
         prints = F.transform(lines, lambda b: F.struct(
             b.alias("line"),
-            fingerprint([F.get(f"s{m}_{k}", b) for k in range(LANES)], m * g).alias("print")))
+            fingerprint([F.get(f"s{m}_{k}", b) for k in range(LANES)], F.lit(m * g)).alias("print")))
         if keys[m] is not None:
             prints = F.filter(prints, lambda x: halves(x["print"])[0].isin(keys[m][0])
                               | halves(x["print"])[1].isin(keys[m][1]))
@@ -174,11 +171,11 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for g, sizes in sorted(kinds.items()):
         keys = {}
-        for m in sizes:  # a half has 16 bits, so a list has 65,536 keys at most
-            own = index.where((F.col("g") == g) & (F.col("m") == m)).groupBy("half").agg(
-                F.collect_set("key").alias("k")).collect()
-            lists = [next(r["k"] for r in own if r["half"] == h) for h in (0, 1)]
-            keys[m] = lists if max(map(len, lists)) <= KEYS_IN_PLAN else None
+        for m in sizes:
+            own = index.where((F.col("g") == g) & (F.col("m") == m)).select("half", "key")
+            lists = [[r["key"] for r in own.where(F.col("half") == h).distinct().limit(
+                KEYS_IN_PLAN).collect()] for h in (0, 1)]
+            keys[m] = lists if max(map(len, lists)) < KEYS_IN_PLAN else None
         part = _windows(texts, g, sorted(sizes), keys)
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -38,9 +38,13 @@ FLOOR = 1e-8
 HELD_WORDS = 100_000  # distinct words whose scores a task keeps
 RUNS = re.compile(r"[^\W\d_]+")
 _BASE = 0x9E3779B97F4A7C15
-_UP = np.cumprod(np.concatenate(([1], np.full(1 << 20, _BASE, U64))).astype(U64), dtype=U64)
-_DOWN = np.cumprod(np.concatenate(([1], np.full(
-    1 << 20, pow(_BASE, -1, 1 << 64), U64))).astype(U64), dtype=U64)
+def _powers(base: int, n: int = 1 << 18) -> np.ndarray:
+    steps = np.full(n, base, U64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=U64)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def letter_words(text: str | None) -> list[str]:
