@@ -116,11 +116,11 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
 # The same rows in DuckDB.
 SQL = """
 with rows as (
-  select distinct conv_id, turn as at, coalesce(replace(role, '<|', '< |'), 'unknown') as role,
+  select distinct conv_id, turn as place, coalesce(replace(role, '<|', '< |'), 'unknown') as role,
     coalesce(replace(text, '<|', '< |'), '') as text
   from conversations where conv_id is not null),
 held as (
-  select conv_id, list({'role': role, 'text': text} order by at nulls first, role, text) as turns,
+  select conv_id, list({'role': role, 'text': text} order by place nulls first, role, text) as turns,
     sum(case when role = 'assistant' then length(text) else 0 end) as weight
   from rows group by conv_id),
 numbered as (
@@ -147,9 +147,9 @@ met as (
   left join held x on x.conv_id = p.rejected_id),
 cut as (
   select *, case when x is null then coalesce(
-      list_max(list_filter(range(len(c)), i -> c[i + 1].role = 'assistant')), len(c))
+      list_max(list_filter(range(len(c)), lambda i: c[i + 1].role = 'assistant')), len(c))
     else coalesce(list_min(list_filter(range(least(len(c), len(x))),
-      i -> c[i + 1].role <> x[i + 1].role or c[i + 1].text <> x[i + 1].text)),
+      lambda i: c[i + 1].role <> x[i + 1].role or c[i + 1].text <> x[i + 1].text)),
       least(len(c), len(x))) end as n from met),
 sides as (
   select chosen_id, rejected_id, n, c[1:n] as p, c[n + 1:] as c, x[n + 1:] as x from cut)
@@ -163,9 +163,9 @@ from sides"""
 def _spelled(sql: str) -> str:
     for side in "pcx":
         sql = sql.replace(f"RENDER({side})", f"""coalesce(array_to_string(list_transform({side},
-          t -> '{OPEN}' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), ''), '')""")
+          lambda t: '{OPEN}' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), ''), '')""")
         sql = sql.replace(f"MASK({side})", f"""coalesce(array_to_string(list_transform({side},
-          t -> '0:' || (length(t.role) + {len(OPEN) + 1}) ||
+          lambda t: '0:' || (length(t.role) + {len(OPEN) + 1}) ||
           case when t.role = 'assistant' then ',1:' else ',0:' end ||
           (length(t.text) + {len(CLOSE)})), ','), '')""")
     return sql
