@@ -41,7 +41,7 @@ LANES = 5
 MOST_WORDS = 248
 ONES = 0x01010101010101  # seven bytes: the sums stay within a signed long
 _HIGH = 0x80808080808080
-KEYS_IN_PLAN = 16_384  # longer key lists are left to the join
+KEYS_IN_PLAN = 50_000  # rows of an index that also sorts out windows before the join
 
 
 def split_words(text: Column) -> Column:
@@ -164,25 +164,24 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kinds: dict[int, list[int]] = {}
     for r in prints.select("g", "m").distinct().collect():  # at most 255 window sizes
         kinds.setdefault(r["g"], []).append(r["m"])
+    index = stored(index, "index")
+    keys: dict[tuple[int, int], list[list[int]]] = {}
+    if index.count() <= KEYS_IN_PLAN:
+        for r in index.select("g", "m", "half", "key").distinct().collect():
+            keys.setdefault((r["g"], r["m"]), [[], []])[r["half"]].append(r["key"])
     text = F.col("text").cast("string")
     texts = docs.select("doc_id", F.xxhash64("doc_id", text).alias("mark"),
                         split_words(text).alias("words")).select(
         "*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
     for g, sizes in sorted(kinds.items()):
-        keys = {}
-        for m in sizes:
-            own = index.where((F.col("g") == g) & (F.col("m") == m)).select("half", "key")
-            lists = [[r["key"] for r in own.where(F.col("half") == h).distinct().limit(
-                KEYS_IN_PLAN).collect()] for h in (0, 1)]
-            keys[m] = lists if max(map(len, lists)) < KEYS_IN_PLAN else None
-        part = _windows(texts, g, sorted(sizes), keys)
+        part = _windows(texts, g, sorted(sizes), {m: keys.get((g, m)) for m in sizes})
         found = part if found is None else found.unionByName(part)
     if found is None:
         return None
     looked = found.select("*", F.posexplode(F.array(*halves(F.col("print")))).alias(
         "half", "key")).withColumnRenamed("print", "window")
-    met = looked.join(sized_ids(stored(index, "index")), ["g", "m", "half", "key"]).where(
+    met = looked.join(sized_ids(index), ["g", "m", "half", "key"]).where(
         F.bit_count(F.col("window").bitwiseXOR(F.col("print"))) <= RADIUS)
     begin = F.greatest(F.lit(0), F.col("line") * F.col("g") - (F.col("g") - 1))
     start = F.col("line") * F.col("g") - F.col("shift")
