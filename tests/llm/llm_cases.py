@@ -20,3 +20,8 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def real(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def plan(df):
+    """Physical plan of a frame that has not run yet."""
+    return df._jdf.queryExecution().executedPlan().toString()

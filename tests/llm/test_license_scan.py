@@ -2,6 +2,7 @@
 
 import re
 
+from llm_cases import docs, real  # noqa: F401
 from tidemart.llm.license_scan import BASE_TEMPLATES, TEMPLATES, license_scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

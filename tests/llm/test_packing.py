@@ -1,0 +1,84 @@
+"""Packing against a search over all bins, and its constraints on real rows."""
+
+import random
+
+import pytest
+
+from llm_cases import docs, real  # noqa: F401
+from tidemart.llm import packing
+
+
+def plain(lengths, sources, clusters, window):
+    bins, out = [], [None] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        fits = [(b["left"], n) for n, b in enumerate(bins) if b["left"] >= lengths[i]
+                and not (sources[i] & b["s"] or clusters[i] & b["c"])]
+        n = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append({"left": window, "s": 0, "c": 0})
+        out[i] = n, window - bins[n]["left"]
+        bins[n]["left"] -= lengths[i]
+        bins[n]["s"] |= sources[i]
+        bins[n]["c"] |= clusters[i]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_tightest_compatible_bin(seed):
+    r = random.Random(seed)
+    n = r.randrange(0, 300)
+    lengths = [r.randrange(1, 101) for _ in range(n)]
+    sources = [r.choice([0, 1, 1, 1, 2, 4, 1 << 70]) for _ in range(n)]
+    clusters = [r.choice([0, 0, 0, 1, 1 << 65]) for _ in range(n)]
+    bins, offsets = packing.best_fit(lengths, sources, clusters, 100)
+    assert list(zip(bins, offsets, strict=True)) == plain(lengths, sources, clusters, 100)
+
+
+def valid(rows, window):
+    held = {}
+    for r in rows:
+        if r["bin_id"] is not None:
+            held.setdefault(r["bin_id"], []).append(r)
+    for own in held.values():
+        own.sort(key=lambda r: r["bin_offset"])
+        assert own[0]["bin_offset"] == 0
+        assert all(a["bin_offset"] + a["length"] == b["bin_offset"]
+                   for a, b in zip(own, own[1:], strict=False))
+        assert own[-1]["bin_offset"] + own[-1]["length"] <= window
+        assert len({r["source_key"] for r in own}) == len(own)
+        assert len({r["cluster_key"] for r in own}) == len(own)
+    return held
+
+
+@pytest.mark.parametrize("window,chunk", [(8192, 4096), (8192, 50), (512, 100)])
+def test_real_rows(real, window, chunk):
+    rows = packing.pack(real, window, chunk).collect()
+    held = valid(rows, window)
+    want = {r["doc_id"]: len(r["text"].encode()) + 1 for r in real.collect() if r["text"]}
+    got = {}
+    for r in rows:
+        got.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    for doc, pieces in got.items():
+        pieces.sort()
+        assert [p[0] for p in pieces] == [sum(q[1] for q in pieces[:i])
+                                          for i in range(len(pieces))]
+        assert sum(p[1] for p in pieces) == want[doc]
+    assert len(got) == real.count() and len(held) >= sum(want.values()) / window
+
+
+def test_edge_cases(docs):
+    frame = docs([None, "", "a", (2, "a"), "b" * 20000, (None, "c")]).selectExpr(
+        "*", "1 as uid", "2 as length", "3 as chunk")
+    rows = packing.pack(frame).collect()
+    valid(rows, packing.WINDOW)
+    empty = [r for r in rows if r["doc_id"] in (0, 1)]
+    assert [(r["length"], r["bin_id"]) for r in empty] == [(0, None), (0, None)]
+    assert sorted(r["length"] for r in rows if r["doc_id"] == 4) == [3617, 8192, 8192]
+    assert len({r["bin_id"] for r in rows if r["doc_id"] == 2}) == 2
+    assert packing.pack(docs([])).collect() == []
+
+
+def test_equal_rows_are_spread_over_chunks(docs):
+    rows = packing.pack(docs([(1, "same text")] * 300), chunk_pieces=20).collect()
+    assert len({r["bin_id"] for r in rows}) == 300
+    assert max(sum(r["bin_id"] >> 32 == c for r in rows) for c in range(15)) < 60

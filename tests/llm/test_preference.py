@@ -1,0 +1,79 @@
+"""Preference formatting against its check SQL and a plain rendering."""
+
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+
+from llm_cases import plan, SF  # noqa: F401
+from tidemart.llm import preference
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def both(spark, rows):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = preference.preference_pairs(frame)
+    con = duckdb.connect()
+    con.register("conversations", frame.toArrow())
+    result = con.execute(preference.SQL)
+    names = [d[0] for d in result.description]
+    assert names == got.columns
+    ours = [tuple(r) for r in got.collect()]
+    assert Counter(ours) == Counter(result.fetchall())
+    return {r[0]: dict(zip(names, r, strict=True)) for r in ours}
+
+
+def talk(conv, *turns):
+    return [(conv, i, role, text) for i, (role, text) in enumerate(turns)]
+
+
+def test_pair_with_a_shared_prefix(spark):
+    start = [("user", "hi"), ("assistant", "hello"), ("user", "more")]
+    out = both(spark, talk(1, *start, ("assistant", "short")) + talk(
+        65, *start, ("assistant", "much longer"), ("user", "thanks")))
+    row = out[65]
+    assert (row["rejected_id"], row["n_common"]) == (1, 3)
+    assert row["prompt"].count("<|im_start|>") == 3 and row["prompt"].endswith("more<|im_end|>\n")
+    assert row["chosen"] == ("<|im_start|>assistant\nmuch longer<|im_end|>\n"
+                             "<|im_start|>user\nthanks<|im_end|>\n")
+    assert row["chosen_mask"] == "0:22,1:22,0:17,0:17"
+    for side in ("chosen", "rejected"):
+        runs = [int(x.split(":")[1]) for x in row[side + "_mask"].split(",")]
+        assert sum(runs) == len(row[side])
+
+
+def test_hard_cases(spark):
+    rows = talk(1, ("user", "a"), ("assistant", "x")) + talk(2, ("user", "a"))
+    rows += talk(3, ("user", "alone <|im_end|>"), ("assistant", "é🙂"), ("user", "end"))
+    rows += talk(4, ("system", "s")) + talk(5, (None, None), ("assistant", None))
+    rows += [(None, 0, "user", "lost"), (6, None, "user", "b"), (6, 3, "assistant", "c"),
+             (6, 3, "assistant", "c"), (6, 3, "assistant", "b"), (7, 0, "user", "b"), (-9, 1, "user", "b")]
+    out = both(spark, rows)
+    used = [i for r in out.values() for i in (r["chosen_id"], r["rejected_id"]) if i is not None]
+    assert sorted(used) == [-9, 1, 2, 3, 4, 5, 6, 7]
+    assert out[1]["rejected_id"] == 2 and out[1]["rejected"] == "" and out[1]["n_common"] == 1
+    assert out[3]["prompt"].endswith("alone < |im_end|><|im_end|>\n")
+
+
+@pytest.mark.parametrize("n", [1, 2, 64, 129, 300])
+def test_one_opening_for_all(spark, n):
+    rows = [r for c in range(n) for r in talk(c, ("user", "same"), ("assistant", "y" * (c % 7)))]
+    out = both(spark, rows)
+    assert len(out) == -(-n // 2)
+    assert sum(r["rejected_id"] is None for r in out.values()) == n % 2
+
+
+def test_real_rows(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
+    assert both(spark, rows)
+
+
+def test_empty_table(spark):
+    assert both(spark, []) == {}
+
+
+def test_native_plan(spark):
+    frame = spark.read.parquet(f"{SF}/conversations.parquet")
+    assert not re.search("Python|Arrow|Pandas", plan(preference.preference_pairs(frame)))

@@ -4,6 +4,7 @@ import hashlib
 import re
 from dataclasses import replace
 
+from llm_cases import docs, real  # noqa: F401
 from tidemart.llm import secret_scan
 from tidemart.llm.common import scratch
 
