@@ -9,8 +9,9 @@ filter). Before the exact test, counts of both sets by hash range bound their ov
 filter). Every candidate pair is verified once, on the sets of the whole texts.
 
 Not all pairs of a large group of copies are made. Equal sets are one node. The first join links
-each list only with its pivot, the node of smallest hash; the verified links are contracted, and
-the second join makes the pairs of a list whose nodes lie in different components so far. A pair
+each list only with its pivot, the node with the fewest rarer shingles, which is the copy with
+the fewest edits; the verified links are contracted, and the second join makes the pairs of a
+list whose nodes lie in different components so far. A pair
 left out is thus a pair whose nodes are linked already; components are exact.
 
 Edge cases: a null text, or one without words, has an empty set and is linked with nothing; a
@@ -146,11 +147,11 @@ def shared_lists(sets: DataFrame) -> DataFrame:
     nodes = sets.where("node is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     posted = nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
-    by_node = Window.partitionBy("token").orderBy("node")
+    by_place = Window.partitionBy("token").orderBy("pos", "node")
     return posted.select(
-        "*", F.lag("node").over(by_node).alias("before"),
-        F.lead("node").over(by_node).alias("after"),
-        F.first(F.struct("node", "n", "pos")).over(by_node).alias("pivot"),
+        "*", F.lag("node").over(by_place).alias("before"),
+        F.lead("node").over(by_place).alias("after"),
+        F.first(F.struct("node", "n", "pos")).over(by_place).alias("pivot"),
     ).where("before is not null or after is not null").drop("before", "after")
 
 
@@ -198,7 +199,7 @@ def star_pairs(lists: DataFrame) -> DataFrame:
     p = F.col("pivot")
     return lists.where(F.col("node") != p["node"]).where(
         may_match(p["n"], p["pos"], F.col("n"), F.col("pos"))).select(
-        p["node"].alias("a"), F.col("node").alias("b")).distinct()
+        F.least(p["node"], "node").alias("a"), F.greatest(p["node"], "node").alias("b")).distinct()
 
 
 def rest_pairs(lists: DataFrame, stars: DataFrame, groups: DataFrame) -> DataFrame:
