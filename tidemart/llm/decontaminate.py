@@ -3,7 +3,8 @@
 An item of n words is looked for in windows of its size, rounded down so that a window on the
 documents' grid lies inside the item wherever it stands: the grid has a line every `g` words, the
 window has the largest multiple of g that fits into n - g + 1 words, and the item is
-fingerprinted at all g shifts. A fingerprint has 35 bits, one for each of 35 hash bits of the
+fingerprinted at all g shifts. Longer items also get windows of half that size at their front and
+back, so that one changed word leaves a window unchanged. A fingerprint has 35 bits, one for each of 35 hash bits of the
 words in the window, set if more than half of the words have it. The 35 counters are kept as five
 longs of seven byte-wide lanes, so a window's counters are sums of its blocks' counters.
 
@@ -72,19 +73,39 @@ def halves(print_: Column) -> list[Column]:
     return [print_.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(print_, 32)]
 
 
-def item_prints(benchmark: DataFrame) -> DataFrame:
-    """item_id, words, n, g, m (blocks in the window), shift, print of every shift of an item."""
-    items = benchmark.select("item_id", split_words(F.col("text")).alias("words"))
-    n = F.size("words")
-    sized = items.where(n > 0).select("*", n.alias("n"), grid(n).alias("g"))
-    shifted = sized.select("*", F.floor(F.least(
-        F.lit(MOST_WORDS), F.col("n") - F.col("g") + 1) / F.col("g")).cast("int").alias("m"),
-        F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("shift"))
+def numbered(benchmark: DataFrame) -> DataFrame:
+    """item (a number of its own), item_id and words of every item that has words."""
+    return stored(benchmark.select("item_id", split_words(F.col("text")).alias("words")).where(
+        F.size("words") > 0).select(
+        F.monotonically_increasing_id().alias("item"), "item_id", "words"), "items")
+
+
+def item_prints(items: DataFrame) -> DataFrame:
+    """item, n, g, m (blocks in the window), shift (its place in the item) and print of every
+    window of an item: the item's own size at g shifts, and for items in which one changed word
+    leaves enough, half windows at g shifts from the front and the back."""
+    n, g = F.col("n"), F.col("g")
+    sized = items.select("item", "words", F.size("words").alias("n")).select(
+        "*", grid(n).alias("g"))
+    sized = sized.select(
+        "*", F.floor(F.least(F.lit(MOST_WORDS), n - g + 1) / g).cast("int").alias("m"),
+        F.floor(F.least(F.lit(MOST_WORDS), F.floor((n - 1) / 2) - g + 1) / g).cast("int")
+        .alias("m2"))
+    shifts = F.sequence(F.lit(0), g - 1)
+
+    def windows(m: str, first: Column) -> Column:
+        return F.transform(shifts, lambda s: F.struct(
+            F.col(m).alias("m"), (first + s).cast("int").alias("shift")))
+
+    halves_too = F.concat(windows("m2", F.lit(0)), windows("m2", n - F.col("m2") * g - g + 1))
+    full = windows("m", F.lit(0))
+    each = sized.select("item", "words", "n", "g", F.explode(F.array_distinct(F.when(
+        F.col("m2") > 0, F.concat(full, halves_too)).otherwise(full))).alias("w"))
+    each = each.select("item", "words", "n", "g", "w.m", "w.shift")
     hashes = F.transform(F.slice("words", F.col("shift") + 1, F.col("m") * F.col("g")),
                          lambda w: F.xxhash64(w))
-    sums = shifted.select("*", *[lane_sums(hashes, k).alias(f"l{k}") for k in range(LANES)])
-    print_ = fingerprint([F.col(f"l{k}") for k in range(LANES)], F.col("m") * F.col("g"))
-    return sums.select("item_id", "words", "n", "g", "m", "shift", print_.alias("print"))
+    print_ = fingerprint([lane_sums(hashes, k) for k in range(LANES)], F.col("m") * F.col("g"))
+    return each.select("item", "n", "g", "m", "shift", print_.alias("print"))
 
 
 def shingles(words: Column) -> Column:
@@ -95,75 +116,85 @@ def shingles(words: Column) -> Column:
         F.slice(words, i + 1, SHINGLE_WORDS), " ")))
 
 
-def item_weights(benchmark: DataFrame) -> DataFrame:
-    """item_id, weighted (struct shingle, weight), and the weight of any other shingle."""
-    items = benchmark.select("item_id", split_words(F.col("text")).alias("words")).where(
-        F.size("words") > 0).select("item_id", F.monotonically_increasing_id().alias("item"),
-                                    shingles(F.col("words")).alias("s"))
-    items = stored(items, "items")
+def item_weights(items: DataFrame) -> DataFrame:
+    """item, item_id, weighted (struct shingle, weight), and the weight of any other shingle."""
     total = items.count()
-    each = items.select("item", "item_id", F.explode("s").alias("s"))
+    each = items.select("item", "item_id", F.explode(shingles(F.col("words"))).alias("s"))
     common = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     weight = F.log(F.lit(1.0) + F.lit(float(total)) / F.col("df"))
-    return each.join(common, "s").groupBy("item_id", "item").agg(F.collect_list(
+    return each.join(common, "s").groupBy("item", "item_id").agg(F.collect_list(
         F.struct("s", weight.alias("w"))).alias("weighted")).select(
-        "item_id", "weighted", F.lit(math.log(1.0 + total)).alias("other"))
+        "*", F.lit(math.log(1.0 + total)).alias("other"))
 
 
-def _windows(texts: DataFrame, g: int, sizes: list[int], keys: dict[int, list]) -> DataFrame:
-    """doc columns with g, m, line (grid line), print, near (words around) of the windows whose
-    fingerprint has a half that some item has."""
-    n = F.size("hashes")
-    blocks = texts.select("*", F.floor(n / g).cast("int").alias("nb"))
-    every = F.when(F.col("nb") > 0, F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(
-        F.array().cast("array<int>"))
-    blocks = blocks.select("*", every.alias("lines"))
+def _held(rows: DataFrame, kept: list[str], made: list[str]) -> DataFrame:
+    """`rows` with the arrays in `made` evaluated once: a step that generates one row from them
+    keeps the optimizer from moving their expressions into the lambdas that read them."""
+    return rows.select(*kept, F.explode(F.array(F.struct(*made))).alias("_made")).select(
+        *kept, "_made.*")
 
-    def sums(lane: int) -> Column:
-        return F.transform("lines", lambda b: lane_sums(
-            F.slice("hashes", b * g + 1, g), lane))
 
-    grown = blocks.select("*", *[sums(k).alias(f"b{k}") for k in range(LANES)])
-    grown = grown.select("*", *[F.col(f"b{k}").alias(f"s1_{k}") for k in range(LANES)])
-    found = []
+def _windows(texts: DataFrame, g: int, sizes: dict[int, tuple[int, int]],
+             keys: dict[int, list | None]) -> DataFrame:
+    """doc_id, mark, g, m, line (grid line), print and near (words around) of the windows whose
+    fingerprint has a part that some item has; `sizes` has the longest item and the largest shift
+    of each m."""
+    lanes, base = range(LANES), ["doc_id", "mark", "words", "nb"]
+    blocks = texts.select("*", F.floor(F.size("hashes") / g).cast("int").alias("nb"))
+    no_lines = F.array().cast("array<int>")
+
+    def lines(m: int) -> Column:
+        """Grid lines at which a window of m blocks begins."""
+        return F.when(F.col("nb") >= m, F.sequence(F.lit(0), F.col("nb") - m)).otherwise(no_lines)
+
+    def block_sums(lane: int) -> Column:
+        return F.transform(lines(1), lambda b: lane_sums(F.slice("hashes", b * g + 1, g), lane))
 
     def longer(m: int, lane: int) -> Column:
-        """Counters of m blocks from those of m - 1 blocks and the next block."""
-        lines = F.slice("lines", 1, F.greatest(F.lit(0), F.col("nb") - (m - 1)))
-        return F.transform(lines, lambda b: F.get(f"s{m - 1}_{lane}", b)
-                           + F.get(f"b{lane}", b + (m - 1)))
+        """Counters of m blocks: those of m - 1 blocks and of the next block."""
+        return F.transform(lines(m), lambda b: F.get(f"s{lane}", b) + F.get(
+            f"b{lane}", b + (m - 1)))
 
     def hits(m: int) -> Column:
-        lines = F.slice("lines", 1, F.greatest(F.lit(0), F.col("nb") - (m - 1)))
-        prints = F.transform(lines, lambda b: F.struct(
+        found = F.transform(lines(m), lambda b: F.struct(
             b.alias("line"),
-            fingerprint([F.get(f"s{m}_{k}", b) for k in range(LANES)], F.lit(m * g)).alias("print")))
+            fingerprint([F.get(f"s{k}", b) for k in lanes], F.lit(m * g)).alias("print")))
         if keys[m] is not None:
-            prints = F.filter(prints, lambda x: halves(x["print"])[0].isin(keys[m][0])
-                              | halves(x["print"])[1].isin(keys[m][1]))
-        return F.transform(prints, lambda x: F.struct(
+            found = F.filter(found, lambda x: halves(x["print"])[0].isin(keys[m][0])
+                             | halves(x["print"])[1].isin(keys[m][1]))
+        return F.transform(found, lambda x: F.struct(
             F.lit(m).alias("m"), x["line"].alias("line"), x["print"].alias("print"),
-            F.slice("words", F.greatest(F.lit(0), x["line"] * g - (g - 1)) + 1,
-                    F.lit((m + 3) * g)).alias("near")))
-
+            F.lit(sizes[m][1]).alias("back"),
+            F.slice("words", F.greatest(F.lit(0), x["line"] * g - sizes[m][1]) + 1,
+                    F.lit(sum(sizes[m]))).alias("near")))
+
+    kept = base + [f"b{k}" for k in lanes]
+    grown = _held(blocks.select(*base, *[block_sums(k).alias(f"b{k}") for k in lanes]), base,
+                  kept[len(base):])
+    grown = grown.select("*", *[F.col(f"b{k}").alias(f"s{k}") for k in lanes])
+    found: list[str] = []
     for m in range(1, max(sizes) + 1):
         if m > 1:
-            grown = grown.select("*", *[longer(m, k).alias(f"s{m}_{k}") for k in range(LANES)])
+            sums = [longer(m, k).alias(f"t{k}") for k in lanes]
+            grown = _held(grown.select(*kept, *found, *sums), kept + found,
+                          [f"t{k}" for k in lanes])
+            grown = grown.select(*kept, *found, *[F.col(f"t{k}").alias(f"s{k}") for k in lanes])
         if m in sizes:
-            found.append(hits(m))
+            grown = grown.select("*", hits(m).alias(f"f{m}"))
+            found.append(f"f{m}")
     each = grown.select("doc_id", "mark", F.explode(F.concat(*found)).alias("h"))
     return each.select("doc_id", "mark", F.lit(g).alias("g"), "h.*")
 
 
-def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, mark (hash of the row), item_id, n, start, near, offset of every pair of a window
-    and an item within the radius."""
-    prints = stored(item_prints(benchmark), "prints")
-    index = prints.select("item_id", "n", "g", "m", "shift", "print", F.posexplode(
+def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """doc_id, mark (hash of the row), item, n, start, at (start within near) and near of every
+    pair of a window and an item within the radius."""
+    prints = stored(item_prints(items), "prints")
+    index = prints.select("item", "n", "g", "m", "shift", "print", F.posexplode(
         F.array(*halves(F.col("print")))).alias("half", "key"))
-    kinds: dict[int, list[int]] = {}
-    for r in prints.select("g", "m").distinct().collect():  # at most 255 window sizes
-        kinds.setdefault(r["g"], []).append(r["m"])
+    kinds: dict[int, dict[int, tuple[int, int]]] = {}  # at most 255 window sizes
+    for r in prints.groupBy("g", "m").agg(F.max("n"), F.max("shift")).collect():
+        kinds.setdefault(r["g"], {})[r["m"]] = r[2], r[3]
     index = stored(index, "index")
     keys: dict[tuple[int, int], list[list[int]]] = {}
     if index.count() <= KEYS_IN_PLAN:
@@ -175,7 +206,7 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     found = None
     for g, sizes in sorted(kinds.items()):
-        part = _windows(texts, g, sorted(sizes), {m: keys.get((g, m)) for m in sizes})
+        part = _windows(texts, g, sizes, {m: keys.get((g, m)) for m in sizes})
         found = part if found is None else found.unionByName(part)
     if found is None:
         return None
@@ -183,26 +214,28 @@ def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "half", "key")).withColumnRenamed("print", "window")
     met = looked.join(sized_ids(index), ["g", "m", "half", "key"]).where(
         F.bit_count(F.col("window").bitwiseXOR(F.col("print"))) <= RADIUS)
-    begin = F.greatest(F.lit(0), F.col("line") * F.col("g") - (F.col("g") - 1))
+    begin = F.greatest(F.lit(0), F.col("line") * F.col("g") - F.col("back"))
     start = F.col("line") * F.col("g") - F.col("shift")
-    return met.where(start >= 0).select(
-        "doc_id", "mark", "item_id", "n", start.alias("start"), (start - begin).alias("at"),
-        "near")
+    cut = F.least(F.lit(0), start)  # below 0 if the text begins within the item
+    return met.select(
+        "doc_id", "mark", "item", (F.col("n") + cut).alias("n"),
+        (start - cut).alias("start"), (start - cut - begin).alias("at"), "near").where("n > 0")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, mark, item_id, start_word, similarity: the best window of each leaked item."""
-    met = candidates(docs, benchmark)
+    items = numbered(benchmark)
+    met = candidates(docs, items)
     kind = {"doc_id": docs.schema["doc_id"].dataType.simpleString(),
             "item_id": benchmark.schema["item_id"].dataType.simpleString()}
     if met is None:
         return docs.sparkSession.createDataFrame(
             [], f"doc_id {kind['doc_id']}, mark long, item_id {kind['item_id']}, "
                 "start_word long, similarity double")
-    weights = stored(item_weights(benchmark), "weights")
+    weights = stored(item_weights(items), "weights")
     window = F.slice("near", F.col("at") + 1, F.col("n"))
-    both = met.select("doc_id", "mark", "item_id", "start", shingles(window).alias("own")).join(
-        sized_ids(weights), "item_id")
+    both = met.select("doc_id", "mark", "item", "start", shingles(window).alias("own")).join(
+        sized_ids(weights), "item")
     shared = F.filter("weighted", lambda x: F.array_contains("own", x["s"]))
 
     def total(pairs: Column) -> Column:
