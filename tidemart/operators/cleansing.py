@@ -27,10 +27,10 @@ def _stamp(df: DataFrame, run_ts: Column | None) -> DataFrame:
 
 
 def type_products(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Whole-number price (null if it does not fit), default discount, parsed times."""
+    """Whole-number price (64 bits, cut towards zero), default discount, parsed times."""
     changes: dict[str, Column] = {}
     if "price" in df.columns:
-        changes["price"] = F.col("price").try_cast("int")
+        changes["price"] = F.col("price").try_cast("bigint")
     if "discount" in df.columns:
         changes["discount"] = F.coalesce("discount", F.lit("0%"))
     if "scraped_at" in df.columns:

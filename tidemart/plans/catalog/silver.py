@@ -34,7 +34,7 @@ def _(t):
 
 @query("d3_price_to_int", with_views("""
     select l_orderkey, l_linenumber, product_id, shop_id,
-      cast(cast(trunc(price) as int) as double) as price from raw_products"""))
+      cast(cast(trunc(price) as bigint) as double) as price from raw_products"""))
 def _(t):
     return cleansing.type_products(t.raw_products()).select(
         "l_orderkey", "l_linenumber", "product_id", "shop_id",
@@ -42,6 +42,19 @@ def _(t):
     )
 
 
+@query("d3_large_price", with_views("""
+    select l_orderkey, l_linenumber, product_id, shop_id,
+      cast(trunc(price * 100000) as bigint) as price
+    from raw_products where price * 100000 > 0"""))
+def _(t):
+    # Prices beyond 32 bits stay whole and pass the gate.
+    large = t.raw_products().withColumn("price", F.col("price") * 100000)
+    typed = cleansing.type_products(large)
+    return typed.where(F.col("price") > 0).select(
+        "l_orderkey", "l_linenumber", "product_id", "shop_id", "price"
+    )
+
+
 @query("d4_default_discount", with_views("""
     select product_id, l_orderkey, case when rating is null then '0%'
       else sold_count || '%' end as discount from raw_products"""))
@@ -93,11 +106,15 @@ def _(t):
 
 
 @query("d10_missing_required", with_views("""
-    select product_id, scraped_at from clean_products where false"""))
+    select 'valid' as kind, cast(0 as bigint) as rows
+    union all select 'missing_name', count(*) from clean_products"""))
 def _(t):
-    return quality.product_gate(t.clean_products().drop("name")).valid.select(
-        "product_id", "scraped_at"
-    )
+    # Without its name column a table has no valid row and every row is rejected for it.
+    gate = quality.product_gate(t.clean_products().drop("name"))
+    valid = gate.valid.agg(F.lit("valid").alias("kind"), F.count(F.lit(1)).alias("rows"))
+    named = gate.rejected.filter(F.col("reason") == "missing_name")
+    return valid.unionByName(named.agg(
+        F.lit("missing_name").alias("kind"), F.count(F.lit(1)).alias("rows")))
 
 
 @query("d11_product_report", with_views("""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import as_timestamp
+from tidemart.operators import monitoring
+from tidemart.plans.catalog import monitoring as _panels  # noqa: F401  registers the SQL used here
 from tidemart.plans.catalog.sources import PRODUCT, PRODUCT_SQL, landed_products
-from tidemart.plans.check_sql import rnd, with_views
-from tidemart.plans.registry import query
+from tidemart.plans.check_sql import with_views
+from tidemart.plans.registry import REGISTRY, query
 from tidemart.schemas import RAW_PRODUCT
 from tidemart.streaming import ingest, price_changes, rates
 
@@ -24,15 +27,33 @@ def _(t):
     return bronze.select(*PRODUCT, at.alias("scraped_at"))
 
 
-@query("x2_streaming_dedup", with_views(
-    "select distinct product_id, scraped_at from raw_products"))
+# Five deliveries, shuffled: snapshots of all times in each, the first two bring rows again.
+_SHARES = 5
+
+
+def _share(df, k):
+    """Share k by a fixed rule of the key; share 1 also brings share 0 again."""
+    part = F.pmod(F.col("product_id") * 7 + F.dayofyear("scraped_at"), F.lit(_SHARES))
+    return df.filter(part.isin([k, 0]) if k == 1 else part == k)
+
+
+@query("x2_streaming_dedup", with_views("""
+    select distinct product_id, case when product_id % 50 <> 0 then scraped_at end as scraped_at
+    from raw_products"""))
 def _(t):
+    # Some products have no time; new keys come years after later ones.
+    undated = F.when(F.col("product_id") % 50 != 0, F.col("scraped_at"))
+
     def run(path):
-        t.bronze_products()
-        bronze = t.path("bronze/products")
-        rows = ingest.table_stream(t.spark, bronze, t.spark.read.parquet(bronze).schema)
-        single = ingest.deduplicated(rows, ["product_id", "scraped_at"], "scraped_at", "30 days")
-        ingest.run_to_end(ingest.append_available(single, path, t.path("checkpoints/x2")))
+        bronze = t.bronze_products()
+        landing = t.path("x2/landing")
+        for k in range(_SHARES):
+            _share(bronze, k).withColumn("scraped_at", undated).write.mode("append").parquet(
+                landing)
+            rows = ingest.table_stream(t.spark, landing, bronze.schema)
+            ingest.run_to_end(ingest.append_new_keys(
+                rows, path, t.path("checkpoints/x2"), ["product_id", "scraped_at"],
+                "scraped_at"))
 
     return t.spark.read.parquet(t.once("x2/single", run)).select(
         "product_id", F.col("scraped_at").cast("timestamp_ntz").alias("scraped_at")
@@ -54,68 +75,67 @@ def _requests(t):
 def _panel(t, name, build):
     def run(path):
         rows = build(_requests(t))
-        ingest.run_to_end(ingest.append_available(rows, path, t.path(f"checkpoints/{name}")))
+        ingest.run_to_end(ingest.update_available(rows, path, t.path(f"checkpoints/{name}")))
 
-    found = t.spark.read.parquet(t.once(name, run))
+    path = t.once(name, run)
+    found = ingest.latest_rows(t.spark, path, ["window_start", "window_end", "handler"])
     return found.withColumns({
         c: found[c].cast("timestamp_ntz") for c in ("window_start", "window_end")
     })
 
 
-def _closed_sql(columns, where="true"):
-    """Windows the watermark (10 minutes behind the last of the chosen requests) has
-    passed; Spark filters by status before it takes the watermark."""
-    return with_views(f"""
-        select handler, date_trunc('minute', ts) as window_start,
-          date_trunc('minute', ts) + interval 1 minute as window_end, {columns}
-        from http_requests where {where}
-        group by 1, 2, 3
-        having window_end <= (select max(ts) - interval 10 minute from http_requests
-                              where {where})""")
-
-
-_RATE = f"count(*) as requests, {rnd('count(*) / 60', 6)} as per_second"
+@query("x3_request_rate", REGISTRY["m1_request_rate"].sql)
+def _(t):
+    return _panel(t, "x3_rate", lambda rows: rates.request_rate(rows, "10 minutes"))
 
 
-@query("x3_request_rate", _closed_sql(_RATE))
+@query("x3_sliding_request_rate", REGISTRY["m1_sliding_request_rate"].sql)
 def _(t):
-    return _panel(t, "x3_rate", lambda rows: rates.request_rate(rows, "10 minutes"))
+    return _panel(t, "x3_sliding", lambda rows: rates.request_rate(
+        rows, "10 minutes", slide=monitoring.SCRAPE_INTERVAL))
 
 
-@query("x3_mean_duration", _closed_sql(
-    f"count(*) as requests, {rnd('sum(duration) / count(*)', 6)} as mean_duration"))
+@query("x3_mean_duration", REGISTRY["m2_mean_duration"].sql)
 def _(t):
     return _panel(t, "x3_duration", lambda rows: rates.mean_duration(rows, "10 minutes"))
 
 
-@query("x3_server_error_rate", _closed_sql(_RATE, "status = '500'"))
+@query("x3_server_error_rate", REGISTRY["m3_server_error_rate"].sql)
 def _(t):
     return _panel(t, "x3_errors", lambda rows: rates.error_rate(rows, 5, "10 minutes"))
 
 
-# Upper bounds of the three deliveries in which the snapshots arrive.
-_DELIVERIES = [(None, "1996-01-01"), ("1996-01-01", "1999-01-01"), ("1999-01-01", None)]
+@query("x3_client_error_rate", REGISTRY["m4_client_error_rate"].sql)
+def _(t):
+    return _panel(t, "x3_client_errors", lambda rows: rates.error_rate(rows, 4, "10 minutes"))
 
 
 def _deliver(t, path):
-    snapshots = t.silver_products().select("product_id", "scraped_at", "price")
+    """All snapshots in five shuffled deliveries; most are late, some undated."""
+    snapshots = t.silver_products().select(
+        "product_id", _undated().alias("scraped_at"), "price", F.col("scraped_at").alias("at"))
     landing = t.path("x4/landing")
-    at = F.col("scraped_at")
-    for low, high in _DELIVERIES:
-        slice_ = snapshots
-        if low:
-            slice_ = slice_.filter(at >= F.lit(low).cast("timestamp_ntz"))
-        if high:
-            slice_ = slice_.filter(at < F.lit(high).cast("timestamp_ntz"))
-        slice_.write.mode("append").parquet(landing)
-        rows = ingest.table_stream(t.spark, landing, snapshots.schema)
+    schema = snapshots.drop("at").schema
+    for k in range(_SHARES):
+        part = F.pmod(F.col("product_id") * 7 + F.dayofyear("at"), F.lit(_SHARES))
+        snapshots.filter(part == k).drop("at").write.mode("append").parquet(landing)
+        rows = ingest.table_stream(t.spark, landing, schema)
         ingest.run_to_end(price_changes.start(
             rows, path, t.path("x4/state"), t.path("checkpoints/x4")
         ))
 
 
+def _undated():
+    """One product in fifty loses the time of its first snapshot, the earliest in its history."""
+    first = F.min("scraped_at").over(Window.partitionBy("product_id"))
+    return F.when((F.col("product_id") % 50 != 0) | (F.col("scraped_at") != first),
+                  F.col("scraped_at"))
+
+
 @query("x4_streaming_price_changes", with_views("""
-    select product_id, scraped_at, price, cast(previous_price as double) as previous_price,
+    select product_id, case when product_id % 50 <> 0 or previous_price is not null
+        or scraped_at <> min(scraped_at) over (partition by product_id) then scraped_at end
+        as scraped_at, price, cast(previous_price as double) as previous_price,
       price_change_pct, is_discount_suspicious from price_history"""))
 def _(t):
     path = t.once("x4/changes", lambda p: _deliver(t, p))

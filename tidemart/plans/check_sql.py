@@ -44,7 +44,7 @@ VIEWS = {
         qualify row_number() over (partition by product_id, scraped_at order by l_orderkey,
           l_linenumber, shop_id, price nulls first, l_quantity) = 1""",
     "clean_products": """
-        select * replace (cast(trunc(price) as int) as price) from single_products""",
+        select * replace (cast(trunc(price) as bigint) as price) from single_products""",
     "silver_products": """
         select * from clean_products
         where product_id is not null and price > 0 and length(trim(name, ' ')) > 0

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.sources.jsonl import CORRUPT, LANDED_FILES
+from tidemart.operators.ordered import drop_repeats
+from tidemart.sources.jsonl import CORRUPT, LANDED_FILES, load_or_empty
+
+EPOCH, MONTH = "epoch", "__month"
+NO_MONTH = "none"
+MAX_MONTHS = 1000  # months of one micro-batch that are listed to prune the lookup
 
 
 def landed_stream(
@@ -51,10 +56,81 @@ def with_event_time(rows: DataFrame, ts: str, delay: str) -> DataFrame:
     return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def deduplicated(rows: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """First arrival per key. State is kept until the watermark passes; a copy that
-    arrives within the delay is dropped, one that arrives later counts as new."""
-    return with_event_time(rows, ts, delay).dropDuplicatesWithinWatermark(keys)
+def _with_month(rows: DataFrame, ts: str) -> DataFrame:
+    """Month of each row's time, as the folders of `append_new_keys` name it."""
+    return rows.withColumn(MONTH, F.coalesce(
+        F.date_format(F.col(ts).cast("timestamp"), "yyyy-MM"), F.lit(NO_MONTH)))
+
+
+def new_keys(
+    batch: DataFrame, epoch: int, path: str, keys: list[str], ts: str,
+    tie_break: list[Column] | None = None,
+) -> DataFrame:
+    """Rows of a micro-batch whose key no earlier epoch has written, one per key.
+
+    `ts` must be one of the keys: equal keys then lie in the same month, so only the folders of
+    the batch's months are read. A null key equals a null key.
+    """
+    rows = _with_month(drop_repeats(batch, keys, tie_break), ts)
+    if epoch == 0:
+        return rows
+    months = [r[MONTH] for r in rows.select(MONTH).distinct().limit(MAX_MONTHS + 1).collect()]
+    known = load_or_empty(batch.sparkSession, lambda: batch.sparkSession.read.schema(
+        T.StructType([*rows.schema.fields, T.StructField(EPOCH, T.LongType())])
+    ).parquet(path), T.StructType([*rows.schema.fields, T.StructField(EPOCH, T.LongType())]))
+    known = known.filter(F.col(EPOCH) < epoch)
+    if len(months) <= MAX_MONTHS:
+        known = known.filter(F.col(MONTH).isin(months))
+    seen = known.select(*[F.col(k).alias(f"__{k}") for k in [*keys, MONTH]])
+    same = [rows[k].eqNullSafe(seen[f"__{k}"]) for k in [*keys, MONTH]]
+    return rows.join(seen, same, "left_anti")
+
+
+def append_new_keys(
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str,
+    tie_break: list[Column] | None = None,
+) -> StreamingQuery:
+    """Append the first arrival of every key to a table, however late it comes.
+
+    Keys already written are looked up in the table itself, in the months of the batch, so
+    no state expires and no row is lost. Every epoch writes a folder of its own; a repeated
+    epoch replaces what it wrote before.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        fresh = new_keys(batch, epoch, path, keys, ts, tie_break)
+        fresh.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(f"{path}/{EPOCH}={epoch}")
+
+    return (
+        rows.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def update_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every changed aggregate row of everything available now, one folder per epoch,
+    and stop. Windows that are still open are written too."""
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+
+    return (
+        rows.writeStream.foreachBatch(each)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last written row of every key from the folders of `update_available`."""
+    written = spark.read.parquet(path)
+    values = [c for c in written.columns if c not in (*keys, EPOCH)]
+    last = written.groupBy(*keys).agg(F.max_by(F.struct(*values), EPOCH).alias("__last"))
+    return last.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in values])
 
 
 def append_available(

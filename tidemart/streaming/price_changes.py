@@ -5,7 +5,9 @@ next to the results. Every epoch writes its own folders, so a repeated epoch rep
 exactly what it wrote before. Most epochs store only the products they saw; every
 `FULL_EVERY`-th stores all products, so a batch reads one full state and a few small ones.
 
-A snapshot not newer than the last known one of its product is late and is dropped.
+A product with a late or undated snapshot, one that does not come after the last known one, is
+recomputed from all its snapshots, read back from the results, and written whole in the new epoch.
+Of several rows of a snapshot, the one of the latest epoch holds.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tidemart.operators.history import with_changes
 from tidemart.operators.ordered import drop_repeats, previous_values
 
 FULL_EVERY = 20
+_NO_TIME = "0001-01-01 00:00:00"
 RESULT = [
     "product_id", "scraped_at", "price", "previous_price", "price_change_abs",
     "price_change_pct", "days_since_last_seen", "is_price_increased", "is_price_decreased",
@@ -31,7 +34,9 @@ def _epoch_path(base: str, epoch: int) -> str:
 
 def _last_known(state: DataFrame) -> DataFrame:
     return state.groupBy("product_id").agg(
-        F.max_by("price", "scraped_at").alias("price"), F.max("scraped_at").alias("scraped_at")
+        F.max_by("price", F.coalesce("scraped_at", F.lit(_NO_TIME).cast(
+            state.schema["scraped_at"].dataType))).alias("price"),
+        F.max("scraped_at").alias("scraped_at"),
     )
 
 
@@ -49,44 +54,74 @@ def process_batch(batch: DataFrame, epoch: int, out_dir: str, state_dir: str) ->
     rows = drop_repeats(narrow, ["product_id", "scraped_at"])
     before = _known_before(batch, state_dir, epoch)
     if before is None:
-        fresh = rows.withColumns({
+        marked = rows.withColumns({
             "known_price": F.lit(None).cast(rows.schema["price"].dataType),
             "known_at": F.lit(None).cast(rows.schema["scraped_at"].dataType),
+            "late": F.lit(False),
         })
     else:
         known = before.select(
-            "product_id", F.col("price").alias("known_price"),
-            F.col("scraped_at").alias("known_at"),
+            F.col("product_id").alias("__known"), F.col("price").alias("known_price"),
+            F.col("scraped_at").alias("known_at"), F.lit(True).alias("is_known"),
         )
-        fresh = rows.join(known, "product_id", "left").filter(
-            F.col("known_at").isNull() | (F.col("scraped_at") > F.col("known_at"))
-        )
-    fresh.persist()
+        newer = F.coalesce(F.col("scraped_at") > F.col("known_at"), F.lit(False))
+        marked = rows.join(
+            known, F.col("product_id").eqNullSafe(F.col("__known")), "left"
+        ).withColumn("late", F.coalesce("is_known", F.lit(False)) & ~newer).drop(
+            "__known", "is_known")
+    marked.persist()
     try:
-        _write_epoch(fresh, before, epoch, out_dir, state_dir)
+        _write_epoch(marked, before, epoch, out_dir, state_dir)
     finally:
-        fresh.unpersist()
+        marked.unpersist()
 
 
-def _write_epoch(
-    fresh: DataFrame, before: DataFrame | None, epoch: int, out_dir: str, state_dir: str
-) -> None:
-    lagged = previous_values(
-        fresh, ["product_id"], "scraped_at",
+def _lagged(rows: DataFrame) -> DataFrame:
+    return previous_values(
+        rows, ["product_id"], "scraped_at",
         {"previous_price": "price", "previous_scraped_at": "scraped_at"},
     )
-    is_first = F.col("previous_scraped_at").isNull()
+
+
+def _rebuilt(marked: DataFrame, late: DataFrame, epoch: int, out_dir: str) -> DataFrame:
+    """All snapshots of the late products: those written before, then new ones."""
+    earlier = read_changes(marked.sparkSession, out_dir, epoch).select(
+        "product_id", "scraped_at", "price", F.lit(0).alias("turn"))
+    new = marked.select("product_id", "scraped_at", "price", F.lit(1).alias("turn"))
+    both = earlier.unionByName(new)
+    chosen = both.join(
+        late, both["product_id"].eqNullSafe(late["late_id"]), "left_semi")
+    first = drop_repeats(chosen, ["product_id", "scraped_at"], [F.col("turn")])
+    return _lagged(first.drop("turn"))
+
+
+def _write_epoch(
+    marked: DataFrame, before: DataFrame | None, epoch: int, out_dir: str, state_dir: str
+) -> None:
+    late = marked.filter("late").select(F.col("product_id").alias("late_id")).distinct()
+    some_late = before is not None and not late.isEmpty()
+    fresh = marked.drop("late")
+    if some_late:
+        fresh = fresh.join(
+            late, fresh["product_id"].eqNullSafe(late["late_id"]), "left_anti")
+    lagged = _lagged(fresh)
+    is_first = F.col("previous_scraped_at").isNull() & F.col("previous_price").isNull()
     continued = lagged.withColumns({
         "previous_price": F.when(is_first, F.col("known_price"))
         .otherwise(F.col("previous_price")),
-        "previous_scraped_at": F.coalesce("previous_scraped_at", "known_at"),
+        "previous_scraped_at": F.when(is_first, F.col("known_at"))
+        .otherwise(F.col("previous_scraped_at")),
     })
-    with_changes(continued).select(*RESULT).write.mode("overwrite").parquet(
-        _epoch_path(out_dir, epoch)
-    )
-    state = _last_known(fresh)
-    if before is not None and (epoch + 1) % FULL_EVERY == 0:
-        state = _last_known(before.unionByName(state))
+    changes = with_changes(continued).select(*RESULT)
+    if some_late:
+        rebuilt = with_changes(_rebuilt(marked, late, epoch, out_dir)).select(*RESULT)
+        changes = changes.unionByName(rebuilt)
+    changes.write.mode("overwrite").parquet(_epoch_path(out_dir, epoch))
+    state = _last_known(marked.select("product_id", "scraped_at", "price"))
+    if before is not None:
+        seen = before.join(state.select("product_id"), "product_id", "left_semi")
+        whole = (epoch + 1) % FULL_EVERY == 0
+        state = _last_known((before if whole else seen).unionByName(state))
     state.write.mode("overwrite").parquet(_epoch_path(state_dir, epoch))
 
 
@@ -106,5 +141,13 @@ def start(
     )
 
 
-def read_changes(spark, out_dir: str) -> DataFrame:
-    return spark.read.parquet(out_dir).select(*RESULT)
+def read_changes(spark, out_dir: str, before: int | None = None) -> DataFrame:
+    """Each snapshot's row of the latest epoch, of those below `before` if that is given."""
+    written = spark.read.parquet(out_dir)
+    if before is not None:
+        written = written.filter(F.col("epoch") < before)
+    values = [c for c in RESULT if c not in ("product_id", "scraped_at")]
+    last = written.groupBy("product_id", "scraped_at").agg(
+        F.max_by(F.struct(*values), "epoch").alias("__last"))
+    return last.select("product_id", "scraped_at", *[
+        F.col(f"__last.{c}").alias(c) for c in values]).select(*RESULT)
