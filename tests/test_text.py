@@ -38,16 +38,18 @@ def test_raw_labels_map_by_content(spark, raw, label):
 
 def test_model_scorer_survives_failing_rows(spark):
     def load():
-        def predict(text):
-            if "boom" in text:
-                raise RuntimeError(text)
-            return "negative" if "bad" in text else "positive"
+        def predict(batch):
+            if batch.str.contains("boom").any():
+                raise RuntimeError("boom")
+            return batch.map(lambda text: "negative" if "bad" in text else "positive")
         return predict
 
     df = texts(spark, "bad", "good", "boom", "", None)
     got = sentiment.score_sentiment(df, sentiment.model_scorer(load))
     assert column(got, "sentiment_label") == [
         "negative", "positive", "neutral", "neutral", "neutral"]
+    counts = sentiment.failed_rows(df, sentiment.model_scorer(load)).first()
+    assert (counts.scored, counts.failed) == (3, 1)
 
 
 def test_text_column_preference(spark):

@@ -171,6 +171,27 @@ def roll_up(profiles: DataFrame) -> DataFrame:
     )
 
 
+def report_document(
+    profiles: DataFrame, steps: DataFrame, paths: Column, generated_at: str, seconds: float
+) -> DataFrame:
+    """One row: when and how long, all layers with their paths, the funnel and the roll-up.
+
+    `profiles` has a row per layer and `steps` a row per watched step, so both lists are short.
+    """
+    layers = profiles.withColumn("path", F.element_at(paths, F.col("layer"))).agg(
+        F.array_sort(F.collect_list(F.struct("layer", "path", "status", "row_count",
+                                             "column_count", "duplicate_count",
+                                             "duplicate_rate", "bad_price_count", "issues")))
+        .alias("layers"))
+    funnels = steps.agg(F.array_sort(F.collect_list(F.struct(
+        "src", "dst", "src_rows", "dst_rows", "drop_pct", "is_high"))).alias("funnel"))
+    total = F.aggregate("layers", F.lit(0), lambda n, x: n + F.size(x["issues"]))
+    return layers.join(F.broadcast(funnels), F.lit(True)).select(
+        F.lit(generated_at).alias("generated_at"), F.lit(seconds).alias("duration_seconds"),
+        "layers", "funnel", total.alias("total_issues"),
+        F.when(total == 0, "ok").otherwise("warning").alias("overall_status"))
+
+
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """`(name, rows)` per table."""
     return union_measures([

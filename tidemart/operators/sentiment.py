@@ -7,15 +7,17 @@ batches, loading it once per worker.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import text_column
 from tidemart.functions.numeric import percent
 from tidemart.functions.text import is_blank, tokens
+from tidemart.session import ship_code
 
 Scorer = Callable[[Column], Column]
 
@@ -44,26 +46,63 @@ def lexicon_scorer(positive: list[str], negative: list[str]) -> Scorer:
     return score
 
 
-def model_scorer(load: Callable[[], Callable[[str], str]]) -> Scorer:
-    """Wrap a model. `load` returns the function text -> raw label; a failing row is
-    neutral."""
+FAILED = "failed"
+_models: dict[str, Callable[[pd.Series], pd.Series]] = {}
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = load()
 
-        def one(text):
-            try:
-                return str(predict(text)) if text else "neutral"
-            except Exception:
-                return "neutral"
+def _batch_labels(predict: Callable[[pd.Series], pd.Series], texts: pd.Series) -> pd.Series:
+    """Labels of a batch; if it fails, of its halves, so that only failing rows are marked."""
+    try:
+        return pd.Series(predict(texts), index=texts.index).astype("object")
+    except Exception:
+        if len(texts) <= 1:
+            return pd.Series([FAILED] * len(texts), index=texts.index, dtype="object")
+        half = len(texts) // 2
+        return pd.concat([_batch_labels(predict, part)
+                          for part in (texts.iloc[:half], texts.iloc[half:])])
+
+
+def _loaded(key: str, load: Callable[[], Callable]) -> Callable[[pd.Series], pd.Series]:
+    """The model of this worker process."""
+    if key not in _models:
+        _models[key] = load()
+    return _models[key]
+
+
+def _labels(predict: Callable[[pd.Series], pd.Series], batch: pd.Series) -> pd.Series:
+    labels = pd.Series(["neutral"] * len(batch), index=batch.index, dtype="object")
+    filled = batch[batch.notna() & (batch != "")]
+    if len(filled):
+        labels[filled.index] = _batch_labels(predict, filled).astype(str)
+    return labels
+
 
+def model_scorer(
+    load: Callable[[], Callable[[pd.Series], pd.Series]], name: str | None = None
+) -> Scorer:
+    """Wrap a model. `load` returns the function batch of texts -> raw labels; it runs once per
+    worker process for each `name`. Rows that the model fails on have the raw label `failed`,
+    which counts as neutral; `failed_rows` counts them."""
+    key = name or uuid.uuid4().hex
+    ship_code(SparkSession.getActiveSession())
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = _loaded(key, load)
         for batch in batches:
-            yield batch.map(one)
+            yield _labels(predict, batch)
 
     return run
 
 
+def failed_rows(df: DataFrame, scorer: Scorer, text_col: str | None = None) -> DataFrame:
+    """One row: texts that are not blank, and those the model failed on."""
+    text = F.col(text_column(df, text_col))
+    raw = df.select(F.when(~is_blank(text), scorer(text)).alias("raw"))
+    return raw.agg(F.count("raw").alias("scored"),
+                   F.count_if(F.col("raw") == FAILED).alias("failed"))
+
+
 def normal_label(raw: Column) -> Column:
     """Map a model's raw label to one of the three labels by what it contains."""
     low = F.lower(raw)

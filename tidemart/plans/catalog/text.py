@@ -29,12 +29,32 @@ def _(t):
       case when regexp_matches(review_text, '[!?]') then 'negative' else 'neutral' end
         as sentiment_label
     from clean_texts"""))
+def _(t):
+    scored = sentiment.score_sentiment(t.clean_texts(), sentiment.model_scorer(_load_model))
+    return scored.select("review_id", "sentiment_label")
+
+
+def _load_model():
+    def predict(texts):
+        asks = texts.str.contains("[!?]")
+        return asks.map({True: "NEGATIVE (0.9)", False: "other"})
+
+    return predict
+
+
+@query("n2_failed_rows", with_views(r"""
+    select count(*) as scored, count(*) filter (regexp_matches(review_text, '[!?]')) as failed
+    from clean_texts where regexp_matches(review_text, '\S')"""))
 def _(t):
     def load():
-        return lambda text: "NEGATIVE (0.9)" if "!" in text or "?" in text else "other"
+        def predict(texts):
+            if texts.str.contains("[!?]").any():
+                raise ValueError("no label for this text")
+            return texts.map(lambda _: "positive")
 
-    scored = sentiment.score_sentiment(t.clean_texts(), sentiment.model_scorer(load))
-    return scored.select("review_id", "sentiment_label")
+        return predict
+
+    return sentiment.failed_rows(t.clean_texts(), sentiment.model_scorer(load))
 
 
 @query("n3_sentiment_table", with_views("""

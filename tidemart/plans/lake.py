@@ -6,6 +6,7 @@ most one step and no step depends on cached blocks.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -112,6 +113,7 @@ def gold_topics(lake: Lake, stopwords: list[str] | None = None) -> None:
     lake.write(built.select(*NEGATIVE_TOPIC.fieldNames()), "gold/negative_topics")
 
 
+# Layer labels.
 PROFILED = {
     "Bronze.Products": "bronze/products",
     "Bronze.Reviews": "bronze/reviews",
@@ -124,34 +126,49 @@ PROFILED = {
 }
 
 
-def layer_measures(lake: Lake, layers: dict[str, str] | None = None) -> DataFrame:
-    """Measures of all layers; one not written yet or unreadable is reported as such."""
+def layer_measures(
+    lake: Lake, layers: dict[str, str] | None = None, run_id: str = "latest"
+) -> DataFrame:
+    """Measures of all layers; one not written yet or unreadable is reported as such.
+
+    Each layer is counted and its few measure rows are written on their own, so a corrupt part
+    file stops its own layer only.
+    """
     parts = []
     for label, name in (layers or PROFILED).items():
+        path = f"{lake.path('reports')}/measures/{run_id}/{label}"
         try:
             df = tables.read_parquet_dir(lake.spark, lake.path(name)) \
                 if lake.fmt == "parquet" else lake.read(name)
+            found = profiling.measures(df, label) if df.columns \
+                else profiling.absent_measures(lake.spark, label)
+            found.coalesce(1).write.mode("overwrite").parquet(path)
+            parts.append(lake.spark.read.schema(found.schema).parquet(path))
         except Exception:
             parts.append(profiling.absent_measures(lake.spark, label, "error"))
-            continue
-        parts.append(
-            profiling.measures(df, label) if df.columns
-            else profiling.absent_measures(lake.spark, label)
-        )
     return profiling.union_measures(parts)
 
 
 def quality_check(lake: Lake, run_ts: datetime) -> DataFrame:
-    """Write profile, funnel and roll-up reports; returns the profile."""
+    """Write profile, funnel and roll-up reports and one document with all of them; returns the
+    profile."""
+    started = time.monotonic()
     run_id = run_ts.strftime("%Y%m%d_%H%M%S")
     reports_dir = lake.path("reports")
-    long = layer_measures(lake)
+    long = layer_measures(lake, run_id=run_id)
     profiles = profiling.profile(long)
     reports.write_report(profiles, reports_dir, "profile", run_id)
     written = reports.read_report(lake.spark, profiles.schema, reports_dir, "profile", run_id)
     counts = written.select(F.col("layer").alias("name"), F.col("row_count").alias("rows"))
-    reports.write_report(profiling.funnel(counts), reports_dir, "funnel", run_id)
+    steps = profiling.funnel(counts)
+    reports.write_report(steps, reports_dir, "funnel", run_id)
     reports.write_report(profiling.roll_up(written), reports_dir, "summary", run_id)
+    paths = F.create_map(*[F.lit(x) for label, name in PROFILED.items()
+                           for x in (label, lake.path(name))])
+    reports.write_report(
+        profiling.report_document(written, steps, paths, run_ts.isoformat(),
+                                  round(time.monotonic() - started, 1)),
+        reports_dir, "document", run_id)
     return written
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemart-")
     return _local_dirs[context.applicationId]
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, so that they need no installed copy (once a session)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemart-code-"), "tidemart_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
