@@ -2,41 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.session import shared_dir
+from tidemart.session import ship_code, shared_dir  # noqa: F401
 
 # Id lists up to this many rows (16 bytes each) are sent to every executor; longer ones are
 # joined by a shuffle. Both ways give the same rows.
 BROADCAST_IDS = 500_000
 
 
-_shipped: set[str] = set()
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package, so that they need no installed copy (once a session)."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="tidemart-code-"), "tidemart_code.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share."""
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
