@@ -50,7 +50,7 @@ _UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 def letter_words(text: str | None) -> list[str]:
     """Runs of letters of a text, opened by the word mark and cut to MAX_RUN."""
     words = RUNS.findall(text.lower()) if text else []
-    if any(len(w) > MAX_RUN for w in words) or not all(map(str.isalpha, words)):
+    if max(map(len, words), default=0) > MAX_RUN or not all(map(str.isalpha, words)):
         words = ["".join(c for c in w if c.isalpha()) for w in words]
         return [(MARK if i == 0 else "") + w[i:i + MAX_RUN]
                 for w in words for i in range(0, len(w), MAX_RUN)]
@@ -88,7 +88,10 @@ class Pieces:
             sums, starts = _codes([p for _, p in own])
             keys = self._keys(sums, starts[:-1], length)
             order = np.argsort(keys)
-            self.by_length[length] = keys[order], np.array([i for i, _ in own], np.int64)[order]
+            seen = np.zeros(1 << 18, bool)  # sorts out most places before the search
+            seen[keys >> U64(46)] = True
+            self.by_length[length] = (
+                keys[order], np.array([i for i, _ in own], np.int64)[order], seen)
 
     @staticmethod
     def _keys(sums, starts, length):
@@ -98,11 +101,13 @@ class Pieces:
         """Starts of the words, and for each length the piece at every place, -1 for none."""
         sums, starts = _codes(words)
         total, found = len(sums) - 1, []
-        for length, (keys, numbers) in self.by_length.items():
-            at = np.arange(max(0, total - length + 1))
+        for length, (keys, numbers, seen) in self.by_length.items():
+            ends = max(0, total - length + 1)
             own = np.full(total, 0 if length == 1 else -1, np.int64)
-            if len(keys) and len(at):
-                wanted = self._keys(sums, at, length)
+            if len(keys) and ends:
+                wanted = mix((sums[length:length + ends] - sums[:ends]) * _DOWN[:ends])
+                at = np.flatnonzero(seen[wanted >> U64(46)])
+                wanted = wanted[at]
                 near = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
                 hit = keys[near] == wanted
                 own[at[hit]] = numbers[near[hit]]
@@ -116,7 +121,6 @@ def forward(pieces: Pieces, words: list[str], probs: np.ndarray) -> np.ndarray:
     `probs` has a row for each piece and a column for each language.
     """
     out = np.zeros((len(words), probs.shape[1]))
-    table = np.vstack((probs, np.zeros(probs.shape[1])))  # index -1: no such piece
     for at in range(0, len(words), 4096):
         part = sorted(range(at, min(at + 4096, len(words))), key=lambda i: -len(words[i]))
         starts, found = pieces.places([words[i] for i in part])
@@ -127,7 +131,8 @@ def forward(pieces: Pieces, words: list[str], probs: np.ndarray) -> np.ndarray:
             now = np.zeros((live, probs.shape[1]))
             for length in range(1, min(MAX_PIECE, t) + 1):
                 piece = found[length - 1][starts[:live] + t - length]
-                now += ways[t - length][:live] * table[piece]
+                there = np.flatnonzero(piece >= 0)
+                now[there] += ways[t - length][there] * probs[piece[there]]
             ways.append(now)
         for t in range(1, int(sizes[0]) + 1):
             own = np.flatnonzero(sizes == t)
