@@ -165,3 +165,22 @@ def test_volatility(spark):
     assert column(serving.price_volatility(df), "product_id") == [2, 4, 1]
     assert column(serving.price_volatility(df, 1), "product_id") == [2]
     assert column(serving.price_volatility(df, suspicious_only=True), "product_id") == [2]
+
+
+@pytest.mark.parametrize("sort_by, sort_order", [
+    ("price", "desc"), ("price", "asc"), ("unknown", "asc"), ("product_id", "desc")])
+def test_pages_after_a_row_equal_numbered_pages(spark, sort_by, sort_order):
+    df = spark.createDataFrame(
+        [(i, f"p{i}", None if i % 5 == 0 else i * 7 % 4) for i in range(23)] + [(None, "x", 2)],
+        "product_id long, name string, price long")
+    last, page, seen = None, 1, 0
+    while True:
+        want = serving.list_products(
+            df, page=page, page_size=4, sort_by=sort_by, sort_order=sort_order).collect()
+        if last is not None:
+            got = serving.products_after(df, last, 4, sort_by, sort_order).collect()
+            assert got == want
+        if not want:
+            break
+        last, page, seen = want[-1].asDict(), page + 1, seen + len(want)
+    assert seen == 24

@@ -23,6 +23,11 @@ CURRENCY = "VND"
 PLATFORM = "shopee"
 NAME_MAX = 1000
 MAX_REVIEWS = 100
+# Fields that must be whole, and the Unix seconds of the years 1 to 9999.
+WHOLE_PRODUCT = ["itemid", "shopid", "catid", "cmt_count", "historical_sold", "liked_count",
+                 "stock"]
+WHOLE_REVIEW = ["cmtid", "rating_star", "like_count"]
+TIME_RANGE = (-62135596800, 253402300799)
 
 
 # Types of the payload fields that are read.
@@ -41,6 +46,15 @@ def _read(raw: Column, kind: str) -> Column:
     return F.struct(raw.alias("raw"), F.try_variant_get(raw, "$", kind).alias("typed"))
 
 
+def _fits(raw: Column, names: list[str]) -> Column:
+    """False if any of the named fields holds a number with a fraction."""
+    fits = F.lit(True)
+    for name in names:
+        value = F.try_variant_get(raw, f"$.{name}", "double")
+        fits = fits & F.coalesce(value == F.floor(value), F.lit(True))
+    return fits
+
+
 def _or_default(name: str, default) -> Column:
     """A typed field; the default if the object has no such key, null if it is null."""
     absent = F.try_variant_get("raw", f"$.{name}", "variant").isNull()
@@ -114,6 +128,7 @@ def flatten_products(responses: DataFrame) -> DataFrame:
         _or_default("liked_count", 0).alias("liked_count"),
         _or_default("stock", 0).alias("stock"),
         media_url(F.col("typed.image")).alias("image_url"),
+        _fits(F.col("raw"), WHOLE_PRODUCT).alias("whole"),
         *_context(responses),
     )
 
@@ -137,7 +152,12 @@ def _violations(checks: dict[str, Column]) -> Column:
     ]))
 
 
+def _flagged(df: DataFrame, name: str, column: str) -> dict[str, Column]:
+    return {name: F.col(column)} if column in df.columns else {}
+
+
 def check_products(df: DataFrame) -> DataFrame:
+    """Add the names of the failed checks; `whole` marks fields with a fraction."""
     def optional(name, passed):
         return F.col(name).isNull() | passed
 
@@ -150,8 +170,9 @@ def check_products(df: DataFrame) -> DataFrame:
         "original_price": optional("original_price", F.col("original_price") >= 0),
         "rating": optional("rating", F.col("rating").between(0, 5)),
         **{c: F.col(c) >= 0 for c in counters},
+        **_flagged(df, "whole_number", "whole"),
     }
-    return df.withColumn("violations", _violations(checks))
+    return df.withColumn("violations", _violations(checks)).drop("whole")
 
 
 def parse_products(responses: DataFrame, run_ts: Column) -> DataFrame:
@@ -199,9 +220,12 @@ def flatten_reviews(responses: DataFrame) -> DataFrame:
         image_urls(F.col("typed.images")).alias("images"),
         video_urls(F.col("typed.videos")).alias("videos"),
         _or_default("like_count", 0).alias("like_count"),
-        unix_time(F.col("typed.ctime")).alias("created_at"),
+        F.when(F.col("typed.ctime").between(*TIME_RANGE), unix_time(F.col("typed.ctime")))
+        .alias("created_at"),
         F.lit(None).cast("double").alias("sentiment_score"),
         F.lit(None).cast("string").alias("sentiment_label"),
+        _fits(F.col("raw"), WHOLE_REVIEW).alias("whole"),
+        F.coalesce(F.col("typed.ctime").between(*TIME_RANGE), F.lit(True)).alias("dated"),
         *_context(responses),
     )
 
@@ -215,7 +239,9 @@ def check_reviews(df: DataFrame) -> DataFrame:
         "rating": F.col("rating").between(1, 5),
         "like_count": F.col("like_count") >= 0,
         "sentiment_score": score.isNull() | score.between(-1, 1),
-    }))
+        **_flagged(df, "whole_number", "whole"),
+        **_flagged(df, "created_at", "dated"),
+    })).drop("whole", "dated")
 
 
 def parse_reviews(responses: DataFrame, run_ts: Column) -> DataFrame:

@@ -100,6 +100,37 @@ def list_products(
     return ordered.offset((page - 1) * page_size).limit(page_size)
 
 
+def products_after(
+    metrics: DataFrame,
+    last: dict,
+    page_size: int = DEFAULT_PAGE_SIZE,
+    sort_by: str = "avg_rating",
+    sort_order: str = "desc",
+    **filters,
+) -> DataFrame:
+    """The page that follows a row: `last` has that row's values of the sort columns.
+
+    A deep page is found by a filter and a short limit, so no task holds the skipped rows.
+    """
+    _check(1 <= page_size <= MAX_PAGE_SIZE, f"page_size must be in 1..{MAX_PAGE_SIZE}")
+    found = matching_products(metrics, **filters)
+    order = ordering(found, sort_by, sort_order)
+    names = [sort_by] if sort_by in found.columns else []
+    names += [c for c in ("product_id", "scraped_at") if c in found.columns and c != sort_by]
+    beyond, same = F.lit(False), F.lit(True)
+    for name in names:
+        column, value = F.col(name), last[name]
+        if name == sort_by:  # nulls come last
+            falls = sort_order.lower() != "asc"
+            later = F.lit(False) if value is None else (
+                (column < value if falls else column > value) | column.isNull())
+        else:  # nulls come first
+            later = column.isNotNull() if value is None else column > value
+        beyond = beyond | (same & F.coalesce(later, F.lit(False)))
+        same = same & column.eqNullSafe(F.lit(value))
+    return found.filter(beyond).orderBy(*order).limit(page_size)
+
+
 def count_products(
     metrics: DataFrame, page_size: int = DEFAULT_PAGE_SIZE, **filters
 ) -> DataFrame:

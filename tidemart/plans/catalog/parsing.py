@@ -81,6 +81,22 @@ def _(t):
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
+_CONSTRAINTS = {
+    "product_id": "true", "shop_id": "true", "name": "length(name) between 1 and 1000",
+    "price": "coalesce(shown_price > 0, false)", "original_price": "true",
+    "rating": "coalesce(rating <= 5, true)", "review_count": "true", "sold_count": "true",
+    "liked_count": "true", "stock": "true",
+}
+
+
+@query("p6_all_constraints", with_views("select product_id, " + ", ".join(
+    f"({sql})::int as {name}_ok" for name, sql in _CONSTRAINTS.items()) + " from parsed_products"))
+def _(t):
+    return _products(t).select("product_id", *[
+        (~F.array_contains("violations", name)).cast("int").alias(f"{name}_ok")
+        for name in _CONSTRAINTS])
+
+
 @query("p6_accepted_products", with_views(f"""
     select product_id, name, {rnd("shown_price", 4)} as price, rating from parsed_products
     where shown_price > 0 and (rating is null or rating <= 5)"""))
@@ -119,6 +135,36 @@ def _(t):
     )
 
 
+@query("p9_fraction_refused", with_views("""
+    select review_id, (review_id % 5 <> 0 or rating is null)::int as whole
+    from rating_items"""))
+def _(t):
+    # One rating in five has half a star: it is refused, not cut.
+    responses = t.rating_responses()
+    halves = F.regexp_replace("body", '"rating_star":([0-9]+)', '"rating_star":$1.5')
+    fifth = F.regexp_extract("body", '"cmtid":([0-9]+)', 1).cast("bigint") % 5 == 0
+    sent = responses.withColumn("body", F.when(fifth, halves).otherwise(F.col("body")))
+    found = parsing.parse_reviews(sent, F.lit("2024-06-01T12:30:45"))
+    return found.select("review_id", (~F.array_contains("violations", "whole_number"))
+                        .cast("int").alias("whole"))
+
+
+@query("p12_time_range", with_views("""
+    select review_id, (review_id % 3 <> 0)::int as dated,
+      case when review_id % 3 <> 0 then date_trunc('second', created_at) end as created_at
+    from rating_items"""))
+def _(t):
+    # One rating in three has a time far beyond the year 9999.
+    responses = t.rating_responses()
+    far = F.regexp_replace("body", '"ctime":', '"ctime":99999')
+    third = F.regexp_extract("body", '"cmtid":([0-9]+)', 1).cast("bigint") % 3 == 0
+    sent = responses.withColumn("body", F.when(third, far).otherwise(F.col("body")))
+    found = parsing.parse_reviews(sent, F.lit("2024-06-01T12:30:45"))
+    return found.select(
+        "review_id", (~F.array_contains("violations", "created_at")).cast("int").alias("dated"),
+        F.date_trunc("second", "created_at").cast("timestamp_ntz").alias("created_at"))
+
+
 @query("p10_image_list", with_views("""
     select review_id, 'https://cf.shopee.vn/file/i' || review_id
       || ' https://cf.shopee.vn/file/second' as images

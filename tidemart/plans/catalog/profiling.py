@@ -10,15 +10,17 @@ from tidemart.plans.registry import query
 
 _BRONZE = ["product_id", "shop_id", "name", "keyword", "price", "original_price", "rating",
            "sold_count", "category_id", "shop_location", "scraped_at"]
+# With the columns that only the raw table has.
+_ALL_BRONZE = [*_BRONZE, "l_orderkey", "l_linenumber", "l_quantity"]
 
 
 def _bronze(t):
-    return t.bronze_products().select(*_BRONZE)
+    return t.bronze_products()
 
 
 @query("q1_row_column_count", with_views("""
     select 'Bronze.Products' as layer, count(*) as row_count,
-      cast(11 as bigint) as column_count from raw_products"""))
+      cast(14 as bigint) as column_count from raw_products"""))
 def _(t):
     return profiling.profile_table(_bronze(t), "Bronze.Products").select(
         "layer", "row_count", "column_count"
@@ -28,7 +30,7 @@ def _(t):
 _NULLS = " union all ".join(
     f"""select 'Bronze.Products' as layer, '{c}' as "column",
         {rnd(f"(count(*) - count({c})) / count(*) * 100", 2)} as null_pct from raw_products"""
-    for c in _BRONZE
+    for c in _ALL_BRONZE
 )
 
 
@@ -110,13 +112,11 @@ def _layers(t):
     return {
         "Bronze.Products": _bronze(t),
         "Bronze.Reviews": t.bronze_reviews(),
-        "Silver.Products": t.silver_products().select(*_BRONZE),
+        "Silver.Products": t.silver_products(),
         "Silver.Reviews": t.silver_reviews(),
-        "Gold.Metrics": t.metrics().select(*_BRONZE, "total_reviews", "avg_rating"),
-        "Gold.PriceHistory": t.history().select(
-            "product_id", "scraped_at", "price", "price_change_pct"
-        ),
-        "Gold.Sentiment": t.sentiments().select("review_id", "product_id", "sentiment_label"),
+        "Gold.Metrics": t.metrics(),
+        "Gold.PriceHistory": t.history(),
+        "Gold.Sentiment": t.sentiments(),
         "Gold.Topics": t.topics(),
     }
 
@@ -139,15 +139,15 @@ def _layer_sql(label, view, columns, key, nulls=(), price=False):
 
 
 _PROFILE = " union all ".join([
-    _layer_sql("Bronze.Products", "raw_products", 11, "product_id, scraped_at", _BRONZE, True),
+    _layer_sql("Bronze.Products", "raw_products", 14, "product_id, scraped_at", _ALL_BRONZE, True),
     _layer_sql("Bronze.Reviews", "raw_reviews", 5, "product_id", ["rating"]),
-    _layer_sql("Silver.Products", "silver_products", 11, "product_id, scraped_at", _BRONZE,
+    _layer_sql("Silver.Products", "silver_products", 15, "product_id, scraped_at", _BRONZE,
                True),
     _layer_sql("Silver.Reviews", "silver_reviews", 6, "product_id"),
-    _layer_sql("Gold.Metrics", "product_metrics", 13, "product_id, scraped_at", _BRONZE, True),
-    _layer_sql("Gold.PriceHistory", "price_history", 4, "product_id, scraped_at",
-               ["price_change_pct"], True),
-    _layer_sql("Gold.Sentiment", "sentiments", 3, "product_id"),
+    _layer_sql("Gold.Metrics", "product_metrics", 24, "product_id, scraped_at", _BRONZE, True),
+    _layer_sql("Gold.PriceHistory", "price_history", 18, "product_id, scraped_at",
+               ["previous_price", "price_change_pct"], True),
+    _layer_sql("Gold.Sentiment", "sentiments", 6, "product_id"),
     _layer_sql("Gold.Topics", "negative_topics", 2, None),
 ])
 

@@ -205,6 +205,17 @@ def _(t):
     return _moves(serving.price_volatility(t.history(), 100, suspicious_only=True))
 
 
+@query("a4_page_after", with_views("""
+    select product_id, name, price from product_metrics
+    order by price desc nulls last, product_id limit 20 offset 20"""))
+def _(t):
+    # The second page, from the last row of the first.
+    first = serving.list_products(t.metrics(), page_size=20, sort_by="price")
+    last = first.select("product_id", "scraped_at", "price").collect()[-1].asDict()
+    return serving.products_after(t.metrics(), last, 20, sort_by="price").select(
+        "product_id", "name", "price")
+
+
 @query("a15_reload", with_views("""
     select 'reloaded' as status, count(*) as total_products from product_metrics"""))
 def _(t):

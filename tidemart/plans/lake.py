@@ -36,7 +36,9 @@ class Lake:
         return tables.read_table(self.spark, self.path(name), self.fmt)
 
     def write(self, df: DataFrame, name: str) -> None:
-        tables.write_table(df, self.path(name), self.fmt)
+        served = name.startswith("gold/")
+        tables.write_table(
+            tables.in_key_order(df) if served else df, self.path(name), self.fmt)
 
 
 def land_to_bronze(

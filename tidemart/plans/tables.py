@@ -17,6 +17,7 @@ from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import derived
 from tidemart.session import shared_dir
+from tidemart.sources.tables import in_key_order
 
 RUN_TS = datetime(2024, 6, 1, 12, 30, 45)
 
@@ -110,22 +111,22 @@ class Tables:
         )
 
     def metrics(self) -> DataFrame:
-        return self.stored("gold/product_metrics", lambda: product_metrics(
+        return self.stored("gold/product_metrics", lambda: in_key_order(product_metrics(
             self.silver_products(), self.silver_reviews(), self.run_ts
-        ))
+        )))
 
     def history(self) -> DataFrame:
-        return self.stored("gold/price_history", lambda: price_history(
+        return self.stored("gold/price_history", lambda: in_key_order(price_history(
             self.silver_products(), run_ts=self.run_ts, few_repeats=True
-        ))
+        )))
 
     def scorer(self):
         return lexicon_scorer(derived.POSITIVE_WORDS, derived.NEGATIVE_WORDS)
 
     def sentiments(self) -> DataFrame:
-        return self.stored("gold/reviews_sentiment", lambda: score_sentiment(
+        return self.stored("gold/reviews_sentiment", lambda: in_key_order(score_sentiment(
             self.clean_texts(), self.scorer()
-        ))
+        )))
 
     def topics(self) -> DataFrame:
         return self.stored("gold/negative_topics", lambda: negative_topics(
