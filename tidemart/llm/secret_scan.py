@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import scratch, ship_code, stored
+from tidemart.sources.jsonl import load_or_empty
 
 
 @dataclass(frozen=True)
@@ -133,10 +134,7 @@ LEDGER = f"blob binary, scanned array<string>, spans array<{SPAN}>"
 
 def read_ledger(spark, path: str) -> DataFrame:
     """All ledger rows; an unused path gives none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(path)
+    return load_or_empty(spark, lambda: spark.read.schema(LEDGER).parquet(path), LEDGER)
 
 
 def update_ledger(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> None:
