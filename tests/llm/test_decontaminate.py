@@ -67,7 +67,7 @@ def passage(n, tag):
     return " ".join(f"{tag}{i}" for i in range(n))
 
 
-@pytest.mark.parametrize("n", [1, 3, 4, 5, 6, 7, 10, 14, 15, 23, 40, 57, 120, 300])
+@pytest.mark.parametrize("n", [1, 4, 6, 14, 15, 40, 300])
 def test_items_of_any_size_at_any_place(spark, docs, n):
     item = passage(n, "Item")
     texts = [passage(k, "a") + ", " + item.upper() + "! " + passage(9, "b") for k in range(17)]
@@ -77,7 +77,7 @@ def test_items_of_any_size_at_any_place(spark, docs, n):
     assert (18, 7) not in got and (19, 7) not in got
 
 
-@pytest.mark.parametrize("n", [20, 34, 49, 57, 90])
+@pytest.mark.parametrize("n", [34, 57])
 def test_edited_copies(spark, docs, n):
     """One changed word, or a word less at an end, wherever the passage stands."""
     r = random.Random(n)
