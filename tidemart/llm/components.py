@@ -20,24 +20,25 @@ def _round(edges: DataFrame) -> DataFrame:
     return hung.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+def _settled(edges: DataFrame) -> bool:
+    """True if the edges are stars: every u has one v, and no v is a u."""
+    sides = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"),
+                         F.lit(0).alias("parent")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    ends = sides.groupBy("node").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
+    return ends.where("c > 1 or (c > 0 and p > 0)").isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in `links` (a, b); component is the smallest node.
 
-    Each round is written to the shared folder; rounds end when the edges no longer change, which
-    takes about as many rounds as the logarithm of the longest chain.
+    Each round is written to the shared folder; rounds end when only stars are left, which takes
+    about as many rounds as the logarithm of the longest chain.
     """
     edges = stored(links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         edges = stored(_round(edges), "edges")
-        last, state = state, _state(edges)
-        if state == last:
-            break
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         roots.select("node", F.col("node").alias("component")))
