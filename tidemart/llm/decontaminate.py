@@ -2,8 +2,8 @@
 
 An item of n words is looked for in windows of its size, rounded down so that a window on the
 documents' grid lies inside the item wherever it stands: the grid has a line every `g` words, the
-window has the largest multiple of g that fits into n - g + 1 words, and the item is
-fingerprinted at all g shifts. Longer items also get windows of half that size at their front and
+window has the largest power of two of grid blocks that fits into n - g + 1 words, and the item
+is fingerprinted at all g shifts. Longer items also get windows of half that size at their front and
 back, so that one changed word leaves a window unchanged. A fingerprint has 35 bits, one for each of 35 hash bits of the
 words in the window, set if more than half of the words have it. The 35 counters are kept as five
 longs of seven byte-wide lanes, so a window's counters are sums of its blocks' counters.
@@ -15,8 +15,8 @@ similarity of five-word shingles of 0.8 or more. A shingle of the item weighs it
 document frequency among the items, any other shingle the largest such weight.
 
 Words are lower-cased runs of ASCII letters and digits and of all non-ASCII characters. Items of
-15 words or more use g = 8, shorter ones g = 4, those below 7 words g = 1; items of more than 255
-words are looked up by windows of 248 words. An item or window of fewer than five words is one
+15 words or more use g = 8, shorter ones g = 4, those below 7 words g = 1; no window has more than
+128 words. An item or window of fewer than five words is one
 shingle.
 
 Edge cases: null or empty texts and items match nothing; equal rows are one result row with their
@@ -39,7 +39,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 1
 LANES = 5
-MOST_WORDS = 248
+MOST_WORDS = 128  # a counter has a byte
 ONES = 0x01010101010101  # seven bytes: the sums stay within a signed long
 _HIGH = 0x80808080808080
 KEYS_IN_PLAN = 50_000  # rows of an index that also sorts out windows before the join
@@ -87,10 +87,13 @@ def item_prints(items: DataFrame) -> DataFrame:
     n, g = F.col("n"), F.col("g")
     sized = items.select("item", "words", F.size("words").alias("n")).select(
         "*", grid(n).alias("g"))
-    sized = sized.select(
-        "*", F.floor(F.least(F.lit(MOST_WORDS), n - g + 1) / g).cast("int").alias("m"),
-        F.floor(F.least(F.lit(MOST_WORDS), F.floor((n - 1) / 2) - g + 1) / g).cast("int")
-        .alias("m2"))
+
+    def blocks(words: Column) -> Column:
+        """The largest power of two of blocks that lies on the grid in a run of `words`."""
+        fit = F.floor(F.least(F.lit(MOST_WORDS), words - g + 1) / g)
+        return F.when(fit >= 1, F.pow(F.lit(2), F.floor(F.log2(fit)))).otherwise(0).cast("int")
+
+    sized = sized.select("*", blocks(n).alias("m"), blocks(F.floor((n - 1) / 2)).alias("m2"))
     shifts = F.sequence(F.lit(0), g - 1)
 
     def windows(m: str, first: Column) -> Column:
@@ -150,10 +153,10 @@ def _windows(texts: DataFrame, g: int, sizes: dict[int, tuple[int, int]],
     def block_sums(lane: int) -> Column:
         return F.transform(lines(1), lambda b: lane_sums(F.slice("hashes", b * g + 1, g), lane))
 
-    def longer(m: int, lane: int) -> Column:
-        """Counters of m blocks: those of m - 1 blocks and of the next block."""
+    def doubled(m: int, lane: int) -> Column:
+        """Counters of m blocks: those of the two halves."""
         return F.transform(lines(m), lambda b: F.get(f"s{lane}", b) + F.get(
-            f"b{lane}", b + (m - 1)))
+            f"s{lane}", b + m // 2))
 
     def hits(m: int) -> Column:
         found = F.transform(lines(m), lambda b: F.struct(
@@ -168,20 +171,16 @@ def _windows(texts: DataFrame, g: int, sizes: dict[int, tuple[int, int]],
             F.slice("words", F.greatest(F.lit(0), x["line"] * g - sizes[m][1]) + 1,
                     F.lit(sum(sizes[m]))).alias("near")))
 
-    kept = base + [f"b{k}" for k in lanes]
-    grown = _held(blocks.select(*base, *[block_sums(k).alias(f"b{k}") for k in lanes]), base,
-                  kept[len(base):])
-    grown = grown.select("*", *[F.col(f"b{k}").alias(f"s{k}") for k in lanes])
-    found: list[str] = []
-    for m in range(1, max(sizes) + 1):
-        if m > 1:
-            sums = [longer(m, k).alias(f"t{k}") for k in lanes]
-            grown = _held(grown.select(*kept, *found, *sums), kept + found,
-                          [f"t{k}" for k in lanes])
-            grown = grown.select(*kept, *found, *[F.col(f"t{k}").alias(f"s{k}") for k in lanes])
+    sums, found, m = [f"s{k}" for k in lanes], [], 1
+    grown = blocks.select(*base, *[block_sums(k).alias(f"s{k}") for k in lanes])
+    while m <= max(sizes):
+        grown = _held(grown, base + found, sums)
         if m in sizes:
             grown = grown.select("*", hits(m).alias(f"f{m}"))
             found.append(f"f{m}")
+        m *= 2
+        if m <= max(sizes):
+            grown = grown.select(*base, *found, *[doubled(m, k).alias(f"s{k}") for k in lanes])
     each = grown.select("doc_id", "mark", F.explode(F.concat(*found)).alias("h"))
     return each.select("doc_id", "mark", F.lit(g).alias("g"), "h.*")
 
@@ -192,7 +191,7 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
     prints = stored(item_prints(items), "prints")
     index = prints.select("item", "n", "g", "m", "shift", "print", F.posexplode(
         F.array(*halves(F.col("print")))).alias("half", "key"))
-    kinds: dict[int, dict[int, tuple[int, int]]] = {}  # at most 255 window sizes
+    kinds: dict[int, dict[int, tuple[int, int]]] = {}  # a few window sizes
     for r in prints.groupBy("g", "m").agg(F.max("n"), F.max("shift")).collect():
         kinds.setdefault(r["g"], {})[r["m"]] = r[2], r[3]
     index = stored(index, "index")
