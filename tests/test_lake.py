@@ -75,7 +75,8 @@ def test_quarantine_and_reports_on_disk(lake, spark):
                    ("products", "missing_product_id"): 1,
                    ("reviews", "invalid_rating"): 1, ("reviews", "missing_text"): 1}
     names = os.listdir(made.path("reports"))
-    assert {n.split("_")[0] for n in names} == {"profile", "funnel", "summary"}
+    assert {n.split("_")[0] for n in names} == {
+        "profile", "funnel", "summary", "document", "measures"}
 
 
 def test_missing_layers_are_reported(lake, spark):
@@ -92,6 +93,22 @@ def test_missing_layers_are_reported(lake, spark):
     assert len(GOLD) == 4
 
 
+def test_a_corrupt_part_stops_its_own_layer_only(lake, spark, tmp_path):
+    made, _ = lake
+    copy = Lake(spark, f"{tmp_path}/copy")
+    whole = made.read("silver/products")
+    whole.unionByName(whole).repartition(4).write.parquet(copy.path("bronze/products"))
+    whole.write.parquet(copy.path("silver/products"))
+    parts = sorted(n for n in os.listdir(copy.path("bronze/products")) if n.endswith("parquet"))
+    for name in (parts[1], f".{parts[1]}.crc"):
+        with open(f"{copy.path('bronze/products')}/{name}", "wb") as out:
+            out.write(b"junk" * 50)
+    long = layer_measures(copy, {"A": "bronze/products", "B": "silver/products", "C": "none"})
+    status = {r.layer: (r.status, r.row_count) for r in profiling.profile(long).collect()}
+    assert status["A"] == ("error", 0) and status["C"][0] == "missing"
+    assert status["B"][1] == whole.count()
+
+
 def test_rerun_gives_the_same_tables(lake, spark):
     made, before = lake
     metrics = rows(made.read("gold/product_metrics"))

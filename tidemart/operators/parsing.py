@@ -30,20 +30,21 @@ WHOLE_REVIEW = ["cmtid", "rating_star", "like_count"]
 TIME_RANGE = (-62135596800, 253402300799)
 
 
-# Types of the payload fields that are read.
-_ITEM = """struct<itemid: bigint, shopid: bigint, name: string, price: double,
-    price_before_discount: double, catid: bigint, shop_location: string,
-    item_rating: struct<rating_star: double>, cmt_count: bigint, historical_sold: bigint,
-    liked_count: bigint, stock: bigint, image: string>"""
-_RATING = """struct<cmtid: bigint, rating_star: int, comment: string,
-    author_username: string, author_portrait: string, images: array<variant>,
-    videos: array<variant>, like_count: bigint, ctime: double>"""
+# Types of the payload fields that are read.
+_KINDS = {
+    "itemid": "bigint", "shopid": "bigint", "name": "string", "price": "double",
+    "price_before_discount": "double", "catid": "bigint", "shop_location": "string",
+    "item_rating.rating_star": "double", "cmt_count": "bigint", "historical_sold": "bigint",
+    "liked_count": "bigint", "stock": "bigint", "image": "string", "cmtid": "bigint",
+    "rating_star": "int", "comment": "string", "author_username": "string",
+    "author_portrait": "string", "images": "array<variant>", "videos": "array<variant>",
+    "like_count": "bigint", "ctime": "double",
+}
 
 
-def _read(raw: Column, kind: str) -> Column:
-    """The raw object next to its typed fields, read in one go; a field that does not fit
-    its type is null."""
-    return F.struct(raw.alias("raw"), F.try_variant_get(raw, "$", kind).alias("typed"))
+def _typed(name: str) -> Column:
+    """A field of the raw object; null if it is absent or does not fit its type."""
+    return F.try_variant_get("raw", f"$.{name}", _KINDS[name])
 
 
 def _fits(raw: Column, names: list[str]) -> Column:
@@ -58,7 +59,7 @@ def _fits(raw: Column, names: list[str]) -> Column:
 def _or_default(name: str, default) -> Column:
     """A typed field; the default if the object has no such key, null if it is null."""
     absent = F.try_variant_get("raw", f"$.{name}", "variant").isNull()
-    return F.coalesce(F.col(f"typed.{name}"), F.when(absent, F.lit(default)))
+    return F.coalesce(_typed(name), F.when(absent, F.lit(default)))
 
 
 def _responses(responses: DataFrame, marker: str) -> DataFrame:
@@ -105,29 +106,27 @@ def product_url(name: Column, shop_id: Column, product_id: Column) -> Column:
 def flatten_products(responses: DataFrame) -> DataFrame:
     """Rename and type the fields of each item, nested under `item_basic` or not.
 
-    Objects are read inside the generator, so once however often filters use their fields.
+    Items are exploded as they are and each field is read on its own, so a query pays for the
+    fields that it uses.
     """
-    def basic(item):
-        return F.coalesce(F.try_variant_get(item, "$.item_basic", "variant"), item)
-
-    basics = F.transform(_listed("$.items"), basic)
-    read = _responses(responses, SEARCH_MARKER).select(
-        *_context(responses), F.inline(F.transform(basics, lambda b: _read(b, _ITEM)))
-    )
+    items = _responses(responses, SEARCH_MARKER).select(
+        *_context(responses), F.explode(_listed("$.items")).alias("item"))
+    basic = F.coalesce(F.try_variant_get("item", "$.item_basic", "variant"), F.col("item"))
+    read = items.select(*_context(responses), basic.alias("raw"))
     return read.select(
         _or_default("itemid", 0).alias("product_id"),
         _or_default("shopid", 0).alias("shop_id"),
         _or_default("name", "").alias("name"),
         rescale(_or_default("price", 0.0)).alias("price"),
-        rescale(F.col("typed.price_before_discount")).alias("original_price"),
-        F.col("typed.catid").alias("category_id"),
-        F.col("typed.shop_location").alias("shop_location"),
-        F.col("typed.item_rating.rating_star").alias("rating"),
+        rescale(_typed("price_before_discount")).alias("original_price"),
+        _typed("catid").alias("category_id"),
+        _typed("shop_location").alias("shop_location"),
+        _typed("item_rating.rating_star").alias("rating"),
         _or_default("cmt_count", 0).alias("review_count"),
         _or_default("historical_sold", 0).alias("sold_count"),
         _or_default("liked_count", 0).alias("liked_count"),
         _or_default("stock", 0).alias("stock"),
-        media_url(F.col("typed.image")).alias("image_url"),
+        media_url(_typed("image")).alias("image_url"),
         _fits(F.col("raw"), WHOLE_PRODUCT).alias("whole"),
         *_context(responses),
     )
@@ -207,25 +206,23 @@ def unix_time(seconds: Column) -> Column:
 
 def flatten_reviews(responses: DataFrame) -> DataFrame:
     """Rename and type the fields of each rating."""
-    objects = F.transform(_listed("$.data.ratings"), lambda r: _read(r, _RATING))
     read = _responses(responses, RATINGS_MARKER).select(
-        *_context(responses), F.inline(objects)
-    )
+        *_context(responses), F.explode(_listed("$.data.ratings")).alias("raw"))
     return read.select(
         _or_default("cmtid", 0).alias("review_id"),
         _or_default("rating_star", 5).alias("rating"),
         _or_default("comment", "").alias("review_text"),
         _or_default("author_username", "").alias("author_username"),
         _or_default("author_portrait", "").alias("author_portrait"),
-        image_urls(F.col("typed.images")).alias("images"),
-        video_urls(F.col("typed.videos")).alias("videos"),
+        image_urls(_typed("images")).alias("images"),
+        video_urls(_typed("videos")).alias("videos"),
         _or_default("like_count", 0).alias("like_count"),
-        F.when(F.col("typed.ctime").between(*TIME_RANGE), unix_time(F.col("typed.ctime")))
+        F.when(_typed("ctime").between(*TIME_RANGE), unix_time(_typed("ctime")))
         .alias("created_at"),
         F.lit(None).cast("double").alias("sentiment_score"),
         F.lit(None).cast("string").alias("sentiment_label"),
         _fits(F.col("raw"), WHOLE_REVIEW).alias("whole"),
-        F.coalesce(F.col("typed.ctime").between(*TIME_RANGE), F.lit(True)).alias("dated"),
+        F.coalesce(_typed("ctime").between(*TIME_RANGE), F.lit(True)).alias("dated"),
         *_context(responses),
     )
 
