@@ -89,6 +89,15 @@ def test_empty_table_and_clashing_names(docs):
     assert [r["component_id"] for r in ngram_join.near_duplicates(named).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("n", range(1, 6))
+def test_short_text_in_a_chunk_of_its_own(docs, n):
+    short, long = " ".join("abcde"[:n]), "filler words " * 90_000
+    for texts in ([short], [long, short, long]):
+        sets = list(ngram_join.shingle_sets([t.encode() for t in texts]))
+        assert len(sets[len(texts) // 2]) == 1
+    compare(docs([short]))
+
+
 def test_prefix_is_long_enough():
     for n in range(1, 300):
         for m in range(n, 300):

@@ -45,7 +45,7 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     for _, hashes, bounds in word_hashes(texts):
         rolled = np.zeros(max(0, len(hashes) - SHINGLE_WORDS + 1), U64)
-        for k in range(SHINGLE_WORDS):
+        for k in range(SHINGLE_WORDS if len(rolled) else 0):
             rolled = rolled * _STEP + hashes[k:len(hashes) - SHINGLE_WORDS + 1 + k]
         rolled = mix(rolled)
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
