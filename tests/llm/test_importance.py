@@ -74,6 +74,15 @@ def test_good_labels_stay_and_most_bad_go(spark):
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.15
 
 
+def test_toxic_documents_go(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    found = importance.selected(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    rows = found.join(labels, "doc_id").collect()
+    toxic = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 1]
+    assert sum(toxic) / len(toxic) < 0.3
+
+
 def test_edge_cases(spark, docs):
     labels = spark.createDataFrame(
         [(0, 1, 0), (1, 0, 0), (0, 1, None), (None, 1, 0), (7, None, 0)],

@@ -4,15 +4,22 @@ Two generative models over hashed unigrams and bigrams are counted: the target m
 labelled good, the raw model from all texts. A document's log weight is the sum over its n-grams
 of log p_target - log p_raw. Adding Gumbel noise and taking the k largest keys draws k documents
 without replacement in proportion to their weights. k is the number of documents whose weight is
-above a cut that nearly all good labels pass.
+above a cut that nearly all good labels pass and that are not judged toxic.
 
-The target model uses a bounded sample of the labels (`MAX_LABELS`, those of smallest hash); the
-raw model, the weights and the selection cover all documents. The k-th key is found by counting
-keys in ranges, so nothing is sorted in one task.
+Toxic texts differ from good ones in few words, which a sum over all words drowns. They have a
+model of their own: in how many toxic and in how many good labelled texts an n-gram occurs; a
+document's toxic score is its most telling n-gram. A labelled document is scored without its own
+counts. A document is judged toxic if its score is above that of all but `MAX_LOST` of the good
+labels; its weight is then put so far below the cut that no noise takes it.
+
+Both models are fitted on a bounded sample of the labels (`MAX_LABELS`, those of smallest hash);
+the raw model, the weights, and the selection cover all documents. The
+k-th key and the cuts are found by counting in ranges, so nothing is sorted in one task.
 
 Edge cases: a null or empty text has weight 0; a null doc_id is never labelled; several labels of
 a document count as good only if all are; rows that tie with the k-th key are all taken; without
-good or without bad labels nothing is rejected; an empty table gives no rows; other columns are
+good or without bad or toxic labels nothing is rejected; without toxic labels nothing is judged
+toxic; an empty table gives no rows; other columns are
 ignored by `weights` and kept by `resample`.
 """
 
@@ -22,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import ship_code, sized_ids, stored
@@ -32,24 +39,41 @@ BUCKETS = 10_000
 MAX_LABELS = 50_000
 MAX_LOST = 0.001  # share of the good labels that may lie below the cut
 SLICES = 20
+PLACES = 1 << 18  # counters of the toxic model; an n-gram has one in each of two halves
+PRIOR = 10.0  # texts an n-gram is taken to be in besides those counted, at the classes' shares
+BELOW = 50.0  # a toxic weight lies so far below the cut: more than the noise of 53 bits spans
+NO_SCORE = -99.0  # the toxic score of a text without words
+FINE = 1 << 20  # steps of a whole in which keys, weights and scores are counted
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _TABLE = classes(BLANKS + bytes(range(9)) + bytes(range(14, 32)) + b"\x7f", _MARKS)
 _STEP = U64(0xC2B2AE3D27D4EB4F)
 
 
-def features(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Chunks (index of first text, buckets, bounds) of unigrams, then bigrams, of each text."""
+def grams(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Chunks (index of first text, hashes of its unigrams and bigrams, which are real, bounds)."""
     for at, hashes, bounds in word_hashes(texts, _TABLE):
-        ones = (hashes % U64(BUCKETS)).astype(np.int64)
-        pairs = (mix(hashes[:-1] * _STEP + hashes[1:]) % U64(BUCKETS)).astype(np.int64)
-        if len(bounds) > 2:  # a pair may not reach into the next text
-            inner = bounds[1:-1]
-            inside = inner[(inner > 0) & (inner < len(hashes))]
-            pairs[inside - 1] = -1
-        both = np.full(2 * len(hashes), -1, np.int64)
-        both[0::2] = ones
-        both[1:-1:2] = pairs
-        yield at, both, 2 * bounds
+        both = np.zeros(2 * len(hashes), U64)
+        both[0::2] = hashes
+        both[1:-1:2] = mix(hashes[:-1] * _STEP + hashes[1:])
+        real = np.ones(len(both), bool)
+        real[2 * bounds[1:][bounds[1:] > 0] - 1] = False  # no pair reaches into the next text
+        yield at, both, real, 2 * bounds
+
+
+def features(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Chunks (index of first text, buckets, bounds) of unigrams and bigrams of each text."""
+    for at, both, real, bounds in grams(texts):
+        yield at, _buckets(both, real), bounds
+
+
+def _buckets(both: np.ndarray, real: np.ndarray) -> np.ndarray:
+    return np.where(real, (both % U64(BUCKETS)).astype(np.int64), -1)
+
+
+def _places(both: np.ndarray) -> np.ndarray:
+    """The two counters of each n-gram in the toxic model."""
+    last = U64(PLACES - 1)
+    return np.stack((both & last, ((both >> U64(32)) & last) + U64(PLACES))).astype(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,12 +108,59 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["model", "slice", "counts"])
 
 
+def judged(labels: DataFrame) -> DataFrame:
+    """doc_id, good (1 or 0: quality 1 and not toxic in all labels) and toxic (1 or 0: toxic in
+    any) of every labelled document."""
+    toxic = F.coalesce("toxic", F.lit(0)) != 0
+    good = F.coalesce(F.col("quality") == 1, F.lit(False)) & ~toxic
+    return labels.where("doc_id is not null").where(F.col("quality").isNotNull() | toxic).groupBy(
+        "doc_id").agg(F.min(good.cast("int")).alias("good"),
+                      F.max(toxic.cast("int")).alias("toxic"))
+
+
 def label_sample(labels: DataFrame, limit: int = MAX_LABELS) -> DataFrame:
-    """At most `limit` documents with good (1 or 0): quality 1 and not toxic in all labels."""
-    good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    each = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
-        F.min(good.cast("int")).alias("good"))
-    return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    """At most `limit` rows of `judged`, for the fit."""
+    return judged(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+
+
+def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = np.zeros((2, 2 * PLACES), np.int64)
+    for batch in batches:
+        toxic = batch.column("toxic").to_numpy()
+        for at, both, real, bounds in grams(utf8(batch.column("text"))):
+            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), at):
+                sums[toxic[i], np.unique(_places(both[a:b][real[a:b]]))] += 1
+    if sums.any():
+        parts = [(m, s, c.tobytes()) for m in (0, 1) for s, c in enumerate(np.split(sums[m], 16))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in parts], pa.int32()),
+             pa.array([p[1] for p in parts], pa.int32()),
+             pa.array([p[2] for p in parts], pa.binary())], names=["model", "slice", "counts"])
+
+
+def toxic_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray | None:
+    """Log odds of the toxic class over the good one at each counter, for a document that is not
+    in the sample, a good and a toxic one of it; None if a class is missing."""
+    classes_ = sample.where("good = 1 or toxic = 1")
+    sizes = {r["toxic"]: r["count"] for r in classes_.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return None
+    known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
+        F.broadcast(classes_), "doc_id").select("text", "toxic")
+    spec = "model int, slice int, counts binary"
+    parts = known.mapInArrow(_count_texts, spec).repartition(32, "model", "slice")
+    sums = np.zeros((2, 16, PLACES // 8))
+    for row in parts.mapInArrow(_add, spec).collect():  # 32 rows
+        sums[row["model"], row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    good, toxic = sums.reshape(2, 2 * PLACES)
+    share = sizes[1] / (sizes[0] + sizes[1])
+
+    def odds(own_good: int, own_toxic: int) -> np.ndarray:
+        return np.log((np.maximum(toxic - own_toxic, 0) + PRIOR * share)
+                      / (np.maximum(good - own_good, 0) + PRIOR * (1 - share))
+                      ) - np.log(share / (1 - share))
+
+    return np.stack((odds(0, 0), odds(1, 0), odds(0, 1))).astype(np.float32)
 
 
 def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
@@ -105,54 +176,82 @@ def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def _weigher(ratios: np.ndarray):
+def _weigher(ratios: np.ndarray, odds):
     table = np.append(ratios, 0.0)  # the last place is for index -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weights, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for at, buckets, bounds in features(utf8(batch.column("text"))):
-                sums = np.concatenate(([0.0], np.cumsum(table[buckets])))
+            scores = np.full(batch.num_rows, NO_SCORE)
+            kinds = batch.column("class").to_numpy()
+            for at, both, real, bounds in grams(utf8(batch.column("text"))):
+                sums = np.concatenate(([0.0], np.cumsum(table[_buckets(both, real)])))
                 n = len(bounds) - 1
                 weights[at:at + n] = sums[bounds[1:]] - sums[bounds[:-1]]
                 sizes[at:at + n] = np.diff(bounds) // 2
+                if odds is not None and len(both):
+                    some = np.flatnonzero(np.diff(bounds))
+                    kind = np.repeat(kinds[at:at + n], np.diff(bounds))
+                    one, two = _places(both)
+                    found = np.minimum(odds.value[kind, one], odds.value[kind, two])
+                    scores[at + some] = np.maximum.reduceat(
+                        np.where(real, found, NO_SCORE), bounds[:-1][some])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(sizes),
-                 pa.array(weights)], names=["doc_id", "mark", "n_words", "log_weight"])
+                 pa.array(weights), pa.array(scores)],
+                names=["doc_id", "mark", "n_words", "log_weight", "toxic_score"])
 
     return run
 
 
-def weights(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, n_words, log_weight and gumbel_key of every row."""
+def scored(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, n_words, log_weight, gumbel_key and toxic_score of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
+    odds, known = None, F.lit(0)
     marked = docs.select("doc_id", text.alias("text"),
                          F.xxhash64("doc_id", text, F.lit(seed)).alias("mark"))
-    weighed = marked.mapInArrow(
-        _weigher(log_ratios(docs, sample)),
-        f"doc_id {kind}, mark long, n_words long, log_weight double")
+    if "toxic" in sample.columns and (odds := toxic_ratios(docs, sample)) is not None:
+        odds = docs.sparkSession.sparkContext.broadcast(odds)
+        known = F.when(F.col("toxic") == 1, 2).when(F.col("good") == 1, 1).otherwise(0)
+        marked = marked.join(F.broadcast(sample), "doc_id", "left")
+    weighed = marked.select("doc_id", "text", "mark", known.alias("class")).mapInArrow(
+        _weigher(log_ratios(docs, sample), odds),
+        f"doc_id {kind}, mark long, n_words long, log_weight double, toxic_score double")
     uniform = (F.shiftrightunsigned("mark", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     return weighed.select("doc_id", "n_words", "log_weight",
-                          (F.col("log_weight") - F.log(-F.log(uniform))).alias("gumbel_key"))
-
-
-def best_cut(weighed: DataFrame, sample: DataFrame, step: float = 0.5,
-             reach: float = 200.0) -> float | None:
-    """The highest weight below which at most MAX_LOST of the good labels lie; counted in at most
-    800 ranges. None if good or bad labels are missing."""
-    place = F.floor(F.least(F.lit(reach), F.greatest(F.lit(-reach), "log_weight")) / step)
-    rows = weighed.join(F.broadcast(sample), "doc_id").groupBy(
-        "good", place.alias("place")).count().collect()
-    good = {r["place"]: r["count"] for r in rows if r["good"] == 1}
-    if not good or len(good) == len(rows):
+                          (F.col("log_weight") - F.log(-F.log(uniform))).alias("gumbel_key"),
+                          "toxic_score")
+
+
+def weights(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, n_words, log_weight and gumbel_key of every row."""
+    return scored(docs, sample, seed).drop("toxic_score")
+
+
+def fine(value: Column) -> Column:
+    return F.floor(value * FINE).cast("long")
+
+
+def cuts(labelled: DataFrame) -> tuple[int, int | None] | None:
+    """The highest weight below which at most MAX_LOST of the good labels lie, and the lowest
+    toxic score above which at most as many lie, both in steps of `fine`; `labelled` has all
+    labelled documents. None if good or if bad and toxic labels are missing; no toxic cut if it
+    would find no larger a share of the toxic labels."""
+    good = labelled.where("good = 1")
+    n, others, toxic = labelled.agg(
+        F.count_if(F.col("good") == 1), F.count_if(F.col("good") == 0),
+        F.count_if(F.col("toxic") == 1)).first()
+    if not n or not others:
         return None
-    spare = int(MAX_LOST * sum(good.values()))
-    for p in sorted(good):
-        spare -= good[p]
-        if spare < 0:
-            return step * p
-    return None
+    spare = int(MAX_LOST * n)
+    weight = F.least(F.lit(200.0), F.greatest(F.lit(-200.0), "log_weight"))
+    least = kth_largest(good.select(fine(weight).alias("code")), n - spare)
+    score = fine(F.col("toxic_score"))
+    most = kth_largest(good.select(score.alias("code")), spare + 1) if toxic else None
+    if toxic and labelled.where("toxic = 1").where(score > most).count() <= MAX_LOST * toxic:
+        most = None
+    return least, most
 
 
 def kth_largest(values: DataFrame, k: int, ranges: int = 4096) -> int | None:
@@ -175,13 +274,22 @@ def kth_largest(values: DataFrame, k: int, ranges: int = 4096) -> int | None:
 def selected(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
     """doc_id, n_words, log_weight, gumbel_key, kept of every row."""
     ship_code(docs.sparkSession)
-    sample = stored(label_sample(labels), "labels")
-    weighed = stored(weights(docs, sample, seed), "weights")
-    cut = best_cut(weighed, sample)
-    if cut is None:
-        return weighed.withColumn("kept", F.lit(True))
-    k = weighed.where(F.col("log_weight") >= cut).count()
-    code = F.floor(F.col("gumbel_key") * (1 << 20)).cast("long")
+    each = sample = stored(label_sample(labels), "labels")
+    weighed = stored(scored(docs, sample, seed), "weights")
+    labelled = weighed.select("doc_id", "log_weight", "toxic_score").join(each, "doc_id")
+    found = cuts(stored(labelled.drop("doc_id"), "labelled"))
+    if found is None:
+        return weighed.drop("toxic_score").withColumn("kept", F.lit(True))
+    cut, most = found
+    if most is not None:
+        low = F.least("log_weight", F.lit(cut / FINE)) - BELOW
+        weight = F.when(fine(F.col("toxic_score")) > most, low).otherwise(F.col("log_weight"))
+        weighed = weighed.withColumns({
+            "log_weight": weight,
+            "gumbel_key": F.col("gumbel_key") - F.col("log_weight") + weight})
+    weighed = weighed.drop("toxic_score")
+    k = weighed.where(fine(F.col("log_weight")) >= cut).count()
+    code = fine(F.col("gumbel_key"))
     least = kth_largest(weighed.select(code.alias("code")), k)
     return weighed.withColumn("kept", F.lit(False) if least is None else code >= least)
 
