@@ -83,6 +83,19 @@ def test_toxic_documents_go(spark):
     assert sum(toxic) / len(toxic) < 0.3
 
 
+def test_the_cut_is_taken_from_all_labels_and_any_weight(spark, docs, monkeypatch):
+    """A good label outside the sample, with a weight far below -200, still stays."""
+    whole = importance.label_sample
+    monkeypatch.setattr(importance, "label_sample", lambda x: whole(x).where("doc_id < 2"))
+    frame = docs(["plain words here " * 20, "### $$$ " * 200, "rare tongue " * 1000,
+                  *["plain words here " * 20] * 20])
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    rows = {r["doc_id"]: r for r in importance.selected(frame, labels).collect()}
+    assert rows[2]["log_weight"] < -200 and rows[1]["log_weight"] > rows[2]["log_weight"]
+    assert all(r["kept"] for r in rows.values())
+
+
 def test_edge_cases(spark, docs):
     labels = spark.createDataFrame(
         [(0, 1, 0), (1, 0, 0), (0, 1, None), (None, 1, 0), (7, None, 0)],

@@ -13,7 +13,7 @@ counts. A document is judged toxic if its score is above that of all but `MAX_LO
 labels; its weight is then put so far below the cut that no noise takes it.
 
 Both models are fitted on a bounded sample of the labels (`MAX_LABELS`, those of smallest hash);
-the raw model, the weights, and the selection cover all documents. The
+the raw model, the weights, both cuts and the selection cover all documents and all labels. The
 k-th key and the cuts are found by counting in ranges, so nothing is sorted in one task.
 
 Edge cases: a null or empty text has weight 0; a null doc_id is never labelled; several labels of
@@ -245,8 +245,7 @@ def cuts(labelled: DataFrame) -> tuple[int, int | None] | None:
     if not n or not others:
         return None
     spare = int(MAX_LOST * n)
-    weight = F.least(F.lit(200.0), F.greatest(F.lit(-200.0), "log_weight"))
-    least = kth_largest(good.select(fine(weight).alias("code")), n - spare)
+    least = kth_largest(good.select(fine(F.col("log_weight")).alias("code")), n - spare)
     score = fine(F.col("toxic_score"))
     most = kth_largest(good.select(score.alias("code")), spare + 1) if toxic else None
     if toxic and labelled.where("toxic = 1").where(score > most).count() <= MAX_LOST * toxic:
@@ -274,7 +273,8 @@ def kth_largest(values: DataFrame, k: int, ranges: int = 4096) -> int | None:
 def selected(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
     """doc_id, n_words, log_weight, gumbel_key, kept of every row."""
     ship_code(docs.sparkSession)
-    each = sample = stored(label_sample(labels), "labels")
+    each = stored(judged(labels), "labels")
+    sample = stored(label_sample(labels), "sample")
     weighed = stored(scored(docs, sample, seed), "weights")
     labelled = weighed.select("doc_id", "log_weight", "toxic_score").join(each, "doc_id")
     found = cuts(stored(labelled.drop("doc_id"), "labelled"))
