@@ -95,6 +95,26 @@ def test_edited_copies(spark, docs, n):
     assert len(got) >= 0.9 * len({k for k, v in want.items() if v >= 0.83})
 
 
+def test_every_edited_copy_above_the_bound(spark, docs):
+    """Changed, dropped and added words anywhere: all passages of similarity 0.8 are found."""
+    r = random.Random(8)
+    sizes = [9, 12, 13, 15, 16, 22, 31, 38, 49, 57, 95]
+    items = [(n, passage(n, f"w{n}x")) for n in sizes]
+    texts = []
+    for n, item in items:
+        for _ in range(16):
+            own = item.split()
+            for _ in range(r.randint(1, 1 + n // 45)):
+                at = r.choice([0, len(own) - 1, r.randrange(len(own))])
+                own[at:at + 1] = r.choice([["q"], ["q"], [], [own[at], "q"]])
+            before, after = r.randrange(20), r.choice([0, 30])
+            texts.append(" ".join([f"a{i}" for i in range(before)] + own + ["z"] * after))
+    got, want = run(spark, docs(texts), items), plain(list(enumerate(texts)), items)
+    above = {k for k, v in want.items() if v > 0.8 + 1e-9}  # at 0.8 itself the sums may round
+    assert len(above) > 60 and above <= got.keys() <= want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
+
+
 def test_hard_cases(spark, docs):
     item = passage(20, "w")
     items = [(1, item), (2, item), (3, None), (4, ""), (5, "..."), (None, passage(16, "n"))]

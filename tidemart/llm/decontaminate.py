@@ -1,23 +1,27 @@
-"""Benchmark decontamination by SimHash windows of item size, in DataFrame functions only.
-
-An item of n words is looked for in windows of its size, rounded down so that a window on the
-documents' grid lies inside the item wherever it stands: the grid has a line every `g` words, the
-window has the largest power of two of grid blocks that fits into n - g + 1 words, and the item
-is fingerprinted at all g shifts. Longer items also get windows of half that size at their front and
-back, so that one changed word leaves a window unchanged. A fingerprint has 35 bits, one for each of 35 hash bits of the
+"""Benchmark decontamination by SimHash windows tiled over the items, in DataFrame functions only.
+
+A document is fingerprinted in windows that begin on a grid with a line every `g` words. An item
+is fingerprinted in windows of the same size at so many places that, wherever the passage stands,
+every unchanged run of 11 of its words (7 in items below 13 words) holds a grid window that equals
+one of the item. A similarity of 0.8 leaves such a run: an edit inside an item changes five
+shingles and makes five new ones, so it takes at least 22 shingles even where those it changes
+weigh next to nothing. A fingerprint has 35 bits, one for each of 35 hash bits of the
 words in the window, set if more than half of the words have it. The 35 counters are kept as five
 longs of seven byte-wide lanes, so a window's counters are sums of its blocks' counters.
 
-The index is a multi-index over two parts of 20 and 15 bits: fingerprints within a radius of 1
-agree in at least one part, so looking up both parts finds all of them. Candidates are verified on the
-words: the window that lines up with the item, of the item's length, must have a weighted Jaccard
-similarity of five-word shingles of 0.8 or more. A shingle of the item weighs its inverse
-document frequency among the items, any other shingle the largest such weight.
+The index is a multi-index over three parts of 10, 10 and 15 bits: fingerprints within a radius of
+1 agree in at least two of them, so looking up each two finds all of them. Candidates are verified
+on the words: a window of the item's length must have a weighted Jaccard similarity of five-word
+shingles of 0.8 or more. Tried are the window that lines up with the item, those a few words off
+(n / 9 - 3, what added words can gain), and those up to a quarter of the item off that the text's
+begin or end cuts short. A shingle of the item weighs its inverse document frequency among the
+items, any other shingle the largest such weight.
 
 Words are lower-cased runs of ASCII letters and digits and of all non-ASCII characters. Items of
-15 words or more use g = 8, shorter ones g = 4, those below 7 words g = 1; no window has more than
-128 words. An item or window of fewer than five words is one
-shingle.
+13 words or more have windows of 8 words with g = 4, those of 7 to 12 words windows of 4 with
+g = 4, shorter ones the largest power of two with g = 1. Items of `LONG` words or more keep half of the
+places, which find every unchanged run of 15 words; they have one of 16. An item or window of
+fewer than five words is one shingle.
 
 Edge cases: null or empty texts and items match nothing; equal rows are one result row with their
 doc_id; a null doc_id is kept; equal items are all reported; empty tables give no rows; other
@@ -39,9 +43,10 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 1
 LANES = 5
-MOST_WORDS = 128  # a counter has a byte
+LONG = 49  # words of an item from which every other four places are left out
 ONES = 0x01010101010101  # seven bytes: the sums stay within a signed long
 _HIGH = 0x80808080808080
+PARTS = (0xFFFFFFFF, 0xFFFFFF0000FFFF, 0xFFFFFFFFFF0000)
 KEYS_IN_PLAN = 50_000  # rows of an index that also sorts out windows before the join
 
 
@@ -52,7 +57,13 @@ def split_words(text: Column) -> Column:
 
 def grid(n: Column) -> Column:
     """Words between grid lines for an item of n words."""
-    return F.when(n >= 15, 8).when(n >= 7, 4).otherwise(1)
+    return F.when(n >= 7, 4).otherwise(1)
+
+
+def window_words(n: Column) -> Column:
+    """Words in a window of an item of n words."""
+    return F.when(n >= 13, 8).when(n >= 7, 4).otherwise(
+        F.pow(F.lit(2), F.floor(F.log2(n)))).cast("int")
 
 
 def lane_sums(hashes: Column, lane: int) -> Column:
@@ -69,8 +80,9 @@ def fingerprint(sums: list[Column], words: Column) -> Column:
         for k, s in enumerate(sums)])
 
 
-def halves(print_: Column) -> list[Column]:
-    return [print_.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(print_, 32)]
+def parts(print_: Column) -> list[Column]:
+    """Each two of the three parts."""
+    return [print_.bitwiseAND(F.lit(mask)) for mask in PARTS]
 
 
 def numbered(benchmark: DataFrame) -> DataFrame:
@@ -82,29 +94,14 @@ def numbered(benchmark: DataFrame) -> DataFrame:
 
 def item_prints(items: DataFrame) -> DataFrame:
     """item, n, g, m (blocks in the window), shift (its place in the item) and print of every
-    window of an item: the item's own size at g shifts, and for items in which one changed word
-    leaves enough, half windows at g shifts from the front and the back."""
+    window of an item."""
     n, g = F.col("n"), F.col("g")
     sized = items.select("item", "words", F.size("words").alias("n")).select(
-        "*", grid(n).alias("g"))
-
-    def blocks(words: Column) -> Column:
-        """The largest power of two of blocks that lies on the grid in a run of `words`."""
-        fit = F.floor(F.least(F.lit(MOST_WORDS), words - g + 1) / g)
-        return F.when(fit >= 1, F.pow(F.lit(2), F.floor(F.log2(fit)))).otherwise(0).cast("int")
-
-    sized = sized.select("*", blocks(n).alias("m"), blocks(F.floor((n - 1) / 2)).alias("m2"))
-    shifts = F.sequence(F.lit(0), g - 1)
-
-    def windows(m: str, first: Column) -> Column:
-        return F.transform(shifts, lambda s: F.struct(
-            F.col(m).alias("m"), (first + s).cast("int").alias("shift")))
-
-    halves_too = F.concat(windows("m2", F.lit(0)), windows("m2", n - F.col("m2") * g - g + 1))
-    full = windows("m", F.lit(0))
-    each = sized.select("item", "words", "n", "g", F.explode(F.array_distinct(F.when(
-        F.col("m2") > 0, F.concat(full, halves_too)).otherwise(full))).alias("w"))
-    each = each.select("item", "words", "n", "g", "w.m", "w.shift")
+        "*", grid(n).alias("g"), window_words(n).alias("size"))
+    shifts = F.filter(F.sequence(F.lit(0), n - F.col("size")),
+                      lambda s: (n < LONG) | (s % 8 < 4))
+    each = sized.select("item", "words", "n", "g", (F.col("size") / g).cast("int").alias("m"),
+                        F.explode(shifts).alias("shift"))
     hashes = F.transform(F.slice("words", F.col("shift") + 1, F.col("m") * F.col("g")),
                          lambda w: F.xxhash64(w))
     print_ = fingerprint([lane_sums(hashes, k) for k in range(LANES)], F.col("m") * F.col("g"))
@@ -119,6 +116,11 @@ def shingles(words: Column) -> Column:
         F.slice(words, i + 1, SHINGLE_WORDS), " ")))
 
 
+def moved(n):
+    """How many words a window that the text cuts short may lie off the item's place."""
+    return n // 4 + 1 if isinstance(n, int) else F.floor(n / 4).cast("int") + 1
+
+
 def item_weights(items: DataFrame) -> DataFrame:
     """item, item_id, weighted (struct shingle, weight), and the weight of any other shingle."""
     total = items.count()
@@ -159,17 +161,18 @@ def _windows(texts: DataFrame, g: int, sizes: dict[int, tuple[int, int]],
             f"s{lane}", b + m // 2))
 
     def hits(m: int) -> Column:
+        back = sizes[m][1] + moved(sizes[m][0])
         found = F.transform(lines(m), lambda b: F.struct(
             b.alias("line"),
             fingerprint([F.get(f"s{k}", b) for k in lanes], F.lit(m * g)).alias("print")))
         if keys[m] is not None:
-            found = F.filter(found, lambda x: halves(x["print"])[0].isin(keys[m][0])
-                             | halves(x["print"])[1].isin(keys[m][1]))
+            found = F.filter(found, lambda x: reduce(lambda a, b: a | b, [
+                part.isin(own) for part, own in zip(parts(x["print"]), keys[m], strict=True)]))
         return F.transform(found, lambda x: F.struct(
             F.lit(m).alias("m"), x["line"].alias("line"), x["print"].alias("print"),
-            F.lit(sizes[m][1]).alias("back"),
-            F.slice("words", F.greatest(F.lit(0), x["line"] * g - sizes[m][1]) + 1,
-                    F.lit(sum(sizes[m]))).alias("near")))
+            F.lit(back).alias("back"),
+            F.slice("words", F.greatest(F.lit(0), x["line"] * g - back) + 1,
+                    F.lit(back + sizes[m][0] + moved(sizes[m][0]))).alias("near")))
 
     sums, found, m = [f"s{k}" for k in lanes], [], 1
     grown = blocks.select(*base, *[block_sums(k).alias(f"s{k}") for k in lanes])
@@ -186,19 +189,19 @@ def _windows(texts: DataFrame, g: int, sizes: dict[int, tuple[int, int]],
 
 
 def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
-    """doc_id, mark (hash of the row), item, n, start, at (start within near) and near of every
-    pair of a window and an item within the radius."""
+    """doc_id, mark (hash of the row), item, n, start (where the item would begin), begin (of near)
+    and near of every place at which a window is within the radius of one of an item."""
     prints = stored(item_prints(items), "prints")
     index = prints.select("item", "n", "g", "m", "shift", "print", F.posexplode(
-        F.array(*halves(F.col("print")))).alias("half", "key"))
+        F.array(*parts(F.col("print")))).alias("part", "key"))
     kinds: dict[int, dict[int, tuple[int, int]]] = {}  # a few window sizes
     for r in prints.groupBy("g", "m").agg(F.max("n"), F.max("shift")).collect():
         kinds.setdefault(r["g"], {})[r["m"]] = r[2], r[3]
     index = stored(index, "index")
     keys: dict[tuple[int, int], list[list[int]]] = {}
     if index.count() <= KEYS_IN_PLAN:
-        for r in index.select("g", "m", "half", "key").distinct().collect():
-            keys.setdefault((r["g"], r["m"]), [[], []])[r["half"]].append(r["key"])
+        for r in index.select("g", "m", "part", "key").distinct().collect():
+            keys.setdefault((r["g"], r["m"]), [[] for _ in PARTS])[r["part"]].append(r["key"])
     text = F.col("text").cast("string")
     texts = docs.select("doc_id", F.xxhash64("doc_id", text).alias("mark"),
                         split_words(text).alias("words")).select(
@@ -209,16 +212,18 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame | None:
         found = part if found is None else found.unionByName(part)
     if found is None:
         return None
-    looked = found.select("*", F.posexplode(F.array(*halves(F.col("print")))).alias(
-        "half", "key")).withColumnRenamed("print", "window")
-    met = looked.join(sized_ids(index), ["g", "m", "half", "key"]).where(
-        F.bit_count(F.col("window").bitwiseXOR(F.col("print"))) <= RADIUS)
+    looked = found.select("*", F.posexplode(F.array(*parts(F.col("print")))).alias(
+        "part", "key")).withColumnRenamed("print", "window")
+    apart = F.col("window").bitwiseXOR(F.col("print"))
+    first = F.array_position(F.array(*parts(apart)), F.lit(0).cast("long")) - 1
+    met = looked.join(sized_ids(index), ["g", "m", "part", "key"]).where(
+        (F.bit_count(apart) <= RADIUS) & (F.col("part") == first))
     begin = F.greatest(F.lit(0), F.col("line") * F.col("g") - F.col("back"))
     start = F.col("line") * F.col("g") - F.col("shift")
-    cut = F.least(F.lit(0), start)  # below 0 if the text begins within the item
-    return met.select(
-        "doc_id", "mark", "item", (F.col("n") + cut).alias("n"),
-        (start - cut).alias("start"), (start - cut - begin).alias("at"), "near").where("n > 0")
+    return met.select("doc_id", "mark", "item", "n", start.alias("start"), F.struct(
+        begin.alias("begin"), "near").alias("seen")).groupBy(
+        "doc_id", "mark", "item", "n", "start").agg(F.first("seen").alias("seen")).select(
+        "doc_id", "mark", "item", "n", "start", "seen.*")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -232,8 +237,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             [], f"doc_id {kind['doc_id']}, mark long, item_id {kind['item_id']}, "
                 "start_word long, similarity double")
     weights = stored(item_weights(items), "weights")
-    window = F.slice("near", F.col("at") + 1, F.col("n"))
-    both = met.select("doc_id", "mark", "item", "start", shingles(window).alias("own")).join(
+    off = moved(F.col("n"))
+    ends = F.col("begin") + F.size("near")  # a window past it is cut by the end of the text
+    placed = met.select("doc_id", "mark", "item", "n", "start", "begin", "near", F.explode(
+        F.sequence(F.col("start") - off, F.col("start") + off)).alias("a")).where(
+        "a + n > 0").where((F.abs(F.col("a") - F.col("start")) <= F.floor(F.col("n") / 9) - 3)
+                           | (F.col("a") == F.col("start")) | (F.col("a") < 0)
+                           | ((F.col("a") + F.col("n") > ends) & (F.col("a") < ends)))
+    start = F.greatest(F.lit(0), "a")
+    cut = F.least(F.lit(0), "a")  # below 0 if the text begins within the item
+    window = F.slice("near", start - F.col("begin") + 1, F.col("n") + cut)
+    held = _held(placed.select("doc_id", "mark", "item", start.alias("start"),
+                               window.alias("window")),
+                 ["doc_id", "mark", "item", "start"], ["window"])
+    both = held.select("doc_id", "mark", "item", "start",
+                       shingles(F.col("window")).alias("own")).join(
         sized_ids(weights), "item")
     shared = F.filter("weighted", lambda x: F.array_contains("own", x["s"]))
 
