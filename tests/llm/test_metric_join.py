@@ -70,6 +70,16 @@ def test_hard_cases(spark):
         (12, [-1.0, 0.0]), (None, [1.0, 0.0]), (13, [1.0, 0.0, 0.0]), (None, None)])
 
 
+def test_every_length_is_joined(spark):
+    short, long = cloud(5, 60, 4), cloud(6, 90, 12)
+    rows = short + [(100 + i, v) for i, v in long]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"])
+                 for r in metric_join.near_vectors(frame).collect())
+    assert got == sorted(plain(short) + plain(rows[60:]))
+    assert any(n for i, n, _ in got if i < 60)
+
+
 def test_empty_tables(spark):
     compare(spark, [])
     compare(spark, [(1, None), (2, [])])

@@ -12,8 +12,10 @@ A cell of any size is cut into blocks: a task compares at most about `HOME` home
 vectors are one node with a weight. Products in single precision only sort out pairs that are
 clearly apart; those near the bound are computed in double precision.
 
-Edge cases: vectors that are null, zero, or hold null or non-finite components link with nothing,
-and so do those whose length is not the table's most frequent one; equal rows count as vectors of
+Vectors of each length are joined by themselves, one length after the other; vectors of different
+length do not link.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components link with nothing; equal rows count as vectors of
 their own; a null vec_id names no component; other columns are ignored.
 """
 
@@ -51,13 +53,7 @@ def nodes(vectors: DataFrame) -> DataFrame:
     v = F.col("vec")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     some = vectors.where(v.isNotNull() & (F.size(v) > 0) & sound & F.exists(v, lambda x: x != 0))
-    sizes = some.groupBy(F.size(v).alias("dims")).count().orderBy(
-        F.desc("count"), "dims").limit(1).collect()
-    if not sizes:
-        return vectors.select(F.lit(0).cast("long").alias("node"), "vec",
-                              F.lit(0).cast("long").alias("copies")).limit(0)
-    same = some.where(F.size(v) == sizes[0]["dims"])
-    return same.groupBy("vec").agg(F.count(F.lit(1)).alias("copies")).select(
+    return some.groupBy("vec").agg(F.count(F.lit(1)).alias("copies")).select(
         F.monotonically_increasing_id().alias("node"), "vec", "copies")
 
 
@@ -203,12 +199,21 @@ def cell_links(points: DataFrame) -> DataFrame:
     return own.unionByName(other).groupBy("cell", "hb", "mb").applyInArrow(_block, schema)
 
 
+def links(points: DataFrame) -> DataFrame:
+    """`cell_links` of the vectors of each length that two of them or more have."""
+    lengths = points.groupBy(F.size("vec").alias("dims")).count().where("count > 1").collect()
+    found = points.sparkSession.createDataFrame([], "a long, b long, n long")
+    for r in sorted(lengths):
+        found = found.union(stored(cell_links(points.where(F.size("vec") == r["dims"])), "links"))
+    return found
+
+
 def near_vectors(table: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable by links), kept of every row."""
     ship_code(table.sparkSession)
     vectors = table.select("vec_id", F.col("embedding").alias("vec"))
     points = stored(nodes(vectors), "nodes")
-    found = stored(cell_links(points), "links")
+    found = links(points)
     counts = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("n"))
     groups = connected_components(found.where("n = 0").select("a", "b"))
     marks = stored(points.join(groups, "node", "left").join(
