@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
-    decontaminate, importance, language_id, license_scan, metric_join, ngram_join, packing,
-    preference, secret_scan, sharding,
+    decontaminate, importance, language_id, lexical_search, license_scan, metric_join,
+    ngram_join, packing, preference, secret_scan, sharding,
 )
 from tidemart.llm.common import table
 
@@ -85,3 +85,12 @@ def _(spark, sf_dir):
 @query("op10_secret_ledger")
 def _(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op11_automaton_search")
+def _(spark, sf_dir):
+    return lexical_search.best_documents(table(spark, sf_dir, "documents"),
+                                         table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_automaton_search"] = lexical_search.SQL
