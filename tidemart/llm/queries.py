@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
-    decontaminate, importance, language_id, lexical_search, license_scan, metric_join,
-    ngram_join, packing, preference, secret_scan, sharding,
+    byte_bpe, decontaminate, importance, language_id, lexical_search, license_scan,
+    metric_join, ngram_join, packing, preference, secret_scan, sharding,
 )
 from tidemart.llm.common import table
 
@@ -94,3 +94,8 @@ def _(spark, sf_dir):
 
 
 SQL["op11_automaton_search"] = lexical_search.SQL
+
+
+@query("op12_tree_bpe")
+def _(spark, sf_dir):
+    return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
