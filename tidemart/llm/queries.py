@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import (
     byte_bpe, decontaminate, importance, language_id, lexical_search, license_scan,
     metric_join, ngram_join, packing, preference, secret_scan, sharding,
+    token_alignment,
 )
 from tidemart.llm.common import table
 
@@ -99,3 +100,8 @@ SQL["op11_automaton_search"] = lexical_search.SQL
 @query("op12_tree_bpe")
 def _(spark, sf_dir):
     return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
+
+
+@query("op13_spill_alignment")
+def _(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"))
