@@ -52,7 +52,7 @@ from tidemart.llm.common import ship_code, stored
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PARTS = 64  # radix parts, by the lowest bits of the A id
-BLOCK_BYTES = 8 << 20  # text of a block
+BLOCK_BYTES = 4 << 20  # text of a block
 BLOCK_DOCS = 1 << 16
 FAN = 64  # runs merged at once
 TASK_BYTES = 32 << 20  # compressed runs that a task of the last step gets
