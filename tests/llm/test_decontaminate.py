@@ -130,6 +130,7 @@ def test_documents_with_leaks_go(spark, docs):
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
     frame = docs([item, "clean", None, (None, "a b " + item), (None, "clean")]).selectExpr(
         "*", "1 as mark", "2 as words")
+    frame = frame.selectExpr("*", "1 as _mark", "2 as Mark_")
     kept = decontaminate.without_leaks(frame, benchmark)
     assert kept.columns == frame.columns
     assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept.collect()))) == [

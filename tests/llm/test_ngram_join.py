@@ -82,6 +82,17 @@ def test_one_document_of_each_group_stays(docs):
         (0, base), (2, "other"), (3, None)]
 
 
+def test_texts_of_one_doc_id_are_judged_one_by_one(docs):
+    base = " ".join(f"w{i}" for i in range(100))
+    frame = docs([(1, base), (5, base + " x"), (5, "alone"), (5, base), (7, "alone b"), (7, None),
+                  (7, None), (None, base), (None, base)]).selectExpr(
+        "*", "1 as extra_id", "2 as body_key", "3 as label")
+    kept = ngram_join.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(1, base), (5, "alone"), (7, "alone b"), (7, None), (None, base), (None, base)], key=repr)
+
+
 def test_empty_table_and_clashing_names(docs):
     assert ngram_join.near_duplicates(docs([])).collect() == []
     assert ngram_join.keep_one(docs([])).collect() == []

@@ -81,7 +81,7 @@ def test_more_kinds(docs):
 
 def test_redaction(docs):
     frame = docs(["a token=abcdef b", "clean", None, "é" + "0" * 24 + "!", "a token=abcdef b"])
-    frame = frame.selectExpr("*", "1 as spans", "2 as body")
+    frame = frame.selectExpr("*", "1 as spans", "2 as body", "3 as blob", "4 as _blob", "5 as Blob_")
     out = {r["doc_id"]: r for r in secret_scan.redact(frame).collect()}
     assert [out[i]["text"] for i in range(5)] == [
         "a [SECRET] b", "clean", None, "é[SECRET]!", "a [SECRET] b"]
@@ -92,3 +92,16 @@ def test_redaction(docs):
 def test_empty_table(docs):
     assert secret_scan.scan(docs([])).collect() == []
     assert secret_scan.redact(docs([])).collect() == []
+
+
+def test_a_new_rule_is_tested_on_every_text(spark, docs):
+    """The test before the scan follows from the rules given, with literals or without."""
+    rules = (*secret_scan.RULES, secret_scan.Rule("chat", 1, rb"xox[bp]-[0-9]{6,}"),
+             secret_scan.Rule("card", 1, rb"(?i)card [0-9]{8}", needs=(b"card ",)))
+    frame = docs(["see xox" + "b-1234567 here", "token=abcdef xox" + "p-7654321", "CARD 12345678",
+                  "nothing"])
+    ledger = scratch(spark, "ledger")
+    secret_scan.scan(frame, ledger).collect()
+    out = {r["doc_id"]: r["spans"] for r in secret_scan.scan(frame, ledger, rules).collect()}
+    assert [sorted(s["kind"] for s in out[i]) for i in range(4)] == [
+        ["chat"], ["assign", "chat"], ["card"], []]

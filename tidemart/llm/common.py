@@ -33,3 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sized_ids(ids: DataFrame) -> DataFrame:
     """`ids` (already written), marked for broadcast if a count shows that it is short."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Names like the stems that no column of `df` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return [stem + "_" * next(i for i in range(1, len(taken) + 2)
+                              if (stem + "_" * i).lower() not in taken) for stem in stems]

@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import sized_ids, stored
+from tidemart.llm.common import free_names, sized_ids, stored
 from tidemart.llm.license_scan import SEPARATORS
 
 SHINGLE_WORDS = 5
@@ -271,7 +271,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` in which no item was found."""
-    found = stored(leaks(docs, benchmark).select(F.col("mark").alias("_mark")).distinct(),
-                   "leaked")
-    marked = docs.withColumn("_mark", F.xxhash64("doc_id", F.col("text").cast("string")))
-    return marked.join(sized_ids(found), "_mark", "left_anti").select(docs.columns)
+    mark, = free_names(docs, "mark")
+    found = stored(leaks(docs, benchmark).select(F.col("mark").alias(mark)).distinct(), "leaked")
+    marked = docs.withColumn(mark, F.xxhash64("doc_id", F.col("text").cast("string")))
+    return marked.join(sized_ids(found), mark, "left_anti").select(docs.columns)

@@ -122,24 +122,31 @@ def _prefixer(sketch):
                 ends = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
                 flat = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(sizes, pa.int32()),
+                    part.column("doc_id"), part.column("body_key"), pa.array(sizes, pa.int32()),
                     pa.array(nodes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                     pa.array([pack.compress(t) if n else None
                               for t, n in zip(texts, sizes, strict=True)], pa.binary()),
-                ], names=["doc_id", "n", "node", "tokens", "body"])
+                ], names=["doc_id", "body_key", "n", "node", "tokens", "body"])
 
     return run
 
 
+def text_key(docs: DataFrame) -> Column:
+    """Tells the texts of rows with one doc_id apart."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
 def prefixed(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), node (hash of the set), tokens (prefix), body (packed text)."""
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    """doc_id, body_key (hash of the text), n (set size), node (hash of the set), tokens (prefix),
+    body (packed text)."""
+    texts = docs.select("doc_id", text_key(docs).alias("body_key"),
+                        F.col("text").cast("string").alias("text"))
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(texts))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(
         _prefixer(sketch),
-        f"doc_id {kind}, n int, node long, tokens array<long>, body binary")
+        f"doc_id {kind}, body_key long, n int, node long, tokens array<long>, body binary")
 
 
 def shared_lists(sets: DataFrame) -> DataFrame:
@@ -223,8 +230,8 @@ def rest_pairs(lists: DataFrame, stars: DataFrame, groups: DataFrame) -> DataFra
             .join(stars, ["a", "b"], "left_anti"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+def _labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, body_key, n_shingles, label (of the component; null without words) of every row."""
     ship_code(docs.sparkSession)
     sets = stored(prefixed(docs), "sets")
     lists = stored(shared_lists(sets), "lists")
@@ -233,9 +240,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = stored(rest_pairs(lists, stars, connected_components(links)), "rest")
     links = links.union(stored(verified(rest, sets), "links"))
     groups = connected_components(links)
-    labelled = stored(sets.select("doc_id", "n", "node").join(groups, "node", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+    return stored(sets.select("doc_id", "body_key", "n", "node").join(
+        groups, "node", "left").select(
+        "doc_id", "body_key", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component", "node").alias("label")), "labelled")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
+    labelled = _labelled(docs)
     names = labelled.where("label is not null").groupBy("label").agg(
         F.min("doc_id").alias("name"))
     return labelled.join(names, "label", "left").select(
@@ -245,15 +258,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each group: the one whose doc_id names the component.
+    """`docs` with one document of each group: the one with the smallest doc_id.
 
-    Of equal rows one stays; rows without a doc_id all stay.
+    Rows are told apart by doc_id and text: of a doc_id with several texts, only those that have
+    a near copy kept elsewhere go. Of equal rows one stays; rows without a doc_id all stay.
     """
-    found = stored(near_duplicates(docs), "near")
-    extra = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "extra")
-    kept = docs.join(sized_ids(extra), "doc_id", "left_anti").select(docs.columns)
-    ids = found.where("doc_id is not null")
-    if ids.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is null").unionByName(
-        kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    found = _labelled(docs).where("doc_id is not null")
+    kept = found.where("label is not null").groupBy("label").agg(
+        F.min(F.struct("doc_id", "body_key")).alias("kept"))
+    extra = stored(found.join(kept, "label").where(
+        F.struct("doc_id", "body_key") != F.col("kept")).select(
+        F.col("doc_id").alias("extra_id"), F.col("body_key").alias("extra_key")).distinct(),
+        "extra")
+    ids = sized_ids(extra)
+    left = docs.join(ids, (docs["doc_id"] == ids["extra_id"])
+                     & (text_key(docs) == ids["extra_key"]), "left_anti")
+    if found.groupBy("doc_id", "body_key").count().where("count > 1").isEmpty():
+        return left
+    return left.where("doc_id is null").unionByName(
+        left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))

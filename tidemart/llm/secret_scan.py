@@ -5,9 +5,9 @@ rule versions that have seen it and the spans they found. A run scans only the p
 rule version that the ledger lacks, once per blob however many rows hold it, appends what it
 found, and joins the findings back to all rows.
 
-A cheap test of the bytes (literals that every rule needs, or a run of 24 hex digits) goes with
-the addressing, where the text is read anyway: a text that fails it can have no finding, so only
-the few others travel to the scan.
+A cheap test of the bytes goes with the addressing, where the text is read anyway: for each rule,
+the literals of which every match holds one, or else the rule's own pattern. A text that fails it
+can have no finding, so only the few others travel to the scan.
 
 Edge cases: a null text counts as empty; an empty table gives no rows; equal rows are all
 returned; other columns of the input are ignored by `scan` and kept by `redact`.
@@ -24,13 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import scratch, ship_code, stored
+from tidemart.llm.common import free_names, scratch, ship_code, stored
 from tidemart.sources.jsonl import load_or_empty
 
 
 @dataclass(frozen=True)
 class Rule:
-    """`pattern` works on UTF-8 bytes; a match counts if its `group` has `least` bytes."""
+    """`pattern` works on UTF-8 bytes; a match counts if its `group` has `least` bytes.
+
+    `needs` are lower-case literals; every match holds one of them, in any case of letters. A rule
+    without them is tested by its pattern.
+    """
 
     kind: str
     version: int
@@ -38,6 +42,7 @@ class Rule:
     flags: int = 0
     group: int = 0
     least: int = 1
+    needs: tuple[bytes, ...] = ()
 
     @property
     def key(self) -> str:
@@ -48,38 +53,36 @@ class Rule:
 BASE_RULES = (
     Rule("assign", 1,
          rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
-         rb"""([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE, 2, 6),
-    Rule("access", 1, rb"AKIA[A-Z0-9]+", 0, 0, 20),
-    Rule("hex", 1, rb"[0-9a-f]+", 0, 0, 24),
+         rb"""([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE, 2, 6,
+         (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")),
+    Rule("access", 1, rb"AKIA[A-Z0-9]+", 0, 0, 20, (b"akia",)),
+    Rule("hex", 1, rb"[0-9a-f]{24,}"),
 )
 MORE_RULES = (
-    Rule("pem", 1, rb"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", 1, rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("forge", 1, rb"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("pem", 1, rb"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+         needs=(b"private key-----",)),
+    Rule("jwt", 1, rb"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+         needs=(b"eyj",)),
+    Rule("forge", 1, rb"gh[pousr]_[A-Za-z0-9]{36,}",
+         needs=(b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_")),
 )
 RULES = BASE_RULES + MORE_RULES
 
-_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia",
-          b"private key-----", b"eyj", b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_")
-_HEX = re.compile(rb"[0-9a-f]{24}")
-
 SPAN = "struct<rule:string,kind:string,start:int,stop:int>"
 
 
-def may_hold(text: bytes) -> bool:
+def may_hold(text: bytes, rules: tuple[Rule, ...] = RULES) -> bool:
     """False only if no rule can match."""
     low = text.lower()
-    return any(w in low for w in _WORDS) or _HEX.search(text) is not None
+    return any(any(n in low for n in r.needs) if r.needs
+               else re.search(r.pattern, text, r.flags) is not None for r in rules)
 
 
 def find_spans(text: bytes, rules: tuple[Rule, ...]) -> list[tuple[str, str, int, int]]:
     """Matches of the rules as (rule, kind, start, end) in code points."""
     found = []
     for rule in rules:
-        pattern = rule.pattern
-        if rule.kind == "hex":  # runs are maximal either way; this skips the short ones
-            pattern = rb"[0-9a-f]{%d,}" % rule.least
-        for m in re.finditer(pattern, text, rule.flags):
+        for m in re.finditer(rule.pattern, text, rule.flags):
             if len(m.group(rule.group)) >= rule.least:
                 found.append((rule.key, rule.kind, m.start(), m.end()))
     places = sorted({p for f in found for p in f[2:]})
@@ -90,23 +93,26 @@ def find_spans(text: bytes, rules: tuple[Rule, ...]) -> list[tuple[str, str, int
     return [(r, k, points[a], points[b]) for r, k, a, b in found]
 
 
-def _address(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bodies = [b"" if t is None else t
-                  for t in batch.column("text").cast("large_binary").to_pylist()]
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"),
-            pa.array([hashlib.sha256(t).digest() for t in bodies], pa.binary()),
-            pa.array([t if may_hold(t) else None for t in bodies], pa.binary()),
-        ], names=["doc_id", "blob", "body"])
+def _addresser(rules: tuple[Rule, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [b"" if t is None else t
+                      for t in batch.column("text").cast("large_binary").to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"),
+                pa.array([hashlib.sha256(t).digest() for t in bodies], pa.binary()),
+                pa.array([t if may_hold(t, rules) else None for t in bodies], pa.binary()),
+            ], names=["doc_id", "blob", "body"])
+
+    return run
 
 
-def addressed(docs: DataFrame) -> DataFrame:
+def addressed(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, blob (address of the text), body (the text if a rule may match, else null)."""
     ship_code(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _address, f"doc_id {kind}, blob binary, body binary")
+        _addresser(rules), f"doc_id {kind}, blob binary, body binary")
 
 
 def _scanner(rules: tuple[Rule, ...]):
@@ -173,7 +179,7 @@ def scan(docs: DataFrame, ledger: str | None = None,
     """doc_id, spans of every row of `docs`, through the ledger at that path (new by default)."""
     spark = docs.sparkSession
     ledger = ledger or scratch(spark, "ledger")
-    paths = stored(addressed(docs), "paths")
+    paths = stored(addressed(docs, rules), "paths")
     update_ledger(paths, ledger, rules)
     return (paths.select("doc_id", "blob")
             .join(found_blobs(spark, ledger, rules), "blob", "left")
@@ -196,10 +202,11 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column has the spans."""
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(),
-                               batch.column("_spans").to_pylist(), strict=True):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column(-1).to_pylist(),
+                               strict=True):
             parts, at = [], 0
             for a, b in sorted((s["start"], s["stop"]) for s in spans):
                 if b > at:
@@ -208,7 +215,7 @@ def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append("".join(parts) + text[at:])
         i = batch.schema.get_field_index("text")
         batch = batch.set_column(i, "text", pa.array(out, batch.schema.field("text").type))
-        yield batch.select([n for n in batch.schema.names if n != "_spans"])
+        yield batch.select(batch.schema.names[:-1])
 
 
 def redact(docs: DataFrame, ledger: str | None = None,
@@ -219,16 +226,17 @@ def redact(docs: DataFrame, ledger: str | None = None,
     """
     spark = docs.sparkSession
     ledger = ledger or scratch(spark, "ledger")
-    paths = stored(addressed(docs), "paths")
+    paths = stored(addressed(docs, rules), "paths")
     update_ledger(paths, ledger, rules)
     found = stored(found_blobs(spark, ledger, rules), "found")
-    keyed = docs.withColumn("_blob", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    hits = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    blob, spans = free_names(docs, "blob", "spans")
+    keyed = docs.withColumn(blob, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    hits = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     few = found.count() <= 50_000  # at most some tens of MB; else both sides are shuffled
     hits = F.broadcast(hits) if few else hits
-    joined = keyed.join(hits, "_blob", "left").drop("_blob")
-    clean = joined.where(F.col("_spans").isNull()).drop("_spans")
-    dirty = joined.where(F.col("_spans").isNotNull()).mapInArrow(_mask, docs.schema)
+    joined = keyed.join(hits, blob, "left").select(*docs.columns, spans)
+    clean = joined.where(F.col(spans).isNull()).drop(spans)
+    dirty = joined.where(F.col(spans).isNotNull()).mapInArrow(_mask, docs.schema)
     out = clean.unionByName(dirty)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
