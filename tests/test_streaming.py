@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import history, monitoring
 from tidemart.plans import derived
 from tidemart.schemas import RAW_PRODUCT
-from tidemart.sources import jsonl
+from tidemart.sources import epochs, jsonl
 from tidemart.streaming import ingest, price_changes, rates
 
 RUN = datetime(2024, 1, 15, 14, 30, 22)
@@ -44,15 +44,15 @@ def test_incremental_bronze_reads_each_file_once(spark, tmp_path):
 
 
 def test_streaming_dedup_across_batches(spark, tmp_path):
-    source, out, state = (f"{tmp_path}/{n}" for n in ("source", "out", "state"))
+    source, out = (f"{tmp_path}/{n}" for n in ("source", "out"))
     at = datetime(2024, 1, 1)
     schema = "k long, at timestamp"
 
-    def run(*data):
+    def run(*data, state=f"{tmp_path}/state"):
         spark.createDataFrame(data, schema).write.mode("append").parquet(source)
         stream = ingest.table_stream(spark, source, spark.read.parquet(source).schema)
         ingest.run_to_end(ingest.append_new_keys(stream, out, state, ["k", "at"], "at"))
-        return sorted(((r.k, r.at) for r in spark.read.parquet(out).collect()), key=repr)
+        return sorted(((r.k, r.at) for r in ingest.read_new_keys(spark, out).collect()), key=repr)
 
     late = at - timedelta(days=5)
     assert run((1, at), (1, at), (2, at)) == [(1, at), (2, at)]
@@ -60,6 +60,33 @@ def test_streaming_dedup_across_batches(spark, tmp_path):
     found = run((1, at), (3, late), (4, None), (4, None))
     assert found == sorted([(1, at), (2, at), (3, late), (4, None)], key=repr)
     assert run((3, late), (4, None)) == found
+    # A new checkpoint brings all files again, from epoch 0; what is written stays.
+    again = run((5, at), (2, at), state=f"{tmp_path}/state2")
+    assert again == sorted([*found, (5, at)], key=repr)
+    assert run((6, late)) == sorted([*again, (6, late)], key=repr)
+
+
+def test_epochs_are_committed_once_and_folded(spark, tmp_path, monkeypatch):
+    """Live folders stay few over many epochs; broken and repeated epochs leave nothing."""
+    monkeypatch.setattr(epochs, "FAN", 3)
+    table = ingest.updated_table(spark, f"{tmp_path}/t", ["k"])
+    assert table.read().columns == ["epoch"] and table.last_epoch("a") == -1
+    want = {}
+    for epoch in range(14):
+        data = [(epoch % 4, epoch), (None, -epoch), (100 + epoch, epoch)]
+        want.update(dict(data))
+        frame = spark.createDataFrame(data, "k long, v long").coalesce(1)
+        writer = "a" if epoch < 9 else "b"
+        if epoch == 5:  # a crash in the middle of an epoch leaves a folder without a record
+            frame.limit(1).write.parquet(f"{table.path}/rows/epoch={table.state()['number'] + 1}")
+        assert table.commit(writer, epoch % 9, frame)
+        assert not table.commit(writer, epoch % 9, frame)
+    live = table.state()["live"]
+    assert len(live) <= 2 * 3 and [k for _, k in live] == sorted((k for _, k in live), reverse=True)
+    got = ingest.latest_rows(spark, table.path, ["k"]).collect()
+    assert {r.k: r.v for r in got} == want and len(got) == len(want)
+    assert len(table.unused()) == table.state()["number"] + 1 - len(live)
+    assert table.state()["writers"] == {"a": 8, "b": 4}
 
 
 @pytest.mark.parametrize("build, batch", [
@@ -74,9 +101,10 @@ def test_all_windows_equal_batch(spark, tmp_path, build, batch):
     requests.write.parquet(f"{tmp_path}/requests")
     stream = ingest.table_stream(spark, f"{tmp_path}/requests", requests.schema)
     out = f"{tmp_path}/out"
-    ingest.run_to_end(ingest.update_available(build(stream), out, f"{tmp_path}/c"))
+    keys = ["window_start", "window_end", "handler"]
+    ingest.run_to_end(ingest.update_available(build(stream), out, f"{tmp_path}/c", keys))
     expected = batch(requests)
-    got = ingest.latest_rows(spark, out, ["window_start", "window_end", "handler"])
+    got = ingest.latest_rows(spark, out, keys)
     assert rows(got.select(expected.columns)) == rows(expected)
 
 
@@ -89,9 +117,9 @@ def _snapshots(spark):
     return spark.createDataFrame(data, "product_id long, scraped_at timestamp, price int")
 
 
-@pytest.mark.parametrize("full_every", [2, 3, 100])
-def test_price_changes_equal_batch(spark, tmp_path, monkeypatch, full_every):
-    monkeypatch.setattr(price_changes, "FULL_EVERY", full_every)
+@pytest.mark.parametrize("fan", [2, 100])
+def test_price_changes_equal_batch(spark, tmp_path, monkeypatch, fan):
+    monkeypatch.setattr(epochs, "FAN", fan)
     whole = _snapshots(spark).cache()
     out, state = f"{tmp_path}/out", f"{tmp_path}/state"
     times = [r.t for r in whole.selectExpr("percentile(unix_seconds(scraped_at), "
@@ -108,16 +136,15 @@ def test_price_changes_equal_batch(spark, tmp_path, monkeypatch, full_every):
         if epoch == 2:
             price_changes.process_batch(part, epoch, out, state)
         low = high
-    seen = spark.read.parquet(out).select("product_id", "scraped_at")
+    seen = price_changes.read_changes(spark, out).select("product_id", "scraped_at")
     expected = history.price_history(whole.join(seen, ["product_id", "scraped_at"], "left_semi"))
     got = price_changes.read_changes(spark, out)
     assert rows(got) == rows(expected.select(price_changes.RESULT))
     whole.unpersist()
 
 
-@pytest.mark.parametrize("full_every", [2])
-def test_late_and_undated_snapshots_equal_batch(spark, tmp_path, monkeypatch, full_every):
-    monkeypatch.setattr(price_changes, "FULL_EVERY", full_every)
+def test_late_and_undated_snapshots_equal_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(epochs, "FAN", 2)
     out, state = f"{tmp_path}/out", f"{tmp_path}/state"
     schema = "product_id long, scraped_at timestamp, price int"
     day = lambda d: datetime(2024, 1, d)
@@ -137,3 +164,45 @@ def test_late_and_undated_snapshots_equal_batch(spark, tmp_path, monkeypatch, fu
     whole = spark.createDataFrame([(*k, v) for k, v in first.items()], schema)
     expected = history.price_history(whole).select(price_changes.RESULT)
     assert rows(price_changes.read_changes(spark, out)) == rows(expected)
+
+
+def test_late_row_reads_and_writes_its_neighbours_only(spark, tmp_path, monkeypatch):
+    """All other files of the results are made unreadable; the repair still finds what it needs."""
+    import glob
+    import os
+
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    schema = "product_id long, scraped_at timestamp, price int"
+    months = [(p, datetime(2023, m, d), 100 * m + d + p) for p in range(40) for m in range(1, 13)
+              for d in (3, 13, 23)]
+    price_changes.process_batch(spark.createDataFrame(months, schema), 0, out, state)
+    late = [(7, datetime(2023, 5, 20), 1), (7, datetime(2023, 8, 1), 2), (8, None, 3),
+            (9, datetime(2024, 2, 1), 4), (7, datetime(2023, 5, 13), 5)]
+    bucket = spark.createDataFrame(late, schema).filter("product_id = 7").select(
+        F.pmod(F.xxhash64("product_id"), F.lit(price_changes.BUCKETS))).first()[0]
+    parts = glob.glob(f"{out}/rows/epoch=0/*/*/*.parquet")
+    needed = f"__bucket={bucket}/__month=2023-05"  # the other new rows lie at the ends of months
+    kept = {}
+    for part in parts:
+        if needed not in part:
+            kept[part] = open(part, "rb").read()
+            for name in (part, f"{os.path.dirname(part)}/.{os.path.basename(part)}.crc"):
+                with open(name, "wb") as f:
+                    f.write(b"junk")
+    assert 0 < len(parts) - len(kept) <= 2 < 100 < len(parts)
+    price_changes.process_batch(spark.createDataFrame(late, schema), 1, out, state)
+    for part, data in kept.items():
+        with open(part, "wb") as f:
+            f.write(data)
+        os.remove(f"{os.path.dirname(part)}/.{os.path.basename(part)}.crc")
+    table = price_changes.results_table(spark, out)
+    assert table.read().filter("epoch = 1").count() == 7  # four new rows and three after them
+    whole = spark.createDataFrame([*months, *late[:4]], schema)
+    expected = history.price_history(whole).select(price_changes.RESULT)
+    assert rows(price_changes.read_changes(spark, out)) == rows(expected)
+    # A stream with another checkpoint continues the same history.
+    more = [(7, datetime(2023, 8, 2), 9), (41, None, 1)]
+    price_changes.process_batch(spark.createDataFrame(more, schema), 0, out, state, "other")
+    whole = spark.createDataFrame([*months, *late[:4], *more], schema)
+    assert rows(price_changes.read_changes(spark, out)) == rows(
+        history.price_history(whole).select(price_changes.RESULT))

@@ -41,7 +41,8 @@ def _share(df, k):
     select distinct product_id, case when product_id % 50 <> 0 then scraped_at end as scraped_at
     from raw_products"""))
 def _(t):
-    # Some products have no time; new keys come years after later ones.
+    # Some products have no time; new keys come years after later ones. The last two deliveries
+    # are read by a stream with a checkpoint of its own, which brings all earlier ones again.
     undated = F.when(F.col("product_id") % 50 != 0, F.col("scraped_at"))
 
     def run(path):
@@ -52,18 +53,34 @@ def _(t):
                 landing)
             rows = ingest.table_stream(t.spark, landing, bronze.schema)
             ingest.run_to_end(ingest.append_new_keys(
-                rows, path, t.path("checkpoints/x2"), ["product_id", "scraped_at"],
+                rows, path, t.path(f"checkpoints/x2_{k // 3}"), ["product_id", "scraped_at"],
                 "scraped_at"))
 
-    return t.spark.read.parquet(t.once("x2/single", run)).select(
+    return ingest.read_new_keys(t.spark, t.once("x2/single", run)).select(
         "product_id", F.col("scraped_at").cast("timestamp_ntz").alias("scraped_at")
     )
 
 
+_SLICES = 5
+
+
+def _land_events(t, path):
+    """The events in five files by time, cut inside windows, so that a window which one batch
+    leaves open is completed by the next."""
+    events = t.source("events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / _SLICES
+    for k in range(_SLICES):
+        part = events.filter(F.col("ts") >= first + k * step) if k else events
+        part = part.filter(F.col("ts") < first + (k + 1) * step) if k < _SLICES - 1 else part
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
 def _requests(t):
-    """The events table as a stream of requests."""
-    schema = t.source("events").schema
-    rows = ingest.table_stream(t.spark, t.sf_dir, schema, "events.parquet")
+    """The events table as a stream of requests, one file a batch."""
+    landing = t.once("x3/landing", lambda p: _land_events(t, p))
+    rows = ingest.table_stream(t.spark, landing, t.source("events").schema,
+                               max_files_per_trigger=1)
     kind = F.col("event_type")
     return rows.select(
         "ts", kind.alias("handler"), F.col("value").alias("duration"),
@@ -72,13 +89,17 @@ def _requests(t):
     )
 
 
+_WINDOW = ["window_start", "window_end", "handler"]
+
+
 def _panel(t, name, build):
     def run(path):
         rows = build(_requests(t))
-        ingest.run_to_end(ingest.update_available(rows, path, t.path(f"checkpoints/{name}")))
+        ingest.run_to_end(ingest.update_available(
+            rows, path, t.path(f"checkpoints/{name}"), _WINDOW))
 
     path = t.once(name, run)
-    found = ingest.latest_rows(t.spark, path, ["window_start", "window_end", "handler"])
+    found = ingest.latest_rows(t.spark, path, _WINDOW)
     return found.withColumns({
         c: found[c].cast("timestamp_ntz") for c in ("window_start", "window_end")
     })
@@ -111,7 +132,8 @@ def _(t):
 
 
 def _deliver(t, path):
-    """All snapshots in five shuffled deliveries; most are late, some undated."""
+    """All snapshots in five shuffled deliveries; most are late, some undated. The last is read
+    with a new checkpoint, which brings all others again."""
     snapshots = t.silver_products().select(
         "product_id", _undated().alias("scraped_at"), "price", F.col("scraped_at").alias("at"))
     landing = t.path("x4/landing")
@@ -121,7 +143,7 @@ def _deliver(t, path):
         snapshots.filter(part == k).drop("at").write.mode("append").parquet(landing)
         rows = ingest.table_stream(t.spark, landing, schema)
         ingest.run_to_end(price_changes.start(
-            rows, path, t.path("x4/state"), t.path("checkpoints/x4")
+            rows, path, t.path("x4/state"), t.path(f"checkpoints/x4_{k // 4}")
         ))
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.ordered import drop_repeats
-from tidemart.sources.jsonl import CORRUPT, LANDED_FILES, load_or_empty
+from tidemart.sources.epochs import EPOCH, EpochTable, latest, stream_id
+from tidemart.sources.jsonl import CORRUPT, LANDED_FILES
 
-EPOCH, MONTH = "epoch", "__month"
+MONTH = "__month"
 NO_MONTH = "none"
 MAX_MONTHS = 1000  # months of one micro-batch that are listed to prune the lookup
 
@@ -39,15 +40,18 @@ def landed_stream(
 
 
 def table_stream(
-    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet"
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet",
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Rows of Parquet files as they are added to a folder."""
-    return (
+    reader = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .parquet(path)
     )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def with_event_time(rows: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -62,23 +66,23 @@ def _with_month(rows: DataFrame, ts: str) -> DataFrame:
         F.date_format(F.col(ts).cast("timestamp"), "yyyy-MM"), F.lit(NO_MONTH)))
 
 
+def keyed_table(spark: SparkSession, path: str) -> EpochTable:
+    """The table that `append_new_keys` writes, in folders of months."""
+    return EpochTable(spark, path, [MONTH])
+
+
 def new_keys(
-    batch: DataFrame, epoch: int, path: str, keys: list[str], ts: str,
+    batch: DataFrame, table: EpochTable, keys: list[str], ts: str,
     tie_break: list[Column] | None = None,
 ) -> DataFrame:
-    """Rows of a micro-batch whose key no earlier epoch has written, one per key.
+    """Rows of a micro-batch whose key the table does not hold, one per key.
 
     `ts` must be one of the keys: equal keys then lie in the same month, so only the folders of
     the batch's months are read. A null key equals a null key.
     """
     rows = _with_month(drop_repeats(batch, keys, tie_break), ts)
-    if epoch == 0:
-        return rows
     months = [r[MONTH] for r in rows.select(MONTH).distinct().limit(MAX_MONTHS + 1).collect()]
-    known = load_or_empty(batch.sparkSession, lambda: batch.sparkSession.read.schema(
-        T.StructType([*rows.schema.fields, T.StructField(EPOCH, T.LongType())])
-    ).parquet(path), T.StructType([*rows.schema.fields, T.StructField(EPOCH, T.LongType())]))
-    known = known.filter(F.col(EPOCH) < epoch)
+    known = table.read(rows.schema)
     if len(months) <= MAX_MONTHS:
         known = known.filter(F.col(MONTH).isin(months))
     seen = known.select(*[F.col(k).alias(f"__{k}") for k in [*keys, MONTH]])
@@ -93,44 +97,55 @@ def append_new_keys(
     """Append the first arrival of every key to a table, however late it comes.
 
     Keys already written are looked up in the table itself, in the months of the batch, so
-    no state expires and no row is lost. Every epoch writes a folder of its own; a repeated
-    epoch replaces what it wrote before.
+    no state expires and no row is lost, and a stream with a new checkpoint adds to the table.
+    `read_new_keys` gives the rows.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
-        fresh = new_keys(batch, epoch, path, keys, ts, tie_break)
-        fresh.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(f"{path}/{EPOCH}={epoch}")
+        spark = batch.sparkSession
+        table, writer = keyed_table(spark, path), stream_id(spark, checkpoint)
+        if table.last_epoch(writer) < epoch:
+            table.commit(writer, epoch, new_keys(batch, table, keys, ts, tie_break))
+
+    return _each_available(rows, checkpoint, each)
+
+
+def read_new_keys(spark: SparkSession, path: str) -> DataFrame:
+    """The rows written by `append_new_keys`."""
+    return keyed_table(spark, path).read().drop(EPOCH, MONTH)
 
+
+def _each_available(rows: DataFrame, checkpoint: str, each, mode: str = "append"):
     return (
         rows.writeStream.foreachBatch(each)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def update_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def updated_table(spark: SparkSession, path: str, keys: list[str]) -> EpochTable:
+    return EpochTable(spark, path, fold=lambda rows: latest(rows, keys))
+
+
+def update_available(
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str]
+) -> StreamingQuery:
     """Write every changed aggregate row of everything available now, one folder per epoch,
-    and stop. Windows that are still open are written too."""
+    and stop. Windows that are still open are written too; old epochs are folded to the last row
+    of each key."""
 
     def each(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        spark = batch.sparkSession
+        updated_table(spark, path, keys).commit(stream_id(spark, checkpoint), epoch, batch)
 
-    return (
-        rows.writeStream.foreachBatch(each)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _each_available(rows, checkpoint, each, "update")
 
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last written row of every key from the folders of `update_available`."""
-    written = spark.read.parquet(path)
-    values = [c for c in written.columns if c not in (*keys, EPOCH)]
-    last = written.groupBy(*keys).agg(F.max_by(F.struct(*values), EPOCH).alias("__last"))
-    return last.select(*keys, *[F.col(f"__last.{c}").alias(c) for c in values])
+    """The last written row of every key from the epochs of `update_available`."""
+    return latest(updated_table(spark, path, keys).read(), keys)
 
 
 def append_available(

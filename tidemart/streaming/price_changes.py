@@ -1,128 +1,149 @@
-"""Price changes over a stream of snapshots.
-
-Each micro-batch is compared with the last price known per product, which lives in a table
-next to the results. Every epoch writes its own folders, so a repeated epoch replaces
-exactly what it wrote before. Most epochs store only the products they saw; every
-`FULL_EVERY`-th stores all products, so a batch reads one full state and a few small ones.
-
-A product with a late or undated snapshot, one that does not come after the last known one, is
-recomputed from all its snapshots, read back from the results, and written whole in the new epoch.
-Of several rows of a snapshot, the one of the latest epoch holds.
+"""Price changes over a stream of snapshots, repaired where late snapshots arrive.
+
+The results hold a row for each snapshot, in folders of product bucket and month. Next to them an
+index holds, for each product and month, its first and last snapshot with their prices. A new
+snapshot needs the one before it, and becomes the one before the next. Both come from the index,
+unless it falls between the first and the last snapshot that are known of its month: then the
+rows of that bucket and month are read, and no others. So a late or undated snapshot (undated ones
+come before all others) adds its own row and writes the row after it again, whatever the size of
+the results; of a row written more than once the latest epoch holds. Of several rows of one
+snapshot the first that arrived stays.
+
+Results and index are tables of `sources.epochs`: a stream with a new checkpoint continues the
+same history, and a repeated epoch is skipped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.history import with_changes
 from tidemart.operators.ordered import drop_repeats, previous_values
+from tidemart.sources.epochs import EPOCH, EpochTable, latest, stream_id
 
-FULL_EVERY = 20
-_NO_TIME = "0001-01-01 00:00:00"
+BUCKETS = 16
+MAX_MONTHS = 1000  # months whose rows are looked up by name; more are looked up in all
+BUCKET, MONTH, NO_MONTH = "__bucket", "__month", "none"
 RESULT = [
     "product_id", "scraped_at", "price", "previous_price", "price_change_abs",
     "price_change_pct", "days_since_last_seen", "is_price_increased", "is_price_decreased",
     "is_discount_suspicious",
 ]
+SNAPSHOT = ["product_id", "scraped_at", "price"]
+PLACE = ["product_id", BUCKET, MONTH]
 
 
-def _epoch_path(base: str, epoch: int) -> str:
-    return f"{base.rstrip('/')}/epoch={epoch}"
+def results_table(spark: SparkSession, out_dir: str) -> EpochTable:
+    keys = ["product_id", "scraped_at", BUCKET, MONTH]
+    return EpochTable(spark, out_dir, [BUCKET, MONTH], lambda rows: latest(rows, keys))
 
 
-def _last_known(state: DataFrame) -> DataFrame:
-    return state.groupBy("product_id").agg(
-        F.max_by("price", F.coalesce("scraped_at", F.lit(_NO_TIME).cast(
-            state.schema["scraped_at"].dataType))).alias("price"),
-        F.max("scraped_at").alias("scraped_at"),
-    )
+def index_table(spark: SparkSession, state_dir: str) -> EpochTable:
+    return EpochTable(spark, state_dir, [BUCKET], lambda rows: latest(rows, PLACE))
 
 
-def _known_before(batch: DataFrame, state_dir: str, epoch: int) -> DataFrame | None:
-    """Last price per product from the latest full state and the epochs since."""
-    start = max(epoch - epoch % FULL_EVERY - 1, 0)
-    paths = [_epoch_path(state_dir, e) for e in range(start, epoch)]
-    if not paths:
-        return None
-    return _last_known(batch.sparkSession.read.parquet(*paths))
-
-
-def process_batch(batch: DataFrame, epoch: int, out_dir: str, state_dir: str) -> None:
-    narrow = batch.select("product_id", "scraped_at", "price")
-    rows = drop_repeats(narrow, ["product_id", "scraped_at"])
-    before = _known_before(batch, state_dir, epoch)
-    if before is None:
-        marked = rows.withColumns({
-            "known_price": F.lit(None).cast(rows.schema["price"].dataType),
-            "known_at": F.lit(None).cast(rows.schema["scraped_at"].dataType),
-            "late": F.lit(False),
-        })
-    else:
-        known = before.select(
-            F.col("product_id").alias("__known"), F.col("price").alias("known_price"),
-            F.col("scraped_at").alias("known_at"), F.lit(True).alias("is_known"),
-        )
-        newer = F.coalesce(F.col("scraped_at") > F.col("known_at"), F.lit(False))
-        marked = rows.join(
-            known, F.col("product_id").eqNullSafe(F.col("__known")), "left"
-        ).withColumn("late", F.coalesce("is_known", F.lit(False)) & ~newer).drop(
-            "__known", "is_known")
-    marked.persist()
-    try:
-        _write_epoch(marked, before, epoch, out_dir, state_dir)
-    finally:
-        marked.unpersist()
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        BUCKET: F.pmod(F.xxhash64("product_id"), F.lit(BUCKETS)).cast("int"),
+        MONTH: F.coalesce(F.date_format("scraped_at", "yyyy-MM"), F.lit(NO_MONTH)),
+    })
 
 
-def _lagged(rows: DataFrame) -> DataFrame:
-    return previous_values(
-        rows, ["product_id"], "scraped_at",
-        {"previous_price": "price", "previous_scraped_at": "scraped_at"},
-    )
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(Column.__and__, [left[n].eqNullSafe(right[n]) for n in names])
+
+
+def _ends(places: DataFrame, wanted: list[str]) -> DataFrame:
+    """First and last snapshots of the index as rows."""
+    return places.select(*[c for c in PLACE if c in wanted], F.explode(
+        F.array_distinct(F.array("first", "last"))).alias("end")).select(
+        *[c for c in PLACE if c in wanted], "end.scraped_at", "end.price")
+
+
+def _indexed(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """Index rows of the places of `rows`: of one snapshot the known price stays."""
+    points = rows.select(*PLACE, "scraped_at", F.lit(1).alias("turn"), "price").unionByName(
+        _ends(places.join(rows.select(*PLACE).distinct().alias("own"), _same(
+            places, rows, PLACE), "left_semi"), PLACE).withColumn("turn", F.lit(0)))
+    first = F.min(F.struct("scraped_at", "turn", "price"))
+    last = F.max(F.struct("scraped_at", (-F.col("turn")).alias("turn"), "price"))
+    return points.groupBy(*PLACE).agg(first.alias("first"), last.alias("last")).select(
+        *PLACE, *[F.struct(f"{c}.scraped_at", f"{c}.price").alias(c) for c in ("first", "last")])
 
 
-def _rebuilt(marked: DataFrame, late: DataFrame, epoch: int, out_dir: str) -> DataFrame:
-    """All snapshots of the late products: those written before, then new ones."""
-    earlier = read_changes(marked.sparkSession, out_dir, epoch).select(
-        "product_id", "scraped_at", "price", F.lit(0).alias("turn"))
-    new = marked.select("product_id", "scraped_at", "price", F.lit(1).alias("turn"))
-    both = earlier.unionByName(new)
-    chosen = both.join(
-        late, both["product_id"].eqNullSafe(late["late_id"]), "left_semi")
-    first = drop_repeats(chosen, ["product_id", "scraped_at"], [F.col("turn")])
-    return _lagged(first.drop("turn"))
+def lookup(results: EpochTable, inside: DataFrame) -> DataFrame:
+    """Known snapshots of the products, buckets and months in `inside`; other folders are left
+    out of the scan."""
+    found = results.read(results_schema(inside))
+    months = inside.select(MONTH, BUCKET).distinct().groupBy(MONTH).agg(
+        F.collect_set(BUCKET).alias("buckets")).limit(MAX_MONTHS + 1).collect()
+    if len(months) <= MAX_MONTHS:
+        near = [(F.col(MONTH) == r[MONTH]) & F.col(BUCKET).isin(r["buckets"]) for r in months]
+        found = found.filter(reduce(Column.__or__, near, F.lit(False)))
+    places = inside.select(*PLACE).distinct()
+    known = found.select(*SNAPSHOT, BUCKET, MONTH, EPOCH).join(
+        places, _same(found, places, PLACE), "left_semi")
+    return latest(known, ["product_id", "scraped_at"])
 
 
-def _write_epoch(
-    marked: DataFrame, before: DataFrame | None, epoch: int, out_dir: str, state_dir: str
+def results_schema(rows: DataFrame):
+    return _changes(rows.limit(0).withColumns({
+        "previous_price": F.col("price"), "previous_scraped_at": F.col("scraped_at")})).schema
+
+
+def _changes(lagged: DataFrame) -> DataFrame:
+    return _placed(with_changes(lagged).select(*RESULT))
+
+
+def _around(rows: DataFrame, places: DataFrame, results: EpochTable) -> DataFrame:
+    """The new snapshots and the known ones that can be their neighbours, marked by `is_new`."""
+    at = F.col("scraped_at")
+    inside = rows.join(places, _same(rows, places, PLACE)).filter(
+        (at > F.col("first.scraped_at")) & (at < F.col("last.scraped_at"))).select(
+        *[rows[c] for c in rows.columns])
+    known = lookup(results, inside).select(*SNAPSHOT).unionByName(_ends(places, ["product_id"]))
+    known = known.dropDuplicates(["product_id", "scraped_at"])
+    fresh = rows.select(*SNAPSHOT).join(
+        known, _same(rows, known, ["product_id", "scraped_at"]), "left_anti")
+    return fresh.withColumn("is_new", F.lit(True)).unionByName(
+        known.withColumn("is_new", F.lit(False)))
+
+
+def process_batch(
+    batch: DataFrame, epoch: int, out_dir: str, state_dir: str, writer: str = "direct"
 ) -> None:
-    late = marked.filter("late").select(F.col("product_id").alias("late_id")).distinct()
-    some_late = before is not None and not late.isEmpty()
-    fresh = marked.drop("late")
-    if some_late:
-        fresh = fresh.join(
-            late, fresh["product_id"].eqNullSafe(late["late_id"]), "left_anti")
-    lagged = _lagged(fresh)
-    is_first = F.col("previous_scraped_at").isNull() & F.col("previous_price").isNull()
-    continued = lagged.withColumns({
-        "previous_price": F.when(is_first, F.col("known_price"))
-        .otherwise(F.col("previous_price")),
-        "previous_scraped_at": F.when(is_first, F.col("known_at"))
-        .otherwise(F.col("previous_scraped_at")),
-    })
-    changes = with_changes(continued).select(*RESULT)
-    if some_late:
-        rebuilt = with_changes(_rebuilt(marked, late, epoch, out_dir)).select(*RESULT)
-        changes = changes.unionByName(rebuilt)
-    changes.write.mode("overwrite").parquet(_epoch_path(out_dir, epoch))
-    state = _last_known(marked.select("product_id", "scraped_at", "price"))
-    if before is not None:
-        seen = before.join(state.select("product_id"), "product_id", "left_semi")
-        whole = (epoch + 1) % FULL_EVERY == 0
-        state = _last_known((before if whole else seen).unionByName(state))
-    state.write.mode("overwrite").parquet(_epoch_path(state_dir, epoch))
+    spark = batch.sparkSession
+    results, index = results_table(spark, out_dir), index_table(spark, state_dir)
+    if index.last_epoch(writer) >= epoch:
+        return
+    rows = _placed(drop_repeats(batch.select(*SNAPSHOT), ["product_id", "scraped_at"])).persist()
+    try:
+        points = T_POINT.format(*[rows.schema[c].dataType.simpleString()
+                                  for c in ("scraped_at", "price")])
+        empty = rows.limit(0).select(*PLACE, *[
+            F.lit(None).cast(points).alias(c) for c in ("first", "last")])
+        held = latest(index.read(empty.schema), PLACE)
+        products = rows.select("product_id").distinct()
+        places = held.join(products, _same(held, products, ["product_id"]), "left_semi").persist()
+        if results.last_epoch(writer) < epoch:
+            around = _around(rows, places, results).persist()
+            lagged = previous_values(around, ["product_id"], "scraped_at", {
+                "previous_price": "price", "previous_scraped_at": "scraped_at",
+                "previous_is_new": "is_new"})
+            changed = lagged.filter("is_new or coalesce(previous_is_new, false)")
+            results.commit(writer, epoch, _changes(changed))
+            around.unpersist()
+        index.commit(writer, epoch, _indexed(rows, places))
+        places.unpersist()
+    finally:
+        rows.unpersist()
+
+
+T_POINT = "struct<scraped_at:{},price:{}>"
 
 
 def start(
@@ -131,7 +152,8 @@ def start(
     """Process everything available now and stop; later runs continue."""
 
     def each(batch: DataFrame, epoch: int) -> None:
-        process_batch(batch, epoch, out_dir, state_dir)
+        process_batch(batch, epoch, out_dir, state_dir,
+                      stream_id(batch.sparkSession, checkpoint))
 
     return (
         snapshots.writeStream.foreachBatch(each)
@@ -141,13 +163,7 @@ def start(
     )
 
 
-def read_changes(spark, out_dir: str, before: int | None = None) -> DataFrame:
-    """Each snapshot's row of the latest epoch, of those below `before` if that is given."""
-    written = spark.read.parquet(out_dir)
-    if before is not None:
-        written = written.filter(F.col("epoch") < before)
-    values = [c for c in RESULT if c not in ("product_id", "scraped_at")]
-    last = written.groupBy("product_id", "scraped_at").agg(
-        F.max_by(F.struct(*values), "epoch").alias("__last"))
-    return last.select("product_id", "scraped_at", *[
-        F.col(f"__last.{c}").alias(c) for c in values]).select(*RESULT)
+def read_changes(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Each snapshot's row of the latest epoch."""
+    written = results_table(spark, out_dir).read()
+    return latest(written.drop(BUCKET, MONTH), ["product_id", "scraped_at"]).select(*RESULT)
