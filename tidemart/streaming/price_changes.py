@@ -25,8 +25,8 @@ from tidemart.operators.history import with_changes
 from tidemart.operators.ordered import drop_repeats, previous_values
 from tidemart.sources.epochs import EPOCH, EpochTable, latest, stream_id
 
-BUCKETS = 16
-MAX_MONTHS = 1000  # months whose rows are looked up by name; more are looked up in all
+BUCKETS = 4  # fixed for the life of a table; raise it where a month has very many products
+MAX_PLACES = 1000  # buckets and months that are looked up by name; beyond, all are scanned
 BUCKET, MONTH, NO_MONTH = "__bucket", "__month", "none"
 RESULT = [
     "product_id", "scraped_at", "price", "previous_price", "price_change_abs",
@@ -79,11 +79,10 @@ def lookup(results: EpochTable, inside: DataFrame) -> DataFrame:
     """Known snapshots of the products, buckets and months in `inside`; other folders are left
     out of the scan."""
     found = results.read(results_schema(inside))
-    months = inside.select(MONTH, BUCKET).distinct().groupBy(MONTH).agg(
-        F.collect_set(BUCKET).alias("buckets")).limit(MAX_MONTHS + 1).collect()
-    if len(months) <= MAX_MONTHS:
-        near = [(F.col(MONTH) == r[MONTH]) & F.col(BUCKET).isin(r["buckets"]) for r in months]
-        found = found.filter(reduce(Column.__or__, near, F.lit(False)))
+    near = inside.select(MONTH, BUCKET).distinct().limit(MAX_PLACES + 1).collect()
+    if len(near) <= MAX_PLACES:
+        found = found.filter(F.col(MONTH).isin({r[MONTH] for r in near})
+                             & F.col(BUCKET).isin({r[BUCKET] for r in near}))
     places = inside.select(*PLACE).distinct()
     known = found.select(*SNAPSHOT, BUCKET, MONTH, EPOCH).join(
         places, _same(found, places, PLACE), "left_semi")
@@ -99,18 +98,24 @@ def _changes(lagged: DataFrame) -> DataFrame:
     return _placed(with_changes(lagged).select(*RESULT))
 
 
-def _around(rows: DataFrame, places: DataFrame, results: EpochTable) -> DataFrame:
-    """The new snapshots and the known ones that can be their neighbours, marked by `is_new`."""
+def _around(
+    rows: DataFrame, places: DataFrame, results: EpochTable, path: str
+) -> DataFrame:
+    """The new snapshots and the known ones that can be their neighbours, marked by `is_new`;
+    written to `path`."""
     at = F.col("scraped_at")
     inside = rows.join(places, _same(rows, places, PLACE)).filter(
         (at > F.col("first.scraped_at")) & (at < F.col("last.scraped_at"))).select(
         *[rows[c] for c in rows.columns])
     known = lookup(results, inside).select(*SNAPSHOT).unionByName(_ends(places, ["product_id"]))
-    known = known.dropDuplicates(["product_id", "scraped_at"])
+    known = known.dropDuplicates(["product_id", "scraped_at"]).persist()
     fresh = rows.select(*SNAPSHOT).join(
         known, _same(rows, known, ["product_id", "scraped_at"]), "left_anti")
-    return fresh.withColumn("is_new", F.lit(True)).unionByName(
+    both = fresh.withColumn("is_new", F.lit(True)).unionByName(
         known.withColumn("is_new", F.lit(False)))
+    both.write.mode("overwrite").parquet(path)
+    known.unpersist()
+    return rows.sparkSession.read.schema(both.schema).parquet(path)
 
 
 def process_batch(
@@ -130,13 +135,12 @@ def process_batch(
         products = rows.select("product_id").distinct()
         places = held.join(products, _same(held, products, ["product_id"]), "left_semi").persist()
         if results.last_epoch(writer) < epoch:
-            around = _around(rows, places, results).persist()
+            around = _around(rows, places, results, f"{state_dir.rstrip('/')}/work")
             lagged = previous_values(around, ["product_id"], "scraped_at", {
                 "previous_price": "price", "previous_scraped_at": "scraped_at",
                 "previous_is_new": "is_new"})
             changed = lagged.filter("is_new or coalesce(previous_is_new, false)")
             results.commit(writer, epoch, _changes(changed))
-            around.unpersist()
         index.commit(writer, epoch, _indexed(rows, places))
         places.unpersist()
     finally:
