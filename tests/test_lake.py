@@ -116,6 +116,65 @@ def test_rerun_gives_the_same_tables(lake, spark):
     assert again == before and rows(made.read("gold/product_metrics")) == metrics
 
 
+def _landed(spark, landing, day, products, reviews):
+    at = datetime(2024, 1, day, 9)
+    jsonl.write_jsonl(spark.createDataFrame(
+        products, "product_id long, name string, price double, rating double, scraped_at string,"
+        "keyword string"), landing, "products", at)
+    jsonl.write_jsonl(spark.createDataFrame(
+        reviews, "review_id long, product_id long, rating int, review_text string,"
+        "created_at string"), landing, "reviews", at)
+
+
+def _files(made, name):
+    found = {}
+    for folder, _, names in os.walk(made.path(name)):
+        for n in names:
+            if n.endswith(".parquet"):
+                found[f"{folder}/{n}"] = os.stat(f"{folder}/{n}").st_mtime_ns
+    return found
+
+
+def test_days_in_sequence_equal_a_rebuild(spark, tmp_path):
+    """Late, repeated, moved and newly rejected records, day by day and all at once."""
+    landing, step = f"{tmp_path}/raw", Lake(spark, f"{tmp_path}/step")
+    whole, scorer = Lake(spark, f"{tmp_path}/whole"), lexicon_scorer(["great"], ["bad"])
+    days = [
+        ([(1, "Mug", 9.5, 4.0, "2024-01-01T00:00:00", "mug"),
+          (2, "Hat", 50.0, None, "2024-01-02T00:00:00", "hat"),
+          (3, "Cup", 7.0, 4.0, "2024-01-03T00:00:00", "mug"),
+          (4, "Pen", 8.0, 4.0, None, "pen")],
+         [(1, 1, 5, "great", "2024-01-01T00:00:00"), (2, 1, 1, "bad", "2024-01-02T00:00:00"),
+          (3, 2, 3, "so", "2024-01-05T00:00:00")]),
+        ([(2, "Hat", 40.0, None, "2024-01-02 00:00:00", "hat"),   # one time, spelled anew
+          (3, " ", 6.0, 4.0, "2024-01-03T00:00:00", "mug"),       # replaces a valid row
+          (5, "Bag", 5.0, 4.0, "2024-01-09T00:00:00", "bag")],
+         [(2, 1, 1, "bad", "2023-12-30T00:00:00"), (4, 5, 5, "great", None)]),
+        ([(1, "Mug", 8.5, 4.0, "2024-01-08T00:00:00", "mug"),
+          (1, "Mug", 8.5, 4.0, "2024-01-08T00:00:00", "mug"), (None, "No", 1.0, 1.0, None, "x")],
+         [(5, 1, 4, "fine", "2024-01-08T00:00:00")]),
+    ]
+    for i, (products, reviews) in enumerate(days):
+        _landed(spark, landing, i + 1, products, reviews)
+        before = _files(step, "silver/products")
+        run_day(step, landing, scorer, RUN, only_new=True)
+        if i:
+            after = _files(step, "silver/products")
+            kept = [f for f in before if "__day=2024-01-01" in f]
+            assert kept and all(after[f] == before[f] for f in kept)
+    run_day(whole, landing, scorer, RUN)
+    for name in ("bronze/products", "bronze/reviews", "silver/products", "silver/reviews",
+                 "gold/price_history", "gold/reviews_sentiment", "gold/negative_topics"):
+        ours, theirs = step.read(name), whole.read(name)
+        assert set(ours.columns) == set(theirs.columns)
+        assert rows(ours.select(theirs.columns)) == rows(theirs), name
+    assert not os.path.exists(step.path("silver/products/__day=2024-01-03"))
+    # Without new files nothing is rewritten.
+    before = _files(step, "silver/products")
+    assert run_day(step, landing, scorer, RUN, only_new=True) == {"products": None, "reviews": None}
+    assert _files(step, "silver/products") == before
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

@@ -8,6 +8,7 @@ from conftest import column, rows
 from tidemart.operators import serving
 from tidemart.schemas import RAW_PRODUCT, schema_of
 from tidemart.sources import jsonl, reports, tables
+from tidemart.streaming import ingest
 
 RUN = datetime(2024, 1, 15, 14, 30, 22)
 
@@ -135,3 +136,30 @@ def test_reload_sees_a_replaced_table(spark, tmp_path):
     tables.write_table(spark.range(5), path)
     tables.reload_tables(spark, [path])
     assert spark.read.parquet(path).count() == 5
+
+
+def test_unreadable_files_are_listed(spark, tmp_path):
+    """Batch and stream both skip what cannot be read, and the ledger names it."""
+    put(f"{tmp_path}/in/a.jsonl", '{"product_id": 1}\n\n  \r\n{"product_id": 2}')
+    put(f"{tmp_path}/in/deep/b.jsonl", "é not json\n" * 3)
+    put(f"{tmp_path}/in/empty.jsonl", "")
+    put(f"{tmp_path}/in/notes.txt", "not a landed file\n")
+    spark.range(5000).selectExpr("id as product_id").coalesce(1).write.json(f"{tmp_path}/in/c")
+    part = next(n for n in os.listdir(f"{tmp_path}/in/c") if n.startswith("part"))
+    with open(f"{tmp_path}/in/c/{part}", "r+b") as f:  # no longer what its checksum says
+        f.seek(60_000)
+        f.write(b"?")
+    ledger = jsonl.file_ledger(spark, f"{tmp_path}/in")
+    found = {os.path.basename(r.file_path): r for r in ledger.collect()}
+    assert set(found) == {"a.jsonl", "b.jsonl", part}
+    assert [os.path.basename(r.file_path) for r in jsonl.unreadable_files(ledger).collect()] == [
+        part]
+    assert found["a.jsonl"].lines == 4 and found["b.jsonl"].lines == 3
+    assert found[part].read_bytes < found[part].bytes
+    batch = jsonl.read_jsonl(spark, f"{tmp_path}/in", RAW_PRODUCT)
+    stream = ingest.landed_stream(spark, f"{tmp_path}/in", RAW_PRODUCT)
+    ingest.run_to_end(ingest.append_available(stream, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    ids = [sorted(i for i in column(df, "product_id") if i is not None)
+           for df in (batch, spark.read.parquet(f"{tmp_path}/out"))]
+    assert ids[0] == ids[1] and {1, 2} <= set(ids[0]) and len(ids[0]) < 5002
+    assert jsonl.file_ledger(spark, f"{tmp_path}/none").count() == 0

@@ -31,6 +31,13 @@ def _(t):
     return landed.select(*PRODUCT, at.alias("scraped_at"))
 
 
+@query("s1_file_ledger", with_views(
+    "select 'read' as status, count(*) as lines from raw_products"))
+def _(t):
+    ledger = jsonl.file_ledger(t.spark, landed_products(t))
+    return ledger.groupBy("status").agg(F.sum("lines").alias("lines"))
+
+
 @query("s2_bronze_write", with_views("""
     select 'products' as entity, product_id, count(*) as rows from raw_products group by 1, 2
     union all

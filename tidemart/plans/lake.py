@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tidemart.operators import cleansing, history, metrics, profiling, quality
 from tidemart.operators.sentiment import Scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
+from tidemart.plans import incremental
 from tidemart.schemas import NEGATIVE_TOPIC, RAW_PRODUCT, RAW_REVIEW
 from tidemart.sources import jsonl, reports, tables
 
@@ -32,8 +33,10 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.path(name), self.fmt)
+    def read(self, name: str, hidden: bool = False) -> DataFrame:
+        """A table; columns that only place its rows in folders are left out unless `hidden`."""
+        found = tables.read_table(self.spark, self.path(name), self.fmt)
+        return found if hidden else found.drop(*[c for c in found.columns if c.startswith("__")])
 
     def write(self, df: DataFrame, name: str) -> None:
         served = name.startswith("gold/")
@@ -66,17 +69,51 @@ def _silver(
     counts = Observation(f"{entity}_quality")
     observed = staged.observe(counts, *quality.report_columns(staged, rules))
     lake.write(quality.valid_rows(observed, rules).drop(jsonl.CORRUPT), f"silver/{entity}")
+    return _file_rejects(lake, entity, rules, run_ts, counts.get)
+
+
+def _file_rejects(
+    lake: Lake, entity: str, rules: list[quality.Rule], run_ts: datetime, counts: dict
+) -> dict:
+    """Rejected rows of the staged table to quarantine, and the report."""
+    staged = lake.read(f"staging/{entity}")
     reports.write_rejected(
         quality.rejected_rows(staged, entity, rules),
         lake.path("quality/rejected"), run_ts.strftime("%Y-%m-%d"),
     )
-    report = {"entity": entity, "run_at": run_ts.isoformat(), **counts.get}
+    report = {"entity": entity, "run_at": run_ts.isoformat(), **counts}
     row = lake.spark.range(1).select(*[F.lit(v).alias(k) for k, v in report.items()])
     reports.write_report(row, lake.path("quality/reports"), entity,
                          run_ts.strftime("%Y%m%d_%H%M%S"))
     return report
 
 
+def silver_incremental(
+    lake: Lake, entity: incremental.Entity, landing: str, run_ts: datetime,
+    tie_break: list[Column] | None = None,
+) -> dict | None:
+    """Files landed since the last run to bronze and silver. The report counts the cleaned
+    records of the touched keys; without new files there is none."""
+    found: list[dict] = []
+
+    def after() -> None:
+        staged = lake.read(f"staging/{entity.name}")
+        counts = staged.agg(*quality.report_columns(staged, entity.rules)).first().asDict()
+        found.append(_file_rejects(lake, entity.name, entity.rules, run_ts, counts))
+
+    incremental.land(lake, entity, landing, run_ts, after, tie_break)
+    return found[-1] if found else None
+
+
+def write_file_ledger(lake: Lake, landing: str, entities: list[str], run_id: str) -> None:
+    """What became of every landed file; unreadable ones are listed by path."""
+    for name in entities:
+        ledger = jsonl.file_ledger(lake.spark, f"{landing}/{name}").withColumn(
+            "entity", F.lit(name))
+        ledger.coalesce(1).write.mode("overwrite").parquet(
+            lake.path(f"quality/files/run={run_id}/of={name}"))
+
+
 def silver_products(
     lake: Lake, run_ts: datetime, tie_break: list[Column] | None = None
 ) -> dict:
@@ -184,13 +221,23 @@ def run_day(
     scorer: Scorer,
     run_ts: datetime,
     stopwords: list[str] | None = None,
+    only_new: bool = False,
 ) -> dict[str, dict]:
-    """The whole run in order; returns the quality reports of both entities."""
-    land_to_bronze(lake, landing)
-    found = {
-        "products": silver_products(lake, run_ts),
-        "reviews": silver_reviews(lake, run_ts),
-    }
+    """The whole run in order; returns the quality reports of both entities.
+
+    With `only_new`, bronze and silver are brought forward by the files landed since the last such
+    run, instead of being rebuilt from all; a lake keeps to one of the two ways.
+    """
+    write_file_ledger(lake, landing, ["products", "reviews"], run_ts.strftime("%Y%m%d_%H%M%S"))
+    if only_new:
+        found = {e.name: silver_incremental(lake, e, landing, run_ts)
+                 for e in (incremental.PRODUCTS, incremental.REVIEWS)}
+    else:
+        land_to_bronze(lake, landing)
+        found = {
+            "products": silver_products(lake, run_ts),
+            "reviews": silver_reviews(lake, run_ts),
+        }
     gold_metrics(lake, run_ts)
     gold_history(lake, run_ts)
     gold_sentiment(lake, scorer)

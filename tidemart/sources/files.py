@@ -23,6 +23,13 @@ class Folder:
         found = [s.getPath().getName() for s in self._files.listStatus(self._root)]
         return sorted(n for n in found if not n.startswith((".", "_")))
 
+    def partitions(self, column: str) -> list[str]:
+        """Values of a partition column; they must need no escapes."""
+        if not self._files.exists(self._root):
+            return []
+        found = [s.getPath().getName() for s in self._files.listStatus(self._root)]
+        return [n.split("=", 1)[1] for n in found if n.startswith(f"{column}=")]
+
     def read(self, name: str) -> str:
         stream = self._files.open(self._path(name))
         try:
@@ -42,3 +49,7 @@ class Folder:
             stream.close()
         if not self._files.rename(draft, path):
             raise FileExistsError(path.toString())
+
+    def remove(self, name: str) -> None:
+        """Delete a file or a whole folder."""
+        self._files.delete(self._path(name), True)

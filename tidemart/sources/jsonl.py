@@ -39,8 +39,8 @@ def read_jsonl(
     """All records below `path`. Executors list, read and parse the files.
 
     Lines that are no JSON come back with only the corrupt-record column set and blank lines
-    not at all; unreadable files are skipped, a missing folder is an empty table. Without a
-    schema Spark infers one from the files, which costs an extra pass.
+    not at all; of an unreadable file the rest is skipped (`file_ledger` names it), a missing folder
+    is an empty table. Without a schema Spark infers one from the files, which costs an extra pass.
     """
     reader = (
         spark.read
@@ -57,6 +57,37 @@ def read_jsonl(
     return load_or_empty(spark, lambda: reader.json(path), schema)
 
 
+def file_ledger(spark: SparkSession, path: str, pattern: str = LANDED_FILES) -> DataFrame:
+    """file_path, bytes, read_bytes, lines, status of every landed file.
+
+    A file is `read` if its lines account for all of its bytes, and `unreadable` if the scan lost
+    the rest of it; an empty file has no row. Files are listed from their metadata alone and read once, as plain lines.
+    """
+    def found(reader):
+        return reader.option("recursiveFileLookup", True).option(
+            "pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
+
+    meta, schema = F.col("_metadata"), T.StructType([
+        T.StructField("file_path", T.StringType()), T.StructField("bytes", T.LongType())])
+    files = load_or_empty(spark, lambda: found(spark.read.format("binaryFile")).load(path).select(
+        meta["file_path"].alias("file_path"), meta["file_size"].alias("bytes")), schema)
+    lines = load_or_empty(spark, lambda: found(spark.read.option("lineSep", "\n")).text(
+        path).select(meta["file_path"].alias("file_path"), F.octet_length("value").alias("size")),
+        T.StructType([T.StructField("file_path", T.StringType()),
+                      T.StructField("size", T.IntegerType())]))
+    read = lines.groupBy("file_path").agg(
+        F.sum(F.col("size").cast("long") + 1).alias("read_bytes"),
+        F.count(F.lit(1)).alias("lines"))
+    counted = files.join(read, "file_path", "left").fillna(0, ["read_bytes", "lines"])
+    # The last line may have no line end.
+    whole = (F.col("read_bytes") == F.col("bytes")) | (F.col("read_bytes") == F.col("bytes") + 1)
+    return counted.withColumn("status", F.when(whole, "read").otherwise("unreadable"))
+
+
+def unreadable_files(ledger: DataFrame) -> DataFrame:
+    return ledger.filter(F.col("status") == "unreadable")
+
+
 def good_records(bronze: DataFrame) -> DataFrame:
     """Rows of a written bronze table that were read whole.
 

@@ -33,6 +33,17 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Replace the partitions that `df` has rows of; others keep their files."""
+    (
+        df.hint("rebalance", *columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def write_bronze(entities: dict[str, DataFrame], base: str, fmt: str = DEFAULT_FORMAT) -> None:
     """Overwrite each entity's bronze table.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,8 @@ def landed_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Records of files not seen yet below the landing folder. Lines that are no JSON keep
-    their text in the corrupt-record column, as in the batch scan.
+    their text in the corrupt-record column, and of an unreadable file the rest is skipped, as in
+    the batch scan; `sources.jsonl.file_ledger` names such files for both.
 
     `max_files_per_trigger` bounds a micro-batch, and with it all state work per batch.
     """
@@ -33,6 +36,7 @@ def landed_stream(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", LANDED_FILES)
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("ignoreCorruptFiles", True)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -107,7 +111,7 @@ def append_new_keys(
         if table.last_epoch(writer) < epoch:
             table.commit(writer, epoch, new_keys(batch, table, keys, ts, tie_break))
 
-    return _each_available(rows, checkpoint, each)
+    return each_available(rows, checkpoint, each)
 
 
 def read_new_keys(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +119,11 @@ def read_new_keys(spark: SparkSession, path: str) -> DataFrame:
     return keyed_table(spark, path).read().drop(EPOCH, MONTH)
 
 
-def _each_available(rows: DataFrame, checkpoint: str, each, mode: str = "append"):
+def each_available(
+    rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None],
+    mode: str = "append",
+) -> StreamingQuery:
+    """Give everything available now to `each(batch, epoch)` and stop."""
     return (
         rows.writeStream.foreachBatch(each)
         .outputMode(mode)
@@ -140,7 +148,7 @@ def update_available(
         spark = batch.sparkSession
         updated_table(spark, path, keys).commit(stream_id(spark, checkpoint), epoch, batch)
 
-    return _each_available(rows, checkpoint, each, "update")
+    return each_available(rows, checkpoint, each, "update")
 
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
