@@ -2,8 +2,10 @@
 
 import pytest
 from conftest import column, plan, rows
+from pyspark.sql import functions as F
 
 from tidemart.operators import serving
+from tidemart.sources import keyed
 
 
 @pytest.fixture(scope="module")
@@ -184,3 +186,54 @@ def test_pages_after_a_row_equal_numbered_pages(spark, sort_by, sort_order):
             break
         last, page, seen = want[-1].asDict(), page + 1, seen + len(want)
     assert seen == 24
+
+
+def test_lookup_opens_the_files_of_its_key_only(spark, tmp_path):
+    """Files in narrow ranges; a key with very many rows is spread, a missing one opens none."""
+    rows_in = spark.range(4000).select(
+        F.when(F.col("id") < 1500, 77).when(F.col("id") < 1510, None).otherwise(
+            F.col("id") % 500 * 2).cast("long").alias("product_id"),
+        F.col("id").alias("n"), F.lit("x" * 50).alias("text"))
+    path, small = f"{tmp_path}/t", {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                    "spark.sql.shuffle.partitions": "16"}
+    old = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        for _ in range(2):  # the second one replaces the first
+            keyed.write_keyed(rows_in, path)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    table = keyed.KeyedTable(spark, path)
+    assert len(table.files) >= 8 and table.read().count() == 4000
+    assert len(table.near("700").inputFiles()) == 1 and len(table.files_of(77)) >= 3
+    for key in ("0", "700", "77", "998", "78"):
+        want = rows(rows_in.filter(F.col("product_id") == int(key)))
+        assert rows(serving.get_reviews_by_product(table.near(key), key)) == want
+    for key in ("701", "1000", "-1", "x", "07", ""):
+        assert serving.get_reviews_by_product(table.near(key), key).count() == 0
+    assert table.files_of("1000") == table.files_of("x") == []
+    keyed.write_keyed(rows_in.limit(0), path)
+    assert keyed.KeyedTable(spark, path).near(5).count() == 0
+
+
+@pytest.mark.parametrize("sort_by, direction", [
+    ("price", "asc"), ("price", "desc"), ("same", "desc"), ("scraped_at", "asc"), ("none", "asc")])
+def test_deep_page_equals_offset(spark, monkeypatch, sort_by, direction):
+    monkeypatch.setattr(serving, "DEEP_OFFSET", 40)
+    monkeypatch.setattr(serving, "RANGES", 5)
+    whole = spark.range(1, 1500).select(
+        F.when(F.col("id") % 9 > 0, F.col("id") * 7919 % 700).alias("product_id"),
+        F.when(F.col("id") % 11 > 0, F.col("id") * 31 % 13).alias("price"), F.lit(1).alias("same"),
+        F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.col("id") * 17 % 997)).alias(
+            "scraped_at"))
+    order = serving.ordering(whole, sort_by, direction)
+    names = ["same", "product_id", "scraped_at", *([sort_by] if sort_by != "none" else [])]
+    every = [tuple(r) for r in whole.orderBy(*order).select(*names).collect()]
+    for page in (6, 30, 75, 76):
+        got = serving.list_products(whole, page, 20, sort_by=sort_by, sort_order=direction)
+        assert [tuple(r) for r in got.select(*names).collect()] == every[
+            (page - 1) * 20:page * 20]
+    skipped = serving._narrowed(whole, 600, 20, sort_by, direction)
+    assert skipped[0].count() < 400 and skipped[1] > 300

@@ -20,6 +20,10 @@ MAX_PAGE_SIZE = 100
 MAX_TOP_PRODUCTS = 50
 MAX_VOLATILITY = 100
 
+# Pages that begin beyond so many rows are found by counting; bounds of one counting pass.
+DEEP_OFFSET = 100_000
+RANGES = 32
+
 LABELS = ("positive", "negative", "neutral")
 STARS = (1, 2, 3, 4, 5)
 
@@ -77,6 +81,71 @@ def matching_products(
     return search_names(found, search) if search else found
 
 
+def _order_names(df: DataFrame, sort_by: str) -> list[str]:
+    names = [sort_by] if sort_by in df.columns else []
+    return names + [c for c in ("product_id", "scraped_at") if c in df.columns and c != sort_by]
+
+
+def _placed(
+    df: DataFrame, sort_by: str, sort_order: str, values: dict
+) -> tuple[Column, Column]:
+    """Whether a row sorts after the given sort values, and whether it has just these."""
+    beyond, same = F.lit(False), F.lit(True)
+    for name in _order_names(df, sort_by):
+        column, value = F.col(name), values[name]
+        if name == sort_by:  # nulls come last
+            falls = sort_order.lower() != "asc"
+            later = F.lit(False) if value is None else (
+                (column < value if falls else column > value) | column.isNull())
+        else:  # nulls come first
+            later = column.isNotNull() if value is None else column > value
+        beyond = beyond | (same & F.coalesce(later, F.lit(False)))
+        same = same & column.eqNullSafe(F.lit(value))
+    return beyond, same
+
+
+def _narrowed(
+    found: DataFrame, offset: int, rows: int, sort_by: str, sort_order: str
+) -> tuple[DataFrame, int]:
+    """Rows of a narrow range of the order that holds places `offset` to `offset + rows`, and how
+    many come before the range.
+
+    Each pass takes bounds from a sample and counts, without a shuffle, the rows from each bound
+    on; the range between two bounds is then treated in the same way, until it is short or its
+    rows all sort alike.
+    """
+    order = ordering(found, sort_by, sort_order)
+    part, before, total = found, 0, found.count()
+    while total > DEEP_OFFSET:
+        share = min(1.0, 40 * RANGES / total)
+        some = part.select(*_order_names(found, sort_by)).sample(share, 7).orderBy(*order)
+        picked = [r.asDict() for r in some.limit(80 * RANGES).collect()]
+        step = max(1, len(picked) // RANGES)
+        bounds = list({tuple(v.values()): v for v in picked[step::step]}.values())
+        places = [_placed(found, sort_by, sort_order, v) for v in bounds]
+        if not bounds:
+            break
+        counts = part.agg(*[F.count_if(beyond | same).alias(str(i))
+                            for i, (beyond, same) in enumerate(places)]).first()
+        starts = [total - n for n in counts]  # rows of `part` before each bound
+        wanted, low, high = offset - before, None, None
+        for i, start in enumerate(starts):
+            if start <= wanted:
+                low = i
+            elif start >= wanted + rows and high is None:
+                high = i
+        first = starts[low] if low is not None else 0
+        last = starts[high] if high is not None else total
+        if last - first >= total:
+            break
+        if low is not None:
+            part = part.filter(places[low][0] | places[low][1])
+        if high is not None:
+            part = part.filter(~(places[high][0] | places[high][1]))
+        before, total = before + first, last - first
+    return part, before
+
+
 def list_products(
     metrics: DataFrame,
     page: int = 1,
@@ -90,14 +159,20 @@ def list_products(
 ) -> DataFrame:
     """One page of products.
 
-    Offset and limit sit on the sort, so tasks keep only the rows up to the page's end.
+    Offset and limit sit on the sort, so tasks keep only the rows up to the page's end. For a
+    page that begins beyond `DEEP_OFFSET` rows, counting passes run first and find a narrow range
+    of the order that holds it, so that no task gets the rows before it.
     """
     _check(page >= 1, "page starts at 1")
     _check(1 <= page_size <= MAX_PAGE_SIZE, f"page_size must be in 1..{MAX_PAGE_SIZE}")
     found = matching_products(metrics, search, keyword, min_price, max_price)
     order = ordering(found, sort_by, sort_order)
+    offset = (page - 1) * page_size
+    if order and offset > DEEP_OFFSET:
+        found, before = _narrowed(found, offset, page_size, sort_by, sort_order)
+        offset -= before
     ordered = found.orderBy(*order) if order else found
-    return ordered.offset((page - 1) * page_size).limit(page_size)
+    return ordered.offset(offset).limit(page_size)
 
 
 def products_after(
@@ -114,21 +189,8 @@ def products_after(
     """
     _check(1 <= page_size <= MAX_PAGE_SIZE, f"page_size must be in 1..{MAX_PAGE_SIZE}")
     found = matching_products(metrics, **filters)
-    order = ordering(found, sort_by, sort_order)
-    names = [sort_by] if sort_by in found.columns else []
-    names += [c for c in ("product_id", "scraped_at") if c in found.columns and c != sort_by]
-    beyond, same = F.lit(False), F.lit(True)
-    for name in names:
-        column, value = F.col(name), last[name]
-        if name == sort_by:  # nulls come last
-            falls = sort_order.lower() != "asc"
-            later = F.lit(False) if value is None else (
-                (column < value if falls else column > value) | column.isNull())
-        else:  # nulls come first
-            later = column.isNotNull() if value is None else column > value
-        beyond = beyond | (same & F.coalesce(later, F.lit(False)))
-        same = same & column.eqNullSafe(F.lit(value))
-    return found.filter(beyond).orderBy(*order).limit(page_size)
+    beyond, _ = _placed(found, sort_by, sort_order, last)
+    return found.filter(beyond).orderBy(*ordering(found, sort_by, sort_order)).limit(page_size)
 
 
 def count_products(

@@ -64,7 +64,7 @@ def _(t):
 @query("a5_product_lookup", with_views(f"""
     select {_CARD_SQL} from product_metrics where cast(product_id as varchar) = '17'"""))
 def _(t):
-    return serving.get_product_by_id(t.metrics(), "17").select(*_CARD)
+    return serving.get_product_by_id(t.metrics_table().near("17"), "17").select(*_CARD)
 
 
 _KPIS = f"""count(*) as total_products, coalesce({rnd("avg(price)", 0)}, 0) as avg_price,
@@ -130,7 +130,7 @@ def _(t):
     select review_id, review_text, sentiment_label, sentiment_score from sentiments
     where cast(product_id as varchar) = '42'"""))
 def _(t):
-    return serving.get_reviews_by_product(t.sentiments(), "42").select(
+    return serving.get_reviews_by_product(t.sentiments_table().near("42"), "42").select(
         "review_id", "review_text", "sentiment_label", "sentiment_score"
     )
 
@@ -187,7 +187,7 @@ _MOVE_SQL = """product_id, name, price, cast(previous_price as double) as previo
 @query("a13_product_price_history", with_views(f"""
     select {_MOVE_SQL} from price_history where product_id = 42 order by scraped_at"""))
 def _(t):
-    return _moves(serving.get_price_history_by_product(t.history(), "42"))
+    return _moves(serving.get_price_history_by_product(t.history_table().near("42"), "42"))
 
 
 @query("a14_price_volatility", with_views(f"""

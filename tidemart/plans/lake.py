@@ -19,7 +19,7 @@ from tidemart.operators.sentiment import Scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import incremental
 from tidemart.schemas import NEGATIVE_TOPIC, RAW_PRODUCT, RAW_REVIEW
-from tidemart.sources import jsonl, reports, tables
+from tidemart.sources import jsonl, keyed, reports, tables
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,14 @@ class Lake:
         return found if hidden else found.drop(*[c for c in found.columns if c.startswith("__")])
 
     def write(self, df: DataFrame, name: str) -> None:
-        served = name.startswith("gold/")
-        tables.write_table(
-            tables.in_key_order(df) if served else df, self.path(name), self.fmt)
+        if name.startswith("gold/") and self.fmt == tables.DEFAULT_FORMAT:
+            keyed.write_keyed(df, self.path(name))
+        else:
+            tables.write_table(df, self.path(name), self.fmt)
+
+    def keyed(self, name: str) -> keyed.KeyedTable:
+        """A gold table with its files' ranges, for lookups of one product."""
+        return keyed.KeyedTable(self.spark, self.path(name))
 
 
 def land_to_bronze(

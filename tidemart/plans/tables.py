@@ -17,11 +17,12 @@ from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import derived
 from tidemart.session import shared_dir
-from tidemart.sources.tables import in_key_order
+from tidemart.sources.keyed import KeyedTable, write_keyed
 
 RUN_TS = datetime(2024, 6, 1, 12, 30, 45)
 
 _written: set[str] = set()
+_opened: dict[str, KeyedTable] = {}
 
 
 class Tables:
@@ -53,6 +54,13 @@ class Tables:
         path = self.once(name, lambda p: build().write.mode("overwrite").parquet(p))
         return self.spark.read.parquet(path)
 
+    def keyed(self, name: str, build: Callable[[], DataFrame]) -> KeyedTable:
+        """A gold table in ranges of the product, opened once for each session."""
+        path = self.once(name, lambda p: write_keyed(build(), p))
+        if path not in _opened:
+            _opened[path] = KeyedTable(self.spark, path)
+        return _opened[path]
+
     def source(self, name: str) -> DataFrame:
         return derived.table(self.spark, self.sf_dir, name)
 
@@ -110,23 +118,32 @@ class Tables:
             "silver/reviews", lambda: valid_rows(self.clean_reviews(), REVIEW_RULES)
         )
 
-    def metrics(self) -> DataFrame:
-        return self.stored("gold/product_metrics", lambda: in_key_order(product_metrics(
+    def metrics_table(self) -> KeyedTable:
+        return self.keyed("gold/product_metrics", lambda: product_metrics(
             self.silver_products(), self.silver_reviews(), self.run_ts
-        )))
+        ))
 
-    def history(self) -> DataFrame:
-        return self.stored("gold/price_history", lambda: in_key_order(price_history(
+    def metrics(self) -> DataFrame:
+        return self.metrics_table().read()
+
+    def history_table(self) -> KeyedTable:
+        return self.keyed("gold/price_history", lambda: price_history(
             self.silver_products(), run_ts=self.run_ts, few_repeats=True
-        )))
+        ))
+
+    def history(self) -> DataFrame:
+        return self.history_table().read()
 
     def scorer(self):
         return lexicon_scorer(derived.POSITIVE_WORDS, derived.NEGATIVE_WORDS)
 
-    def sentiments(self) -> DataFrame:
-        return self.stored("gold/reviews_sentiment", lambda: in_key_order(score_sentiment(
+    def sentiments_table(self) -> KeyedTable:
+        return self.keyed("gold/reviews_sentiment", lambda: score_sentiment(
             self.clean_texts(), self.scorer()
-        )))
+        ))
+
+    def sentiments(self) -> DataFrame:
+        return self.sentiments_table().read()
 
     def topics(self) -> DataFrame:
         return self.stored("gold/negative_topics", lambda: negative_topics(

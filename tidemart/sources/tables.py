@@ -22,12 +22,6 @@ def read_parquet_dir(
     return load_or_empty(spark, lambda: reader.parquet(path), schema)
 
 
-def in_key_order(df: DataFrame, key: str = "product_id") -> DataFrame:
-    """Rows ordered by `key` within each file, so that a lookup of one key reads the row groups
-    that may hold it and skips the others."""
-    return df.sortWithinPartitions(key) if key in df.columns else df
-
-
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
     """Replace a table. Never pass a frame that reads the same path."""
     df.write.mode("overwrite").format(fmt).save(path)
