@@ -8,6 +8,7 @@ from conftest import column, rows
 from tidemart.operators import serving
 from tidemart.schemas import RAW_PRODUCT, schema_of
 from tidemart.sources import jsonl, reports, tables
+from tidemart.sources.files import Folder
 from tidemart.streaming import ingest
 
 RUN = datetime(2024, 1, 15, 14, 30, 22)
@@ -129,13 +130,17 @@ def test_keyword_list(spark, tmp_path):
 
 
 def test_reload_sees_a_replaced_table(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    tables.write_table(spark.range(3), path)
-    df = spark.read.parquet(path).cache()
+    """Another program replaces the files; only the reload makes a cached frame see them."""
+    tables.write_table(spark.range(3), f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").cache()
     assert df.count() == 3
-    tables.write_table(spark.range(5), path)
-    tables.reload_tables(spark, [path])
-    assert spark.read.parquet(path).count() == 5
+    tables.write_table(spark.range(5), f"{tmp_path}/next")
+    folder = Folder(spark, str(tmp_path))
+    folder.remove("t")
+    folder.rename("next", "t")
+    assert df.count() == 3
+    tables.reload_tables(spark, [f"{tmp_path}/t"])
+    assert df.count() == 5
 
 
 def test_unreadable_files_are_listed(spark, tmp_path):

@@ -31,10 +31,12 @@ TIME_RANGE = (-62135596800, 253402300799)
 
 
 # Types of the payload fields that are read.
-_ITEM = """struct<itemid: bigint, shopid: bigint, name: string, price: double,
-    price_before_discount: double, catid: bigint, shop_location: string,
-    item_rating: struct<rating_star: double>, cmt_count: bigint, historical_sold: bigint,
-    liked_count: bigint, stock: bigint, image: string>"""
+_ITEM = {
+    "itemid": "bigint", "shopid": "bigint", "name": "string", "price": "double",
+    "price_before_discount": "double", "catid": "bigint", "shop_location": "string",
+    "item_rating": "struct<rating_star: double>", "cmt_count": "bigint",
+    "historical_sold": "bigint", "liked_count": "bigint", "stock": "bigint", "image": "string",
+}
 _RATING = """struct<cmtid: bigint, rating_star: int, comment: string,
     author_username: string, author_portrait: string, images: array<variant>,
     videos: array<variant>, like_count: bigint, ctime: double>"""
@@ -102,34 +104,48 @@ def product_url(name: Column, shop_id: Column, product_id: Column) -> Column:
     )
 
 
-def flatten_products(responses: DataFrame) -> DataFrame:
+def _field(name: str) -> Column:
+    return F.col(f"typed.{name}")
+
+
+# Each product column: the payload field it is read from, and how.
+_PRODUCT = {
+    "product_id": ("itemid", lambda n: _or_default(n, 0)),
+    "shop_id": ("shopid", lambda n: _or_default(n, 0)),
+    "name": ("name", lambda n: _or_default(n, "")),
+    "price": ("price", lambda n: rescale(_or_default(n, 0.0))),
+    "original_price": ("price_before_discount", lambda n: rescale(_field(n))),
+    "category_id": ("catid", _field),
+    "shop_location": ("shop_location", _field),
+    "rating": ("item_rating", lambda n: _field(f"{n}.rating_star")),
+    "review_count": ("cmt_count", lambda n: _or_default(n, 0)),
+    "sold_count": ("historical_sold", lambda n: _or_default(n, 0)),
+    "liked_count": ("liked_count", lambda n: _or_default(n, 0)),
+    "stock": ("stock", lambda n: _or_default(n, 0)),
+    "image_url": ("image", lambda n: media_url(_field(n))),
+}
+
+
+def flatten_products(responses: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rename and type the fields of each item, nested under `item_basic` or not.
 
-    Objects are read inside the generator, so once however often filters use their fields.
+    Objects are read inside the generator, so once however often filters use their fields. With
+    `columns` only the payload fields of these are decoded; otherwise all of them, and `whole`
+    marks items whose whole-number fields have no fraction.
     """
     def basic(item):
         return F.coalesce(F.try_variant_get(item, "$.item_basic", "variant"), item)
 
+    wanted = {c: _PRODUCT[c] for c in columns or _PRODUCT}
+    kind = ", ".join(f"{n}: {_ITEM[n]}" for n in dict.fromkeys(n for n, _ in wanted.values()))
     basics = F.transform(_listed("$.items"), basic)
     read = _responses(responses, SEARCH_MARKER).select(
-        *_context(responses), F.inline(F.transform(basics, lambda b: _read(b, _ITEM)))
+        *_context(responses), F.inline(F.transform(basics, lambda b: _read(b, f"struct<{kind}>")))
     )
+    whole = [] if columns else [_fits(F.col("raw"), WHOLE_PRODUCT).alias("whole")]
     return read.select(
-        _or_default("itemid", 0).alias("product_id"),
-        _or_default("shopid", 0).alias("shop_id"),
-        _or_default("name", "").alias("name"),
-        rescale(_or_default("price", 0.0)).alias("price"),
-        rescale(F.col("typed.price_before_discount")).alias("original_price"),
-        F.col("typed.catid").alias("category_id"),
-        F.col("typed.shop_location").alias("shop_location"),
-        F.col("typed.item_rating.rating_star").alias("rating"),
-        _or_default("cmt_count", 0).alias("review_count"),
-        _or_default("historical_sold", 0).alias("sold_count"),
-        _or_default("liked_count", 0).alias("liked_count"),
-        _or_default("stock", 0).alias("stock"),
-        media_url(F.col("typed.image")).alias("image_url"),
-        _fits(F.col("raw"), WHOLE_PRODUCT).alias("whole"),
-        *_context(responses),
+        *[build(field).alias(c) for c, (field, build) in wanted.items()],
+        *whole, *_context(responses),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.operators import parsing
+from tidemart.plans import derived
 from tidemart.plans.check_sql import rnd, with_views
 from tidemart.plans.registry import query
 
@@ -42,7 +43,8 @@ def _(t):
       {rnd("shown_original", 4)} as original_price
     from parsed_products"""))
 def _(t):
-    flat = parsing.flatten_products(t.search_responses())
+    flat = parsing.flatten_products(
+        t.search_responses(), ["product_id", "price", "original_price"])
     return flat.select(
         "product_id", F.round("price", 4).alias("price"),
         F.round("original_price", 4).alias("original_price"),
@@ -97,6 +99,23 @@ def _(t):
         for name in _CONSTRAINTS])
 
 
+# What each kind of broken payload must be rejected for, by order number.
+_BROKEN = ["", "name", "name", "price", "original_price", "rating", "rating", "review_count",
+           "sold_count", "liked_count", "stock", "product_id", "shop_id", "name", "price", "stock"]
+
+
+@query("p6_broken_constraints", with_views(f"""
+    select kind, [{", ".join(f"'{n}'" for n in _BROKEN)}][kind + 1] as violations,
+      count(*) as rows
+    from (select cast(l_orderkey % {len(_BROKEN)} as integer) as kind from raw_products)
+    group by kind"""))
+def _(t):
+    parsed = parsing.parse_products(
+        derived.broken_responses(t.spark, t.sf_dir, len(_BROKEN)), F.lit("2024-06-01T12:30:45"))
+    return parsed.groupBy("kind", F.array_join("violations", ",").alias("violations")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 @query("p6_accepted_products", with_views(f"""
     select product_id, name, {rnd("shown_price", 4)} as price, rating from parsed_products
     where shown_price > 0 and (rating is null or rating <= 5)"""))

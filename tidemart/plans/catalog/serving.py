@@ -9,6 +9,7 @@ from tidemart.operators import serving
 from tidemart.plans.check_sql import rnd, with_views
 from tidemart.plans.registry import query
 from tidemart.sources import tables
+from tidemart.sources.files import Folder
 
 _CARD = ["product_id", "name", "keyword", "price", "avg_rating", "total_reviews", "sold_count"]
 _CARD_SQL = ", ".join(_CARD)
@@ -219,13 +220,17 @@ def _(t):
 @query("a15_reload", with_views("""
     select 'reloaded' as status, count(*) as total_products from product_metrics"""))
 def _(t):
-    path = t.path("a15")
-    t.metrics().limit(0).write.mode("overwrite").parquet(path)
-    # The frame is cached while the table is empty; without the reload it stays empty.
-    served = t.spark.read.parquet(path).cache()
+    base = t.path("a15")
+    t.metrics().limit(0).write.mode("overwrite").parquet(f"{base}/table")
+    served = t.spark.read.schema(t.metrics().schema).parquet(f"{base}/table").cache()
     served.count()
-    t.metrics().write.mode("overwrite").parquet(path)
-    tables.reload_tables(t.spark, [path])
+    # The folders change places on the file system, of which Spark knows nothing: without the
+    # reload the cached frame stays empty.
+    t.metrics().write.mode("overwrite").parquet(f"{base}/next")
+    folder = Folder(t.spark, base)
+    folder.remove("table")
+    folder.rename("next", "table")
+    tables.reload_tables(t.spark, [f"{base}/table"])
     return served.agg(
         F.lit("reloaded").alias("status"), F.count(F.lit(1)).alias("total_products")
     )

@@ -175,6 +175,30 @@ def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_responses(spark: SparkSession, sf_dir: str, kinds: int) -> DataFrame:
+    """A sound item for each raw product, with one field broken as its `kind` says: too short or
+    too long, below or above its range, or an explicit null."""
+    kind = f"l_orderkey % {kinds}"
+
+    def field(sound, **broken):
+        cases = " ".join(f"when {k[1:]} then {v}" for k, v in broken.items())
+        return f"case {kind} {cases} else {sound} end" if broken else sound
+
+    item = f"""named_struct(
+        'itemid', {field("product_id", _11="null")}, 'shopid', {field("shop_id", _12="null")},
+        'name', {field("'Mug'", _1="''", _2="repeat('x', 1001)", _13="null")},
+        'price', {field("100.0D", _3="0.0D", _14="null")},
+        'price_before_discount', {field("200.0D", _4="-1.0D")},
+        'item_rating', named_struct('rating_star', {field("4.0D", _5="5.5D", _6="-0.5D")}),
+        'cmt_count', {field("3", _7="-1")}, 'historical_sold', {field("0", _8="-2")},
+        'liked_count', {field("1", _9="-3")}, 'stock', {field("7", _10="-4", _15="null")})"""
+    return raw_products(spark, sf_dir).select(
+        F.lit("https://host/api/search_items").alias("url"), F.lit(200).alias("status"),
+        F.expr(f"""concat('{{"items":[', to_json({item}, map('ignoreNullFields', 'false')),
+            ']}}')""").alias("body"),
+        F.expr(f"cast({kind} as int)").alias("kind"))
+
+
 def rating_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings responses of one rating each, with mixed media lists."""
     rating = """named_struct(

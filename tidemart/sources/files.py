@@ -53,3 +53,8 @@ class Folder:
     def remove(self, name: str) -> None:
         """Delete a file or a whole folder."""
         self._files.delete(self._path(name), True)
+
+    def rename(self, name: str, new: str) -> None:
+        """Give a file or folder a name that is free."""
+        if not self._files.rename(self._path(name), self._path(new)):
+            raise FileExistsError(self._path(new).toString())
