@@ -41,6 +41,22 @@ def test_previous_values_equals_plain_lag(skewed, hot_rows, minutes, kind):
     assert rows(ours) == rows(plain)
 
 
+def test_null_key_is_split_like_any_other(spark, skewed):
+    """A third of the rows have no key; they are lagged together, in chunks."""
+    start = datetime(2024, 1, 1)
+    more = spark.createDataFrame(
+        [(None, start + timedelta(seconds=97 * i), i % 13) for i in range(300)]
+        + [(None, None, 5)], skewed.schema)
+    both = skewed.unionByName(more)
+    w = Window.partitionBy("k").orderBy("at")
+    plain = both.withColumns({"pv": F.lag("v").over(w), "pat": F.lag("at").over(w)})
+    ours = previous_values(both, ["k"], "at", {"pv": "v", "pat": "at"}, hot_rows=100, minutes=1)
+    assert ours.columns == plain.columns and rows(ours) == rows(plain)
+    marked, only_hot = ordered.split_hot(both, ["k"], "at", ordered._as_is, 100, 1)
+    assert {r.k for r in only_hot.select("k").collect()} == {"hot", None}
+    assert marked.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0] <= 40
+
+
 @pytest.mark.parametrize("hot_rows", [2, 10_000])
 def test_running_count_equals_row_number(skewed, hot_rows):
     w = Window.partitionBy("k").orderBy("at", "v")

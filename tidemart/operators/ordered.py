@@ -16,6 +16,7 @@ and a key has one summary row per minute in which it was seen.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,6 +76,14 @@ def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:
     return F.coalesce(F.floor(clock / minutes).cast("bigint"), F.lit(_NO_CHUNK))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys of which null equals null; the keys come from the left."""
+    named = right.select(*[
+        F.col(c).alias(f"__same_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(Column.__and__, [left[k].eqNullSafe(named[f"__same_{k}"]) for k in keys])
+    return left.join(named, same, how).drop(*[f"__same_{k}" for k in keys])
+
+
 def split_hot(
     source: DataFrame, keys: list[str], time: str, prepare: Prepare, hot_rows: int,
     minutes: int,
@@ -84,10 +93,10 @@ def split_hot(
     hot = F.broadcast(_hot_keys(source, keys, hot_rows))
     rows = prepare(source)
     number = _chunk_number(rows, time, minutes)
-    marked = rows.join(hot, keys, "left").withColumn(
+    marked = join_null_safe(rows, hot, keys, "left").withColumn(
         CHUNK, F.when(F.col(_HOT), number).otherwise(F.lit(_NO_CHUNK))
     )
-    only_hot = prepare(source.join(hot, keys, "left_semi")).withColumn(CHUNK, number)
+    only_hot = prepare(join_null_safe(source, hot, keys, "left_semi")).withColumn(CHUNK, number)
     return marked, only_hot
 
 
@@ -108,7 +117,7 @@ def previous_values(
     """Add, for each `new: column` in `values`, the column of the key's preceding row.
 
     `prepare` turns the source into the rows to order; it must treat each key by itself and
-    add no rows. Keys must not be null, and a key must have one row per time. With
+    add no rows. A null key is a key like any other. A key must have one row per time. With
     `repeat_order` there may be a few: all but the first in that order are dropped, in the
     same pass over the sorted rows.
     """
@@ -135,7 +144,7 @@ def previous_values(
         *keys, CHUNK,
         *[F.lag(f"__tail_{new}").over(across).alias(f"__carry_{new}") for new in values],
     )
-    joined = local.join(carried, [*keys, CHUNK], "left")
+    joined = join_null_safe(local, carried, [*keys, CHUNK], "left")
     own = [c for c in marked.columns if c not in (CHUNK, _HOT)]
     return joined.select(
         *own,
