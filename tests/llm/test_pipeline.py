@@ -80,6 +80,8 @@ CONTRACTS = {
     9: ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
         "score"],
     10: ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    12: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    13: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 
 
@@ -97,7 +99,7 @@ def test_contracts(spark, number):
 
 def test_all_operators_are_registered():
     queries = importlib.import_module("__spark_entry__").queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert len([n for n in queries if n.startswith(f"op{number}_")]) == 1
     assert "pipeline" in queries
 
