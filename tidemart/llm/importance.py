@@ -1,26 +1,32 @@
 """Quality by importance resampling with hashed n-gram models.
 
 Two generative models over hashed unigrams and bigrams are counted: the target model from texts
-labelled good, the raw model from all texts. A document's log weight is the sum over its n-grams
-of log p_target - log p_raw. Adding Gumbel noise and taking the k largest keys draws k documents
-without replacement in proportion to their weights. k is the number of documents whose weight is
-above a cut that nearly all good labels pass and that are not judged toxic.
+labelled good, the raw model from all texts. A document's log ratio is the sum over its n-grams of
+log p_target - log p_raw. That sum spans thousands, beside which Gumbel noise is nothing and drawing
+would be sorting. Neighbouring n-grams are far from independent, so the weights are tempered: a text
+of n n-grams counts as `WEIGHT_OF` times the root of n independent ones, and its log weight is
+`WEIGHT_OF` times the sum over the root of n.
 
-Toxic texts differ from good ones in few words, which a sum over all words drowns. They have a
+Toxic texts differ from good ones in few words, which a mean over all words drowns. They have a
 model of their own: in how many toxic and in how many good labelled texts an n-gram occurs; a
-document's toxic score is its most telling n-gram. A labelled document is scored without its own
-counts. A document is judged toxic if its score is above that of all but `MAX_LOST` of the good
-labels; its weight is then put so far below the cut that no noise takes it.
+document's toxic score is its most telling n-gram, in log odds of the toxic class. A labelled
+document is scored without its own counts. The score is a factor of the weight: the log weight
+falls by `TOXIC_WEIGHT` times what the score has above that of all but `UNUSUAL` of the good labels.
+
+Adding Gumbel noise and taking the k largest keys draws k documents without replacement in
+proportion to their weights. k is a share of all rows (`rate`) or, without one, the number of
+documents whose weight is above a cut that all but `MAX_LOST` of the good labels pass.
 
 Both models are fitted on a bounded sample of the labels (`MAX_LABELS`, those of smallest hash);
-the raw model, the weights, both cuts and the selection cover all documents and all labels. The
+the raw model, the weights, the cuts and the selection cover all documents and all labels. The
 k-th key and the cuts are found by counting in ranges, so nothing is sorted in one task.
 
 Edge cases: a null or empty text has weight 0; a null doc_id is never labelled; several labels of
-a document count as good only if all are; rows that tie with the k-th key are all taken; without
-good or without bad or toxic labels nothing is rejected; without toxic labels nothing is judged
-toxic; an empty table gives no rows; other columns are
-ignored by `weights` and kept by `resample`.
+a document count as good only if all are; rows that tie with the k-th key are all taken, and equal
+rows have the same noise; without toxic or without good labels the toxic factor is 1; without a
+rate, and without good or without bad and toxic labels, nothing is rejected; a rate outside 0 to 1
+is refused; an empty table gives no rows; other columns are ignored by `scored` and kept by
+`resample`.
 """
 
 from __future__ import annotations
@@ -38,10 +44,12 @@ from tidemart.llm.words import BLANKS, U64, classes, mix, utf8, word_hashes
 BUCKETS = 10_000
 MAX_LABELS = 50_000
 MAX_LOST = 0.001  # share of the good labels that may lie below the cut
+UNUSUAL = 0.002  # share of the good labels whose toxic score lowers their weight
 SLICES = 20
 PLACES = 1 << 18  # counters of the toxic model; an n-gram has one in each of two halves
 PRIOR = 10.0  # texts an n-gram is taken to be in besides those counted, at the classes' shares
-BELOW = 50.0  # a toxic weight lies so far below the cut: more than the noise of 53 bits spans
+WEIGHT_OF = 3.0  # a text of n n-grams counts as so many times the root of n
+TOXIC_WEIGHT = 40.0  # how often its most telling n-gram counts beyond those of good labels
 NO_SCORE = -99.0  # the toxic score of a text without words
 FINE = 1 << 20  # steps of a whole in which keys, weights and scores are counted
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -187,8 +195,9 @@ def _weigher(ratios: np.ndarray, odds):
             for at, both, real, bounds in grams(utf8(batch.column("text"))):
                 sums = np.concatenate(([0.0], np.cumsum(table[_buckets(both, real)])))
                 n = len(bounds) - 1
-                weights[at:at + n] = sums[bounds[1:]] - sums[bounds[:-1]]
                 sizes[at:at + n] = np.diff(bounds) // 2
+                root = np.sqrt(np.maximum(2 * sizes[at:at + n] - 1, 1))
+                weights[at:at + n] = WEIGHT_OF * (sums[bounds[1:]] - sums[bounds[:-1]]) / root
                 if odds is not None and len(both):
                     some = np.flatnonzero(np.diff(bounds))
                     kind = np.repeat(kinds[at:at + n], np.diff(bounds))
@@ -199,13 +208,20 @@ def _weigher(ratios: np.ndarray, odds):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(sizes),
                  pa.array(weights), pa.array(scores)],
-                names=["doc_id", "mark", "n_words", "log_weight", "toxic_score"])
+                names=["doc_id", "mark", "n_words", "log_ratio", "toxic_score"])
 
     return run
 
 
+def gumbel_key(weight: Column, mark: Column) -> Column:
+    """A log weight with Gumbel noise from a 64-bit hash."""
+    uniform = (F.shiftrightunsigned(mark, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    return weight - F.log(-F.log(uniform))
+
+
 def scored(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, n_words, log_weight, gumbel_key and toxic_score of every row."""
+    """doc_id, n_words, log_ratio (tempered), toxic_score and mark (hash of row and seed) of every
+    row; `sample` has doc_id, good and perhaps toxic."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
     odds, known = None, F.lit(0)
@@ -215,42 +231,37 @@ def scored(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
         odds = docs.sparkSession.sparkContext.broadcast(odds)
         known = F.when(F.col("toxic") == 1, 2).when(F.col("good") == 1, 1).otherwise(0)
         marked = marked.join(F.broadcast(sample), "doc_id", "left")
-    weighed = marked.select("doc_id", "text", "mark", known.alias("class")).mapInArrow(
+    return marked.select("doc_id", "text", "mark", known.alias("class")).mapInArrow(
         _weigher(log_ratios(docs, sample), odds),
-        f"doc_id {kind}, mark long, n_words long, log_weight double, toxic_score double")
-    uniform = (F.shiftrightunsigned("mark", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    return weighed.select("doc_id", "n_words", "log_weight",
-                          (F.col("log_weight") - F.log(-F.log(uniform))).alias("gumbel_key"),
-                          "toxic_score")
+        f"doc_id {kind}, mark long, n_words long, log_ratio double, toxic_score double")
 
 
-def weights(docs: DataFrame, sample: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, n_words, log_weight and gumbel_key of every row."""
-    return scored(docs, sample, seed).drop("toxic_score")
+def weighted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_words, log_weight and gumbel_key of the rows of `scored`; `labels` is `judged`."""
+    score = fine(F.col("toxic_score"))
+    good = rows.join(labels.where("good = 1"), "doc_id").select(score.alias("code"))
+    usual = kth_largest(good, int(UNUSUAL * good.count()) + 1)
+    excess = F.lit(0.0) if usual is None else F.greatest(
+        F.col("toxic_score") - F.lit(usual / FINE), F.lit(0.0))
+    weight = F.col("log_ratio") - F.lit(TOXIC_WEIGHT) * excess
+    return rows.select("doc_id", "n_words", weight.alias("log_weight"),
+                       gumbel_key(weight, F.col("mark")).alias("gumbel_key"))
 
 
 def fine(value: Column) -> Column:
     return F.floor(value * FINE).cast("long")
 
 
-def cuts(labelled: DataFrame) -> tuple[int, int | None] | None:
-    """The highest weight below which at most MAX_LOST of the good labels lie, and the lowest
-    toxic score above which at most as many lie, both in steps of `fine`; `labelled` has all
-    labelled documents. None if good or if bad and toxic labels are missing; no toxic cut if it
-    would find no larger a share of the toxic labels."""
+def cut(labelled: DataFrame) -> int | None:
+    """The highest weight, in steps of `fine`, below which at most MAX_LOST of the good labels
+    lie; `labelled` has all labelled documents. None if good or if bad and toxic labels are
+    missing."""
     good = labelled.where("good = 1")
-    n, others, toxic = labelled.agg(
-        F.count_if(F.col("good") == 1), F.count_if(F.col("good") == 0),
-        F.count_if(F.col("toxic") == 1)).first()
+    n, others = labelled.agg(F.count_if(F.col("good") == 1), F.count_if(F.col("good") == 0)).first()
     if not n or not others:
         return None
-    spare = int(MAX_LOST * n)
-    least = kth_largest(good.select(fine(F.col("log_weight")).alias("code")), n - spare)
-    score = fine(F.col("toxic_score"))
-    most = kth_largest(good.select(score.alias("code")), spare + 1) if toxic else None
-    if toxic and labelled.where("toxic = 1").where(score > most).count() <= MAX_LOST * toxic:
-        most = None
-    return least, most
+    return kth_largest(good.select(fine(F.col("log_weight")).alias("code")),
+                       n - int(MAX_LOST * n))
 
 
 def kth_largest(values: DataFrame, k: int, ranges: int = 4096) -> int | None:
@@ -270,34 +281,35 @@ def kth_largest(values: DataFrame, k: int, ranges: int = 4096) -> int | None:
     return low
 
 
-def selected(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
+def selected(
+    docs: DataFrame, labels: DataFrame, seed: int = 11, rate: float | None = None
+) -> DataFrame:
     """doc_id, n_words, log_weight, gumbel_key, kept of every row."""
+    if rate is not None and not 0.0 <= rate <= 1.0:
+        raise ValueError("rate must be in 0..1")
     ship_code(docs.sparkSession)
-    each = stored(judged(labels), "labels")
     sample = stored(label_sample(labels), "sample")
-    weighed = stored(scored(docs, sample, seed), "weights")
-    labelled = weighed.select("doc_id", "log_weight", "toxic_score").join(each, "doc_id")
-    found = cuts(stored(labelled.drop("doc_id"), "labelled"))
-    if found is None:
-        return weighed.drop("toxic_score").withColumn("kept", F.lit(True))
-    cut, most = found
-    if most is not None:
-        low = F.least("log_weight", F.lit(cut / FINE)) - BELOW
-        weight = F.when(fine(F.col("toxic_score")) > most, low).otherwise(F.col("log_weight"))
-        weighed = weighed.withColumns({
-            "log_weight": weight,
-            "gumbel_key": F.col("gumbel_key") - F.col("log_weight") + weight})
-    weighed = weighed.drop("toxic_score")
-    k = weighed.where(fine(F.col("log_weight")) >= cut).count()
+    labels = stored(judged(labels), "labels")
+    weighed = weighted(stored(scored(docs, sample, seed), "weights"), labels)
+    if rate is not None:
+        k = round(rate * weighed.count())
+    else:
+        labelled = weighed.select("doc_id", "log_weight").join(labels, "doc_id")
+        least = cut(stored(labelled.select("log_weight", "good"), "labelled"))
+        if least is None:
+            return weighed.withColumn("kept", F.lit(True))
+        k = weighed.where(fine(F.col("log_weight")) >= least).count()
     code = fine(F.col("gumbel_key"))
     least = kth_largest(weighed.select(code.alias("code")), k)
     return weighed.withColumn("kept", F.lit(False) if least is None else code >= least)
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 11) -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, seed: int = 11, rate: float | None = None
+) -> DataFrame:
     """The rows of `docs` that the resampling takes; rows without a doc_id all stay, and so do
     all rows of a doc_id of which one is taken."""
-    judged = selected(docs, labels, seed)
-    gone = stored(judged.where("doc_id is not null").groupBy("doc_id").agg(
+    drawn = selected(docs, labels, seed, rate)
+    gone = stored(drawn.where("doc_id is not null").groupBy("doc_id").agg(
         F.max("kept").alias("kept")).where("not kept").select("doc_id"), "rejected")
     return docs.join(sized_ids(gone), "doc_id", "left_anti").select(docs.columns)
