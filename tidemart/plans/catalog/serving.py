@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemart.operators import serving
+from tidemart.operators import serving, summaries
 from tidemart.plans.check_sql import rnd, with_views
 from tidemart.plans.registry import query
 from tidemart.sources import tables
@@ -102,6 +102,27 @@ def _(t):
     )
 
 
+@query("a6_overview_states", with_views(f"""
+    select {_KPIS}, count(distinct keyword) as total_keywords from product_metrics"""))
+def _(t):
+    return summaries.overview(t.keyword_states(), t.metrics())
+
+
+@query("a6_keyword_overview_states", with_views(f"""
+    select {_KPIS}, count(distinct keyword) as total_keywords from product_metrics
+    where lower(keyword) = 'brand#7'"""))
+def _(t):
+    return summaries.overview(t.keyword_states(), t.metrics(), keyword="Brand#7")
+
+
+@query("a7_keyword_stats_states", with_views(_STATS))
+def _(t):
+    return summaries.keyword_stats(t.keyword_states()).select(
+        "keyword", "total_products", "avg_price", "avg_rating", "total_reviews",
+        "rating_distribution.*",
+    )
+
+
 def _top_sql(metric, limit, where="true"):
     return with_views(f"""
         select {_CARD_SQL} from product_metrics where total_reviews > 0 and {where}
@@ -113,6 +134,12 @@ def _(t):
     return serving.get_top_products(t.metrics()).select(*_CARD)
 
 
+@query("a8_top_products_states", _top_sql("total_reviews", 50))
+def _(t):
+    return summaries.top_products(
+        t.top_states(), t.metrics(), "total_reviews", 50).select(*_CARD)
+
+
 @query("a8_top_by_sold", _top_sql("sold_count", 50, "lower(keyword) = 'brand#3'"))
 def _(t):
     return serving.get_top_products(
@@ -149,15 +176,23 @@ _SENTIMENT = ", ".join(
 ) + ", count(*) as total"
 
 
-@query("a10_sentiment_overview", with_views(f"""
+_SENTIMENT_SQL = with_views(f"""
     select {_SENTIMENT}, {", ".join(
         rnd(f"count(*) filter (where sentiment_label = '{n}') / count(*) * 100", 1)
         + f" as {n}_pct" for n in ("positive", "negative", "neutral"))}
-    from sentiments"""))
+    from sentiments""")
+
+
+@query("a10_sentiment_overview", _SENTIMENT_SQL)
 def _(t):
     return serving.get_sentiment_overview(t.sentiments())
 
 
+@query("a10_sentiment_states", _SENTIMENT_SQL)
+def _(t):
+    return summaries.sentiment_overview(t.label_states())
+
+
 @query("a11_rating_distribution", with_views(f"""
     select {", ".join(f"cast(sum(star_{s}_count) as bigint) as star_{s}"
                       for s in range(1, 6))},
@@ -206,6 +241,22 @@ def _(t):
     return _moves(serving.price_volatility(t.history(), 100, suspicious_only=True))
 
 
+def _moves_sql(limit, where="true"):
+    return with_views(f"""
+        select {_MOVE_SQL} from price_history where price_change_pct is not null and {where}
+        order by abs(price_change_pct) desc, product_id, scraped_at limit {limit}""")
+
+
+@query("a14_volatility_states", _moves_sql(20))
+def _(t):
+    return _moves(summaries.volatility(t.move_states()))
+
+
+@query("a14_suspicious_states", _moves_sql(100, "is_discount_suspicious"))
+def _(t):
+    return _moves(summaries.volatility(t.move_states(), 100, suspicious_only=True))
+
+
 @query("a4_page_after", with_views("""
     select product_id, name, price from product_metrics
     order by price desc nulls last, product_id limit 20 offset 20"""))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators import cleansing, history, metrics, profiling, quality
+from tidemart.operators import cleansing, history, metrics, profiling, quality, summaries
 from tidemart.operators.sentiment import Scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import incremental
@@ -157,6 +157,19 @@ def gold_topics(lake: Lake, stopwords: list[str] | None = None) -> None:
     lake.write(built.select(*NEGATIVE_TOPIC.fieldNames()), "gold/negative_topics")
 
 
+def gold_summaries(lake: Lake) -> None:
+    """States of the overview queries, from the gold tables just written."""
+    products = lake.read("gold/product_metrics")
+    built = {
+        "keywords": summaries.keyword_states(products),
+        "labels": summaries.label_states(lake.read("gold/reviews_sentiment")),
+        "top": summaries.top_states(products),
+        "moves": summaries.move_states(lake.read("gold/price_history")),
+    }
+    for name, df in built.items():
+        tables.write_summary(df, lake.path(f"summary/{name}"), lake.fmt)
+
+
 # Layer labels.
 PROFILED = {
     "Bronze.Products": "bronze/products",
@@ -218,6 +231,7 @@ def quality_check(lake: Lake, run_ts: datetime) -> DataFrame:
 
 GOLD = ["gold/product_metrics", "gold/reviews_sentiment", "gold/negative_topics",
         "gold/price_history"]
+SUMMARIES = ["summary/keywords", "summary/labels", "summary/top", "summary/moves"]
 
 
 def run_day(
@@ -247,6 +261,7 @@ def run_day(
     gold_history(lake, run_ts)
     gold_sentiment(lake, scorer)
     gold_topics(lake, stopwords)
+    gold_summaries(lake)
     quality_check(lake, run_ts)
-    tables.reload_tables(lake.spark, [lake.path(name) for name in GOLD])
+    tables.reload_tables(lake.spark, [lake.path(name) for name in GOLD + SUMMARIES])
     return found

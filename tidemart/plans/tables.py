@@ -8,7 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemart.operators import summaries
 from tidemart.operators.cleansing import clean_products, clean_reviews
 from tidemart.operators.history import price_history
 from tidemart.operators.metrics import product_metrics
@@ -18,11 +20,13 @@ from tidemart.operators.topics import negative_topics
 from tidemart.plans import derived
 from tidemart.session import shared_dir
 from tidemart.sources.keyed import KeyedTable, write_keyed
+from tidemart.sources.tables import write_summary
 
 RUN_TS = datetime(2024, 6, 1, 12, 30, 45)
 
 _written: set[str] = set()
 _opened: dict[str, KeyedTable] = {}
+_schemas: dict[str, T.StructType] = {}
 
 
 class Tables:
@@ -149,3 +153,24 @@ class Tables:
         return self.stored("gold/negative_topics", lambda: negative_topics(
             self.sentiments(), stopwords=derived.TOPIC_STOPWORDS
         ))
+
+    # States of the overview queries
+
+    def summary(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small table in one file, with the schema remembered, so opening it runs no job."""
+        path = self.once(f"summary/{name}", lambda p: write_summary(build(), p))
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
+
+    def keyword_states(self) -> DataFrame:
+        return self.summary("keywords", lambda: summaries.keyword_states(self.metrics()))
+
+    def label_states(self) -> DataFrame:
+        return self.summary("labels", lambda: summaries.label_states(self.sentiments()))
+
+    def top_states(self) -> DataFrame:
+        return self.summary("top", lambda: summaries.top_states(self.metrics()))
+
+    def move_states(self) -> DataFrame:
+        return self.summary("moves", lambda: summaries.move_states(self.history()))

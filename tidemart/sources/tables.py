@@ -27,6 +27,11 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_summary(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
+    """Replace a table of few rows by one file, whatever partitions the rows come from."""
+    write_table(df.repartition(1), path, fmt)
+
+
 def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
     """Replace the partitions that `df` has rows of; others keep their files."""
     (
