@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemart.operators import profiling, serving
+from tidemart.operators import profiling, serving, summaries
 from tidemart.operators.sentiment import lexicon_scorer
 from tidemart.plans.lake import GOLD, PROFILED, Lake, layer_measures, run_day
 from tidemart.session import shared_dir
@@ -66,6 +66,19 @@ def test_gold_tables(lake, spark):
     assert (overview["positive"], overview["negative"], overview["neutral"]) == (1, 2, 1)
 
 
+def test_summaries_follow_the_gold_tables(lake):
+    made, _ = lake
+    gold = made.read("gold/product_metrics")
+    assert rows(summaries.overview(made.read("summary/keywords"), gold)) == rows(
+        serving.get_overview(gold))
+    assert rows(summaries.sentiment_overview(made.read("summary/labels"))) == rows(
+        serving.get_sentiment_overview(made.read("gold/reviews_sentiment")))
+    assert summaries.top_products(made.read("summary/top"), gold).collect() == \
+        serving.get_top_products(gold).collect()
+    assert summaries.volatility(made.read("summary/moves")).collect() == \
+        serving.price_volatility(made.read("gold/price_history")).collect()
+
+
 def test_quarantine_and_reports_on_disk(lake, spark):
     made, _ = lake
     rejected = spark.read.parquet(made.path("quality/rejected"))
