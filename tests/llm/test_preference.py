@@ -12,9 +12,9 @@ from tidemart.llm import preference
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def both(spark, rows):
-    frame = spark.createDataFrame(rows, SCHEMA)
-    got = preference.preference_pairs(frame)
+def both(spark, rows, schema=SCHEMA):
+    frame = spark.createDataFrame(rows, schema)
+    got = preference.preference_pairs(frame, derive=True)
     con = duckdb.connect()
     con.register("conversations", frame.toArrow())
     result = con.execute(preference.SQL)
@@ -51,23 +51,64 @@ def test_hard_cases(spark):
     rows += [(None, 0, "user", "lost"), (6, None, "user", "b"), (6, 3, "assistant", "c"),
              (6, 3, "assistant", "c"), (6, 3, "assistant", "b"), (7, 0, "user", "b"), (-9, 1, "user", "b")]
     out = both(spark, rows)
-    used = [i for r in out.values() for i in (r["chosen_id"], r["rejected_id"]) if i is not None]
+    used = [i for r in out.values()
+            for i in (r["chosen_id"], None if r["derived"] else r["rejected_id"]) if i is not None]
     assert sorted(used) == [-9, 1, 2, 3, 4, 5, 6, 7]
     assert out[1]["rejected_id"] == 2 and out[1]["rejected"] == "" and out[1]["n_common"] == 1
     assert out[3]["prompt"].endswith("alone < |im_end|><|im_end|>\n")
 
 
+def test_derived_alternatives(spark):
+    rows = talk(1, ("user", "a"), ("assistant", "x"), ("user", "z")) + talk(
+        2, ("user", "b"), ("assistant", "first"), ("assistant", "yy")) + talk(3, ("user", "c"))
+    out = both(spark, rows)
+    assert (out[1]["rejected_id"], out[1]["derived"], out[1]["n_common"]) == (2, True, 1)
+    assert out[1]["rejected"] == ("<|im_start|>assistant\nyy<|im_end|>\n"
+                                  "<|im_start|>user\nz<|im_end|>\n")
+    assert out[1]["chosen_mask"] == "0:22,1:12,0:17,0:12"
+    assert out[1]["rejected_mask"] == "0:22,1:13,0:17,0:12"
+    assert (out[2]["rejected_id"], out[2]["n_common"]) == (1, 2)
+    assert (out[3]["rejected_id"], out[3]["derived"], out[3]["rejected"]) == (None, False, None)
+    plain = preference.preference_pairs(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(r["rejected_id"] is None and not r["derived"] for r in plain)
+
+
+def test_equal_answers_and_single_rings_give_no_alternative(spark):
+    same = talk(1, ("user", "a"), ("assistant", "x")) + talk(2, ("user", "b"), ("assistant", "x"))
+    for rows in (same, talk(1, ("user", "a"), ("assistant", "x"))):
+        assert all(r["rejected_id"] is None for r in both(spark, rows).values())
+
+
+def test_many_rings(spark, monkeypatch):
+    monkeypatch.setattr(preference, "RING", 10)
+    held = preference.conversations(spark.createDataFrame([
+        r for c in range(200) for r in talk(c, ("user", f"{c}"), ("assistant", f"y{c}"))], SCHEMA))
+    found = {r["chosen_id"]: r["donor"] for r in preference.donors(held).collect()}
+    assert len(found) >= 195 and len(set(found.values())) == len(found)  # all answers differ
+    assert all(a != b for a, b in found.items())
+
+
+def test_long_texts_and_other_columns(spark):
+    rows = [(*r, 1, "c") for r in talk(1, ("user", "a"), ("assistant", "w " * 300_000)) + talk(
+        2, ("user", "b"), ("assistant", "v" * 500_000))]
+    out = both(spark, rows, SCHEMA + ", weight int, turns string")
+    assert out[1]["rejected"].count("v") == 500_000 and out[2]["rejected"].count("w ") == 300_000
+
+
 @pytest.mark.parametrize("n", [1, 2, 64, 129, 300])
 def test_one_opening_for_all(spark, n):
     rows = [r for c in range(n) for r in talk(c, ("user", "same"), ("assistant", "y" * (c % 7)))]
     out = both(spark, rows)
     assert len(out) == -(-n // 2)
-    assert sum(r["rejected_id"] is None for r in out.values()) == n % 2
+    assert sum(r["rejected_id"] is None or r["derived"] for r in out.values()) == n % 2
 
 
 def test_real_rows(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
-    assert both(spark, rows)
+    out = both(spark, rows)
+    for r in out.values():
+        assert (r["rejected_id"] is None) == ("assistant\n" not in r["prompt"] + r["chosen"])
+    assert sum(r["derived"] for r in out.values()) > 10
 
 
 def test_empty_table(spark):
@@ -76,4 +117,4 @@ def test_empty_table(spark):
 
 def test_native_plan(spark):
     frame = spark.read.parquet(f"{SF}/conversations.parquet")
-    assert not re.search("Python|Arrow|Pandas", plan(preference.preference_pairs(frame)))
+    assert not re.search("Python|Arrow|Pandas", plan(preference.preference_pairs(frame, derive=True)))

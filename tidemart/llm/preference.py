@@ -8,8 +8,15 @@ gives each completion as runs `flag:length` in code points: 1 for what is traine
 and end marks of assistant turns, 0 for all else. A conversation without a partner is returned
 with a null rejected side; its prompt ends before its last assistant turn.
 
-Partners are found within salts of an opening turn first and then among the at most `SALTS` left
-over, so an opening that a third of all conversations share is not numbered in one task.
+With `derive`, a conversation without a partner that has an assistant turn is paired with a
+rejected alternative: itself with the text of its last assistant turn taken from another
+conversation, its donor (rejected_id, `derived` is true). Donors are dealt in rings of about
+`RING` conversations, chosen by a hash of conv_id: each of a ring's different last answers is
+answered by the next one. In a ring with one answer only, the rejected side stays null.
+
+Partners are found within salts of an opening turn first and then among those left over, one at
+most of each salt, so an opening that a third of all conversations share is not numbered in one
+task. There are as many salts as the root of the number of conversations, `SALTS` at least.
 
 Edge cases: turns are ordered by number, role and text, null numbers first; equal rows of a
 conversation count once; rows without a conv_id belong to no conversation and are left out; a
@@ -20,12 +27,15 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import stored
 
 SALTS = 64
+RING = 1000
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -51,9 +61,10 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 def pairs(held: DataFrame) -> DataFrame:
     """chosen_id and rejected_id; rejected_id is null for a conversation without a partner."""
+    salts = max(SALTS, math.ceil(math.sqrt(held.count())))
     keys = held.select("conv_id", "role", "text", "weight",
                        F.pmod(F.xxhash64("conv_id") if held.schema["conv_id"].dataType.typeName()
-                              == "string" else F.col("conv_id"), F.lit(SALTS)).alias("salt"))
+                              == "string" else F.col("conv_id"), F.lit(salts)).alias("salt"))
     mate = F.struct(F.col("conv_id").alias("id"), "weight")
 
     def numbered(rows: DataFrame, *by: str) -> DataFrame:
@@ -71,6 +82,29 @@ def pairs(held: DataFrame) -> DataFrame:
         F.when(better, F.col("mate.id")).otherwise(F.col("conv_id")).alias("rejected_id"))
 
 
+def last_answer(turns: Column) -> Column:
+    """Place of the last assistant turn from 0, null without one."""
+    return F.array_max(F.filter(F.sequence(F.lit(0), F.size(turns) - 1),
+                                lambda i: F.get(turns, i)["role"] == "assistant"))
+
+
+def donors(held: DataFrame) -> DataFrame:
+    """chosen_id and donor: the first conversation of the ring that gives its next answer."""
+    answer = F.get("turns", last_answer(F.col("turns")))["text"]
+    answered = held.select("conv_id", F.md5(answer.cast("binary")).alias("answer")).where(
+        "answer is not null")
+    rings = answered.count() // RING + 1
+    code = F.conv(F.substring(F.md5(F.col("conv_id").cast("string").cast("binary")), 1, 8), 16, 10)
+    ringed = answered.withColumn("ring", code.cast("long") % rings)
+    ring = Window.partitionBy("ring").orderBy("first")
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    dealt = ringed.groupBy("ring", "answer").agg(F.min("conv_id").alias("first")).select(
+        "ring", "answer", "first",
+        F.coalesce(F.lead("first").over(ring), F.first("first").over(whole)).alias("donor"))
+    return ringed.join(dealt.where("donor <> first"), ["ring", "answer"]).select(
+        F.col("conv_id").alias("chosen_id"), "donor")
+
+
 def render(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.concat(
         F.lit(OPEN), t["role"], F.lit("\n"), t["text"], F.lit(CLOSE))), "")
@@ -88,24 +122,32 @@ def rest(turns: Column, after: Column) -> Column:
     return F.slice(turns, after + 1, F.greatest(F.lit(0), F.size(turns) - after))
 
 
-def preference_pairs(turns: DataFrame) -> DataFrame:
-    """chosen_id, rejected_id, n_common, prompt, chosen, chosen_mask, rejected, rejected_mask."""
+def preference_pairs(turns: DataFrame, derive: bool = False) -> DataFrame:
+    """chosen_id, rejected_id, derived, n_common, prompt, chosen, chosen_mask, rejected,
+    rejected_mask."""
     held = stored(conversations(turns), "conversations")
     left = held.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c"))
-    right = held.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("x"))
-    met = pairs(held).join(left, "chosen_id").join(right, "rejected_id", "left")
+    right = held.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("d"))
+    matched = pairs(held).withColumn("derived", F.lit(False))
+    if derive:
+        matched = matched.join(donors(held), "chosen_id", "left").select(
+            "chosen_id", F.coalesce("rejected_id", "donor").alias("rejected_id"),
+            F.expr("rejected_id is null and donor is not null").alias("derived"))
+    met = matched.join(left, "chosen_id").join(right, "rejected_id", "left").select(
+        "*", last_answer(F.col("c")).alias("at"))
+    given = F.get("d", last_answer(F.col("d")))["text"]
+    met = met.withColumn("x", F.when(F.col("derived"), F.transform(
+        "c", lambda t, i: F.when(i == F.col("at"), F.struct(
+            t["role"].alias("role"), given.alias("text"))).otherwise(t))).otherwise(F.col("d")))
     shorter = F.least(F.size("c"), F.size("x"))
     apart = F.filter(F.sequence(F.lit(0), shorter - 1),
                      lambda i: F.get("c", i) != F.get("x", i))
-    answers = F.filter(F.sequence(F.lit(0), F.size("c") - 1),
-                       lambda i: F.get("c", i)["role"] == "assistant")
-    alone = F.coalesce(F.array_max(answers), F.size("c"))
-    common = F.when(F.col("x").isNull(), alone).otherwise(
+    common = F.when(F.col("x").isNull(), F.coalesce(F.col("at"), F.size("c"))).otherwise(
         F.coalesce(F.array_min(apart), shorter))
     cut = met.select("*", common.alias("n_common"))
     n = F.col("n_common")
     return cut.select(
-        "chosen_id", "rejected_id", n.cast("long").alias("n_common"),
+        "chosen_id", "rejected_id", "derived", n.cast("long").alias("n_common"),
         render(F.slice("c", F.lit(1), n)).alias("prompt"),
         render(rest(F.col("c"), n)).alias("chosen"),
         mask(rest(F.col("c"), n)).alias("chosen_mask"),
@@ -113,7 +155,7 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
         mask(rest(F.col("x"), n)).alias("rejected_mask"))
 
 
-# The same rows in DuckDB.
+# The same rows in DuckDB, with derived alternatives.
 SQL = """
 with rows as (
   select distinct conv_id, turn as place, coalesce(replace(role, '<|', '< |'), 'unknown') as role,
@@ -123,11 +165,13 @@ held as (
   select conv_id, list({'role': role, 'text': text} order by place nulls first, role, text) as turns,
     sum(case when role = 'assistant' then length(text) else 0 end) as weight
   from rows group by conv_id),
+salted as (
+  select *, ((conv_id % salts) + salts) % salts as salt from held, (
+    select greatest(64, cast(ceil(sqrt(count(*))) as bigint)) as salts from held)),
 numbered as (
-  select *, ((conv_id % 64) + 64) % 64 as salt, row_number() over w as r,
+  select *, row_number() over w as r,
     lead(conv_id) over w as mate, lead(weight) over w as mate_weight
-  from held window w as (partition by turns[1].role, turns[1].text, ((conv_id % 64) + 64) % 64
-                         order by conv_id)),
+  from salted window w as (partition by turns[1].role, turns[1].text, salt order by conv_id)),
 firsts as (select * from numbered where r % 2 = 1),
 again as (
   select conv_id, weight, row_number() over w as r, lead(conv_id) over w as mate,
@@ -141,10 +185,32 @@ pairs as (
   select case when mate is null or weight >= mate_weight then conv_id else mate end as chosen_id,
     case when mate is null or weight >= mate_weight then mate else conv_id end as rejected_id
   from mates),
+answered as (
+  select conv_id, turns, list_max(list_filter(range(len(turns)),
+    lambda i: turns[i + 1].role = 'assistant')) + 1 as place
+  from held where list_contains(list_transform(turns, lambda t: t.role), 'assistant')),
+ringed as (
+  select *, cast('0x' || substr(md5(cast(conv_id as varchar)), 1, 8) as bigint) % rings as ring
+  from answered, (select count(*) // 1000 + 1 as rings from answered)),
+answers as (
+  select ring, turns[place].text as own, min(conv_id) as head from ringed group by all),
+dealt as (
+  select ring, own, head, coalesce(lead(own) over w, first_value(own) over w) as given,
+    coalesce(lead(head) over w, first_value(head) over w) as donor
+  from answers window w as (partition by ring order by head)),
+donors as (
+  select r.conv_id, r.place, a.given, a.donor
+  from ringed r join dealt a on a.ring = r.ring and a.own = r.turns[r.place].text
+  where a.donor <> a.head),
 met as (
-  select p.chosen_id, p.rejected_id, c.turns as c, x.turns as x
+  select p.chosen_id, c.turns as c, coalesce(p.rejected_id, d.donor) as rejected_id,
+    p.rejected_id is null and d.donor is not null as derived,
+    case when d.donor is null or p.rejected_id is not null then x.turns
+      else list_transform(c.turns, lambda t, i: case when i = d.place
+        then {'role': t.role, 'text': d.given} else t end) end as x
   from pairs p join held c on c.conv_id = p.chosen_id
-  left join held x on x.conv_id = p.rejected_id),
+  left join held x on x.conv_id = p.rejected_id
+  left join donors d on d.conv_id = p.chosen_id),
 cut as (
   select *, case when x is null then coalesce(
       list_max(list_filter(range(len(c)), lambda i: c[i + 1].role = 'assistant')), len(c))
@@ -152,8 +218,8 @@ cut as (
       lambda i: c[i + 1].role <> x[i + 1].role or c[i + 1].text <> x[i + 1].text)),
       least(len(c), len(x))) end as n from met),
 sides as (
-  select chosen_id, rejected_id, n, c[1:n] as p, c[n + 1:] as c, x[n + 1:] as x from cut)
-select chosen_id, rejected_id, cast(n as bigint) as n_common,
+  select chosen_id, rejected_id, derived, n, c[1:n] as p, c[n + 1:] as c, x[n + 1:] as x from cut)
+select chosen_id, rejected_id, derived, cast(n as bigint) as n_common,
   RENDER(p) as prompt, RENDER(c) as chosen, MASK(c) as chosen_mask,
   case when x is null then null else RENDER(x) end as rejected,
   case when x is null then null else MASK(x) end as rejected_mask

@@ -35,7 +35,7 @@ def _(spark, sf_dir):
 
 @query("op2_preference_pairs")
 def _(spark, sf_dir):
-    return preference.preference_pairs(table(spark, sf_dir, "conversations"))
+    return preference.preference_pairs(table(spark, sf_dir, "conversations"), derive=True)
 
 
 SQL["op2_preference_pairs"] = preference.SQL
