@@ -15,20 +15,18 @@ def plain(rows):
         return v is not None and len(v) and all(
             x is not None and math.isfinite(x) for x in v) and any(v)
 
-    size = {}
-    for _, v in rows:
-        if sound(v):
-            size[len(v)] = size.get(len(v), 0) + 1
-    dims = min(size, key=lambda k: (-size[k], k)) if size else 0
-    good = [i for i, (_, v) in enumerate(rows) if sound(v) and len(v) == dims]
-    x = np.array([np.float32(rows[i][1]) for i in good], np.float64).reshape(len(good), dims)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(good) else x
-    linked = x @ x.T >= 0.95
+    linked = np.zeros((len(rows), len(rows)), bool)
+    for dims in {len(v) for _, v in rows if sound(v)}:
+        good = [i for i, (_, v) in enumerate(rows) if sound(v) and len(v) == dims]
+        x = np.array([np.float32(rows[i][1]) for i in good], np.float64)
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        linked[np.ix_(good, good)] = x @ x.T >= 0.95
+    np.fill_diagonal(linked, False)
     links, part = [0] * len(rows), list(range(len(rows)))
-    for a, i in enumerate(good):
-        links[i] = int(linked[a].sum()) - 1
-        for b, j in enumerate(good):
-            if linked[a, b] and part[i] != part[j]:
+    for i in range(len(rows)):
+        links[i] = int(linked[i].sum())
+        for j in np.flatnonzero(linked[i]):
+            if part[i] != part[j]:
                 part = [part[i] if p == part[j] else p for p in part]
     names = {}
     for (v, _), p in zip(rows, part, strict=True):
@@ -53,10 +51,10 @@ def cloud(seed, n=240, dims=12):
     return [(i, [float(v) for v in p]) for i, p in enumerate(points.astype(np.float32))]
 
 
-@pytest.mark.parametrize("seed,cell,home,members", [
-    (0, 8192, 4096, 8192), (1, 30, 4096, 8192), (2, 30, 7, 13), (3, 10, 16, 16)])
-def test_clouds(spark, monkeypatch, seed, cell, home, members):
-    monkeypatch.setattr(metric_join, "CELL", cell)
+@pytest.mark.parametrize("seed,per_root,home,members", [
+    (0, 16, 4096, 8192), (1, 2, 4096, 8192), (2, 2, 7, 13), (3, 1, 16, 16)])
+def test_clouds(spark, monkeypatch, seed, per_root, home, members):
+    monkeypatch.setattr(metric_join, "PER_ROOT", per_root)
     monkeypatch.setattr(metric_join, "HOME", home)
     monkeypatch.setattr(metric_join, "MEMBERS", members)
     compare(spark, cloud(seed))
@@ -71,13 +69,40 @@ def test_hard_cases(spark):
 
 
 def test_every_length_is_joined(spark):
-    short, long = cloud(5, 60, 4), cloud(6, 90, 12)
-    rows = short + [(100 + i, v) for i, v in long]
-    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
-    got = sorted((r["vec_id"], r["n_links"], r["component_id"])
-                 for r in metric_join.near_vectors(frame).collect())
-    assert got == sorted(plain(short) + plain(rows[60:]))
-    assert any(n for i, n, _ in got if i < 60)
+    rows = cloud(5, 60, 4) + [(100 + i, v) for i, v in cloud(6, 90, 12)]
+    compare(spark, rows)
+    links = {i: n for i, n, _ in plain(rows)}
+    assert any(n for i, n in links.items() if i < 60) and any(
+        n for i, n in links.items() if i >= 100)
+
+
+def test_clashing_columns_and_vectors_of_doubles(spark):
+    rows = cloud(7, 80, 3)
+    frame = spark.createDataFrame(
+        [(i, v, "x", 1, 2.0) for i, v in rows],
+        "vec_id long, embedding array<double>, vec string, node int, label double")
+    out = metric_join.near_vectors(frame).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out),
+                  key=repr) == plain(rows)
+
+
+def test_more_than_one_cell_at_every_size_and_no_bound():
+    assert [metric_join.pivot_count(n) for n in (0, 1, 2, 200, 2000, 10 ** 6, 10 ** 10)] == [
+        0, 1, 2, 2, 4, 64, 6251]
+
+
+def test_strips_prune_by_angle(monkeypatch):
+    r = np.random.default_rng(1)
+    x = np.concatenate([c + 0.02 * r.normal(size=(300, 8)) for c in 3 * r.normal(size=(9, 8))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    angle = np.arccos(np.clip(x @ x[0], -1, 1))
+    x, angle = x[np.argsort(angle)], np.sort(angle)
+    linked = metric_join.links_of(x, x, angle, angle)
+    assert (linked == (x @ x.T >= 0.95)).all()
+    compared = sum(
+        len(x[i:i + 256]) * np.subtract(*metric_join.reached(angle[i:i + 256], angle)[::-1])
+        for i in range(0, len(x), 256))
+    assert linked.sum() <= compared < 0.6 * len(x) ** 2
 
 
 def test_empty_tables(spark):

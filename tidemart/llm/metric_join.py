@@ -7,16 +7,21 @@ angle to pivot c is at most 2 r more than the angle to its own pivot, and at mos
 cell's radius; it is replicated to just these cells. Each cell then joins its home vectors with
 its members by itself, so each vector's links are counted once, in its home cell.
 
+The number of pivots grows with the root of the number of vectors, at every size.
+
 A cell of any size is cut into blocks: a task compares at most about `HOME` home vectors with
-`MEMBERS` members, strip by strip, and returns counts and a forest, never the pairs. Equal
+`MEMBERS` members, strip by strip, and returns counts and a forest, never the pairs. Both sides
+are sorted by their angle to the pivot; a strip meets only members whose angle lies within r of
+its own angles, by the triangle inequality again. Equal
 vectors are one node with a weight. Products in single precision only sort out pairs that are
 clearly apart; those near the bound are computed in double precision.
 
 Vectors of each length are joined by themselves, one length after the other; vectors of different
 length do not link.
 
-Edge cases: vectors that are null, zero, or hold null or non-finite components link with nothing; equal rows count as vectors of
-their own; a null vec_id names no component; other columns are ignored.
+Edge cases: vectors that are null, zero, or hold null or non-finite components link with nothing;
+equal rows count as vectors of their own; a null vec_id names no component; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -33,12 +38,17 @@ from tidemart.llm.common import ship_code, stored
 from tidemart.llm.components import connected_components
 
 COSINE = 0.95
+REACH = math.acos(COSINE)
 HOME, MEMBERS = 4096, 8192
-CELL = 8192  # vectors for one pivot, up to MAX_PIVOTS
-MAX_PIVOTS = 256
+PER_ROOT = 16  # the root of the number of vectors, divided by this, gives the pivots
+STRIP = 256
 _SLACK = 1e-6
 
 
+def pivot_count(rows: int) -> int:
+    return min(rows, 1 + math.ceil(math.sqrt(rows) / PER_ROOT))
+
+
 def matrix(column) -> np.ndarray:
     """Unit vectors in double precision from an Arrow column of equally long lists."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -78,7 +88,7 @@ def _radii(pivots):
     return run
 
 
-def _replicate(pivots, radii, reach):
+def _replicate(pivots, radii, reach=REACH):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -100,20 +110,28 @@ def _replicate(pivots, radii, reach):
     return run
 
 
-def links_of(home: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Boolean matrix of the pairs with a cosine of COSINE or more, in double precision."""
+def reached(strip: np.ndarray, others: np.ndarray) -> tuple[int, int]:
+    """Range of the sorted angles `others` within the reach of the sorted angles `strip`."""
+    return (int(np.searchsorted(others, strip[0] - REACH - _SLACK)),
+            int(np.searchsorted(others, strip[-1] + REACH + _SLACK, "right")))
+
+
+def links_of(home, members, home_angles, member_angles) -> np.ndarray:
+    """Boolean matrix of the pairs with a cosine of COSINE or more, in double precision; both
+    sides are sorted by their angles to the pivot."""
     out = np.zeros((len(home), len(members)), bool)
     short = members.astype(np.float32).T.copy()
-    for at in range(0, len(home), 256):
-        strip = home[at:at + 256]
-        near = strip.astype(np.float32) @ short
+    for at in range(0, len(home), STRIP):
+        strip = home[at:at + STRIP]
+        low, high = reached(home_angles[at:at + STRIP], member_angles)
+        near = strip.astype(np.float32) @ short[:, low:high]
         hit = near >= COSINE - 1e-4
         if hit.any():
             row, col = np.nonzero(hit & (near < COSINE + 1e-4))
             for k in range(0, len(row), 65536):
                 r, c = row[k:k + 65536], col[k:k + 65536]
-                hit[r, c] = np.einsum("ij,ij->i", strip[r], members[c]) >= COSINE
-            out[at:at + 256] = hit
+                hit[r, c] = np.einsum("ij,ij->i", strip[r], members[low + c]) >= COSINE
+            out[at:at + STRIP, low:high] = hit
     return out
 
 
@@ -138,35 +156,40 @@ def forest(linked: np.ndarray, home: np.ndarray, members: np.ndarray) -> np.ndar
     return np.concatenate((np.stack((home[rows], left), 1), np.stack((members[cols], right), 1)))
 
 
-def _block(group: pa.Table) -> pa.Table:
-    side = group.column("side").to_numpy()
-    node = group.column("node").to_numpy()
-    copies = group.column("copies").to_numpy()
-    own = np.flatnonzero(side == 0)
-    other = np.flatnonzero(side == 1)
-    out = np.empty((0, 3), np.int64)
-    if len(own) and len(other):
-        unit = matrix(group.column("vec"))
-        linked = links_of(unit[own], unit[other])
-        linked &= node[own][:, None] != node[other][None, :]
-        counts = linked @ copies[other].astype(np.float64)
-        some = np.flatnonzero(counts)
-        edges = forest(linked, node[own], node[other])
-        out = np.concatenate((
-            np.stack((node[own][some], node[own][some], counts[some].astype(np.int64)), 1),
-            np.column_stack((edges, np.zeros(len(edges), np.int64)))))
-    return pa.table({"a": out[:, 0], "b": out[:, 1], "n": out[:, 2]})
+def _block(pivots: np.ndarray):
+    def run(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        node = group.column("node").to_numpy()
+        copies = group.column("copies").to_numpy()
+        out = np.empty((0, 3), np.int64)
+        if len(np.unique(side)) == 2:
+            unit = matrix(group.column("vec"))
+            pivot = pivots[group.column("cell")[0].as_py()]
+            angle = np.arccos(np.clip(unit @ pivot, -1.0, 1.0))
+            order = np.argsort(angle, kind="stable")
+            own, other = order[side[order] == 0], order[side[order] == 1]
+            linked = links_of(unit[own], unit[other], angle[own], angle[other])
+            linked &= node[own][:, None] != node[other][None, :]
+            counts = linked @ copies[other].astype(np.float64)
+            some = np.flatnonzero(counts)
+            edges = forest(linked, node[own], node[other])
+            out = np.concatenate((
+                np.stack((node[own][some], node[own][some], counts[some].astype(np.int64)), 1),
+                np.column_stack((edges, np.zeros(len(edges), np.int64)))))
+        return pa.table({"a": out[:, 0], "b": out[:, 1], "n": out[:, 2]})
+
+    return run
 
 
 def cell_links(points: DataFrame) -> DataFrame:
     """Rows (a, a, n): node a has n linked vectors in one block; and (a, b, 0): forest edges."""
     rows = points.count()
-    wanted = max(1, min(MAX_PIVOTS, -(-rows // CELL)))
-    sample = points.orderBy(F.xxhash64("vec"), "node").limit(wanted).select("vec").toArrow()
+    sample = points.orderBy(F.xxhash64("vec"), "node").limit(
+        pivot_count(rows)).select("vec").toArrow()
     schema = "a long, b long, n long"
     if not rows:
         return points.sparkSession.createDataFrame([], schema)
-    pivots = matrix(sample.column("vec"))  # at most MAX_PIVOTS vectors
+    pivots = matrix(sample.column("vec"))  # pivot_count(rows) vectors
     kind = points.schema["vec"].dataType.simpleString()
     cells = points.mapInArrow(_radii(pivots), "cell int, radius double, n long").groupBy(
         "cell").agg(F.max("radius").alias("radius"), F.sum("n").alias("n")).collect()
@@ -175,28 +198,29 @@ def cell_links(points: DataFrame) -> DataFrame:
         radii[c["cell"]], homes[c["cell"]] = c["radius"], c["n"]
     radii[radii < 0] = -10.0  # an empty cell needs no members
     spread = stored(points.mapInArrow(
-        _replicate(pivots, radii, math.acos(COSINE)),
+        _replicate(pivots, radii),
         f"node long, vec {kind}, copies long, home int, cells array<int>"), "cells")
     members = np.zeros(len(pivots), np.int64)
     for r in spread.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
         members[r["cell"]] = r["count"]
-    by_home = F.array(*[F.lit(max(1, -(-int(n) // HOME))) for n in homes])
-    by_member = F.array(*[F.lit(max(1, -(-int(n) // MEMBERS))) for n in members])
-
-    def blocks(counts, cell):
-        return F.pmod(F.xxhash64("node"), F.get(counts, cell)).cast("int")
-
-    def every(counts, cell):
-        return F.explode(F.sequence(F.lit(0), F.get(counts, cell) - 1))
-
-    cell = F.col("cell")
-    own = spread.select(F.lit(0).alias("side"), "node", "vec", "copies",
-                        F.col("home").alias("cell")).select(
-        "*", blocks(by_home, cell).alias("hb")).select("*", every(by_member, cell).alias("mb"))
-    other = spread.select(F.lit(1).alias("side"), "node", "vec", "copies",
-                          F.explode("cells").alias("cell")).select(
-        "*", blocks(by_member, cell).alias("mb")).select("*", every(by_home, cell).alias("hb"))
-    return own.unionByName(other).groupBy("cell", "hb", "mb").applyInArrow(_block, schema)
+    # As many rows as pivots.
+    blocks = F.broadcast(points.sparkSession.createDataFrame(
+        [(c, max(1, -(-int(homes[c]) // HOME)), max(1, -(-int(members[c]) // MEMBERS)))
+         for c in range(len(pivots))], "cell int, homes int, others int"))
+
+    def dealt(rows: DataFrame, side: int, mine: str, theirs: str) -> DataFrame:
+        """Each row in one block of its side, against every block of the other side."""
+        some = F.pmod(F.xxhash64("node"), F.col(f"{mine}s")).cast("int").alias(mine)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{theirs}s") - 1)).alias(theirs)
+        return rows.join(blocks, "cell").select(
+            F.lit(side).alias("side"), "node", "vec", "copies", "cell", some, every)
+
+    own = dealt(spread.select("node", "vec", "copies", F.col("home").alias("cell")),
+                0, "home", "other")
+    other = dealt(spread.select("node", "vec", "copies", F.explode("cells").alias("cell")),
+                  1, "other", "home")
+    return own.unionByName(other).groupBy("cell", "home", "other").applyInArrow(
+        _block(pivots), schema)
 
 
 def links(points: DataFrame) -> DataFrame:
