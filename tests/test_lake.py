@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemart.operators import profiling, serving, summaries
+from tidemart.operators import name_index, profiling, serving, summaries
 from tidemart.operators.sentiment import lexicon_scorer
 from tidemart.plans.lake import GOLD, PROFILED, Lake, layer_measures, run_day
 from tidemart.session import shared_dir
@@ -69,6 +69,10 @@ def test_gold_tables(lake, spark):
 def test_summaries_follow_the_gold_tables(lake):
     made, _ = lake
     gold = made.read("gold/product_metrics")
+    name = gold.where("length(name) > 3").first()["name"]
+    found = name_index.search(
+        made.keyed("gold/product_metrics"), made.keyed("index/names"), name, literal=True)
+    assert found.count() == serving.search_names(gold, name, literal=True).count() > 0
     assert rows(summaries.overview(made.read("summary/keywords"), gold)) == rows(
         serving.get_overview(gold))
     assert rows(summaries.sentiment_overview(made.read("summary/labels"))) == rows(

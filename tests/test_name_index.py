@@ -1,0 +1,88 @@
+"""Name search through the trigram index against the search of all names."""
+
+import re
+
+import pytest
+from conftest import plan
+
+from tidemart.operators import name_index, serving
+from tidemart.sources import keyed
+
+NAMES = ["Red copper mug", "RED MUG", "red  mug", "Blue kettle", "Blue \u212aettle", "m\u0130nt mug",
+         "ma\u017fk", "Đồng hồ Casio", "ĐỒNG HỒ casio 2", "a+b (new)", "abc", "ab", "", None, "Straße 9",
+         "mug.red", "mugs", "colour", "color", "KETTLE\nblue", "mug mug mug"]
+
+
+@pytest.fixture(scope="module", params=["long", "string"])
+def shop(spark, tmp_path_factory, request):
+    path = str(tmp_path_factory.mktemp("names"))
+    rows = [(i if request.param == "long" else f"p{i}", n, i) for i, n in enumerate(NAMES)]
+    rows += [(None, "Red mug of nobody", 99), (rows[0][0], "other mug of one id", 98)]
+    products = spark.createDataFrame(rows, f"product_id {request.param}, name string, gram int")
+    keyed.write_keyed(products, f"{path}/products")
+    keyed.write_keyed(name_index.postings(products), f"{path}/names", "gram")
+    return [keyed.KeyedTable(spark, f"{path}/{n}") for n in ("products", "names")]
+
+
+PATTERNS = [
+    "mug", "MUG", "red mug", "^red.*mug$", "kettle", "mint", "mask", "đồng hồ", "hồ casio",
+    "mug|kettle", "(mug|kettle)", "colou?r", "colo(u)?r", "mugs*", "mugs{0,1}", "mug[s.]", r"mug\.red",
+    r"a\+b \(new\)", r"\bmug", r"\Qmug\E", "(?x) m u g", "stra.e", "straße", "zzzz", "", ".", "mu",
+    "mug +mug", "red (copper|tin) mug", "[mb]ug", "blue$", "mug mug mug", "(mug ?){2}",
+]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_every_pattern_finds_what_the_scan_finds(shop, pattern):
+    products, names = shop
+    for literal in (False, True):
+        want = serving.search_names(products.read(), pattern, literal).collect()
+        got = name_index.search(products, names, pattern, literal).collect()
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_many_products_are_joined(shop, monkeypatch):
+    monkeypatch.setattr(name_index, "MAX_IDS", 2)
+    products, names = shop
+    want = serving.search_names(products.read(), "mug").collect()
+    got = name_index.search(products, names, "mug").collect()
+    assert len(got) > 5 and sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_letters_that_every_match_holds():
+    assert name_index.required("^red .*(ring|nut)s+") == ["red ", "s"]
+    assert name_index.required("colou?r") == ["colo", "r"]
+    assert name_index.required(r"abc\.def") == ["abc", "def"]
+    for unclear in ("a|b", r"\x41bc", "(?i)abc", r"[a&&b]c", "abc{2"):
+        assert name_index.required(unclear) == []
+    assert len(name_index.grams_of("a long name of a very long product")) <= 8
+
+
+def test_fewer_files_and_rows_are_read(spark, tmp_path):
+    words = "copper kettle mug ring plate spoon table lamp chair glass".split()
+    products = spark.range(20_000).selectExpr(
+        "id as product_id", "concat(element_at(split('" + " ".join(words) + "', ' '), "
+        "cast(id % 10 as int) + 1), ' no ', id) as name")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        keyed.write_keyed(products, f"{tmp_path}/p")
+        keyed.write_keyed(name_index.postings(products), f"{tmp_path}/n", "gram")
+    finally:
+        spark.conf.set(merge, old)
+    table, names = (keyed.KeyedTable(spark, f"{tmp_path}/{n}") for n in "pn")
+    found = name_index.search(table, names, "no 12345")
+    assert [r["product_id"] for r in found.collect()] == [12345]
+    assert len(found.inputFiles()) == 1 < len(table.files)
+    assert "In(product_id" in plan(found) or "EqualTo(product_id" in plan(found)
+
+
+def test_empty_table(spark, tmp_path):
+    products = spark.createDataFrame([], "product_id long, name string")
+    keyed.write_keyed(products, f"{tmp_path}/p")
+    keyed.write_keyed(name_index.postings(products), f"{tmp_path}/n", "gram")
+    table, names = (keyed.KeyedTable(spark, f"{tmp_path}/{n}") for n in "pn")
+    for pattern in ("mug", "m|n"):
+        assert name_index.search(table, names, pattern).count() == 0
+    assert not re.search("Python", plan(name_index.postings(products)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemart.operators import serving, summaries
+from tidemart.operators import name_index, serving, summaries
 from tidemart.plans.check_sql import rnd, with_views
 from tidemart.plans.registry import query
 from tidemart.sources import tables
@@ -29,6 +29,20 @@ def _(t):
     return serving.search_names(t.metrics(), "^RED .*(ring|nut)").select(*_CARD)
 
 
+@query("a2_indexed_search", with_views(f"""
+    select {_CARD_SQL}, 'pattern' as search from product_metrics
+      where regexp_matches(name, '(?i)d.* gizmo$')
+    union all select {_CARD_SQL}, 'literal' as search from product_metrics
+      where contains(lower(name), 'red bo')"""))
+def _(t):
+    def found(pattern, literal, label):
+        rows = name_index.search(t.metrics_table(), t.names_table(), pattern, literal)
+        return rows.select(*_CARD, F.lit(label).alias("search"))
+
+    return found("d.* gizmo$", False, "pattern").unionByName(
+        found("RED Bo", True, "literal"))
+
+
 @query("a3_sorted_products", with_views(f"""
     select {_CARD_SQL}, cast(row_number() over (order by rating asc nulls last, product_id,
       scraped_at) as bigint) as position

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators import cleansing, history, metrics, profiling, quality, summaries
+from tidemart.operators import (
+    cleansing, history, metrics, name_index, profiling, quality, summaries,
+)
 from tidemart.operators.sentiment import Scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import incremental
@@ -45,7 +47,7 @@ class Lake:
             tables.write_table(df, self.path(name), self.fmt)
 
     def keyed(self, name: str) -> keyed.KeyedTable:
-        """A gold table with its files' ranges, for lookups of one product."""
+        """A gold table or index with its files' ranges, for lookups of one key."""
         return keyed.KeyedTable(self.spark, self.path(name))
 
 
@@ -170,6 +172,13 @@ def gold_summaries(lake: Lake) -> None:
         tables.write_summary(df, lake.path(f"summary/{name}"), lake.fmt)
 
 
+def gold_name_index(lake: Lake) -> None:
+    """Trigrams of the product names, for `name_index.search`."""
+    products = lake.read("gold/product_metrics")
+    if lake.fmt == tables.DEFAULT_FORMAT and "name" in products.columns:
+        keyed.write_keyed(name_index.postings(products), lake.path("index/names"), "gram")
+
+
 # Layer labels.
 PROFILED = {
     "Bronze.Products": "bronze/products",
@@ -262,6 +271,7 @@ def run_day(
     gold_sentiment(lake, scorer)
     gold_topics(lake, stopwords)
     gold_summaries(lake)
+    gold_name_index(lake)
     quality_check(lake, run_ts)
     tables.reload_tables(lake.spark, [lake.path(name) for name in GOLD + SUMMARIES])
     return found

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.operators import summaries
+from tidemart.operators import name_index, summaries
 from tidemart.operators.cleansing import clean_products, clean_reviews
 from tidemart.operators.history import price_history
 from tidemart.operators.metrics import product_metrics
@@ -58,9 +58,11 @@ class Tables:
         path = self.once(name, lambda p: build().write.mode("overwrite").parquet(p))
         return self.spark.read.parquet(path)
 
-    def keyed(self, name: str, build: Callable[[], DataFrame]) -> KeyedTable:
-        """A gold table in ranges of the product, opened once for each session."""
-        path = self.once(name, lambda p: write_keyed(build(), p))
+    def keyed(
+        self, name: str, build: Callable[[], DataFrame], key: str = "product_id"
+    ) -> KeyedTable:
+        """A table in ranges of the key, opened once for each session."""
+        path = self.once(name, lambda p: write_keyed(build(), p, key))
         if path not in _opened:
             _opened[path] = KeyedTable(self.spark, path)
         return _opened[path]
@@ -130,6 +132,9 @@ class Tables:
     def metrics(self) -> DataFrame:
         return self.metrics_table().read()
 
+    def names_table(self) -> KeyedTable:
+        return self.keyed("index/names", lambda: name_index.postings(self.metrics()), "gram")
+
     def history_table(self) -> KeyedTable:
         return self.keyed("gold/price_history", lambda: price_history(
             self.silver_products(), run_ts=self.run_ts, few_repeats=True
