@@ -5,6 +5,9 @@ from conftest import column, plan, rows
 from pyspark.sql import functions as F
 
 from tidemart.operators import history, metrics
+from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
+from tidemart.plans import gold_tables
+from tidemart.sources.keyed import KeyedTable
 
 NOW = datetime(2024, 6, 1)
 
@@ -112,6 +115,33 @@ def test_few_repeats_need_one_shuffle_of_the_table(spark, tmp_path):
     assert len(wide) == 2 and before.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_written_history_is_dealt_once(spark, tmp_path, hot_rows):
+    """The same rows with and without a hot product; files do not overlap, no draft is left."""
+    day = datetime(2024, 1, 1)
+    data = [(p, datetime(2024, 1, 1 + i), 100 + 7 * i * p, f"n{i}") for p in range(40)
+            for i in range(1 + p % 5)] + [(None, day, 5, "x"), (3, None, 9, "y"), (3, None, 8, "y")]
+    df = spark.createDataFrame(
+        data, "product_id long, scraped_at timestamp, price int, name string")
+    path = f"{tmp_path}/h"
+    gold_tables.write_history(df, path, F.lit(NOW), hot_rows=hot_rows)
+    table = KeyedTable(spark, path)
+    want = history.price_history(df, run_ts=F.lit(NOW), few_repeats=True)
+    assert table.read().columns == want.columns and rows(table.read()) == rows(want)
+    assert all(a[2] <= b[1] for a, b in zip(table.files, table.files[1:]))
+    assert {f.name for f in tmp_path.iterdir() if not f.name.startswith(".")} == {"h"}
+    assert table.near(7).filter("product_id = 7").count() == 3
+
+
+def test_written_sentiments_are_scored_after_dealing(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(i, i % 3, "good" if i % 2 else None) for i in range(20)],
+        "review_id long, product_id long, review_text string")
+    scorer = lexicon_scorer(["good"], ["bad"])
+    gold_tables.write_sentiments(df, f"{tmp_path}/s", scorer)
+    assert rows(KeyedTable(spark, f"{tmp_path}/s").read()) == rows(score_sentiment(df, scorer))
+
+
 def test_thresholds_are_parameters(spark):
     df = spark.createDataFrame(PRICES, "product_id long, scraped_at timestamp, price int")
     strict = history.price_history(df, drop_pct=-25, min_abs=20_001)

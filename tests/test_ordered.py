@@ -9,7 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemart.operators import ordered
-from tidemart.operators.ordered import drop_repeats, keep_first, previous_values
+from tidemart.operators.ordered import (
+    any_hot, drop_listed_repeats, drop_repeats, keep_first, previous_values, repeated_keys,
+)
 from tidemart.plans.derived import running_count
 
 
@@ -119,3 +121,23 @@ def test_keep_first_limits_before_the_shuffle(spark):
     kept = keep_first(df, ["k"], [F.desc("id")], 2)
     assert plan(kept).count("WindowGroupLimit") == 2
     assert sorted(r.id for r in kept.collect()) == [94, 95, 96, 97, 98, 99]
+
+
+def test_listed_repeats_leave_other_rows_where_they_are(spark):
+    data = [(1, 5, "a"), (1, 5, "b"), (1, 6, "c"), (None, 5, "e"), (None, 5, "d"),
+            (None, None, "f"), (None, None, "f"), (2, None, "g")]
+    df = spark.createDataFrame(data, "k long, at int, v string")
+    repeated = repeated_keys(df, ["k", "at"])
+    assert rows(repeated) == rows(spark.createDataFrame(
+        [(1, 5), (None, 5), (None, None)], "k long, at int"))
+    ours = drop_listed_repeats(df, ["k", "at"], repeated.localCheckpoint())
+    assert plan(ours).count("Exchange hashpartitioning") == 1  # of the repeats alone
+    assert rows(ours) == rows(drop_repeats(df, ["k", "at"]))
+
+
+def test_rows_dealt_by_key_need_no_shuffle_when_no_key_is_hot(spark, skewed):
+    assert any_hot(skewed, ["k"], 100) and not any_hot(skewed, ["k"], 1000)
+    dealt = skewed.repartitionByRange("k")
+    ours = previous_values(dealt, ["k"], "at", {"pv": "v"}, hot_rows=None)
+    assert "hashpartitioning" not in plan(ours)
+    assert rows(ours) == rows(previous_values(skewed, ["k"], "at", {"pv": "v"}))

@@ -7,19 +7,32 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import as_timestamp, present
 from tidemart.functions.text import collapse_newlines
-from tidemart.operators.ordered import drop_repeats
+from tidemart.operators.ordered import drop_listed_repeats, drop_repeats
 
 
 def snapshot_keys(df: DataFrame) -> list[str]:
     return present(df, ["product_id", "scraped_at"])
 
 
-def dedup_products(df: DataFrame, tie_break: list[Column] | None = None) -> DataFrame:
-    return drop_repeats(df, snapshot_keys(df), tie_break)
+def _dedup(
+    df: DataFrame, keys: list[str], tie_break: list[Column] | None, repeated: DataFrame | None
+) -> DataFrame:
+    if repeated is None:
+        return drop_repeats(df, keys, tie_break)
+    return drop_listed_repeats(df, keys, repeated, tie_break)
+
 
+def dedup_products(
+    df: DataFrame, tie_break: list[Column] | None = None, repeated: DataFrame | None = None
+) -> DataFrame:
+    """One row per snapshot; `repeated` lists the keys that repeat, if they are known."""
+    return _dedup(df, snapshot_keys(df), tie_break, repeated)
 
-def dedup_reviews(df: DataFrame, tie_break: list[Column] | None = None) -> DataFrame:
-    return drop_repeats(df, ["review_id"], tie_break)
+
+def dedup_reviews(
+    df: DataFrame, tie_break: list[Column] | None = None, repeated: DataFrame | None = None
+) -> DataFrame:
+    return _dedup(df, ["review_id"], tie_break, repeated)
 
 
 def _stamp(df: DataFrame, run_ts: Column | None) -> DataFrame:
@@ -48,12 +61,14 @@ def type_reviews(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
 
 
 def clean_products(
-    df: DataFrame, run_ts: Column | None = None, tie_break: list[Column] | None = None
+    df: DataFrame, run_ts: Column | None = None, tie_break: list[Column] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
-    return type_products(dedup_products(df, tie_break), run_ts)
+    return type_products(dedup_products(df, tie_break, repeated), run_ts)
 
 
 def clean_reviews(
-    df: DataFrame, run_ts: Column | None = None, tie_break: list[Column] | None = None
+    df: DataFrame, run_ts: Column | None = None, tie_break: list[Column] | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
-    return type_reviews(dedup_reviews(df, tie_break), run_ts)
+    return type_reviews(dedup_reviews(df, tie_break, repeated), run_ts)

@@ -34,7 +34,7 @@ def snapshots(products: DataFrame, tie_break: list[Column] | None = None) -> Dat
 def with_previous(
     products: DataFrame,
     tie_break: list[Column] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     few_repeats: bool = False,
 ) -> DataFrame:
     """Snapshots with price and time of the product's preceding snapshot.
@@ -83,7 +83,7 @@ def price_history(
     min_abs: float = SUSPICIOUS_MIN_CHANGE,
     run_ts: Column | None = None,
     tie_break: list[Column] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     few_repeats: bool = False,
 ) -> DataFrame:
     # Prune before the window so its shuffles carry only columns of the result.

@@ -56,6 +56,23 @@ def drop_repeats(
     return keep_first(df, keys, order or [F.lit(0)])
 
 
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that more than one row has. Only the keys are shuffled."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
+
+
+def drop_listed_repeats(
+    df: DataFrame, keys: list[str], repeated: DataFrame, tie_break: list[Column] | None = None
+) -> DataFrame:
+    """As `drop_repeats`, where `repeated` lists the keys that repeat, few enough to broadcast.
+
+    Rows of other keys are neither sorted nor shuffled; those of listed keys are ordered as ever.
+    """
+    listed = F.broadcast(repeated)
+    again = drop_repeats(join_null_safe(df, listed, keys, "left_semi"), keys, tie_break)
+    return join_null_safe(df, listed, keys, "left_anti").unionByName(again)
+
+
 def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Keys with more than `hot_rows` rows and more than their share of all rows."""
     total = rows.agg(F.count(F.lit(1))).scalar()
@@ -64,6 +81,11 @@ def _hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return counts.filter(crowded).select(*keys, F.lit(True).alias(_HOT))
 
 
+def any_hot(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether `previous_values` has to cut a key into chunks; counts the rows of every key."""
+    return not _hot_keys(rows, keys, hot_rows).isEmpty()
+
+
 def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:
     """Number of the time's chunk, never decreasing in time. Times without a zone count by
     the clock, so that the session zone's clock changes cannot reorder them."""
@@ -104,13 +126,20 @@ def _as_is(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _without_repeats(rows: DataFrame, time: str, inside) -> DataFrame:
+    """The first row of each time in a window that is ordered by time."""
+    same_time = F.lag(time).over(inside).eqNullSafe(F.col(time))
+    repeat = same_time & (F.row_number().over(inside) > 1)
+    return rows.withColumn("__repeat", repeat).filter(~F.col("__repeat")).drop("__repeat")
+
+
 def previous_values(
     source: DataFrame,
     keys: list[str],
     time: str,
     values: dict[str, str],
     prepare: Prepare = _as_is,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     minutes: int = CHUNK_MINUTES,
     repeat_order: list[Column] | None = None,
 ) -> DataFrame:
@@ -119,16 +148,20 @@ def previous_values(
     `prepare` turns the source into the rows to order; it must treat each key by itself and
     add no rows. A null key is a key like any other. A key must have one row per time. With
     `repeat_order` there may be a few: all but the first in that order are dropped, in the
-    same pass over the sorted rows.
+    same pass over the sorted rows. Without `hot_rows` no key is hot (see `any_hot`): one window
+    by key does it, which rows that are dealt by ranges of the key need not be shuffled for.
     """
+    if hot_rows is None:
+        rows = prepare(source)
+        inside = Window.partitionBy(*keys).orderBy(
+            F.col(time).asc_nulls_first(), *(repeat_order or []))
+        rows = _without_repeats(rows, time, inside) if repeat_order else rows
+        return rows.withColumns({n: F.lag(c).over(inside) for n, c in values.items()})
     marked, only_hot = split_hot(source, keys, time, prepare, hot_rows, minutes)
     order = [F.col(time).asc_nulls_first(), *(repeat_order or [])]
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     if repeat_order:
-        same_time = F.lag(time).over(inside).eqNullSafe(F.col(time))
-        repeat = same_time & (F.row_number().over(inside) > 1)
-        marked = marked.withColumn("__repeat", repeat).filter(~F.col("__repeat")) \
-            .drop("__repeat")
+        marked = _without_repeats(marked, time, inside)
         only_hot = keep_first(only_hot, [*keys, time], repeat_order)
     local = marked.withColumns({
         **{new: F.lag(column).over(inside) for new, column in values.items()},

@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators import name_index, summaries
-from tidemart.operators.cleansing import clean_products, clean_reviews
-from tidemart.operators.history import price_history
+from tidemart.operators.cleansing import clean_products, clean_reviews, snapshot_keys
 from tidemart.operators.metrics import product_metrics
+from tidemart.operators.ordered import repeated_keys
 from tidemart.operators.quality import PRODUCT_RULES, REVIEW_RULES, valid_rows
-from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
+from tidemart.operators.sentiment import lexicon_scorer
 from tidemart.operators.topics import negative_topics
-from tidemart.plans import derived
+from tidemart.plans import derived, gold_tables
 from tidemart.session import shared_dir
 from tidemart.sources.keyed import KeyedTable, write_keyed
 from tidemart.sources.tables import write_summary
 
+# Up to this many repeated keys (some 100 bytes each) are sent to every executor; with more, all
+# rows are shuffled. Both ways give the same rows.
+MAX_LISTED = 3_000_000
+
 RUN_TS = datetime(2024, 6, 1, 12, 30, 45)
 
 _written: set[str] = set()
@@ -55,14 +59,18 @@ class Tables:
         return path
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = self.once(name, lambda p: build().write.mode("overwrite").parquet(p))
+        path = self.once(name, lambda p: build().write.mode("overwrite").option(
+            "compression", "zstd").parquet(p))
         return self.spark.read.parquet(path)
 
     def keyed(
         self, name: str, build: Callable[[], DataFrame], key: str = "product_id"
     ) -> KeyedTable:
         """A table in ranges of the key, opened once for each session."""
-        path = self.once(name, lambda p: write_keyed(build(), p, key))
+        return self.opened(name, lambda p: write_keyed(build(), p, key))
+
+    def opened(self, name: str, write: Callable[[str], None]) -> KeyedTable:
+        path = self.once(name, write)
         if path not in _opened:
             _opened[path] = KeyedTable(self.spark, path)
         return _opened[path]
@@ -108,6 +116,20 @@ class Tables:
 
     # Lake
 
+    def repeats(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame | None:
+        """The keys of `rows` that repeat; None if they are too many to send around."""
+        found = self.stored(f"silver/{name}_repeated", lambda: repeated_keys(rows, keys))
+        return found if found.count() <= MAX_LISTED else None
+
+    def listed_products(self) -> DataFrame:
+        """As `clean_products`, shuffling only rows of repeated keys."""
+        raw = self.raw_products()
+        repeated = self.repeats("products", raw, snapshot_keys(raw))
+        return clean_products(raw, self.run_ts, derived.snapshot_ties(), repeated)
+
+    def listed_reviews(self, name: str, raw: DataFrame) -> DataFrame:
+        return clean_reviews(raw, self.run_ts, None, self.repeats(name, raw, ["review_id"]))
+
     def bronze_products(self) -> DataFrame:
         return self.stored("bronze/products", self.raw_products)
 
@@ -116,12 +138,13 @@ class Tables:
 
     def silver_products(self) -> DataFrame:
         return self.stored(
-            "silver/products", lambda: valid_rows(self.clean_products(), PRODUCT_RULES)
+            "silver/products", lambda: valid_rows(self.listed_products(), PRODUCT_RULES)
         )
 
     def silver_reviews(self) -> DataFrame:
         return self.stored(
-            "silver/reviews", lambda: valid_rows(self.clean_reviews(), REVIEW_RULES)
+            "silver/reviews", lambda: valid_rows(
+                self.listed_reviews("reviews", self.raw_reviews()), REVIEW_RULES)
         )
 
     def metrics_table(self) -> KeyedTable:
@@ -136,8 +159,8 @@ class Tables:
         return self.keyed("index/names", lambda: name_index.postings(self.metrics()), "gram")
 
     def history_table(self) -> KeyedTable:
-        return self.keyed("gold/price_history", lambda: price_history(
-            self.silver_products(), run_ts=self.run_ts, few_repeats=True
+        return self.opened("gold/price_history", lambda p: gold_tables.write_history(
+            self.silver_products(), p, self.run_ts
         ))
 
     def history(self) -> DataFrame:
@@ -147,8 +170,8 @@ class Tables:
         return lexicon_scorer(derived.POSITIVE_WORDS, derived.NEGATIVE_WORDS)
 
     def sentiments_table(self) -> KeyedTable:
-        return self.keyed("gold/reviews_sentiment", lambda: score_sentiment(
-            self.clean_texts(), self.scorer()
+        return self.opened("gold/reviews_sentiment", lambda p: gold_tables.write_sentiments(
+            self.listed_reviews("texts", self.review_texts()), p, self.scorer()
         ))
 
     def sentiments(self) -> DataFrame:

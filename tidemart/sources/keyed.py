@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,31 +21,41 @@ from tidemart.sources.files import Folder
 _RECORD, _NAME = "_bounds", "files.json"
 
 
-def write_keyed(df: DataFrame, path: str, key: str = "product_id") -> None:
+def write_keyed(
+    df: DataFrame, path: str, key: str = "product_id",
+    then: Callable[[DataFrame], DataFrame] | None = None, whole_keys: bool = False,
+) -> None:
     """Replace a table by the rows of `df`, in ranges of `key`; without that column, as they come.
 
     The rows are written once before they are dealt to ranges, as finding the ranges reads them
-    twice. Never pass a frame that reads the same path.
+    twice. With `then`, `df` is cheap to read twice: its rows are dealt at once, and `then` makes
+    the table's rows of the dealt ones, without another shuffle. `whole_keys` leaves all rows of a
+    key together for it, which must not be too many for one task. Never pass a frame that reads
+    the same path.
     """
-    spark, path = df.sparkSession, path.rstrip("/")
+    spark, path, draft = df.sparkSession, path.rstrip("/"), None
+    build = then or (lambda rows: rows)
     if key not in df.columns:
-        df.write.mode("overwrite").parquet(path)
+        build(df).write.mode("overwrite").parquet(path)
         return
-    draft = f"{path}_draft"
-    df.write.mode("overwrite").parquet(draft)
-    rows = spark.read.schema(df.schema).parquet(draft)
-    within = F.xxhash64(*sortable(rows))
-    rows.repartitionByRange(key, within).sortWithinPartitions(key).write.mode(
-        "overwrite").parquet(path)
-    bounds = spark.read.schema(df.schema).parquet(path).select(
+    rows = df
+    if not then:
+        draft = f"{path}_draft"
+        df.write.mode("overwrite").option("compression", "zstd").parquet(draft)
+        rows = spark.read.schema(df.schema).parquet(draft)
+    within = [] if whole_keys else [F.xxhash64(*sortable(rows))]
+    made = build(rows.repartitionByRange(key, *within)).sortWithinPartitions(key)
+    made.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    bounds = spark.read.schema(made.schema).parquet(path).select(
         F.col("_metadata.file_name").alias("name"), key).groupBy("name").agg(
         F.min(key).alias("low"), F.max(key).alias("high")).collect()  # a row for each file
     files = sorted(([r["name"], r["low"], r["high"]] for r in bounds if r["low"] is not None),
                    key=lambda f: (f[1], f[2]))
     Folder(spark, f"{path}/{_RECORD}").put(_NAME, json.dumps(
-        {"key": key, "schema": df.schema.json(), "files": files}))
-    parent, _, name = draft.rpartition("/")
-    Folder(spark, parent).remove(name)
+        {"key": key, "schema": made.schema.json(), "files": files}))
+    if draft:
+        parent, _, name = draft.rpartition("/")
+        Folder(spark, parent).remove(name)
 
 
 class KeyedTable:
