@@ -46,3 +46,10 @@ def test_marks_are_runs_of_their_own():
     table = words.classes(words.BLANKS, b"!.")
     (_, hashes, bounds), = words.word_hashes([b"Hi!! there.x"], table)
     assert np.diff(bounds).tolist() == [5] and len(set(hashes.tolist())) == 5
+
+
+def test_a_chunk_is_small_beside_the_memory_of_a_worker():
+    texts = [b"some words of a text " * 200] * 400
+    chunks = list(words.word_hashes(texts))
+    assert sum(len(b) - 1 for _, _, b in chunks) == 400
+    assert max(len(h) for _, h, _ in chunks) <= 80_000

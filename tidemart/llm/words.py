@@ -14,7 +14,7 @@ import numpy as np
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # every worker holds arrays of some 70 times as much
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
