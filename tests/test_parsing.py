@@ -2,10 +2,11 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import column, rows
+from conftest import SF, column, plan, rows
 from pyspark.sql import functions as F
 
 from tidemart.operators import parsing
+from tidemart.plans.catalog import REGISTRY
 
 SEARCH = "https://host/api/v4/search_items?x=1"
 RATINGS = "https://host/api/v2/get_ratings?x=1"
@@ -176,3 +177,20 @@ def test_crawl_report(spark, errors, status):
     summary = one(parsing.crawl_summary(report))
     assert summary["status"] == status and summary["keywords_total"] == 2
     assert summary["total_products"] == 2 * ok + (errors[1] is None)
+
+
+def test_discount_query_decodes_only_its_fields(spark):
+    query = REGISTRY["p4_discount_pct"]
+    assert "liked_count" not in plan(query(spark, SF))
+
+
+def test_whole_number_check_reads_the_object_once(spark):
+    bodies = ['{"items":[{"itemid":1,"cmt_count":2.5},{"itemid":2,"cmt_count":2},'
+              '{"itemid":3,"stock":"1.5"},{"itemid":4,"stock":null},{"itemid":[5]},7]}']
+    responses = spark.createDataFrame([(b,) for b in bodies], "body string")
+    item = F.explode(F.try_variant_get(
+        F.try_parse_json("body"), "$.items", "array<variant>")).alias("raw")
+    fits = responses.select(item).select(
+        parsing._fits(F.col("raw"), parsing.WHOLE_PRODUCT).alias("fits"))
+    assert plan(fits).split("== Initial")[0].count("variant_get(raw") == 1
+    assert [r[0] for r in fits.collect()] == [False, True, False, True, True, True]

@@ -8,6 +8,8 @@ keep elements by their JSON type.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +51,15 @@ def _read(raw: Column, kind: str) -> Column:
 
 
 def _fits(raw: Column, names: list[str]) -> Column:
-    """False if any of the named fields holds a number with a fraction."""
-    fits = F.lit(True)
-    for name in names:
-        value = F.try_variant_get(raw, f"$.{name}", "double")
-        fits = fits & F.coalesce(value == F.floor(value), F.lit(True))
-    return fits
+    """False if any of the named fields holds a number with a fraction. The object is read once,
+    for all of them."""
+    kind = ", ".join(f"{name}: double" for name in names)
+
+    def fits(read: Column) -> Column:
+        whole = [F.coalesce(read[name] == F.floor(read[name]), F.lit(True)) for name in names]
+        return reduce(Column.__and__, whole)
+
+    return F.forall(F.array(F.try_variant_get(raw, "$", f"struct<{kind}>")), fits)
 
 
 def _or_default(name: str, default) -> Column:
@@ -191,13 +196,16 @@ def check_products(df: DataFrame) -> DataFrame:
     return df.withColumn("violations", _violations(checks)).drop("whole")
 
 
+def with_discount(df: DataFrame) -> DataFrame:
+    return df.withColumn(
+        "discount_pct", discount_percent(F.col("price"), F.col("original_price")))
+
+
 def parse_products(responses: DataFrame, run_ts: Column) -> DataFrame:
     """All items of the search responses as product rows with a `violations` array."""
     flat = with_metadata(flatten_products(responses), run_ts, currency=True)
-    return check_products(flat.withColumns({
-        "url": product_url(F.col("name"), F.col("shop_id"), F.col("product_id")),
-        "discount_pct": discount_percent(F.col("price"), F.col("original_price")),
-    }))
+    return check_products(with_discount(flat.withColumn(
+        "url", product_url(F.col("name"), F.col("shop_id"), F.col("product_id")))))
 
 
 def image_urls(images: Column) -> Column:

@@ -56,7 +56,9 @@ def _(t):
       then {rnd("(1 - shown_price / shown_original) * 100", 1)} end as discount_pct
     from parsed_products"""))
 def _(t):
-    return _products(t).select("product_id", "discount_pct")
+    flat = parsing.flatten_products(
+        t.search_responses(), ["product_id", "price", "original_price"])
+    return parsing.with_discount(flat).select("product_id", "discount_pct")
 
 
 @query("p5_urls", with_views("""
