@@ -2,7 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import docs, real  # noqa: F401
@@ -116,3 +119,16 @@ def test_prefix_is_long_enough():
                 need = -(-4 * (n + m) // 9)
                 assert n - need + 1 <= ngram_join.prefix_length(n)
                 assert m - need + 1 <= ngram_join.prefix_length(m)
+
+
+def test_sketch_worker_holds_few_texts_at_a_time():
+    """The pipeline's executors ran out of memory; a batch took 64 MB of a worker."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(250)) for i in range(10000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    next(ngram_join._count(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    counts = next(ngram_join._count(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.frombuffer(b"".join(counts.column("counts").to_pylist()), np.uint32)
+    assert got.sum() == 10000 * 246 and peak < 30e6, peak

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import ship_code, sized_ids, stored
-from tidemart.llm.words import BLANKS, U64, classes, mix, utf8, word_hashes
+from tidemart.llm.words import BLANKS, U64, classes, mix, slices, utf8, word_hashes
 
 BUCKETS = 10_000
 MAX_LABELS = 50_000
@@ -86,7 +86,7 @@ def _places(both: np.ndarray) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = np.zeros((2, BUCKETS), np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         good = np.array(batch.column("good").to_pylist(), dtype=object) == 1
         for at, buckets, bounds in features(utf8(batch.column("text"))):
             n = len(bounds) - 1
@@ -133,7 +133,7 @@ def label_sample(labels: DataFrame, limit: int = MAX_LABELS) -> DataFrame:
 
 def _count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = np.zeros((2, 2 * PLACES), np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         toxic = batch.column("toxic").to_numpy()
         for at, both, real, bounds in grams(utf8(batch.column("text"))):
             for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), at):
@@ -188,7 +188,7 @@ def _weigher(ratios: np.ndarray, odds):
     table = np.append(ratios, 0.0)  # the last place is for index -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             weights, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             scores = np.full(batch.num_rows, NO_SCORE)
             kinds = batch.column("class").to_numpy()

@@ -33,7 +33,7 @@ from pyspark.sql import Window
 
 from tidemart.llm.common import ship_code, sized_ids, stored
 from tidemart.llm.components import connected_components
-from tidemart.llm.words import U64, mix, utf8, word_hashes
+from tidemart.llm.words import U64, mix, slices, utf8, word_hashes
 
 SHINGLE_WORDS = 5
 SKETCH_BITS = 20  # counters of the frequency sketch: 4 MB, whatever the corpus
@@ -62,11 +62,10 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for batch in batches:
+    for batch in slices(batches):
         sets = list(shingle_sets(utf8(batch.column("text"))))
-        if sets:
-            at = (np.concatenate(sets) & U64((1 << SKETCH_BITS) - 1)).astype(np.int64)
-            counts += np.bincount(at, minlength=len(counts)).astype(np.uint32)
+        at, n = np.unique(np.concatenate(sets) & U64((1 << SKETCH_BITS) - 1), return_counts=True)
+        counts[at.astype(np.int64)] += n.astype(np.uint32)
     if counts.any():
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(SLICES), pa.int32()),
@@ -106,28 +105,26 @@ def prefix_length(n):
 def _prefixer(sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                texts = utf8(part.column("text"))
-                sizes, nodes, tokens = [], [], []
-                for own in shingle_sets(texts):
-                    sizes.append(len(own))
-                    nodes.append(int.from_bytes(hashlib.blake2b(
-                        own.tobytes(), digest_size=8).digest(), "little", signed=True)
-                        if len(own) else None)
-                    seen = sketch.value[(own & U64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-                    rare = np.lexsort((own, seen))[:prefix_length(len(own)) if len(own) else 0]
-                    tokens.append(own[rare])
-                ends = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
-                flat = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("body_key"), pa.array(sizes, pa.int32()),
-                    pa.array(nodes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                    pa.array([pack.compress(t) if n else None
-                              for t, n in zip(texts, sizes, strict=True)], pa.binary()),
-                ], names=["doc_id", "body_key", "n", "node", "tokens", "body"])
+        for part in slices(batches):
+            texts = utf8(part.column("text"))
+            sizes, nodes, tokens = [], [], []
+            for own in shingle_sets(texts):
+                sizes.append(len(own))
+                nodes.append(int.from_bytes(hashlib.blake2b(
+                    own.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    if len(own) else None)
+                seen = sketch.value[(own & U64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+                rare = np.lexsort((own, seen))[:prefix_length(len(own)) if len(own) else 0]
+                tokens.append(own[rare])
+            ends = np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
+            flat = np.concatenate(tokens).view(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id"), part.column("body_key"), pa.array(sizes, pa.int32()),
+                pa.array(nodes, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                pa.array([pack.compress(t) if n else None
+                          for t, n in zip(texts, sizes, strict=True)], pa.binary()),
+            ], names=["doc_id", "body_key", "n", "node", "tokens", "body"])
 
     return run
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -103,6 +104,13 @@ def word_hashes(texts: list[bytes], table: np.ndarray = PLAIN) -> Iterator[
         at = end
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that the texts of one part are copied at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(column) -> list[bytes]:
     """Bytes of an Arrow string column; null gives none."""
     return [b"" if x is None else x for x in column.cast("large_binary").to_pylist()]
