@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from datetime import datetime
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Landed files end in .jsonl; part files written by this module end in .json.
-LANDED_FILES = "*.{jsonl,json}"
+from tidemart.session import ship_code
+
+# Landed files end in .jsonl; part files written by this module end in .json.gz.
+LANDED_FILES = "*.{jsonl,json,jsonl.gz,json.gz}"
+# A compressed file is one task's work when it is read, so it holds a bounded number of records.
+RECORDS_PER_FILE = 1_000_000
 CORRUPT = "_corrupt_record"
 
 # Conditions Spark reports for an absent folder, and for one without matching files.
@@ -57,12 +63,37 @@ def read_jsonl(
     return load_or_empty(spark, lambda: reader.json(path), schema)
 
 
+@F.pandas_udf(T.LongType())
+def _unpacked_bytes(contents: pd.Series) -> pd.Series:
+    """Bytes that gzip files hold, of all their members; null if one is broken or cut off."""
+    def size(content: bytes) -> int | None:
+        total, rest = 0, content
+        while rest:
+            member = zlib.decompressobj(wbits=31)
+            while not member.eof:
+                try:
+                    part = member.decompress(rest, 1 << 20)
+                except zlib.error:
+                    return None
+                rest = member.unconsumed_tail or member.unused_data
+                if not part and not rest and not member.eof:
+                    return None
+                total += len(part)
+        return total
+
+    return pd.Series([size(c) for c in contents], dtype="Int64")
+
+
 def file_ledger(spark: SparkSession, path: str, pattern: str = LANDED_FILES) -> DataFrame:
     """file_path, bytes, read_bytes, lines, status of every landed file.
 
     A file is `read` if its lines account for all of its bytes, and `unreadable` if the scan lost
-    the rest of it; an empty file has no row. Files are listed from their metadata alone and read once, as plain lines.
+    the rest of it; an empty file has no row. Files are listed from their metadata alone and read once,
+    as plain lines. `bytes` of a compressed file (.gz) are those it holds; it is read a second time
+    to count them, and where it is broken `bytes` is its own size.
     """
+    ship_code(spark)
+
     def found(reader):
         return reader.option("recursiveFileLookup", True).option(
             "pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
@@ -78,10 +109,19 @@ def file_ledger(spark: SparkSession, path: str, pattern: str = LANDED_FILES) ->
     read = lines.groupBy("file_path").agg(
         F.sum(F.col("size").cast("long") + 1).alias("read_bytes"),
         F.count(F.lit(1)).alias("lines"))
-    counted = files.join(read, "file_path", "left").fillna(0, ["read_bytes", "lines"])
+    packed = load_or_empty(spark, lambda: found(spark.read.format("binaryFile")).load(path).where(
+        F.endswith(F.lower("path"), F.lit(".gz"))).select(
+        meta["file_path"].alias("file_path"), _unpacked_bytes("content").alias("held")),
+        T.StructType([T.StructField("file_path", T.StringType()),
+                      T.StructField("held", T.LongType())]))
+    counted = files.join(read, "file_path", "left").fillna(0, ["read_bytes", "lines"]).join(
+        packed, "file_path", "left")
+    sound = ~F.endswith(F.lower("file_path"), F.lit(".gz")) | F.col("held").isNotNull()
+    counted = counted.withColumns({"bytes": F.coalesce("held", "bytes"), "sound": sound})
     # The last line may have no line end.
-    whole = (F.col("read_bytes") == F.col("bytes")) | (F.col("read_bytes") == F.col("bytes") + 1)
-    return counted.withColumn("status", F.when(whole, "read").otherwise("unreadable"))
+    whole = F.col("sound") & F.col("read_bytes").isin(F.col("bytes"), F.col("bytes") + 1)
+    counted = counted.drop("held")
+    return counted.withColumn("status", F.when(whole, "read").otherwise("unreadable")).drop("sound")
 
 
 def unreadable_files(ledger: DataFrame) -> DataFrame:
@@ -125,14 +165,20 @@ def write_jsonl(
     run_ts: datetime,
     keyword: str | None = None,
 ) -> str | None:
-    """Append one run's records as a folder of JSON-lines parts; returns its path.
+    """Append one run's records as a folder of compressed JSON-lines parts; returns its path.
 
     Nothing is written for an empty input. Times become ISO text.
     """
     if df.isEmpty():
         return None
     path = landing_path(base, data_type, run_ts)
-    with_keyword(df, keyword).write.mode("append").option("ignoreNullFields", False).json(path)
+    (
+        with_keyword(df, keyword).write.mode("append")
+        .option("ignoreNullFields", False)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .json(path)
+    )
     return path
 
 
