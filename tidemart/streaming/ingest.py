@@ -84,8 +84,9 @@ def new_keys(
     `ts` must be one of the keys: equal keys then lie in the same month, so only the folders of
     the batch's months are read. A null key equals a null key.
     """
+    months = [r[MONTH] for r in _with_month(batch, ts).select(MONTH).distinct().limit(
+        MAX_MONTHS + 1).collect()]
     rows = _with_month(drop_repeats(batch, keys, tie_break), ts)
-    months = [r[MONTH] for r in rows.select(MONTH).distinct().limit(MAX_MONTHS + 1).collect()]
     known = table.read(rows.schema)
     if len(months) <= MAX_MONTHS:
         known = known.filter(F.col(MONTH).isin(months))
