@@ -98,24 +98,29 @@ def _changes(lagged: DataFrame) -> DataFrame:
     return _placed(with_changes(lagged).select(*RESULT))
 
 
+def _written(rows: DataFrame, path: str) -> DataFrame:
+    """Rows that several steps of a batch use. They are written, not cached: a cached shuffle
+    keeps all of its partitions, however few rows they have, in every step that reads it."""
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _around(
     rows: DataFrame, places: DataFrame, results: EpochTable, path: str
 ) -> DataFrame:
     """The new snapshots and the known ones that can be their neighbours, marked by `is_new`;
-    written to `path`."""
+    written below `path`."""
     at = F.col("scraped_at")
     inside = rows.join(places, _same(rows, places, PLACE)).filter(
         (at > F.col("first.scraped_at")) & (at < F.col("last.scraped_at"))).select(
         *[rows[c] for c in rows.columns])
     known = lookup(results, inside).select(*SNAPSHOT).unionByName(_ends(places, ["product_id"]))
-    known = known.dropDuplicates(["product_id", "scraped_at"]).persist()
+    known = _written(known.dropDuplicates(["product_id", "scraped_at"]), f"{path}/known")
     fresh = rows.select(*SNAPSHOT).join(
         known, _same(rows, known, ["product_id", "scraped_at"]), "left_anti")
     both = fresh.withColumn("is_new", F.lit(True)).unionByName(
         known.withColumn("is_new", F.lit(False)))
-    both.write.mode("overwrite").parquet(path)
-    known.unpersist()
-    return rows.sparkSession.read.schema(both.schema).parquet(path)
+    return _written(both, f"{path}/around")
 
 
 def process_batch(
@@ -125,26 +130,25 @@ def process_batch(
     results, index = results_table(spark, out_dir), index_table(spark, state_dir)
     if index.last_epoch(writer) >= epoch:
         return
-    rows = _placed(drop_repeats(batch.select(*SNAPSHOT), ["product_id", "scraped_at"])).persist()
-    try:
-        points = T_POINT.format(*[rows.schema[c].dataType.simpleString()
-                                  for c in ("scraped_at", "price")])
-        empty = rows.limit(0).select(*PLACE, *[
-            F.lit(None).cast(points).alias(c) for c in ("first", "last")])
-        held = latest(index.read(empty.schema), PLACE)
-        products = rows.select("product_id").distinct()
-        places = held.join(products, _same(held, products, ["product_id"]), "left_semi").persist()
-        if results.last_epoch(writer) < epoch:
-            around = _around(rows, places, results, f"{state_dir.rstrip('/')}/work")
-            lagged = previous_values(around, ["product_id"], "scraped_at", {
-                "previous_price": "price", "previous_scraped_at": "scraped_at",
-                "previous_is_new": "is_new"})
-            changed = lagged.filter("is_new or coalesce(previous_is_new, false)")
-            results.commit(writer, epoch, _changes(changed))
-        index.commit(writer, epoch, _indexed(rows, places))
-        places.unpersist()
-    finally:
-        rows.unpersist()
+    work = f"{state_dir.rstrip('/')}/work"
+    rows = _written(_placed(drop_repeats(batch.select(*SNAPSHOT), ["product_id", "scraped_at"])),
+                    f"{work}/rows")
+    points = T_POINT.format(*[rows.schema[c].dataType.simpleString()
+                              for c in ("scraped_at", "price")])
+    empty = rows.limit(0).select(*PLACE, *[
+        F.lit(None).cast(points).alias(c) for c in ("first", "last")])
+    held = latest(index.read(empty.schema), PLACE)
+    products = rows.select("product_id").distinct()
+    places = _written(held.join(products, _same(held, products, ["product_id"]), "left_semi"),
+                      f"{work}/places")
+    if results.last_epoch(writer) < epoch:
+        around = _around(rows, places, results, work)
+        lagged = previous_values(around, ["product_id"], "scraped_at", {
+            "previous_price": "price", "previous_scraped_at": "scraped_at",
+            "previous_is_new": "is_new"})
+        changed = lagged.filter("is_new or coalesce(previous_is_new, false)")
+        results.commit(writer, epoch, _changes(changed))
+    index.commit(writer, epoch, _indexed(rows, places))
 
 
 T_POINT = "struct<scraped_at:{},price:{}>"
