@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import column, plan, rows
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import history, metrics
 from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
 from tidemart.plans import gold_tables
+from tidemart.plans.tables import Tables
 from tidemart.sources.keyed import KeyedTable
 
 NOW = datetime(2024, 6, 1)
@@ -172,3 +173,33 @@ def test_price_trends(spark):
         "category_id": 3, "scraped_date": date(2024, 1, 1), "avg_price": 15.0,
         "min_price": 10, "max_price": 20, "total_products": 2,
     }]
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """A folder of test tables with a repeated snapshot and a repeated document."""
+    line = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz")
+    day = datetime(2024, 1, 1)
+    lines = [(i, 1, i % 3, i % 2, 10.0, 100.0 + i, 0.1, day + timedelta(days=i // 9))
+             for i in range(1, 41)]
+    frames = {
+        "lineitem": spark.createDataFrame(lines, line),
+        "part": spark.createDataFrame(
+            [(i, f"part {i}", "brand", 5) for i in range(3)],
+            "p_partkey long, p_name string, p_brand string, p_size int"),
+        "supplier": spark.createDataFrame([(0, 0), (1, 0)], "s_suppkey long, s_nationkey long"),
+        "nation": spark.createDataFrame([(0, "N")], "n_nationkey long, n_name string"),
+        "documents": spark.createDataFrame(
+            [(1, "the cat"), (2, "der was"), (2, "a was"), (None, None), (None, "x"), (4, "the")],
+            "doc_id long, text string"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return Tables(spark, str(tmp_path))
+
+
+def test_silver_products_are_made_of_written_bronze(shop):
+    listed = shop.listed_products()
+    assert not [f for f in listed.inputFiles() if "lineitem" in f or "part.parquet" in f]
+    assert rows(listed) == rows(shop.clean_products())

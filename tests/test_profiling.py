@@ -1,7 +1,8 @@
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from tidemart.operators import profiling
+from tidemart.operators.ordered import repeated_keys
 
 
 def test_key_choice():
@@ -81,3 +82,13 @@ def test_status_and_health(spark, table):
     assert status == {"full": (7, True), "none": (0, False)}
     assert rows(profiling.health(table, table.limit(0))) == [
         {"status": "healthy", "total_products": 7, "total_reviews": 0}]
+
+
+def test_known_repeats_are_not_counted_again(table):
+    listed = repeated_keys(table, ["product_id", "scraped_at"], counts="n")
+    assert {(r["product_id"], r["n"]) for r in rows(listed)} == {(1, 2), (2, 2), (None, 2)}
+    ours = profiling.measures(table, "T", listed.localCheckpoint())
+    assert rows(ours) == rows(profiling.measures(table, "T"))
+    assert "hashpartitioning" not in plan(ours)
+    empty = profiling.measures(table, "T", listed.limit(0)).filter("measure = 'repeats'")
+    assert rows(empty)[0]["value"] == 0

@@ -56,9 +56,11 @@ def drop_repeats(
     return keep_first(df, keys, order or [F.lit(0)])
 
 
-def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that more than one row has. Only the keys are shuffled."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*keys)
+def repeated_keys(df: DataFrame, keys: list[str], counts: str | None = None) -> DataFrame:
+    """Keys that more than one row has, with their rows as `counts` if it is named. Only the
+    keys are shuffled."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    return found.select(*keys, *([F.col("__n").alias(counts)] if counts else []))
 
 
 def drop_listed_repeats(

@@ -51,8 +51,12 @@ def repeated_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def measures(df: DataFrame, label: str) -> DataFrame:
-    """Long form `(layer, measure, column, value)` of everything a profile counts."""
+def measures(df: DataFrame, label: str, repeated: DataFrame | None = None) -> DataFrame:
+    """Long form `(layer, measure, column, value)` of everything a profile counts.
+
+    `repeated` holds the profile's keys that repeat in `df`, with the number `n` of their rows, if
+    they are known; the keys of all rows are then not shuffled again.
+    """
     aggregates = {("rows", None): F.count(F.lit(1))}
     for field in df.schema.fields:
         aggregates[("nulls", field.name)] = F.count_if(_is_missing(field))
@@ -71,7 +75,11 @@ def measures(df: DataFrame, label: str) -> DataFrame:
     keys = profile_keys(df.columns)
     if not keys:
         return counted
-    repeats = repeated_rows(df, keys).select(
+    if repeated is None:
+        found = repeated_rows(df, keys)
+    else:
+        found = repeated.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"))
+    repeats = found.select(
         F.lit(label).alias("layer"), F.lit("repeats").alias("measure"),
         F.lit(",".join(keys)).alias("column"), F.col("repeats").alias("value"),
     )

@@ -122,7 +122,8 @@ def _layers(t):
 
 
 def _all_measures(t):
-    parts = [profiling.measures(df, label) for label, df in _layers(t).items()]
+    known = {"Bronze.Products": t.bronze_product_repeats()}
+    parts = [profiling.measures(df, label, known.get(label)) for label, df in _layers(t).items()]
     return profiling.union_measures(parts)
 
 

@@ -118,12 +118,23 @@ class Tables:
 
     def repeats(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame | None:
         """The keys of `rows` that repeat; None if they are too many to send around."""
-        found = self.stored(f"silver/{name}_repeated", lambda: repeated_keys(rows, keys))
+        found = self.counted_repeats(name, rows, keys).select(*keys)
         return found if found.count() <= MAX_LISTED else None
 
+    def counted_repeats(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The keys of `rows` that repeat, with the number `n` of their rows."""
+        return self.stored(
+            f"silver/{name}_repeated", lambda: repeated_keys(rows, keys, counts="n"))
+
+    def bronze_product_repeats(self) -> DataFrame:
+        """The list that silver is made with, for the profile of bronze."""
+        raw = self.bronze_products()
+        return self.counted_repeats("products", raw, snapshot_keys(raw))
+
     def listed_products(self) -> DataFrame:
-        """As `clean_products`, shuffling only rows of repeated keys."""
-        raw = self.raw_products()
+        """As `clean_products`, shuffling only rows of repeated keys. It reads the written bronze
+        rows, so that the joins that make them, which shuffle all rows of large tables, run once."""
+        raw = self.bronze_products()
         repeated = self.repeats("products", raw, snapshot_keys(raw))
         return clean_products(raw, self.run_ts, derived.snapshot_ties(), repeated)
 
