@@ -203,3 +203,13 @@ def test_silver_products_are_made_of_written_bronze(shop):
     listed = shop.listed_products()
     assert not [f for f in listed.inputFiles() if "lineitem" in f or "part.parquet" in f]
     assert rows(listed) == rows(shop.clean_products())
+
+
+def test_sentiments_read_whole_are_not_dealt(shop, monkeypatch):
+    monkeypatch.setattr("tidemart.plans.tables.gold_tables.write_sentiments", None)
+    scored = shop.sentiments()
+    monkeypatch.undo()
+    want = rows(score_sentiment(shop.clean_texts(), shop.scorer()))
+    assert len(want) == 4 and [r["review_id"] for r in rows(scored)] == [
+        r["review_id"] for r in want]
+    assert rows(scored) == rows(shop.sentiments_table().read()) == rows(shop.sentiments())

@@ -15,7 +15,7 @@ from tidemart.operators.cleansing import clean_products, clean_reviews, snapshot
 from tidemart.operators.metrics import product_metrics
 from tidemart.operators.ordered import repeated_keys
 from tidemart.operators.quality import PRODUCT_RULES, REVIEW_RULES, valid_rows
-from tidemart.operators.sentiment import lexicon_scorer
+from tidemart.operators.sentiment import lexicon_scorer, score_sentiment
 from tidemart.operators.topics import negative_topics
 from tidemart.plans import derived, gold_tables
 from tidemart.session import shared_dir
@@ -180,13 +180,22 @@ class Tables:
     def scorer(self):
         return lexicon_scorer(derived.POSITIVE_WORDS, derived.NEGATIVE_WORDS)
 
+    def _text_rows(self) -> DataFrame:
+        return self.listed_reviews("texts", self.review_texts())
+
     def sentiments_table(self) -> KeyedTable:
+        """The sentiments dealt to ranges of the product, for lookups."""
         return self.opened("gold/reviews_sentiment", lambda p: gold_tables.write_sentiments(
-            self.listed_reviews("texts", self.review_texts()), p, self.scorer()
+            self._text_rows(), p, self.scorer()
         ))
 
     def sentiments(self) -> DataFrame:
-        return self.sentiments_table().read()
+        """The sentiments for reads of all rows: unless the dealt table is there, they are
+        written as the reviews come, so that no text is shuffled."""
+        if self.path("gold/reviews_sentiment") in _written:
+            return self.sentiments_table().read()
+        return self.stored("gold/sentiments", lambda: score_sentiment(
+            self._text_rows(), self.scorer()))
 
     def topics(self) -> DataFrame:
         return self.stored("gold/negative_topics", lambda: negative_topics(
