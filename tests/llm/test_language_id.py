@@ -2,8 +2,10 @@
 
 import math
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import docs  # noqa: F401
@@ -87,3 +89,37 @@ def test_edge_cases(docs):
     got = {r["doc_id"]: r["lang_pred"] for r in rows}
     assert got[0] == got[1] == got[2] == "und" and got[3] == got[6] == got[8] == "en"
     assert lid.predict(docs([])).collect() == []
+
+
+ODD = ["Straße ŒUVRE’s “naïve”", "m²a ² x²", "Дом 日本 ΣΑΣ a", "a_b1c\x85d\xa0e", "q" * 70, "²" * 3,
+       "İstanbul ǅ", "", None, "A-b\tC\n\x01d ªº µ ƒˆ", "\x81x\x8dy"]
+
+
+def test_runs_of_many_texts_are_those_of_each():
+    runs, ids, ends = lid.run_numbers(pa.array(ODD, pa.string()))
+    assert len(set(runs)) == len(runs)
+    for i, text in enumerate(ODD):
+        own = [w for k in ids[ends[i]:ends[i + 1]] for w in lid.run_words(runs[k])]
+        assert own == lid.letter_words(text)
+
+
+def test_words_met_again_are_scored_once(monkeypatch):
+    scored, forward = [], lid.forward
+
+    def noted(pieces, words, probs):
+        scored.extend(words)
+        return forward(pieces, words, probs)
+
+    monkeypatch.setattr(lid, "HELD_WORDS", 4)
+    monkeypatch.setattr(lid, "forward", noted)
+    pieces = lid.Pieces(["▁a", "b", "▁b"])
+    probs = np.full((pieces.count, 2), 0.1)
+    probs[1] = [0.5, 0.01]
+    run = lid._scorer(SimpleNamespace(value=pieces), SimpleNamespace(value=probs),
+                              np.zeros(2), ["p", "q"])
+    texts = [f"a b {'c' * i}" for i in range(1, 9)] + ["²", None]
+    batches = [pa.record_batch({"doc_id": [i], "text": pa.array([t], pa.string())})
+               for i, t in enumerate(texts)]
+    found = pa.Table.from_batches(run(iter(batches))).to_pylist()
+    assert [r["lang_pred"] for r in found] == ["p"] * 8 + ["und"] * 2
+    assert scored.count("▁a") == scored.count("▁b") == 1

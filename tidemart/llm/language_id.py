@@ -19,11 +19,12 @@ first; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +58,48 @@ def letter_words(text: str | None) -> list[str]:
     return [MARK + w for w in words]
 
 
+def run_words(run: str) -> list[str]:
+    """`letter_words` of a single run."""
+    return [MARK + run] if len(run) <= MAX_RUN and run.isalpha() else letter_words(run)
+
+
+def _plain_table() -> bytes:
+    """For each byte of cp1252: the small letter, a blank for what ends a run, or a mark."""
+    table = bytearray(b" " * 256)
+    for i in range(256):
+        c = bytes([i]).decode("cp1252", "ignore")
+        if c.isalpha():
+            table[i:i + 1] = c.lower().encode("cp1252")
+        elif RUNS.match(c):
+            table[i] = 1  # numbers such as a raised two, which belong to runs
+    return bytes(table)
+
+
+_PLAIN = _plain_table()
+
+
+def _letter_runs(text: str | None) -> str:
+    """The runs of `letter_words` with a blank between them, neither marked nor cut."""
+    if not text:
+        return ""
+    try:
+        plain = text.encode("cp1252").translate(_PLAIN)
+    except UnicodeEncodeError:
+        plain = b"\1"
+    if b"\1" in plain:
+        return " ".join(RUNS.findall(text.lower()))
+    return plain.decode("cp1252")
+
+
+def run_numbers(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct runs of letters of the texts, the number of each run, and the texts' bounds."""
+    split = pc.ascii_split_whitespace(
+        pa.array([_letter_runs(t) for t in texts.to_pylist()], pa.large_string()))
+    coded = split.flatten().dictionary_encode()
+    return (coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False),
+            split.offsets.to_numpy())
+
+
 def load_pieces(path: str = VOCABULARY) -> list[str]:
     """Pieces of the vocabulary that letters and the word mark can form."""
     import sentencepiece
@@ -125,15 +168,32 @@ def forward(pieces: Pieces, words: list[str], probs: np.ndarray) -> np.ndarray:
         part = sorted(range(at, min(at + 4096, len(words))), key=lambda i: -len(words[i]))
         starts, found = pieces.places([words[i] for i in part])
         sizes = np.diff(starts)
-        ways = [np.ones((len(part), probs.shape[1]))]
-        for t in range(1, int(sizes[0]) + 1):
-            live = int(np.searchsorted(-sizes, -t, side="right"))
-            now = np.zeros((live, probs.shape[1]))
-            for length in range(1, min(MAX_PIECE, t) + 1):
-                piece = found[length - 1][starts[:live] + t - length]
-                there = np.flatnonzero(piece >= 0)
-                now[there] += ways[t - length][there] * probs[piece[there]]
-            ways.append(now)
+        longest = int(sizes[0])
+        # All pieces at all places, by their end and then by word; every place has one of a letter.
+        word = np.repeat(np.arange(len(part)), sizes)
+        begin = np.arange(len(word)) - starts[word]
+        arcs = []
+        for length, numbers in enumerate(found, 1):
+            at_piece = np.flatnonzero(numbers >= 0)
+            at_piece = at_piece[begin[at_piece] + length <= sizes[word[at_piece]]]
+            own = word[at_piece]
+            arcs.append(((begin[at_piece] + length) * len(part) + own, length, numbers[at_piece]))
+        keys = np.concatenate([a[0] for a in arcs])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        back = np.repeat([a[1] for a in arcs], [len(a[0]) for a in arcs])[order]
+        chance = probs.take(np.concatenate([a[2] for a in arcs])[order], axis=0)
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        cuts = np.searchsorted(keys, np.arange(1, longest + 2) * len(part))
+        groups = np.searchsorted(first, cuts)
+        source = keys - back * len(part)
+        ways = np.ones(((longest + 1) * len(part), probs.shape[1]))
+        for t in range(1, longest + 1):
+            low, high = cuts[t - 1], cuts[t]
+            flow = ways.take(source[low:high], axis=0) * chance[low:high]
+            now = np.add.reduceat(flow, first[groups[t - 1]:groups[t]] - low, axis=0)
+            ways[t * len(part):t * len(part) + len(now)] = now
+        ways = ways.reshape(longest + 1, len(part), -1)
         for t in range(1, int(sizes[0]) + 1):
             own = np.flatnonzero(sizes == t)
             out[np.array(part)[own]] = np.log(ways[t][own])
@@ -179,23 +239,28 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[tuple[str, str], int] = {}
 
     def flush():
-        keys = list(counts)
+        found = [(lang, word, n) for (lang, run), n in counts.items() for word in run_words(run)]
         out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()),
-             pa.array([k[1] for k in keys], pa.string()),
-             pa.array([counts[k] for k in keys], pa.int64())], names=["lang", "word", "n"])
+            [pa.array([f[0] for f in found], pa.string()),
+             pa.array([f[1] for f in found], pa.string()),
+             pa.array([f[2] for f in found], pa.int64())], names=["lang", "word", "n"])
         counts.clear()
         return out
 
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        for i, lang in enumerate(langs):
-            own = Counter(letter_words(batch.column("text")[i].as_py()))
-            for word, n in own.items():
-                counts[lang, word] += n
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            runs, ids, ends = run_numbers(part.column("text"))
+            langs = part.column("lang").dictionary_encode()
+            own = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(ends))
+            pairs, times = np.unique(own * len(runs) + ids.astype(np.int64), return_counts=True)
+            names = langs.dictionary.to_pylist()
+            for pair, n in zip(pairs.tolist(), times.tolist(), strict=True):
+                key = names[pair // len(runs)], runs[pair % len(runs)]
+                counts[key] = counts.get(key, 0) + n
             if len(counts) > 200_000:
                 yield flush()
     yield flush()
@@ -239,27 +304,46 @@ def fit(counts: DataFrame, langs: list[str], names: list[str], rounds: int = 2)
     return probs
 
 
+def _sums(values: np.ndarray, lists: list[list]) -> np.ndarray:
+    """Sums of the rows of `values` that belong to each list, whose items they stand for."""
+    if len(values) == len(lists) and all(map(len, lists)):
+        return values
+    out = np.zeros((len(lists), values.shape[1]))
+    np.add.at(out, np.repeat(np.arange(len(lists)), [len(own) for own in lists]), values)
+    return out
+
+
 def _scorer(pieces, model, prior: np.ndarray, langs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[str, int] = {}
         scores = np.zeros((0, len(langs)))
+        counted = uses = np.zeros(0, np.int64)  # words of each run, and parts that held it
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                words = [letter_words(t) for t in part.column("text").to_pylist()]
-                if len(number) > HELD_WORDS:
-                    number, scores = {}, scores[:0]
-                ids = [number.setdefault(w, len(number)) for own in words for w in own]
-                fresh = list(number)[len(scores):]
-                if fresh:
-                    scores = np.vstack((scores, forward(pieces.value, fresh, model.value)))
-                ends = np.concatenate(([0], np.cumsum([len(own) for own in words])))
+                runs, ids, ends = run_numbers(part.column("text"))
+                if len(number) > HELD_WORDS:  # runs met again stay, unless they are too many
+                    again = uses > 1 if (uses > 1).sum() <= HELD_WORDS // 2 else uses < 0
+                    number = {r: i for i, r in enumerate(compress(number, again))}
+                    scores, counted = scores[again], counted[again]
+                    uses = np.ones(len(number), np.int64)
+                held = len(number)
+                of_run = np.array([number.setdefault(r, len(number)) for r in runs], np.int64)
+                if len(number) > held:
+                    fresh = [run_words(r) for r in islice(number, held, None)]
+                    scores = np.vstack((scores, _sums(forward(
+                        pieces.value, [w for own in fresh for w in own], model.value), fresh)))
+                    counted = np.append(counted, [len(own) for own in fresh])
+                    uses = np.append(uses, np.zeros(len(fresh), np.int64))
+                uses[of_run] += 1
+                places = of_run[ids]
                 sums = np.concatenate((np.zeros((1, len(langs))), np.cumsum(
-                    scores[np.array(ids, np.int64)], axis=0)))
+                    scores[places], axis=0)))
+                filled = np.concatenate(([0], np.cumsum(counted[places])))
                 total = sums[ends[1:]] - sums[ends[:-1]] + prior
                 best = total.argmax(axis=1)
                 share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                some = np.diff(ends) > 0
+                some = filled[ends[1:]] > filled[ends[:-1]]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"),
                     pa.array([langs[b] if s else "und"
