@@ -32,6 +32,7 @@ CHUNK_MINUTES = 1
 _NO_CHUNK = -(1 << 62)
 _NO_TIME = "0001-01-01 00:00:00"
 CHUNK = "__chunk"
+KEY_GROUPS = 1 << 16
 _HOT = "__hot"
 
 Prepare = Callable[[DataFrame], DataFrame]
@@ -88,6 +89,15 @@ def any_hot(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
     return not _hot_keys(rows, keys, hot_rows).isEmpty()
 
 
+def most_rows(rows: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """The number of rows, and a bound on the rows of any key: those of the largest of
+    `KEY_GROUPS` groups of keys. Only a count for each group and task is shuffled."""
+    group = F.pmod(F.xxhash64(*keys), F.lit(KEY_GROUPS))
+    counts = rows.groupBy(group.alias("__group")).agg(F.count(F.lit(1)).alias("__n"))
+    found = counts.agg(F.sum("__n"), F.max("__n")).first()
+    return found[0] or 0, found[1] or 0
+
+
 def _chunk_number(df: DataFrame, time: str, minutes: int) -> Column:
     """Number of the time's chunk, never decreasing in time. Times without a zone count by
     the clock, so that the session zone's clock changes cannot reorder them."""

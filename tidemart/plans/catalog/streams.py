@@ -134,8 +134,7 @@ def _(t):
 def _deliver(t, path):
     """All snapshots in five shuffled deliveries; most are late, some undated. The last is read
     with a new checkpoint, which brings all others again."""
-    snapshots = t.silver_products().select(
-        "product_id", _undated().alias("scraped_at"), "price", F.col("scraped_at").alias("at"))
+    snapshots = _some_undated(t.silver_products().select("product_id", "scraped_at", "price"))
     landing = t.path("x4/landing")
     schema = snapshots.drop("at").schema
     for k in range(_SHARES):
@@ -147,11 +146,14 @@ def _deliver(t, path):
         ))
 
 
-def _undated():
-    """One product in fifty loses the time of its first snapshot, the earliest in its history."""
-    first = F.min("scraped_at").over(Window.partitionBy("product_id"))
-    return F.when((F.col("product_id") % 50 != 0) | (F.col("scraped_at") != first),
-                  F.col("scraped_at"))
+def _some_undated(rows):
+    """One product in fifty loses the time of its first snapshot, the earliest in its history.
+    Only the rows of such products are shuffled. `at` keeps the time."""
+    rows = rows.withColumn("at", F.col("scraped_at"))
+    dated = F.coalesce(F.col("product_id") % 50 != 0, F.lit(False))
+    first = F.min("at").over(Window.partitionBy("product_id"))
+    some = rows.filter(~dated).withColumn("scraped_at", F.when(F.col("at") != first, F.col("at")))
+    return rows.filter(dated).unionByName(some)
 
 
 @query("x4_streaming_price_changes", with_views("""

@@ -9,7 +9,8 @@ off before it left no record, and its folder is written again. Readers see recor
 When `FAN` folders of one level are live, they are folded into one of the next level. Thus the
 number of live folders grows as the logarithm of the commits, and every row is rewritten as often.
 Folded folders stay on disk for readers that still use them; they can be deleted at any quiet time
-(`unused`). A table takes one writer at a time.
+(`unused`). A table takes one writer at a time. A commit may leave a note in the record, which later
+ones keep.
 """
 
 from __future__ import annotations
@@ -65,6 +66,17 @@ class EpochTable:
         rows = Folder(self.spark, f"{self.path}/rows")
         return [f"{self.path}/rows/{n}" for n in rows.names() if n not in live]
 
+    def _bytes(self, state: dict, number: int) -> int:
+        """Bytes of a folder; records of earlier versions do not hold them."""
+        known = state.get("bytes", {}).get(str(number))
+        return known if known is not None else Folder(
+            self.spark, f"{self.path}/rows").size(f"{EPOCH}={number}")
+
+    def size(self) -> int:
+        """Bytes of all live folders."""
+        state = self.state()
+        return sum(self._bytes(state, n) for n, _ in state["live"])
+
     def _frame(self, state: dict, numbers: list[int]) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(state["schema"])).add(EPOCH, T.LongType())
         if not numbers:
@@ -88,16 +100,20 @@ class EpochTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/rows/{EPOCH}={number}")
-        new = {"number": number, "live": [[number if n is None else n, k] for n, k in live],
-               "writers": writers, "schema": state["schema"] or rows.schema.json()}
+        live = [[number if n is None else n, k] for n, k in live]
+        new = {"number": number, "live": live, "writers": writers,
+               "schema": state["schema"] or rows.schema.json(), "note": state.get("note"),
+               "bytes": {str(n): self._bytes(state, n) for n, _ in live}}
         self._records.put(f"{number:012d}.json", json.dumps(new))
         return new
 
-    def commit(self, writer: str, epoch: int, rows: DataFrame) -> bool:
+    def commit(self, writer: str, epoch: int, rows: DataFrame, note: object = None) -> bool:
         """Add the rows of a writer's epoch; False if that epoch is in the table already."""
         state = self.state()
         if state["writers"].get(writer, -1) >= epoch:
             return False
+        if note is not None:
+            state["note"] = note
         state = self._write(rows, state, [*state["live"], [None, 0]],
                             {**state["writers"], writer: epoch})
         while True:

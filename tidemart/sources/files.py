@@ -30,6 +30,10 @@ class Folder:
         found = [s.getPath().getName() for s in self._files.listStatus(self._root)]
         return [n.split("=", 1)[1] for n in found if n.startswith(f"{column}=")]
 
+    def size(self, name: str) -> int:
+        """Bytes of a file or of all files in a folder."""
+        return self._files.getContentSummary(self._path(name)).getLength()
+
     def read(self, name: str) -> str:
         stream = self._files.open(self._path(name))
         try:

@@ -9,6 +9,11 @@ come before all others) adds its own row and writes the row after it again, what
 the results; of a row written more than once the latest epoch holds. Of several rows of one
 snapshot the first that arrived stays.
 
+Where a batch is not small beside the results (`SWEEP_BYTES`), as in a first load or a delivery of
+all times, looking neighbours up takes many joins of as many rows. Such a batch is put among all known
+snapshots instead, in one shuffle by product and one sort, which gives the same rows of results
+and index.
+
 Results and index are tables of `sources.epochs`: a stream with a new checkpoint continues the
 same history, and a repeated epoch is skipped.
 """
@@ -17,16 +22,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.history import with_changes
-from tidemart.operators.ordered import drop_repeats, previous_values
+from tidemart.operators.ordered import HOT_ROWS, drop_repeats, most_rows, previous_values
 from tidemart.sources.epochs import EPOCH, EpochTable, latest, stream_id
 
 BUCKETS = 4  # fixed for the life of a table; raise it where a month has very many products
 MAX_PLACES = 1000  # buckets and months that are looked up by name; beyond, all are scanned
+# Bytes of results that are read again for each row of a batch rather than looking it up.
+SWEEP_BYTES = 500
 BUCKET, MONTH, NO_MONTH = "__bucket", "__month", "none"
 RESULT = [
     "product_id", "scraped_at", "price", "previous_price", "price_change_abs",
@@ -123,6 +130,41 @@ def _around(
     return _written(both, f"{path}/around")
 
 
+def _bound(most: int, results: EpochTable) -> int | None:
+    """A bound on the rows of any product once a batch with at most `most` of them is in: the
+    table's note is the sum for the batches before. None if the table has no note."""
+    state = results.state()
+    note = state.get("note") if state["live"] else 0
+    return None if note is None else note + most
+
+
+def _swept(batch: DataFrame, known: DataFrame, path: str) -> DataFrame:
+    """New snapshots and those after them as `changed`, with the preceding ones; and the last
+    snapshots of the months that got any, with the `first` of the month. Written to `path`."""
+    both = batch.withColumn("is_new", F.lit(True)).unionByName(
+        known.select(*SNAPSHOT, F.lit(False).alias("is_new")))
+    month = F.coalesce(F.year("scraped_at") * 12 + F.month("scraped_at"), F.lit(-1))
+    lagged = previous_values(both.withColumn("month", month), ["product_id"], "scraped_at", {
+        "previous_price": "price", "previous_scraped_at": "scraped_at",
+        "previous_is_new": "is_new", "previous_month": "month"}, hot_rows=None,
+        repeat_order=[F.col("is_new"), F.col("price").asc_nulls_first()])
+    inside = Window.partitionBy("product_id").orderBy(F.col("scraped_at").asc_nulls_first())
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begins = ~F.col("month").eqNullSafe(F.col("previous_month"))
+    points = lagged.withColumns({
+        "next_month": F.lead("month").over(inside),
+        "first": F.last(F.when(begins, F.struct("scraped_at", "price")), True).over(so_far),
+        "touched": F.last(F.when(F.col("is_new"), F.col("month")), True).over(so_far),
+    })
+    ends = (~F.col("month").eqNullSafe(F.col("next_month"))
+            & F.col("month").eqNullSafe(F.col("touched")))
+    changed = F.expr("is_new or coalesce(previous_is_new, false)")
+    found = points.select(
+        *SNAPSHOT, "previous_price", "previous_scraped_at", changed.alias("changed"),
+        F.when(ends, F.col("first")).alias("first"))
+    return _written(found.filter("changed or first is not null"), path)
+
+
 def process_batch(
     batch: DataFrame, epoch: int, out_dir: str, state_dir: str, writer: str = "direct"
 ) -> None:
@@ -131,7 +173,21 @@ def process_batch(
     if index.last_epoch(writer) >= epoch:
         return
     work = f"{state_dir.rstrip('/')}/work"
-    rows = _written(_placed(drop_repeats(batch.select(*SNAPSHOT), ["product_id", "scraped_at"])),
+    batch = batch.select(*SNAPSHOT)
+    count, most = most_rows(batch, ["product_id"])
+    bound = _bound(most, results)
+    if results.last_epoch(writer) < epoch and count * SWEEP_BYTES >= results.size():
+        known = results.read(results_schema(_placed(batch)))
+        if bound is None or bound > HOT_ROWS:  # snapshots that came again count in each batch
+            bound = most + most_rows(known, ["product_id"])[1]
+        # No product may be so large that one task should not sort it.
+        if bound <= HOT_ROWS:
+            swept = _swept(batch, known, f"{work}/swept")
+            results.commit(writer, epoch, _changes(swept.filter("changed")), bound)
+            index.commit(writer, epoch, _placed(swept).filter("first is not null").select(
+                *PLACE, "first", F.struct("scraped_at", "price").alias("last")))
+            return
+    rows = _written(_placed(drop_repeats(batch, ["product_id", "scraped_at"])),
                     f"{work}/rows")
     points = T_POINT.format(*[rows.schema[c].dataType.simpleString()
                               for c in ("scraped_at", "price")])
@@ -147,7 +203,7 @@ def process_batch(
             "previous_price": "price", "previous_scraped_at": "scraped_at",
             "previous_is_new": "is_new"})
         changed = lagged.filter("is_new or coalesce(previous_is_new, false)")
-        results.commit(writer, epoch, _changes(changed))
+        results.commit(writer, epoch, _changes(changed), bound)
     index.commit(writer, epoch, _indexed(rows, places))
 
 
@@ -172,6 +228,9 @@ def start(
 
 
 def read_changes(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Each snapshot's row of the latest epoch."""
+    """Each snapshot's row of the latest epoch. A row number or an aggregate would also sort the
+    rows before they are shuffled, where hardly any snapshot is met twice."""
     written = results_table(spark, out_dir).read()
-    return latest(written.drop(BUCKET, MONTH), ["product_id", "scraped_at"]).select(*RESULT)
+    later = F.lag(EPOCH).over(
+        Window.partitionBy("product_id", "scraped_at").orderBy(F.col(EPOCH).desc()))
+    return written.withColumn("__later", later).filter("__later is null").select(*RESULT)
